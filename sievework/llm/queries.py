@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.common import table
-from sievework.llm import mixing, simhash, url_filter
+from sievework.llm import bpe, mixing, simhash, substring, url_filter
 
 #: The rules that the URL query judges by: verdict, host, path.
 URL_RULES = [
@@ -44,6 +45,15 @@ FROM p
 """
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ["doc_id"], ids=False, digests=True)
+
+
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"], digest=True)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dedup(table(spark, sf_dir, "documents"))
 
@@ -82,7 +92,9 @@ FROM c
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_bpe": op2_bpe,
     "op4_simhash": op4_simhash,
+    "op7_substring": op7_substring,
     "op10_mix": op10_mix,
 }
 
