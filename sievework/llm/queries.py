@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.common import table
-from sievework.llm import bpe, mixing, simhash, substring, url_filter
+from sievework.llm import bpe, langid, mixing, simhash, substring, url_filter
 
 #: The rules that the URL query judges by: verdict, host, path.
 URL_RULES = [
@@ -58,6 +58,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out("doc_id"))
+    dictionaries = langid.learn(docs.where("NOT held_out"))
+    found = langid.identify(docs, dictionaries, ["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
     first = F.round(F.element_at(F.when(F.size("positions") > 0, F.col("positions")), 1), 9)
@@ -95,6 +102,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op4_simhash": op4_simhash,
     "op7_substring": op7_substring,
+    "op8_langid": op8_langid,
     "op10_mix": op10_mix,
 }
 
