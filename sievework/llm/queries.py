@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.common import table
-from sievework.llm import bpe, langid, mixing, simhash, substring, url_filter
+from sievework.llm import bpe, fingerprint, langid, mixing, simhash, substring, url_filter
 
 #: The rules that the URL query judges by: verdict, host, path.
 URL_RULES = [
@@ -50,6 +50,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ["doc_id"], ids=False, digests=True)
 
 
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"], digest=True)
 
@@ -100,6 +104,7 @@ FROM c
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_bpe": op2_bpe,
+    "op3_fingerprint": op3_fingerprint,
     "op4_simhash": op4_simhash,
     "op7_substring": op7_substring,
     "op8_langid": op8_langid,
