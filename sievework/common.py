@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
+from pyspark.cloudpickle import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +39,36 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     skewed keys split by AQE.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a compressed table in the cluster's shared folder, and read from there.
+
+    Like ``cut``, for larger intermediate results: columns compress, checkpoints do not. The table
+    stays in the folder until whoever runs the cluster clears it.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    path = f"{folder}/tables/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class Shared:
+    """A value of bounded size for all tasks, made once per Python worker and kept between tasks.
+
+    It travels pickled by value, so executors need no copy of the package.
+    """
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._sent = spark.sparkContext.broadcast({"pickled": cloudpickle.dumps(value)})
+
+    @property
+    def value(self) -> object:
+        held = self._sent.value
+        if "value" not in held:
+            held["value"] = cloudpickle.loads(held["pickled"])
+        return held["value"]
