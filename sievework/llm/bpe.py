@@ -24,9 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievework.common import Shared
+
 #: Pre-tokens that a worker remembers.
 MEMORY = 1_000_000
 #: Characters of text whose pre-tokens are held at once.
@@ -200,7 +202,7 @@ class Encoder:
     """Encodes texts by a vocabulary; remembers pre-tokens between calls."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
-        self.vocabulary, self.find = vocabulary, regex.compile(pattern).findall
+        self.vocabulary, self.pattern = vocabulary, regex.compile(pattern)
         self.forget()
 
     def forget(self) -> None:
@@ -214,7 +216,7 @@ class Encoder:
         number, known = self.number, len(self.number)
         rows = []
         for text in texts:
-            found = self.find(text) if text else []
+            found = self.pattern.findall(text) if text else []
             for x in set(found).difference(number):
                 number[x] = len(number)
             rows.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
@@ -248,19 +250,7 @@ class Encoder:
         self.ids, self.count = np.concatenate([self.ids, out]), np.concatenate([self.count, count])
 
 
-class _Shared:
-    """What a broadcast carries: the vocabulary; each worker makes one encoder from it."""
-
-    def __init__(self, vocabulary: Vocabulary, pattern: str):
-        self.vocabulary, self.pattern, self.made = vocabulary, pattern, None
-
-    def encoder(self) -> Encoder:
-        if self.made is None:
-            self.made = Encoder(self.vocabulary, self.pattern)
-        return self.made
-
-
-def load_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
+def load_vocabulary(path: str) -> Vocabulary:
     """Reads a rank file (base64 token and rank on each line) on the driver: some 50,000 lines."""
     with open(path) as file:
         return Vocabulary(file.readlines())
@@ -285,15 +275,14 @@ def encode(
     ``ids_sha256`` of the ids as little-endian 32-bit integers and ``decoded_sha256`` of the bytes that
     the ids decode to.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(_Shared(load_vocabulary(spark, path), pattern))  # size fixed by the file
+    shared = Shared(docs.sparkSession, Encoder(load_vocabulary(path), pattern))  # size fixed by the file
     source = docs.select(*keep, F.col(text_col).alias("_text"))
     made = ["n_tokens", *(["ids"] if ids else []), *(["ids_sha256", "decoded_sha256"] if digests else [])]
     types = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string", "decoded_sha256": "string"}
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]), *(f"{c} {types[c]}" for c in made)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared.value.encoder()
+        encoder = shared.value
         vocabulary = encoder.vocabulary
         for batch in batches:
             for i, j, texts in _held(iter([batch.column(len(keep)).to_pylist()])):
@@ -315,8 +304,7 @@ def encode(
 
 def decode(encoded: DataFrame, path: str, keep: list[str], ids_col: str = "ids") -> DataFrame:
     """``keep`` and ``bytes``, what each row's ids decode to; null ids decode to no bytes."""
-    spark = encoded.sparkSession
-    shared = spark.sparkContext.broadcast(load_vocabulary(spark, path))
+    shared = Shared(encoded.sparkSession, load_vocabulary(path))
     source = encoded.select(*keep, F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("_ids"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]), "bytes binary"])
 

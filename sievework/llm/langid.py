@@ -25,6 +25,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.common import Shared
+
 SLOTS, EXCERPT = 128, 1500
 LEVEL, BLOCK, SHORT = 5, 4096, 400
 #: Texts whose runner-up is less than this share larger are rejected.
@@ -92,7 +94,7 @@ def identify(
     """``docs``' columns ``keep`` with ``lang_pred, score, accepted`` for each row's whole text."""
     source = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "lang_pred string, score double, accepted boolean"])
-    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # at most SLOTS * EXCERPT bytes for each language
+    shared = Shared(docs.sparkSession, dictionaries)  # at most SLOTS * EXCERPT bytes for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Compressors(shared.value).judge

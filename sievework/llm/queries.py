@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.common import table
-from sievework.llm import bpe, fingerprint, langid, mixing, simhash, substring, url_filter
+from sievework.llm import bpe, embed, fingerprint, langid, mixing, simhash, substring, toxicity, url_filter
 
 #: The rules that the URL query judges by: verdict, host, path.
 URL_RULES = [
@@ -54,6 +54,10 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op5_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"], digest=True)
 
@@ -69,6 +73,13 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out("doc_id"))
+    labels = table(spark, sf_dir, "labels").where(~langid.held_out("doc_id"))
+    found = toxicity.score(docs, toxicity.learn(docs, labels), ["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
     first = F.round(F.element_at(F.when(F.size("positions") > 0, F.col("positions")), 1), 9)
@@ -106,8 +117,10 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_fingerprint": op3_fingerprint,
     "op4_simhash": op4_simhash,
+    "op5_embed": op5_embed,
     "op7_substring": op7_substring,
     "op8_langid": op8_langid,
+    "op9_toxicity": op9_toxicity,
     "op10_mix": op10_mix,
 }
 
