@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.common import table
-from sievework.llm import bpe, embed, fingerprint, langid, mixing, simhash, substring, toxicity, url_filter
+from sievework.llm import bpe, embed, fingerprint, langid, lm_score, mixing, simhash, substring, toxicity, url_filter
 
 #: The rules that the URL query judges by: verdict, host, path.
 URL_RULES = [
@@ -58,6 +58,12 @@ def op5_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_dedup(table(spark, sf_dir, "embeddings"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out("doc_id"))
+    good = table(spark, sf_dir, "labels").where((F.col("quality") == 1) & ~langid.held_out("doc_id"))
+    return lm_score.cross_entropy_difference(docs, good, ["doc_id", "held_out"])
+
+
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"], digest=True)
 
@@ -118,6 +124,7 @@ QUERIES = {
     "op3_fingerprint": op3_fingerprint,
     "op4_simhash": op4_simhash,
     "op5_embed": op5_embed,
+    "op6_lm_score": op6_lm_score,
     "op7_substring": op7_substring,
     "op8_langid": op8_langid,
     "op9_toxicity": op9_toxicity,
