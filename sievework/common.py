@@ -53,7 +53,7 @@ def stored(df: DataFrame) -> DataFrame:
         folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.sparkContext.setCheckpointDir(folder)
     path = f"{folder}/tables/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "snappy").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
