@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from sievework.plans import ingest_queries, text_queries
+
+MODULES = (ingest_queries, text_queries)
+QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
+ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The rule cascade with its audit."""
+    return ingest_queries.rule_cascade(spark, sf_dir)
