@@ -95,17 +95,19 @@ def resolve_labels(df: DataFrame, label: str, dims: DataFrame, prefer: str | Non
     one in the preferred scope (a column of ``df``) wins, then canonical ones, then by rank and
     id; ``alternatives`` are canonical names in other scopes.  Distinct labels are resolved once and joined back.
     """
-    keys = [label, *([prefer] if prefer else [])]
+    if prefer:  # a null preference must still meet itself in the joins below
+        df = df.withColumn("_want", F.coalesce(F.col(prefer).cast("string"), F.lit("\u0000")))
+    keys = [label, *(["_want"] if prefer else [])]
     asked = df.select(*keys).distinct()
     met = asked.join(dims, F.col(label) == F.col("label_fold"))
-    same = (F.col("scope") == F.col(prefer)) if prefer else F.lit(False)
+    same = (F.col("scope") == F.col("_want")) if prefer else F.lit(False)
     order = [F.coalesce(same, F.lit(False)).desc(), F.col("is_canonical").desc(), F.col("rank"), F.col("entity")]
     numbered = met.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     best = numbered.where("_rn = 1").select(*keys, "entity", F.col("name").alias("canonical"), F.col("scope").alias("_scope"))
     others = numbered.join(best.select(*keys, "_scope"), keys).where((F.col("scope") != F.col("_scope")) & F.col("is_canonical"))
     others = others.groupBy(*keys).agg(F.array_sort(F.collect_set(F.concat_ws(", ", "name", "scope"))).alias("alternatives"))
     found = best.drop("_scope").join(others, keys, "left")
-    joined = df.join(found, keys, "left")
+    joined = df.join(found, keys, "left").drop("_want")
     return joined.withColumns({"known": F.col("entity").isNotNull(), "alternatives": F.coalesce("alternatives", F.array().cast("array<string>"))})
 
 

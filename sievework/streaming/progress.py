@@ -13,6 +13,11 @@ TYPICAL = {"search": 17.0, "score": 60.0, "tag": 30.0}
 PHASES = tuple(TYPICAL)
 
 
+def seconds(ts: str) -> Column:
+    """A time as seconds: of a timestamp with or without zone, or a number of seconds as it is."""
+    return F.coalesce(F.col(ts).cast("string").try_cast("double"), F.col(ts).cast("string").try_cast("timestamp").cast("double"))
+
+
 def event_dedupe(events: DataFrame, keys: list[str]) -> DataFrame:
     """Each event once, batch or stream (a stream's state is bounded by its watermark)."""
     return events.dropDuplicatesWithinWatermark(keys) if events.isStreaming else events.dropDuplicates(keys)
@@ -44,8 +49,8 @@ def progress(events: DataFrame, run: str = "run_id", ts: str = "ts") -> DataFram
 
 def phase_rate(events: DataFrame, keys: list[str], ts: str, counted: Column, least: int = 3) -> DataFrame:
     """Mean seconds between counted events per key, null until there are ``least``."""
-    prior = F.lag(F.col(ts).cast("double")).over(Window.partitionBy(*keys).orderBy(ts, "index"))
-    gaps = events.withColumn("_gap", F.col(ts).cast("double") - prior)
+    prior = F.lag(seconds(ts)).over(Window.partitionBy(*keys).orderBy(ts, "index"))
+    gaps = events.withColumn("_gap", seconds(ts) - prior)
     n = F.sum(F.when(counted & F.col("_gap").isNotNull(), 1).otherwise(0))
     mean = F.avg(F.when(counted, F.col("_gap")))
     return gaps.groupBy(*keys).agg(n.alias("n_gaps"), F.when(n >= least, mean).alias("rate"))
@@ -82,7 +87,8 @@ def live_status(events: DataFrame, job: str, ts: str, watermark: str | None = No
 
 def windowed_counts(events: DataFrame, ts: str, key: str, width: str = "1 hour", watermark: str = "2 hours") -> DataFrame:
     """Events per tumbling window and key; late rows within the watermark count."""
-    return events.withWatermark(ts, watermark).groupBy(F.window(ts, width), key).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), key, "n")
+    timed = events.withColumn(ts, F.col(ts).cast("timestamp"))
+    return timed.withWatermark(ts, watermark).groupBy(F.window(ts, width), key).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), key, "n")
 
 
 def fold_state(rows: list[tuple], state: dict | None) -> dict:
