@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.common import cut
+from sievework.common import stored
+from sievework.llm.packing import packed, unpacked
 from sievework.llm.words import Powers, Rolling, Words, scramble, slices
 
 WINDOW, SEED = 35, 8
@@ -76,8 +77,8 @@ def _blocks(column: pa.Array, powers: Powers, window: int, seed: int) -> tuple[n
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with a 128-bit key of each row's id and text; equal rows share it."""
-    return docs.withColumns({"_k1": F.xxhash64(id_col, text_col), "_k2": F.xxhash64(F.lit(7), text_col, id_col)})
+    """``docs`` with a 96-bit key of each row's id and text; equal rows share it."""
+    return docs.withColumns({"_k1": F.xxhash64(id_col, text_col), "_k2": F.hash(text_col, id_col)})
 
 
 def blocks(docs: DataFrame, text_col: str, window: int, seed: int) -> DataFrame:
@@ -95,17 +96,18 @@ def blocks(docs: DataFrame, text_col: str, window: int, seed: int) -> DataFrame:
                     names=["_k1", "_k2", "first", "many", "offset", "anchor", "reach"],
                 )
 
-    return docs.select("_k1", "_k2", text_col).mapInArrow(run, "_k1 long, _k2 long, first int, many int, offset int, anchor long, reach long")
+    return docs.select("_k1", "_k2", text_col).mapInArrow(run, "_k1 long, _k2 int, first int, many int, offset int, anchor long, reach long")
 
 
-def _windows(docs: DataFrame, text_col: str, window: int) -> DataFrame:
+def _windows(docs: DataFrame, window: int) -> DataFrame:
     """Hash and bit of every window of the blocks that each text of ``docs`` lists in ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            for i, j in slices(batch.column(0)):
-                words = Words(batch.column(0).slice(i, j - i))
+            texts = pa.array(unpacked(batch.column(0)), pa.large_binary())
+            for i, j in slices(texts):
+                words = Words(texts.slice(i, j - i))
                 rolling = Rolling(words.hashes(powers), powers)
                 lists = batch.column(1).slice(i, j - i)
                 each = lists.flatten()
@@ -121,7 +123,7 @@ def _windows(docs: DataFrame, text_col: str, window: int) -> DataFrame:
                     names=["anchor", "reach", "n", "bit", "hash"],
                 )
 
-    return docs.select(text_col, "wanted").mapInArrow(run, "anchor long, reach long, n long, bit int, hash long")
+    return docs.select("_packed", "wanted").mapInArrow(run, "anchor long, reach long, n long, bit int, hash long")
 
 
 def repeats(docs: DataFrame, text_col: str, window: int = WINDOW, seed: int = SEED) -> DataFrame:
@@ -134,18 +136,18 @@ def repeats(docs: DataFrame, text_col: str, window: int = WINDOW, seed: int = SE
         raise ValueError("a window needs a seed no longer than itself and within 62 words of its length")
     made = blocks(docs, text_col, window, seed)
     seeds = made.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    met = cut(made.join(seeds, "anchor"))
+    met = stored(made.join(seeds, "anchor"))
 
     first = lambda c: F.first(c).alias(c)  # noqa: E731  one row's values: none of them is null
-    reaches = cut(met.groupBy("anchor", "reach").agg(F.count("*").alias("n"), *map(first, ("_k1", "_k2", "first", "many", "offset"))))
+    reaches = stored(met.groupBy("anchor", "reach").agg(F.count("*").alias("n"), *map(first, ("_k1", "_k2", "first", "many", "offset"))))
     mixed = reaches.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
     wanted = (
         reaches.join(mixed, "anchor")
         .groupBy("_k1", "_k2")
         .agg(F.collect_list(F.struct("first", "many", "offset", "anchor", "reach", "n")).alias("wanted"))
     )
-    texts = docs.select("_k1", "_k2", text_col).join(wanted, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"])
-    windows = cut(_windows(texts, text_col, window))
+    texts = packed(docs.select("_k1", "_k2", text_col)).join(wanted, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"])
+    windows = stored(_windows(texts, window))
     shared = windows.groupBy("anchor", "hash").agg(F.sum("n").alias("times")).where("times > 1").select("anchor", "hash")
     edges = windows.where("n = 1").join(shared, ["anchor", "hash"]).groupBy("anchor", "reach").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
     whole = reaches.where("n > 1").select("anchor", "reach", F.expr("shiftleft(shiftleft(1L, many) - 1, offset - many + 1)").alias("bits"))
@@ -175,16 +177,16 @@ def remove_repeats(
     keyed = _keyed(docs, id_col, text_col)
     found = repeats(keyed, text_col, window)
     columns = keyed.select("_k1", "_k2", *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
-    joined = columns.join(found, ["_k1", "_k2"], "left").drop("_k1", "_k2")
+    joined = packed(columns).join(found, ["_k1", "_k2"], "left").drop("_k1", "_k2")
     last = "kept_sha256" if digest else "kept"
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), f"n_words long, n_removed long, {last} string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lists = batch.column(len(keep)).cast(pa.binary()), batch.column(len(keep) + 1)
+            texts, lists = batch.column(len(keep)), batch.column(len(keep) + 1)
             total, removed, kept = [], [], []
-            for i in range(len(texts)):
-                words = (texts[i].as_py() or b"").split()
+            for i, text in enumerate(unpacked(texts)):
+                words = text.split()
                 gone = 0
                 if lists[i].is_valid:
                     each = lists[i].values

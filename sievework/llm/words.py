@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute
 
 #: Bytes of text whose arrays are held at once; a longer text is held alone.
-HELD_BYTES = 4_000_000
+HELD_BYTES = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 SPACE = np.zeros(256, bool)
@@ -48,12 +48,12 @@ class Rolling:
         return (self.sums[stop] - self.sums[start]) * self.down[start]
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of a text column that hold up to HELD_BYTES bytes, or one row."""
+def slices(column: pa.Array, held: int = HELD_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of a text column that hold up to ``held`` bytes, or one row."""
     ends = np.cumsum(np.nan_to_num(pa.compute.binary_length(column).to_numpy(zero_copy_only=False).astype(float)))
     i = 0
     while i < len(column):
-        limit = (ends[i - 1] if i else 0) + HELD_BYTES
+        limit = (ends[i - 1] if i else 0) + held
         j = max(i + 1, int(np.searchsorted(ends, limit, "right")))
         yield i, j
         i = j
