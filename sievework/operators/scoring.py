@@ -75,7 +75,7 @@ def parse_reply(reply: Column, allowed: Sequence[str] = ("grape", "producer", "r
         obj = F.from_json(v, "struct<score:string,facts:array<string>>")
         number = F.coalesce(v.try_cast("double"), obj.score.try_cast("double"))
         facts = F.coalesce(F.array_sort(F.array_intersect(F.array_distinct(obj.facts), known)), F.array().cast("array<string>"))
-        return F.struct(F.greatest(F.lit(0), F.least(F.lit(100), F.round(number).cast("int"))).alias("score"), facts.alias("facts"))
+        return F.struct(F.when(number.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(100), F.round(number).cast("int")))).alias("score"), facts.alias("facts"))
 
     return F.map_filter(F.transform_values(raw, entry), lambda k, v: v.score.isNotNull())
 

@@ -17,7 +17,14 @@ class _Tables(HTMLParser):
         self.tables: list[list[list[str]]] = []
         self.cell: list[str] | None = None
 
+    def close_cell(self) -> None:
+        if self.cell is not None:
+            self.tables[-1][-1][-1] = " ".join("".join(self.cell).split())
+            self.cell = None
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag in ("table", "tr", "td", "th"):
+            self.close_cell()
         if tag == "table":
             self.tables.append([])
         elif tag == "tr" and self.tables:
@@ -27,9 +34,8 @@ class _Tables(HTMLParser):
             self.tables[-1][-1].append("")
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in ("td", "th") and self.cell is not None:
-            self.tables[-1][-1][-1] = " ".join("".join(self.cell).split())
-            self.cell = None
+        if tag in ("td", "th"):
+            self.close_cell()
 
     def handle_data(self, data: str) -> None:
         if self.cell is not None:

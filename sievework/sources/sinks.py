@@ -13,7 +13,7 @@ def write_decided(decided: DataFrame, kept_path: str, excluded_path: str) -> Non
     held = decided.persist()
     try:
         for part, path in zip(split_decided(held), (kept_path, excluded_path), strict=True):
-            part.write.mode("overwrite").option("header", True).csv(path)
+            part.write.mode("overwrite").options(header=True, escape='"').csv(path)
     finally:
         held.unpersist()
 
