@@ -51,7 +51,7 @@ LEET = {
 SEPARATORS = ".-_*~'`,/\\ "
 #: Prices, as natural logs: a letter as it is, a symbol for a letter, a separator or a symbol that vanishes, a letter
 #: that repeats the last and vanishes, in a run of three or more and in a pair.
-AS_IS, STANDS_FOR, PARTED, DROPPED, DRAWN_OUT, DOUBLED = 0.0, -1.5, -0.5, -12.0, -1.0, -4.0
+AS_IS, STANDS_FOR, PARTED, DROPPED, DRAWN_OUT, DOUBLED = 0.0, -1.5, -0.5, -12.0, -1.0, -9.0
 
 _leet = "".join(map(re.escape, LEET))
 _odd = re.compile(rf"[{_leet}._*~\-][^\W\d_]|([^\W\d_])\1\1|(?:[^\W\d_] ){{3}}")
