@@ -142,7 +142,7 @@ def near_links(classes: DataFrame, cosine: float, width: float, miss: float) ->
     most = classes.groupBy("label").agg(F.count("*").alias("m")).agg(F.max("m").alias("m")).first()["m"] or 0
     k, tables = plan(most, cosine, width, miss)
     dealt = _tables(classes, k, tables, width)
-    sizes = dealt.groupBy("label", "turn", "cell").agg(F.count("*").alias("m")).where("m > 1")
+    sizes = cut(dealt.groupBy("label", "turn", "cell").agg(F.count("*").alias("m")).where("m > 1"))
     dealt = dealt.join(sizes, ["label", "turn", "cell"])
     blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
     block = F.pmod(F.xxhash64("key"), blocks).cast("int")

@@ -135,12 +135,13 @@ def repeats(docs: DataFrame, text_col: str, window: int = WINDOW, seed: int = SE
     if not seed <= window <= seed + 62:
         raise ValueError("a window needs a seed no longer than itself and within 62 words of its length")
     made = blocks(docs, text_col, window, seed)
-    seeds = made.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Sides of joins that come from an aggregate are stored: AQE splits a hot key only between plain shuffles.
+    seeds = stored(made.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     met = stored(made.join(seeds, "anchor"))
 
     first = lambda c: F.first(c).alias(c)  # noqa: E731  one row's values: none of them is null
     reaches = stored(met.groupBy("anchor", "reach").agg(F.count("*").alias("n"), *map(first, ("_k1", "_k2", "first", "many", "offset"))))
-    mixed = reaches.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
+    mixed = stored(reaches.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor"))
     wanted = (
         reaches.join(mixed, "anchor")
         .groupBy("_k1", "_k2")
@@ -148,11 +149,11 @@ def repeats(docs: DataFrame, text_col: str, window: int = WINDOW, seed: int = SE
     )
     texts = packed(docs.select("_k1", "_k2", text_col)).join(wanted, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"])
     windows = stored(_windows(texts, window))
-    shared = windows.groupBy("anchor", "hash").agg(F.sum("n").alias("times")).where("times > 1").select("anchor", "hash")
+    shared = stored(windows.groupBy("anchor", "hash").agg(F.sum("n").alias("times")).where("times > 1").select("anchor", "hash"))
     edges = windows.where("n = 1").join(shared, ["anchor", "hash"]).groupBy("anchor", "reach").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
     whole = reaches.where("n > 1").select("anchor", "reach", F.expr("shiftleft(shiftleft(1L, many) - 1, offset - many + 1)").alias("bits"))
     return (
-        met.join(edges.union(whole), ["anchor", "reach"])
+        met.join(stored(edges.union(whole)), ["anchor", "reach"])
         .groupBy("_k1", "_k2")
         .agg(F.collect_set(F.struct((F.col("first") + F.col("offset")).alias("place"), "bits")).alias("found"))
     )
