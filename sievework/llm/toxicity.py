@@ -54,10 +54,13 @@ SEPARATORS = ".-_*~'`,/\\ "
 AS_IS, STANDS_FOR, PARTED, DROPPED, DRAWN_OUT, DOUBLED = 0.0, -1.5, -0.5, -12.0, -1.0, -9.0
 
 _leet = "".join(map(re.escape, LEET))
-_odd = re.compile(rf"[{_leet}._*~\-][^\W\d_]|([^\W\d_])\1\1|(?:[^\W\d_] ){{3}}")
-_thrice = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
+_mark = re.compile(rf"[{_leet}._*~\-][^\W\d_]|[^\W\d_][0-9@$€]")
+_triple = re.compile(r"([^\W\d_])\1\1")
 _spaced = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-_*~][^\W\d_]){3,}(?![^\W_])")
-_symbols = re.compile(rf"(?<![^\W_])(?:[{_leet}]{{0,3}}[^\W\d_]+[{_leet}._*~\-]{{1,3}})+(?:[^\W\d_]+[{_leet}]{{0,2}})?(?![^\W_])|(?<![^\W_])[{_leet}]{{1,3}}[^\W\d_]+(?![^\W_])")
+_symbols = re.compile(
+    rf"(?<![^\W_])[{_leet}]{{0,3}}[^\W\d_]+(?:[{_leet}._*~\-]{{1,3}}[^\W\d_]+)+[{_leet}]{{0,2}}(?![^\W_])"  # symbols within
+    rf"|(?<![^\W_])[{_leet}]{{1,3}}[^\W\d_]+(?![^\W_])|(?<![^\W_])[^\W\d_]+[0-9@$€]{{1,2}}(?![^\W_$€])"  # or at one end
+)
 _words = re.compile(r"[^\W\d_]+")
 
 EDGE, OTHER, LETTERS = 0, 27, 28
@@ -114,25 +117,29 @@ class Restorer:
     def __init__(self, model: CharacterModel):
         self.model, self.known = model, {}
 
-    def span(self, match: re.Match) -> str:
-        seen = match[0]
-        if seen.isalpha() and not _thrice.fullmatch(seen):
-            return seen
+    def restored(self, seen: str) -> str:
         if (got := self.known.get(seen)) is None:
             if len(self.known) >= MEMORY:
                 self.known.clear()
             got = self.known[seen] = self.model.restore(seen)
         return got
 
+    def span(self, match: re.Match) -> str:
+        return self.restored(match[0])
+
     def words(self, text: str | None) -> tuple[set[str], int]:
         """Distinct words of the restored text, those as written included, and how many it has."""
         low = (text or "").lower()
         plain = _words.findall(low)
         found = set(plain)
-        if _odd.search(low):
-            for pattern in (_spaced, _symbols, _thrice):
-                for match in pattern.finditer(low):
-                    found.add(self.span(match))
+        if _mark.search(low):
+            found.update([self.span(m) for m in _symbols.finditer(low)])
+        if sum(len(w) == 1 for w in found) >= 3:
+            found.update([self.span(m) for m in _spaced.finditer(low)])
+        points = np.frombuffer(low.encode("utf-32-le"), np.uint32)
+        drawn = np.flatnonzero((points[2:] == points[1:-1]) & (points[1:-1] == points[:-2]))
+        if any(low[i].isalpha() for i in drawn.tolist()):
+            found.update([self.restored(w) for w in found if _triple.search(w)])
         return found, len(plain)
 
 
@@ -176,6 +183,7 @@ class Scorer:
 
     def __init__(self, model: CharacterModel, weights: dict[str, float], line: list[float]):
         self.model, self.weights, self.line = model, weights, line
+        self.starts = {t.rstrip("*")[: min(BEGINNINGS)] for t in weights}
 
     def evidence(self, words: set[str], n: int) -> list[float]:
         """Of a text: a constant, the strongest evidence, the rest of it, and the length.
@@ -183,8 +191,10 @@ class Scorer:
         A word counts with its strongest term.
         """
         found = []
-        weights = self.weights
+        weights, starts, n_start = self.weights, self.starts, min(BEGINNINGS)
         for w in words:
+            if w[:n_start] not in starts:
+                continue
             best = weights.get(w, 0.0)
             for k in BEGINNINGS:
                 if len(w) <= k:
