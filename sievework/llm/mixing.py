@@ -12,8 +12,8 @@ bucket, so a source with a third of all rows never meets in one task.
 
 Defined results: a null text counts no words; a document without words is never taken; a null
 source is a source of its own, last in order; repeated rows are rows of their own; an empty table
-gives an empty result.  Extra columns are carried along unless they are named like the columns
-added here, which then replace them.
+gives an empty result.  Extra columns are carried along; columns named like those added give way to
+them, and ``mix`` leaves its own out instead.
 """
 
 from __future__ import annotations
@@ -75,8 +75,8 @@ def plan_mix(
     keep = list(docs.columns if keep is None else keep)
     key = F.coalesce(F.concat(F.lit("0"), F.col(source_col)), F.lit("1"))
     order_key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    sized = docs.select(*keep, key.alias("source_key"), word_count(F.col(text_col)).alias("_n"), order_key.alias("order_key"))
-    sized = sized.drop("size").withColumnRenamed("_n", "size")
+    held = [F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]  # so that no name clashes with those below
+    sized = docs.select(*held, key.alias("source_key"), word_count(F.col(text_col)).alias("size"), order_key.alias("order_key"))
     sized = sized.withColumn("bucket", F.substring("order_key", 1, BUCKET_DIGITS))
 
     sums = sized.select("source_key", "bucket", "size").groupBy("source_key", "bucket").agg(F.sum("size").alias("in_bucket"))
@@ -87,7 +87,7 @@ def plan_mix(
 
     within = Window.partitionBy("source_key", "bucket").orderBy("order_key", "size")
     run = F.coalesce(F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = sized.withColumn("run", run).drop("source_size", "target").join(bases, ["source_key", "bucket"])
+    placed = sized.withColumn("run", run).join(bases, ["source_key", "bucket"])
     middle = F.col("base") + F.col("run") + F.col("size") / F.lit(2.0)
     offsets = F.transform(F.sequence(F.lit(0), F.lit(cap - 1)), lambda e: e * F.col("source_size") + middle)
     taken = F.filter(offsets, lambda c: (c <= F.col("target")) & (F.col("size") > 0))
@@ -99,7 +99,7 @@ def plan_mix(
         return F.when(a == 0, u).otherwise((a - 1 + F.sqrt((1 - a) * (1 - a) + 4 * a * u)) / (2 * a))
 
     return placed.select(
-        *[c for c in keep if c not in ("size", "source_size", "target", "copies", "taken", "positions")],
+        *[F.col(f"_{i}").alias(c) for i, c in enumerate(keep) if c not in ("size", "source_size", "target", "copies", "taken", "positions")],
         "size",
         "source_size",
         "target",
@@ -112,8 +112,9 @@ def plan_mix(
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The training stream: one row per copy taken, with ``docs``' columns, range-sorted by position."""
     columns = docs.columns
-    named = {"position", "epoch"} & set(columns)
-    stream = plan_mix(docs, **options).select(*columns, F.posexplode("positions").alias("_epoch", "_position"))
-    if not named:
+    carried = docs.withColumnsRenamed({c: f"_in{i}" for i, c in enumerate(columns)})
+    names = {f"{k}_col": f"_in{columns.index(options.get(f'{k}_col', d))}" for k, d in (("id", "doc_id"), ("text", "text"), ("source", "source"))}
+    stream = plan_mix(carried, **options | names).select(*[F.col(f"_in{i}").alias(c) for i, c in enumerate(columns)], F.posexplode("positions").alias("_epoch", "_position"))
+    if not {"position", "epoch"} & set(columns):
         return stream.withColumnsRenamed({"_epoch": "epoch", "_position": "position"}).orderBy("position", options.get("id_col", "doc_id"))
     return stream.orderBy("_position", options.get("id_col", "doc_id")).select(*columns)
