@@ -65,6 +65,29 @@ def mostly_failed(results: DataFrame, errors: DataFrame, key: str, label: str =
     return both.withColumn("mostly_failed", (F.col("answered") == 0) | (F.col("failed") / (F.col("failed") + F.col("answered")) >= share))
 
 
+#: Words of a segment, from its second on, by which texts and segments meet where no key joins them.
+SEED_WORDS = 6
+
+
+def _word_list(c: str) -> Column:
+    return F.split(F.trim(F.col(c)), r"\s+")
+
+
+def _by_seed(long: DataFrame, parts: DataFrame, body: str) -> DataFrame:
+    """``long`` with each segment that shares a run of words with it; ``_a`` and ``_b`` are its row key.
+
+    A segment's inner words are whole words wherever it stands, so texts that hold it have its seed.  Only row
+    keys and hashes are exploded.  Segments of few words meet every text; they must be a small list.
+    """
+    seeded = parts.where(F.size(_word_list("segment")) >= SEED_WORDS + 2)
+    seeds = seeded.select("segment", F.xxhash64(F.slice(_word_list("segment"), 2, SEED_WORDS)).alias("_seed"))
+    listed = long.select("_a", "_b", _word_list(body).alias("_w")).where(F.size("_w") > SEED_WORDS)
+    runs = F.transform(F.sequence(F.lit(1), F.size("_w") - SEED_WORDS + 1), lambda i: F.xxhash64(F.slice("_w", i, SEED_WORDS)))
+    met = listed.select("_a", "_b", F.explode(F.array_distinct(runs)).alias("_seed")).join(bounded_broadcast(seeds), "_seed").select("_a", "_b", "segment").distinct()
+    few = parts.where(F.size(_word_list("segment")) < SEED_WORDS + 2).select("segment")
+    return long.join(met, ["_a", "_b"]).unionByName(long.crossJoin(bounded_broadcast(few, 10_000)))
+
+
 def trim_splices(
     bodies: DataFrame, segments: DataFrame, keys: Sequence[str], body: str = "body", least_body: int = 800,
     least_segment: int = 80, segments_needed: int = 2, least_rest: int = 40, distinct: Column | None = None,
@@ -73,22 +96,22 @@ def trim_splices(
 
     ``segments(keys..., segment)`` are compared as they came, not as cut.  ``distinct`` may forbid
     pairs (columns of both sides).  Rows whose rest is too short are dropped; ``spliced`` marks cut ones.
-    With keys the pairs stay within a key; without, ``segments`` must be a small list.
+    With keys the pairs stay within a key; without, texts and segments meet on shared runs of words.
     """
-    rows = bodies.withColumn("_row", F.monotonically_increasing_id())
-    own = F.length(body)
+    rows = bodies.withColumns({"_a": F.xxhash64(*bodies.columns), "_b": F.hash(*bodies.columns)})  # equal rows fare equally
     parts = segments.where(F.length("segment") >= least_segment)
-    long = rows.where(own >= least_body)
-    on = (F.instr(F.col(body), F.col("segment")) > 0) & (F.length("segment") < own)
-    if distinct is not None:
-        on = on & distinct
-    pairs = long.join(parts.withColumnsRenamed({k: f"_{k}" for k in keys}), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]) if keys else long.crossJoin(bounded_broadcast(parts, 100_000))
+    long = rows.where(F.length(body) >= least_body).dropDuplicates(["_a", "_b"])
+    if keys:
+        pairs = long.join(parts.withColumnsRenamed({k: f"_{k}" for k in keys}), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    else:
+        pairs = _by_seed(long, parts.select("segment").distinct(), body)
+    on = (F.instr(F.col(body), F.col("segment")) > 0) & (F.length("segment") < F.length(body))
     at = F.expr(f"instr(`{body}`, segment)")
-    found = pairs.where(on).groupBy("_row").agg(F.countDistinct("segment").alias("_n"), F.min(at).alias("_at")).where(F.col("_n") >= segments_needed)
-    cut = rows.join(found, "_row", "left")
+    found = pairs.where(on if distinct is None else on & distinct).groupBy("_a", "_b").agg(F.count_distinct("segment").alias("_n"), F.min(at).alias("_at"))
+    cut = rows.join(found.where(F.col("_n") >= segments_needed), ["_a", "_b"], "left")
     rest = F.when(F.col("_at").isNotNull(), F.rtrim(F.expr(f"substring(`{body}`, 1, _at - 1)"))).otherwise(F.col(body))
     cut = cut.withColumn("spliced", F.col("_at").isNotNull()).withColumn(body, rest)
-    return cut.where(~F.col("spliced") | (F.length(body) >= least_rest)).drop("_row", "_n", "_at")
+    return cut.where(~F.col("spliced") | (F.length(body) >= least_rest)).drop("_a", "_b", "_n", "_at")
 
 
 def word_set(col: Column) -> Column:

@@ -113,8 +113,8 @@ def resolve_labels(df: DataFrame, label: str, dims: DataFrame, prefer: str | Non
 
 def region_candidates(df: DataFrame, folded: str, dims: DataFrame, country_labels: DataFrame) -> DataFrame:
     """For each row the entities of the first spelling that any entity has; country names come last."""
-    rows = df.withColumn("_row", F.monotonically_increasing_id())
-    tried = rows.select("_row", F.posexplode(region_variants(F.col(folded))).alias("_pos", "_variant"))
+    rows = df.withColumn("_row", F.xxhash64(folded))  # equal labels have equal candidates
+    tried = rows.select("_row", folded).dropDuplicates(["_row"]).select("_row", F.posexplode(region_variants(F.col(folded))).alias("_pos", "_variant"))
     tried = tried.join(country_labels.select(F.col("label_fold").alias("_variant"), F.lit(1).alias("_country")).distinct(), "_variant", "left")
     late = F.when((F.col("_pos") > 0) & F.col("_country").isNotNull(), 1).otherwise(0)
     met = tried.withColumn("_late", late).join(dims, F.col("_variant") == F.col("label_fold"))
