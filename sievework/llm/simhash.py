@@ -17,7 +17,7 @@ unless all its ids are null.  An empty table gives an empty result.  Extra colum
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -50,9 +50,9 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str | None = None) -> DataFrame:
-    """``(id_col, fp)`` for each row, and the column ``key`` too if it is named; fp is signed."""
-    kept = [id_col, *([key] if key else [])]
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys: Sequence[str] = ()) -> DataFrame:
+    """``(id_col, keys..., fp)`` for each row; fp is signed."""
+    kept = [id_col, *keys]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,17 +164,14 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component one row, with its smallest id."""
-    keyed = docs.withColumn("_key", F.xxhash64(text_col))
-    prints = cut(fingerprints(keyed, id_col, text_col, "_key"))
+    """The rows of ``docs`` that stay: of each component one row, with its smallest id.
+
+    Rows are known by a 96-bit key of id and text; join and duplicates share its partitioning, so texts move once.
+    """
+    keys = ["_k1", "_k2"]
+    keyed = docs.withColumns({"_k1": F.xxhash64(id_col, text_col), "_k2": F.hash(text_col, id_col)})
+    prints = cut(fingerprints(keyed, id_col, text_col, keys))
     classes = simhash_components(prints, id_col, most)
-    chosen = (
-        prints.join(classes, "fp")
-        .where(F.col(id_col).eqNullSafe(F.col("component_id")))
-        .groupBy("root", F.col(id_col).alias("_id"))
-        .agg(F.min("_key").alias("_chosen"))
-        .select("_id", "_chosen")
-        .distinct()
-    )
-    same = keyed[id_col].eqNullSafe(chosen["_id"]) & (keyed["_key"] == chosen["_chosen"])
-    return keyed.join(chosen, same, "left_semi").dropDuplicates([id_col, "_key"]).drop("_key")
+    first = prints.join(classes, "fp").where(F.col(id_col).eqNullSafe(F.col("component_id")))
+    chosen = first.groupBy("root").agg(F.min(F.struct(*keys)).alias("_row")).select("_row.*")
+    return keyed.join(chosen, keys, "left_semi").dropDuplicates(keys).drop(*keys)
