@@ -76,10 +76,10 @@ def submit_attempts(transcripts: DataFrame, key: str, tool: str = "submit_tags")
 
 
 def usage_rollup(messages: DataFrame, file: str, message: str, order: str, parts: Sequence[str], out: str, model: str, ts: str) -> DataFrame:
-    """Per transcript: base, peak and sums of tokens over the first occurrence of each message."""
+    """Per transcript: base, peak and sums of tokens over the first occurrence of each message; one shuffle."""
     first = F.row_number().over(Window.partitionBy(file, message).orderBy(order))
     total = sum((F.coalesce(F.col(p), F.lit(0)) for p in parts), F.lit(0))
-    rows = messages.withColumn("_rn", first).where("_rn = 1").withColumn("_ctx", total)
+    rows = messages.repartition(file).withColumn("_rn", first).where("_rn = 1").withColumn("_ctx", total)
     return rows.groupBy(file).agg(
         F.count("*").alias("messages"), F.min_by("_ctx", order).alias("base"), F.max("_ctx").alias("peak"), F.sum("_ctx").alias("context_sum"),
         F.sum(out).alias("output_sum"), F.array_join(F.array_sort(F.collect_set(model)), ",").alias("models"), F.min(ts).alias("started"),

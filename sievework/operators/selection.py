@@ -27,7 +27,7 @@ def pick_diverse(df: DataFrame, group: Sequence[str], family: str, rank: Sequenc
     then the rest by rank.  Two windows over one partitioning: one shuffle.
     """
     in_family = F.row_number().over(Window.partitionBy(*group, family).orderBy(*rank))
-    ranked = df.withColumn("_in", in_family)
+    ranked = df.repartition(*group).withColumn("_in", in_family)
     turn = F.when((F.col("_in") == 1) & (first if first is not None else F.lit(False)), 1).when(F.col("_in") == 1, 2).otherwise(3)
     ranked = ranked.withColumn("pass", turn)
     pick = F.row_number().over(Window.partitionBy(*group).orderBy("pass", *rank))
