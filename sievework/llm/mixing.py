@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievework.common import stored
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hash buckets per source: hex digits of the document's order key.
 BUCKET_DIGITS = 3
@@ -79,10 +81,12 @@ def plan_mix(
     sized = docs.select(*held, key.alias("source_key"), word_count(F.col(text_col)).alias("size"), order_key.alias("order_key"))
     sized = sized.withColumn("bucket", F.substring("order_key", 1, BUCKET_DIGITS))
 
-    sums = sized.select("source_key", "bucket", "size").groupBy("source_key", "bucket").agg(F.sum("size").alias("in_bucket"))
+    # One pass over the texts for all sums; the sources' come from the buckets'.
+    sums = stored(sized.select("source_key", "bucket", "size").groupBy("source_key", "bucket").agg(F.sum("size").alias("in_bucket")))
+    per_bucket = sums.select("source_key", F.col("in_bucket").alias("size"))
     earlier = Window.partitionBy("source_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source_key", "bucket", F.coalesce(F.sum("in_bucket").over(earlier), F.lit(0)).alias("base"))
-    targets = source_targets(sized.select("source_key", "size"), weights, slopes, cap)
+    targets = source_targets(per_bucket, weights, slopes, cap)
     bases = sums.join(targets, "source_key")
 
     within = Window.partitionBy("source_key", "bucket").orderBy("order_key", "size")
