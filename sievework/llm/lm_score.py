@@ -103,7 +103,7 @@ def models(counts: DataFrame, k: float = K) -> DataFrame:
 
 def _by_lookup(docs: DataFrame, table: DataFrame, keep: list[str], text_col: str) -> DataFrame:
     held = table.orderBy("gram").toArrow()
-    shared = Shared(docs.sparkSession, (held["gram"].to_numpy(np.uint32), held["target_loss"].to_numpy(float), held["background_loss"].to_numpy(float)))
+    shared = Shared(docs.sparkSession, (held["gram"].to_numpy().astype(np.uint32), held["target_loss"].to_numpy(), held["background_loss"].to_numpy()))
     source = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
     made = ["n_tokens", "target_loss", "background_loss"]
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "n_tokens long, target_loss double, background_loss double"])
