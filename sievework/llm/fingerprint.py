@@ -29,7 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.common import cut
+from sievework.common import stored
+from sievework.llm.packing import packed, unpacked
 from sievework.llm.words import scramble
 
 PRIME = np.uint64(2**31 - 1)
@@ -171,9 +172,9 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Each document's fingerprint beside those of its edited text and of the next document by id."""
     kind = docs.schema[id_col].dataType.simpleString()
     made = ", ".join(f"{name} {SQL_TYPES[t]}" for name, t in MADE)
-    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    order = [F.col("_id").asc_nulls_last(), F.xxhash64("_text")]
-    ordered = source.repartitionByRange(*order).sortWithinPartitions(*order)
+    source = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("_text"))
+    order = [F.col("_id").asc_nulls_last(), F.col("_hash")]
+    ordered = packed(source).repartitionByRange(*order).sortWithinPartitions(*order).select("_id", "_packed")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows beside their next; the partition's first and last text, marked by ``edge``."""
@@ -190,8 +191,8 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         none = (None,) * len(MADE)
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for key, text in zip(*batch.columns, strict=True):
-                now = (key.as_py(), Document(text.as_py(), powers))
+            for key, text in zip(batch.column(0), unpacked(batch.column(1)), strict=True):
+                now = (key.as_py(), Document(text.decode(), powers))
                 if last is None:
                     held.append((now[0], *none, part, "first", now[1].text))
                 else:
@@ -202,7 +203,7 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if last is not None:
             yield batch_of([(last[0], *none, part, "last", last[1].text)])
 
-    done = cut(ordered.mapInArrow(stream, f"_id {kind}, {made}, part int, edge string, edge_text string"))
+    done = stored(ordered.mapInArrow(stream, f"_id {kind}, {made}, part int, edge string, edge_text string"))
 
     # One row per partition: the partition that follows each, the first after the last.
     parts = [r["part"] for r in done.where("edge = 'first'").select("part").collect()]
