@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sievework.common import cut
 from sievework.functions import text
+from sievework.operators import selection
 
 Scorer = Callable[[str, list[str]], dict[int, tuple[int, list[str]]]]
 
@@ -95,3 +96,21 @@ def producer_gate(df: DataFrame, tokens: str, hay: str) -> DataFrame:
 def name_coverage(tokens: Column, hay: Column, body: Column) -> Column:
     """Whether body or URL hold all tokens of the name and the body is no list page."""
     return text.contains_all(hay, tokens) & ~text.is_list_page(body)
+
+
+def score_and_assemble(
+    snippets: DataFrame, scorers: Sequence[Scorer], echo: str, conflicts: dict[str, Sequence[str]], threshold: int = 70, top_n: int = 5, key: str = "product_id"
+) -> tuple[DataFrame, DataFrame]:
+    """Scored snippets, and the context of each product that has one.
+
+    ``snippets(key, pos, name, category, tokens, own, hay, body, url, source, n_grapes, n_regions)``: gates come
+    before the scorer, since a filter does not pass a mapInPandas; snippets they drop score 0.
+    """
+    gated = producer_gate(content_gates(snippets.withColumn("dropped_reason", F.lit(None).cast("string")), echo, conflicts, "own"), "tokens", "hay")
+    scored = reask_missing(gated.where("dropped_reason IS NULL"), [key, "pos"], scorers, key=key)
+    scored = scored.withColumn("dropped_reason", F.when(F.col("unscored"), F.lit("unscored")))
+    out = gated.where("dropped_reason IS NOT NULL").withColumns({"score": F.lit(0), "facts": F.array().cast("array<string>"), "unscored": F.lit(False)})
+    every = scored.unionByName(out).withColumnRenamed("score", "match_score").withColumn("family", selection.source_family(F.col("source")))
+    rank = [*selection.fact_rank(F.col("n_grapes"), F.col("n_regions"), F.col("match_score")), F.col("pos")]
+    picked = selection.pick_diverse(selection.survivors(every, threshold), [key], "family", rank, F.contains("source", F.lit("(distributor)")), top_n)
+    return every, selection.build_context(picked, [key])

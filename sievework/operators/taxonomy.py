@@ -145,12 +145,12 @@ def infer_country(candidates: DataFrame, row: str) -> DataFrame:
 
 def canonicalise(proposals: DataFrame, row: str, countries: DataFrame, regions: DataFrame, grapes: DataFrame, tree: DataFrame,
                  categories: dict[str, str], phrases: Sequence[str]) -> DataFrame:
-    """Proposed tag sets checked and made canonical: ``ok, normalized, issues, warnings``.
+    """Proposed tag sets checked and made canonical: ``ok, normalized, issues, hints, warnings``.
 
     ``proposals(row, country, region[], grapes[], is_blend, organic, confidence, category)`` hold folded
     labels; ``countries``, ``regions`` and ``grapes`` are dims as in ``resolve_labels`` (scope of a region: its
     country; of a grape: none); ``tree(ancestor, descendant, distance)`` is over region entities.
-    Issues come in a fixed order; any issue means not ok.  An empty grape list, or a blend of one, is a warning.
+    Issues come in a fixed order, each with a hint that names its values; any issue means not ok.  An empty grape list, or a blend of one, is a warning.
     """
     base = resolve_labels(proposals, "country", countries).withColumnsRenamed({"canonical": "c_name", "known": "c_known"}).drop("entity", "alternatives")
     exploded = base.select(row, "c_name", F.posexplode("region").alias("r_pos", "r_label"))
@@ -165,9 +165,9 @@ def canonicalise(proposals: DataFrame, row: str, countries: DataFrame, regions:
     names = regions.where("is_canonical OR NOT is_canonical").select(F.col("entity").alias("ancestor"), F.col("name").alias("a_name")).distinct()
     chain = tree.join(names, "ancestor").groupBy(F.col("descendant").alias("_d")).agg(F.array_sort(F.collect_list(F.struct("distance", "a_name"))).alias("chain"))
     named = named.join(chain, F.col("entity") == F.col("_d"), "left")
-    one = F.struct("r_pos", "r_label", "known", "r_country", "r_canonical", "r_is_country", F.transform("chain", lambda x: x.a_name).alias("chain"),
+    reading = F.struct("r_pos", "r_label", "known", "r_country", "r_canonical", "r_is_country", F.transform("chain", lambda x: x.a_name).alias("chain"),
                    (F.col("want").isNull() & (F.size("alternatives") > 0)).alias("ambiguous"))
-    per_region = named.groupBy(row).agg(F.array_sort(F.collect_list(one)).alias("rs"), F.first("inferred", True).alias("inferred"))
+    per_region = named.groupBy(row).agg(F.array_sort(F.collect_list(reading)).alias("rs"), F.first("inferred", True).alias("inferred"))
 
     g = base.select(row, F.posexplode("grapes").alias("g_pos", "g_label"))
     g = resolve_labels(g, "g_label", grapes)
@@ -177,7 +177,6 @@ def canonicalise(proposals: DataFrame, row: str, countries: DataFrame, regions:
 
     out = base.join(per_region, row, "left").join(per_grape, row, "left")
     rs, gs = F.coalesce("rs", F.expr("filter(rs, x -> true)")), F.coalesce("gs", F.expr("filter(gs, x -> true)"))
-    some = lambda xs, f: F.coalesce(F.exists(xs, f), F.lit(False))
     good = F.filter(rs, lambda x: x.known & x.r_canonical)
     lands = F.array_distinct(F.transform(F.filter(rs, lambda x: x.known), lambda x: x.r_country))
     country = F.coalesce("c_name", F.when(F.size(lands) == 1, F.element_at(F.when(F.size(lands) == 1, lands), 1)))
@@ -185,23 +184,54 @@ def canonicalise(proposals: DataFrame, row: str, countries: DataFrame, regions:
     fine = F.coalesce(fine, F.array().cast("array<string>"))
     category = resolve_category(F.col("category"), categories)
     blend = F.coalesce("is_blend", F.size(fine) >= 2)
+    none = F.array().cast("array<string>")
+    regions_where = lambda f: F.coalesce(F.transform(F.filter(rs, f), lambda x: x.r_label), none)
+    grapes_where = lambda f: F.coalesce(F.transform(F.filter(gs, f), lambda x: x.g_label), none)
+    mismatch = F.col("c_name").isNotNull() & (F.coalesce(F.size(lands), F.lit(0)) > 0) & ~F.coalesce(F.array_contains(lands, F.col("c_name")), F.lit(False))
+    one = lambda cond, value: F.when(F.coalesce(cond, F.lit(False)), F.array(value)).otherwise(none)
+    # Each issue with the values that raise it: no value, no issue.
     checks = [
-        ("unknown_country", F.col("country").isNotNull() & ~F.col("c_known")),
-        ("ambiguous_region", some(rs, lambda x: x.ambiguous)),
-        ("country_in_region_slot", some(rs, lambda x: ~x.known & x.r_is_country)),
-        ("unknown_region", some(rs, lambda x: ~x.known & ~x.r_is_country)),
-        ("non_canonical_region", some(rs, lambda x: x.known & ~x.r_canonical)),
-        ("region_country_mismatch", F.col("c_name").isNotNull() & (F.coalesce(F.size(lands), F.lit(0)) > 0) & ~F.coalesce(F.array_contains(lands, F.col("c_name")), F.lit(False))),
-        ("phrase_grapes", some(gs, lambda x: x.phrase)),
-        ("non_canonical_grape", some(gs, lambda x: ~x.phrase & ~x.known)),
-        ("placeholder_grape", some(gs, lambda x: ~x.phrase & x.known & ~x.g_canonical)),
-        ("unknown_category", F.col("category").isNotNull() & category.isNull()),
-        ("is_blend_mismatch", F.col("is_blend").isNotNull() & ((~F.col("is_blend") & (F.size(fine) >= 2)))),
-    ]
-    issues = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in checks]))
+        ("unknown_country", one(F.col("country").isNotNull() & ~F.col("c_known"), F.col("country"))),
+        ("ambiguous_region", regions_where(lambda x: x.ambiguous)),
+        ("country_in_region_slot", regions_where(lambda x: ~x.known & x.r_is_country)),
+        ("unknown_region", regions_where(lambda x: ~x.known & ~x.r_is_country)),
+        ("non_canonical_region", regions_where(lambda x: x.known & ~x.r_canonical)),
+        ("region_country_mismatch", one(mismatch, F.concat_ws(" / ", "c_name", F.array_join(lands, ", ")))),
+        ("phrase_grapes", grapes_where(lambda x: x.phrase)),
+        ("non_canonical_grape", grapes_where(lambda x: ~x.phrase & ~x.known)),
+        ("placeholder_grape", grapes_where(lambda x: ~x.phrase & x.known & ~x.g_canonical)),
+        ("unknown_category", one(F.col("category").isNotNull() & category.isNull(), F.col("category"))),
+        ("is_blend_mismatch", one(~F.col("is_blend") & (F.size(fine) >= 2), F.lit("false"))),
+    ]
+    issues = F.array_compact(F.array(*[F.when(F.size(v) > 0, F.lit(name)) for name, v in checks]))
+    hints = F.array_compact(F.array(*[F.when(F.size(v) > 0, F.concat(F.lit(f"{name}: "), F.array_join(v, ", "))) for name, v in checks]))
     warnings = F.array_compact(F.array(F.when(F.size(fine) == 0, F.lit("empty_grapes")), F.when(F.coalesce("is_blend", F.lit(False)) & (F.size(fine) == 1), F.lit("blend_of_one"))))
     normal = F.struct(
         country.alias("country"), F.coalesce(F.array_distinct(F.flatten(F.transform(good, lambda x: x.chain))), F.array().cast("array<string>")).alias("region"), fine.alias("grapes"),
         blend.alias("is_blend"), F.coalesce("organic", F.lit(False)).alias("organic"), F.col("confidence").cast("int").alias("confidence"), category.alias("category"),
     )
-    return out.select(row, issues.alias("issues"), warnings.alias("warnings"), normal.alias("normalized"), (F.size(issues) == 0).alias("ok"))
+    return out.select(row, issues.alias("issues"), hints.alias("hints"), warnings.alias("warnings"), normal.alias("normalized"), (F.size(issues) == 0).alias("ok"))
+
+
+def lookup(df: DataFrame, label: str, dims: DataFrame, tree: DataFrame, prefer: str | None = None) -> DataFrame:
+    """Folded labels to records: ``known, canonical, is_placeholder, parents, synonyms, alternatives``."""
+    found = resolve_labels(df, label, dims, prefer)
+    about = dims.groupBy(F.col("entity").alias("_e")).agg(
+        (~F.max("is_canonical")).alias("is_placeholder"), F.array_sort(F.collect_set(F.when(F.col("rank") > 0, F.col("label_fold")))).alias("synonyms")
+    )
+    names = dims.select(F.col("entity").cast("string").alias("_a"), F.col("name").alias("_n")).distinct()
+    up = tree.where("distance > 0").select(F.col("ancestor").cast("string").alias("_a"), F.col("descendant").cast("string").alias("_d"), "distance").join(names, "_a")
+    parents = up.groupBy("_d").agg(F.array_sort(F.collect_list(F.struct("distance", "_n"))).alias("_p"))
+    out = found.join(about, F.col("entity") == F.col("_e"), "left").join(parents, F.col("entity").cast("string") == F.col("_d"), "left")
+    listed = F.coalesce(F.transform("_p", lambda x: x["_n"]), F.array().cast("array<string>"))
+    return out.withColumn("parents", F.when(F.col("known"), listed)).drop("_e", "_d", "_p")
+
+
+def list_names(entities: DataFrame, scope: str | None = None, edges: DataFrame | None = None, region: object = None) -> DataFrame:
+    """Canonical names in order, of one country, or of the grapes that ``edges(left_id, right_id)`` give a region."""
+    rows = entities.where("is_canonical")
+    if scope is not None:
+        rows = rows.where(F.col("scope") == scope)
+    if edges is not None:
+        rows = rows.join(edges.where(F.col("left_id") == F.lit(region)).select(F.col("right_id").alias("id")).distinct(), "id", "left_semi")
+    return rows.select("id", "name").distinct().orderBy("name")

@@ -165,3 +165,45 @@ def test_progress_ignores_replays(spark):
 def test_fold_state_is_order_free_within_a_batch():
     rows = [(3, "click", 3), (1, "signup", 1), (2, "click", 2), (4, "purchase", 4), (5, "click", 5)]
     assert progress.fold_state(rows, None) == {"done": 2, "ended": 1, "errors": 0}
+
+
+def test_score_and_assemble(spark):
+    row = lambda pos, body, url, source, category="red": (1, pos, "chateau margaux", category, ["chateau", "margaux"], ["chateau", "margaux"], (body + " " + url).lower(), body, url, source, 1, 1)
+    rows = [row(0, "chateau margaux is a fine wine", "http://a.com/1", "a #1"), row(1, "chateau margaux again", "http://b.com/x-white", "b"), row(2, "some other producer", "http://c.com", "c"),
+            row(3, "results for chateau margaux", "http://d.com", "d"), row(4, "the chateau", "http://e.com/", "e"), row(5, "chateau margaux too", "http://f.com", "f (distributor)")]
+    df = spark.createDataFrame(rows, "product_id int, pos int, name string, category string, tokens array<string>, own array<string>, hay string, body string, url string, source string, n_grapes int, n_regions int")
+    every, context = scoring.score_and_assemble(df, [scoring.lexical_scorer], "results for (.+)", {"red": ["white"]})
+    assert {r.pos: (r.dropped_reason, r.match_score) for r in every.collect()} == {
+        0: (None, 100), 1: ("colour_conflict", 0), 2: ("producer_absent", 0), 3: ("search_page", 0), 4: (None, 50), 5: (None, 100)}
+    assert [b.source for b in context.first().blocks] == ["f (distributor)", "a #1"]
+
+
+def test_lookup_and_hints(spark):
+    dims = spark.createDataFrame([("margaux", "2", "Margaux", "France", True, 0), ("ch margaux", "2", "Margaux", "France", True, 1), ("bordeaux", "1", "Bordeaux", "France", True, 0), ("odd", "3", "Odd", "Spain", False, 0)],
+                                 "label_fold string, entity string, name string, scope string, is_canonical boolean, rank int")
+    tree = taxonomy.closure(spark.createDataFrame([("1", None), ("2", "1"), ("3", None)], "id string, parent_id string"))
+    got = {r.l: r for r in taxonomy.lookup(spark.createDataFrame([("ch margaux",), ("odd",), ("zzz",)], "l string"), "l", dims, tree).collect()}
+    assert got["ch margaux"].canonical == "Margaux" and got["ch margaux"].parents == ["Bordeaux"] and got["ch margaux"].synonyms == ["ch margaux"] and got["ch margaux"].is_placeholder is False
+    assert got["odd"].is_placeholder is True and got["zzz"].known is False and got["zzz"].parents is None
+    countries = spark.createDataFrame([("france", "f", "France", "", True, 0)], "label_fold string, entity string, name string, scope string, is_canonical boolean, rank int")
+    grapes = spark.createDataFrame([("merlot", "m", "Merlot", "", True, 0), ("syrah", "s", "Syrah", "", True, 0)], "label_fold string, entity string, name string, scope string, is_canonical boolean, rank int")
+    rows = [(1, "france", ["ch margaux"], ["merlot"], None, None, 90, "red"), (2, "atlantis", ["nowhere", "france", "odd"], ["red blend", "zzz"], None, None, 90, "pink"),
+            (3, None, ["margaux"], ["merlot", "syrah", "merlot"], False, True, 90, None), (4, "france", ["odd"], [], None, None, 90, "red")]
+    df = spark.createDataFrame(rows, "id int, country string, region array<string>, grapes array<string>, is_blend boolean, organic boolean, confidence int, category string")
+    out = {r.id: r for r in taxonomy.canonicalise(df, "id", countries, dims, grapes, tree, {"red": "red"}, ["blend"]).collect()}
+    assert out[1].ok and out[1].normalized.region == ["Margaux", "Bordeaux"] and out[1].normalized.country == "France" and out[1].warnings == []
+    assert out[2].hints == ["unknown_country: atlantis", "country_in_region_slot: france", "unknown_region: nowhere", "non_canonical_region: odd", "phrase_grapes: red blend", "non_canonical_grape: zzz", "unknown_category: pink"]
+    assert out[3].issues == ["is_blend_mismatch"] and out[3].normalized.country == "France" and out[3].normalized.grapes == ["Merlot", "Syrah"] and out[3].normalized.organic
+    assert out[4].issues == ["non_canonical_region", "region_country_mismatch"] and out[4].warnings == ["empty_grapes"]
+
+
+def test_shares_and_blends(spark):
+    rows = [("60% merlot and 40 % syrah",), ("merlot (60%)",), ("merlot is good, 13% alcohol",), ("merlot",)]
+    got = [r.x for r in spark.createDataFrame(rows, "b string").select(evidence.has_share(F.col("b"), F.lit("merlot")).alias("x")).collect()]
+    assert got == [True, True, False, False]
+    df = spark.createDataFrame([(1, ["a", "b"], ["a", "b"], False, False), (2, ["a", "b"], ["a", "b", "c"], False, False), (3, ["a", "b"], ["a", "b", "c"], False, True), (4, ["a"], ["a"], False, True), (5, ["a", "b"], ["a", "b"], True, True)],
+                               "p int, g array<string>, n array<string>, part boolean, shares boolean")
+    assert {r.p: r.named_whole for r in evidence.blend_named_whole(df, "p", "g", "n", "part", "shares").collect()} == {1: True, 2: False, 3: True, 4: False, 5: False}
+    white = evidence.white_grapes_only(F.col("c"), F.col("k"), F.col("n"), ["pinot gris"])
+    rows = [("red", ["white"], ["riesling"]), ("rose", ["white"], ["pinot gris"]), ("white", ["white"], ["riesling"]), ("red", ["white", None], ["riesling", "x"]), ("red", [], [])]
+    assert [r.x for r in spark.createDataFrame(rows, "c string, k array<string>, n array<string>").select(white.alias("x")).collect()] == [True, False, False, False, False]
