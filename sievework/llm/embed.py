@@ -47,9 +47,21 @@ def plan(rows: int, cosine: float = COSINE, width: float = WIDTH, miss: float =
     return k, math.ceil(math.log(miss) / math.log(1 - p1**k))
 
 
+def unit(rows: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1 in double precision; the same row always gives the same bits."""
+    x = rows.astype(np.float64)
+    x /= np.abs(x).max(1, keepdims=True)  # so that squares stay finite
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
 def _classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """One row per distinct (label, vector) that can link: a 128-bit key, its count and least id."""
+    """Each row with a 128-bit key of its label and vector, null if it can link with nothing.
+
+    Vectors of floats stay floats, half as wide when they are shuffled; others become doubles.
+    """
     v = F.col(vector_col)
+    if vectors.schema[vector_col].dataType.simpleString() != "array<float>":
+        v = v.cast("array<double>")
     sound = (
         F.col(label_col).isNotNull() & v.isNotNull() & (F.size(v) > 0)
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
@@ -59,7 +71,7 @@ def _classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -
         F.when(sound, F.xxhash64(label_col, v)).alias("_k1"),
         F.when(sound, F.xxhash64(F.lit(11), v, label_col)).alias("_k2"),
         F.col(label_col).alias("_label"),
-        F.when(sound, v.cast("array<double>")).alias("_v"),
+        F.when(sound, v).alias("_v"),
     )
 
 
@@ -77,9 +89,8 @@ def _tables(classes: DataFrame, k: int, tables: int, width: float) -> DataFrame:
                     made[d] = (rng.standard_normal((d, k * tables)), rng.uniform(0, width, k * tables), rng.integers(1, 2**63, k * tables, np.uint64) | np.uint64(1))
                 along, shift, mixer = made[d]
                 rows = np.flatnonzero(sizes == d)
-                x = np.stack(batch.column(5).take(pa.array(rows)).flatten().to_numpy().reshape(len(rows), d))
-                x /= np.abs(x).max(1, keepdims=True)  # so that squares stay finite
-                x /= np.sqrt((x * x).sum(1, keepdims=True))
+                raw = batch.column(5).take(pa.array(rows)).flatten().to_numpy().reshape(len(rows), d)
+                x = unit(raw)
                 cells = np.floor((x @ along + shift) / width).astype(np.int64).view(np.uint64)
                 cells = (cells * mixer).reshape(len(rows), tables, k)
                 mixed = np.bitwise_xor.reduce(cells ^ (cells >> np.uint64(29)), axis=2) * np.uint64(0x9E3779B97F4A7C15)
@@ -87,7 +98,7 @@ def _tables(classes: DataFrame, k: int, tables: int, width: float) -> DataFrame:
                 n = len(rows) * tables
                 repeat = pa.array(np.repeat(rows, tables))
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(0, n * tables + 1, tables, dtype=np.int32)), pa.array(np.repeat(cells.view(np.int32), tables, axis=0).ravel()))
-                vector = pa.array(x.astype(np.float64).ravel())
+                vector = pa.array(raw.ravel())
                 vector = pa.ListArray.from_arrays(pa.array(np.arange(0, len(rows) * d + 1, d, dtype=np.int32)), vector).take(pa.array(np.repeat(np.arange(len(rows)), tables)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(label[repeat.to_numpy()]), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(rows))), pa.array(mixed.view(np.int64).ravel() ^ d),
@@ -95,7 +106,7 @@ def _tables(classes: DataFrame, k: int, tables: int, width: float) -> DataFrame:
                     names=["label", "turn", "cell", "key", "n", "cells", "v"],
                 )
 
-    columns = "label long, turn int, cell long, key long, n long, cells array<int>, v array<double>"
+    columns = f"label long, turn int, cell long, key long, n long, cells array<int>, v {classes.schema['_v'].dataType.simpleString()}"
     return classes.select("key", "_k1", "_k2", "label", "n", "_v").mapInArrow(run, columns)
 
 
@@ -164,7 +175,7 @@ def near_links(classes: DataFrame, cosine: float, width: float, miss: float) ->
                 if j - i < 2:
                     continue
                 turn, low, high = int(names["turn"][i]), names["low"][i], names["high"][i]
-                v = vs.slice(i, j - i).flatten().to_numpy().reshape(j - i, -1)
+                v = unit(vs.slice(i, j - i).flatten().to_numpy().reshape(j - i, -1))
                 part = lambda rows: {"v": v[rows], "cells": cells[i:j][rows], "key": names["key"][i:j][rows], "n": names["n"][i:j][rows]}  # noqa: E731, B023
                 if low == high:
                     counts, edges = _compare(part(np.arange(j - i)), None, turn, cosine)
