@@ -15,10 +15,21 @@ from sievework.common import stored, table
 from sievework.llm import bpe, langid, mixing, simhash, substring
 
 
+def carried(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under column names that clash with no operator's, and those names by the old ones."""
+    names = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(c).alias(n) for c, n in names.items()]), names
+
+
+def restored(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    return rows.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear; those without a letter or with narrow margins go."""
     dictionaries = langid.learn(docs.where(~langid.held_out("doc_id")))
-    return langid.identify(docs, dictionaries, docs.columns).where("accepted").select(*docs.columns)
+    rows, names = carried(docs)
+    return restored(langid.identify(rows, dictionaries, rows.columns, names["text"]).where("accepted"), names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,9 +39,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the words of passages that stand anywhere else too."""
-    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
-    kept = substring.remove_repeats(docs, rest).withColumn("text", F.col("kept"))
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    rows, names = carried(docs)
+    text, n_chars = names["text"], names["n_chars"]
+    rest = [c for c in rows.columns if c not in (text, n_chars)]
+    kept = substring.remove_repeats(rows, rest, names["doc_id"], text)
+    return restored(kept.withColumns({text: F.col("kept"), n_chars: F.length("kept").cast("long")}), names)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.common import Shared
+from sievework.llm.packing import numbered, renamed
 
 #: Pre-tokens that a worker remembers.
 MEMORY = 1_000_000
@@ -276,10 +277,10 @@ def encode(
     the ids decode to.
     """
     shared = Shared(docs.sparkSession, Encoder(load_vocabulary(path), pattern))  # size fixed by the file
-    source = docs.select(*keep, F.col(text_col).alias("_text"))
+    source, columns = numbered(docs, keep, F.col(text_col).alias("_text"))
     made = ["n_tokens", *(["ids"] if ids else []), *(["ids_sha256", "decoded_sha256"] if digests else [])]
     types = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string", "decoded_sha256": "string"}
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]), *(f"{c} {types[c]}" for c in made)])
+    schema = ", ".join([*columns, *(f"{c} {types[c]}" for c in made)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value
@@ -297,16 +298,15 @@ def encode(
                     byte_ends = np.concatenate(([0], np.cumsum(length)))[ends].tolist()
                     sha = lambda a, stops: [hashlib.sha256(a[x:y].tobytes()).hexdigest() for x, y in zip([0, *stops[:-1]], stops, strict=True)] if stops else []
                     out += [pa.array(sha(little, ends.tolist()), pa.string()), pa.array(sha(data, byte_ends), pa.string())]
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[: len(keep)]), *out], names=[*keep, *made])
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[: len(keep)]), *out], names=[*batch.schema.names[: len(keep)], *made])
 
-    return source.mapInArrow(run, schema)
+    return renamed(source.mapInArrow(run, schema), keep, made)
 
 
 def decode(encoded: DataFrame, path: str, keep: list[str], ids_col: str = "ids") -> DataFrame:
     """``keep`` and ``bytes``, what each row's ids decode to; null ids decode to no bytes."""
     shared = Shared(encoded.sparkSession, load_vocabulary(path))
-    source = encoded.select(*keep, F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("_ids"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]), "bytes binary"])
+    source, columns = numbered(encoded, keep, F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("_ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,6 +315,6 @@ def decode(encoded: DataFrame, path: str, keep: list[str], ids_col: str = "ids")
             ends = np.cumsum(column.value_lengths().to_numpy())
             stops = np.concatenate(([0], np.cumsum(length)))[ends].tolist()
             values = [data[x:y].tobytes() for x, y in zip([0, *stops[:-1]], stops, strict=True)] if stops else []
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(values, pa.binary())], names=[*keep, "bytes"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(values, pa.binary())], names=[*batch.schema.names[: len(keep)], "bytes"])
 
-    return source.mapInArrow(run, schema)
+    return renamed(source.mapInArrow(run, ", ".join([*columns, "bytes binary"])), keep, ["bytes"])

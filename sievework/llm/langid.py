@@ -12,7 +12,7 @@ table.  Prediction sees the whole text and nothing else.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and rejected; so is
 every text where no row is labelled.  Of languages with equal sizes the one with more labelled rows
-wins.  Repeated rows get equal results.  An empty table gives an empty result.
+wins.  Repeated rows get equal results.  An empty table gives an empty result.  A kept column named like one made here gives way.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.common import Shared
+from sievework.llm.packing import numbered, renamed
 
 SLOTS, EXCERPT = 128, 1500
 LEVEL, BLOCK, SHORT = 5, 4096, 400
@@ -92,15 +93,15 @@ def identify(
     docs: DataFrame, dictionaries: list[tuple[str, bytes]], keep: list[str], text_col: str = "text", margin: float = MARGIN
 ) -> DataFrame:
     """``docs``' columns ``keep`` with ``lang_pred, score, accepted`` for each row's whole text."""
-    source = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "lang_pred string, score double, accepted boolean"])
+    source, types = numbered(docs, keep, F.col(text_col).alias("_text"))
+    made = ["lang_pred", "score", "accepted"]
     shared = Shared(docs.sparkSession, dictionaries)  # at most SLOTS * EXCERPT bytes for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Compressors(shared.value).judge
         for batch in batches:
             found = [judge(text.as_py(), margin) for text in batch.column(len(keep))]
-            made = [pa.array([x[i] for x in found], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *made], names=[*keep, "lang_pred", "score", "accepted"])
+            out = [pa.array([x[i] for x in found], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], names=[*batch.schema.names[: len(keep)], *made])
 
-    return source.mapInArrow(run, schema)
+    return renamed(source.mapInArrow(run, ", ".join([*types, "lang_pred string, score double, accepted boolean"])), keep, made)

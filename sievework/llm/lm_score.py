@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.common import Shared, bounded_broadcast, stored
+from sievework.llm.packing import numbered, renamed
 from sievework.llm.words import slices
 
 ORDER, K = 4, 8.0
@@ -104,9 +105,9 @@ def models(counts: DataFrame, k: float = K) -> DataFrame:
 def _by_lookup(docs: DataFrame, table: DataFrame, keep: list[str], text_col: str) -> DataFrame:
     held = table.orderBy("gram").toArrow()
     shared = Shared(docs.sparkSession, (held["gram"].to_numpy().astype(np.uint32), held["target_loss"].to_numpy(), held["background_loss"].to_numpy()))
-    source = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
+    source, types = numbered(docs, keep, F.col(text_col).alias("_text"))
     made = ["n_tokens", "target_loss", "background_loss"]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "n_tokens long, target_loss double, background_loss double"])
+    schema = ", ".join([*types, "n_tokens long, target_loss double, background_loss double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, *losses = shared.value
@@ -121,13 +122,14 @@ def _by_lookup(docs: DataFrame, table: DataFrame, keep: list[str], text_col: str
                     sums = np.concatenate(([0.0], np.cumsum(loss[at])))
                     with np.errstate(invalid="ignore", divide="ignore"):
                         out.append(pa.array((sums[stop] - sums[start]) / size, pa.float64(), mask=size == 0))
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[: len(keep)]), *out], names=[*keep, *made])
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[: len(keep)]), *out], names=[*batch.schema.names[: len(keep)], *made])
 
-    return source.mapInArrow(run, schema)
+    return renamed(source.mapInArrow(run, schema), keep, made)
 
 
 def _by_join(docs: DataFrame, table: DataFrame, keep: list[str], text_col: str) -> DataFrame:
-    keyed = docs.withColumns({"_k1": F.xxhash64(text_col), "_k2": F.hash(text_col)})
+    key = [F.xxhash64(text_col).alias("_k1"), F.hash(text_col).alias("_k2")]
+    keyed, _ = numbered(docs, keep, *key, F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,12 +138,12 @@ def _by_join(docs: DataFrame, table: DataFrame, keep: list[str], text_col: str)
                 k1, k2 = (pa.array([batch.column(c)[i].as_py()] * len(key), t) for c, t in ((0, pa.int64()), (1, pa.int32())))
                 yield pa.RecordBatch.from_arrays([k1, k2, pa.array(key.astype(np.int64)), pa.array(n)], names=["_k1", "_k2", "gram", "n"])
 
-    distinct = keyed.groupBy("_k1", "_k2").agg(F.first(text_col).alias("_text")).where("_text <> ''")
+    distinct = keyed.groupBy("_k1", "_k2").agg(F.first("_text").alias("_text")).where("_text <> ''")
     used = distinct.mapInArrow(run, "_k1 long, _k2 int, gram long, n long").join(table, "gram")
     mean = lambda c: (F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c)
     scored = used.groupBy("_k1", "_k2").agg(F.sum("n").alias("n_tokens"), mean("target_loss"), mean("background_loss"))
-    joined = keyed.select(*keep, "_k1", "_k2").join(scored, ["_k1", "_k2"], "left")
-    return joined.select(*keep, F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), "target_loss", "background_loss")
+    joined = keyed.drop("_text").join(scored, ["_k1", "_k2"], "left")
+    return renamed(joined.withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0)).cast("long")), keep, ["n_tokens", "target_loss", "background_loss"])
 
 
 def cross_entropy_difference(

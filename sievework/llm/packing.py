@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def numbered(docs: DataFrame, keep: Sequence[str], *more: Column) -> tuple[DataFrame, list[str]]:
+    """``docs``' columns ``keep`` under names that clash with none, and ``more``; and those names with their types, as SQL."""
+    held = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], *more)
+    return held, [f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
+
+
+def renamed(out: DataFrame, keep: Sequence[str], made: Sequence[str]) -> DataFrame:
+    """``out`` with the columns ``keep`` under their own names again; one named like a column in ``made`` gives way."""
+    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep) if c not in made], *made)
 
 
 def packed(rows: DataFrame) -> DataFrame:

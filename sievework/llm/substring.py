@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.common import stored
-from sievework.llm.packing import packed, unpacked
+from sievework.llm.packing import numbered, packed, renamed, unpacked
 from sievework.llm.words import Powers, Rolling, Words, scramble, slices
 
 WINDOW, SEED = 35, 8
@@ -178,9 +178,10 @@ def remove_repeats(
     keyed = _keyed(docs, id_col, text_col)
     found = repeats(keyed, text_col, window)
     columns = keyed.select("_k1", "_k2", *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
+    types = numbered(docs, keep)[1]
     joined = packed(columns).join(found, ["_k1", "_k2"], "left").drop("_k1", "_k2")
     last = "kept_sha256" if digest else "kept"
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), f"n_words long, n_removed long, {last} string"])
+    made = ["n_words", "n_removed", last]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,7 +201,7 @@ def remove_repeats(
                 kept.append(hashlib.sha256(text).hexdigest() if digest else text.decode())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keep)], pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                names=[*keep, "n_words", "n_removed", last],
+                names=[*batch.schema.names[: len(keep)], *made],
             )
 
-    return joined.mapInArrow(run, schema)
+    return renamed(joined.mapInArrow(run, ", ".join([*types, f"n_words long, n_removed long, {last} string"])), keep, made)

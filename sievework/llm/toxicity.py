@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.common import Shared
+from sievework.llm.packing import numbered, renamed
 
 #: Labelled rows that learning takes at most.
 SAMPLE = 40_000
@@ -278,14 +279,13 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, scorer: Scorer, keep: list[str], text_col: str = "text") -> DataFrame:
     """``docs``' columns ``keep`` with ``score``."""
     shared = Shared(docs.sparkSession, scorer)  # its terms are bounded, see above
-    source = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "score double"])
+    source, types = numbered(docs, keep, F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         restorer = Restorer(held.model)
         for batch in batches:
             found = [held.score(*restorer.words(text.as_py())) for text in batch.column(len(keep))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(found, pa.float64())], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(found, pa.float64())], names=[*batch.schema.names[: len(keep)], "score"])
 
-    return source.mapInArrow(run, schema)
+    return renamed(source.mapInArrow(run, ", ".join([*types, "score double"])), keep, ["score"])

@@ -13,7 +13,7 @@ def test_held_out_accuracy(spark):
 
 def test_awkward_documents(spark):
     docs = documents(spark, awkward(), extra=True)
-    got = langid.identify(docs, langid.learn(docs), ["doc_id", "score"] if False else ["doc_id"]).collect()
+    got = langid.identify(docs, langid.learn(docs), ["doc_id", "score"]).collect()
     assert len(got) == len(awkward())
     assert {r.doc_id: r.lang_pred for r in got if r.doc_id in (0, 1, 2, 9)} == {0: "und", 1: "und", 2: "und", 9: "und"}
     assert all(r.lang_pred in ("en", "de", "fr") for r in got if r.doc_id in (3, 5, 8))

@@ -30,7 +30,7 @@ def test_whole_run(spark):
 
 
 def test_awkward_documents(spark):
-    docs = documents(spark, awkward())
+    docs = documents(spark, awkward(), extra=True).selectExpr("*", "1 AS kept", "2 AS n_words", "true AS accepted", "'z' AS lang_pred", "3 AS _k3")
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
         assert out.count() >= 0 and (name == "encoding" or out.columns == docs.columns)
