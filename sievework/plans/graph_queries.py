@@ -90,7 +90,7 @@ def canonical_batch(spark, sf_dir):
 def corroboration_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     claims = table(spark, sf_dir, "benchmark").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{6,})"), 1))).alias("claim")).distinct()
-    groups = docs.select("lang").distinct().crossJoin(F.broadcast(claims.orderBy("claim").limit(25)))  # a report over 25 terms
+    groups = docs.select("lang").distinct().crossJoin(F.broadcast(claims))  # four languages
     aliases = claims.select("claim", F.concat("claim", F.lit("s")).alias("alias"))
     blocks = docs.select("lang", F.col("source").alias("family"), F.lower("text").alias("body"))
     return evidence.corroboration(groups, blocks, aliases, "lang")
@@ -220,9 +220,9 @@ SELECT c_custkey, concat_ws(',', CASE WHEN unknown_c THEN 'unknown_country' END,
   coalesce(country, CASE WHEN has_r THEN own END) AS country,
   CASE WHEN has_r AND canon THEN n_name || CASE WHEN n_nationkey >= 20 THEN ';' || (SELECT n2.n_name FROM nation n2 WHERE n2.n_nationkey = c.n_nationkey - 20) ELSE '' END ELSE '' END AS region,
   CASE WHEN c_mktsegment = 'MACHINERY' THEN '' ELSE c_mktsegment END AS grapes FROM c""",
-    "corroboration_counts": r"""WITH cl AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS claim FROM benchmark), top AS (SELECT claim FROM cl ORDER BY claim LIMIT 25),
-g AS (SELECT lang, claim FROM (SELECT DISTINCT lang FROM documents), top), b AS (SELECT lang, source, ' ' || regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g') || ' ' AS body FROM documents),
-h AS (SELECT g.lang, claim, count(DISTINCT source) AS n FROM g JOIN b ON g.lang = b.lang AND (contains(body, ' ' || claim || ' ') OR contains(body, ' ' || claim || 's ')) GROUP BY 1, 2)
+    "corroboration_counts": r"""WITH cl AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS claim FROM benchmark), g AS (SELECT lang, claim FROM (SELECT DISTINCT lang FROM documents), cl),
+b AS (SELECT DISTINCT lang, source, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS word FROM documents), a AS (SELECT claim, claim AS word FROM cl UNION SELECT claim, claim || 's' FROM cl),
+h AS (SELECT lang, claim, count(DISTINCT source) AS n FROM b JOIN a USING (word) GROUP BY 1, 2)
 SELECT lang, claim, coalesce(n, 0) AS n_sources FROM g LEFT JOIN h USING (lang, claim)""",
     "evidence_status": """WITH r AS (SELECT doc_id, lang, source, n_chars % 100 AS c, doc_id % 17 <> 0 AS ctx, doc_id % 13 <> 0 AS sub, doc_id % 4 = 1 AS single, doc_id % 5 > 0 AS g, doc_id % 3 AS n, doc_id % 7 = 0 AS blend, coalesce(toxic = 1, FALSE) AS white FROM documents LEFT JOIN labels USING (doc_id)),
 x AS (SELECT *, CASE WHEN NOT ctx THEN 'no_context' WHEN NOT sub THEN 'no_submit' ELSE concat_ws(',', CASE WHEN single THEN 'single_source' END, CASE WHEN g AND n = 0 THEN 'unsupported_grape:' || lang END,

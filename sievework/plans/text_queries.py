@@ -41,7 +41,7 @@ def clean_body(spark, sf_dir):
 
 
 def price_only(spark, sf_dir):
-    shown = F.when(F.col("turn") % 2 == 0, F.regexp_replace("text", r"[^0-9., ]", "")).otherwise(F.substring("text", 1, 20))
+    shown = F.when(F.col("turn") % 2 == 0, F.regexp_replace("text", r"[^0-9., ]", "")).otherwise(F.col("text"))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.price_only(shown).alias("price_only"))
 
 
@@ -116,7 +116,7 @@ def pick_diverse(spark, sf_dir):
 
 
 def build_context(spark, sf_dir):
-    rows = _docs(spark, sf_dir).select((F.col("doc_id") % 40).alias("grp"), "doc_id", "source", (F.col("n_chars") % 100).alias("match_score"), F.substring("text", 1, 60).alias("body"))
+    rows = _docs(spark, sf_dir).select((F.col("doc_id") % 40).alias("grp"), "doc_id", "source", (F.col("n_chars") % 100).alias("match_score"), F.col("text").alias("body"))
     picked = selection.pick_diverse(rows.where("match_score >= 70"), ["grp"], "source", [F.col("match_score").desc(), F.col("doc_id")])
     return selection.build_context(picked, ["grp"]).select("grp", F.size("blocks").alias("n_blocks"), F.md5("web_context").alias("context_md5"))
 
@@ -164,7 +164,7 @@ SELECT doc_id, len(t)::INT AS n_tokens, md5(array_to_string(list_transform(list_
 FROM (SELECT doc_id, list_transform(list_sort(list_transform(list_distinct(a), lambda x: {{'p': list_position(a, x), 'w': x}})), lambda y: y.w) AS t FROM (
   SELECT doc_id, list_filter(regexp_extract_all({FOLD}, '[a-z0-9]+'), lambda x: length(x) >= 4 AND NOT list_contains({list(STOPWORDS)}, x)) AS a FROM documents))""",
     "clean_body": f"SELECT doc_id, md5(c) AS clean_md5, length(c) >= 40 AND length(c) / greatest(1, length(text)) >= 0.4 AND NOT {PRICE.format('c')} AS keep FROM (SELECT doc_id, text, {CLEAN} AS c FROM documents)",
-    "price_only": "SELECT conv_id, turn, " + PRICE.format("CASE WHEN turn % 2 = 0 THEN regexp_replace(text, '[^0-9., ]', '', 'g') ELSE substr(text, 1, 20) END") + " AS price_only FROM conversations",
+    "price_only": "SELECT conv_id, turn, " + PRICE.format("CASE WHEN turn % 2 = 0 THEN regexp_replace(text, '[^0-9., ]', '', 'g') ELSE text END") + " AS price_only FROM conversations",
     "list_page_ratio": r"""SELECT doc_id, len(w) >= 8 AND len(list_filter(w, lambda x: regexp_matches(x, '^\p{Lu}'))) >= len(w) * 0.7 AS is_list
 FROM (SELECT doc_id, regexp_extract_all(text, '\p{L}[\p{L}''’\-]*') AS w FROM documents)""",
     "url_host": f"SELECT page_id, host, host IN ('example.com', 'net') OR ends_with(host, '.example.com') OR ends_with(host, '.net') AS blocked FROM (SELECT page_id, {HOST} AS host FROM pages)",
@@ -199,7 +199,7 @@ UNION ALL SELECT s.id, d.doc_id, 1.0 FROM (SELECT doc_id, list_sort(list_distinc
 f AS (SELECT *, row_number() OVER (PARTITION BY lang, grp, source ORDER BY q DESC, n_chars DESC, doc_id) AS fr FROM r),
 p AS (SELECT *, CASE WHEN fr = 1 AND source = 'src3' THEN 1 WHEN fr = 1 THEN 2 ELSE 3 END AS pass FROM f)
 SELECT doc_id, lang, grp, pass, pick_no FROM (SELECT *, row_number() OVER (PARTITION BY lang, grp ORDER BY pass, q DESC, n_chars DESC, doc_id)::INT AS pick_no FROM p) WHERE pick_no <= 5""",
-    "build_context": """WITH r AS (SELECT doc_id % 40 AS grp, doc_id, source, n_chars % 100 AS s, substr(text, 1, 60) AS body FROM documents WHERE n_chars % 100 >= 70),
+    "build_context": """WITH r AS (SELECT doc_id % 40 AS grp, doc_id, source, n_chars % 100 AS s, text AS body FROM documents WHERE n_chars % 100 >= 70),
 f AS (SELECT *, row_number() OVER (PARTITION BY grp, source ORDER BY s DESC, doc_id) AS fr FROM r),
 k AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY CASE WHEN fr = 1 THEN 2 ELSE 3 END, s DESC, doc_id) AS no FROM f)
 SELECT grp, count(*)::INT AS n_blocks, md5(string_agg('[' || source || ' | match=' || s || ']' || chr(10) || body, chr(10) || chr(10) ORDER BY no)) AS context_md5 FROM k WHERE no <= 5 GROUP BY grp""",

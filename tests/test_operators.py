@@ -207,3 +207,11 @@ def test_shares_and_blends(spark):
     white = evidence.white_grapes_only(F.col("c"), F.col("k"), F.col("n"), ["pinot gris"])
     rows = [("red", ["white"], ["riesling"]), ("rose", ["white"], ["pinot gris"]), ("white", ["white"], ["riesling"]), ("red", ["white", None], ["riesling", "x"]), ("red", [], [])]
     assert [r.x for r in spark.createDataFrame(rows, "c string, k array<string>, n array<string>").select(white.alias("x")).collect()] == [True, False, False, False, False]
+
+
+def test_corroboration_counts_families_and_phrases(spark):
+    claims = spark.createDataFrame([(1, "merlot"), (1, "pinot noir"), (1, "syrah"), (2, "merlot")], "p int, claim string")
+    aliases = spark.createDataFrame([("pinot noir", "spatburgunder"), ("syrah", "shiraz"), ("merlot", "mer")], "claim string, alias string")
+    blocks = spark.createDataFrame([(1, "a", "a merlot, and pinot-noir"), (1, "a", "merlot again mer"), (1, "b", "spatburgunder"), (1, "c", "pinot of noir merlots"), (2, "a", "nothing")], "p int, family string, body string")
+    got = {(r.p, r.claim): r.n_sources for r in evidence.corroboration(claims, blocks, aliases, "p").collect()}
+    assert got == {(1, "merlot"): 1, (1, "pinot noir"): 2, (1, "syrah"): 0, (2, "merlot"): 0}
