@@ -31,9 +31,9 @@ from sievework.common import Shared
 from sievework.llm.packing import numbered, renamed
 
 #: Pre-tokens that a worker remembers.
-MEMORY = 600_000
+MEMORY = 400_000
 #: Characters of text whose pre-tokens are held at once.
-HELD_CHARS = 8_000_000
+HELD_CHARS = 4_000_000
 NONE = np.int32(2**31 - 1)
 
 
