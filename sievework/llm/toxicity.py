@@ -54,14 +54,14 @@ SEPARATORS = ".-_*~'`,/\\ "
 #: that repeats the last and vanishes, in a run of three or more and in a pair.
 AS_IS, STANDS_FOR, PARTED, DROPPED, DRAWN_OUT, DOUBLED = 0.0, -1.5, -0.5, -12.0, -1.0, -9.0
 
-_leet = "".join(map(re.escape, LEET))
-_mark = re.compile(rf"[{_leet}._*~\-][^\W\d_]|[^\W\d_][0-9@$€]")
+_signs = re.escape("".join(c for c in LEET if not c.isdigit()))
+_parts = re.escape(SEPARATORS)
 _triple = re.compile(r"([^\W\d_])\1\1")
-_spaced = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-_*~][^\W\d_]){3,}(?![^\W_])")
-_symbols = re.compile(
-    rf"(?<![^\W_])[{_leet}]{{0,3}}[^\W\d_]+(?:[{_leet}._*~\-]{{1,3}}[^\W\d_]+)+[{_leet}]{{0,2}}(?![^\W_])"  # symbols within
-    rf"|(?<![^\W_])[{_leet}]{{1,3}}[^\W\d_]+(?![^\W_])|(?<![^\W_])[^\W\d_]+[0-9@$€]{{1,2}}(?![^\W_$€])"  # or at one end
-)
+#: Runs of letters, digits and LEET signs, with separators within; and what is left of one without signs that also punctuate.
+_runs = re.compile(rf"[\w{_signs}]+(?:[.*~\-]+[\w{_signs}]+)*")
+_pieces = re.compile(r"(?:[^\W_]|[@$€£¡])+")
+_single = rf"(?:[^\W_]|[{_signs}])"
+_spaced = re.compile(rf"(?<![^\W_]){_single}(?:[{_parts}\s]++{_single}){{3,}}(?![^\W_])")
 _words = re.compile(r"[^\W\d_]+")
 
 EDGE, OTHER, LETTERS = 0, 27, 28
@@ -84,19 +84,19 @@ class CharacterModel:
 
     def restore(self, seen: str) -> str:
         """The likeliest letters behind a disguised span: Viterbi over (last two letters)."""
-        states = {(EDGE, EDGE, ""): (0.0, "")}  # last two symbols and the last character read
+        states: dict = {(EDGE, EDGE, ""): (0.0, None)}  # last two symbols and the last character read; letters are linked
         for i, c in enumerate(seen):
             new: dict = {}
             again = DRAWN_OUT if c * 3 in seen[max(0, i - 2) : i + 3] else DOUBLED
 
-            def put(key: tuple, value: float, text: str) -> None:
+            def put(key: tuple, value: float, text: tuple | None) -> None:
                 if key not in new or new[key][0] < value:
                     new[key] = (value, text)
 
             for (a, b, last), (value, text) in states.items():
                 if c.isalpha():
                     x = _symbol(c)
-                    put((b, x, c), value + AS_IS + self.log[a][b][x], text + c)
+                    put((b, x, c), value + AS_IS + self.log[a][b][x], (text, c))
                     if c == last:
                         put((a, b, c), value + again, text)
                 else:
@@ -104,12 +104,16 @@ class CharacterModel:
                         put((a, b, last), value + (PARTED if c in SEPARATORS else DROPPED), text)
                     for letter in LEET.get(c, ""):
                         x = _symbol(letter)
-                        put((b, x, letter), value + STANDS_FOR + self.log[a][b][x], text + letter)
+                        put((b, x, letter), value + STANDS_FOR + self.log[a][b][x], (text, letter))
                         if letter == last:
                             put((a, b, letter), value + STANDS_FOR + again, text)
             states = new or states
         best = max(states.items(), key=lambda s: s[1][0] + self.log[s[0][0]][s[0][1]][EDGE])
-        return best[1][1]
+        text, letters = best[1][1], []
+        while text:
+            text, letter = text
+            letters.append(letter)
+        return "".join(reversed(letters))
 
 
 class Restorer:
@@ -125,18 +129,18 @@ class Restorer:
             got = self.known[seen] = self.model.restore(seen)
         return got
 
-    def span(self, match: re.Match) -> str:
-        return self.restored(match[0])
-
     def words(self, text: str | None) -> tuple[set[str], int]:
         """Distinct words of the restored text, those as written included, and how many it has."""
         low = (text or "").lower()
         plain = _words.findall(low)
         found = set(plain)
-        if _mark.search(low):
-            found.update([self.span(m) for m in _symbols.finditer(low)])
-        if sum(len(w) == 1 for w in found) >= 3:
-            found.update([self.span(m) for m in _spaced.finditer(low)])
+        odd = set(_runs.findall(low)) - found
+        odd.update([piece for run in odd for piece in _pieces.findall(run)])
+        for spaced in _spaced.findall(low):
+            odd.add(" ".join(spaced.split()))
+            found.add("".join(_words.findall(spaced)))  # doubled letters as written
+        found.discard("")
+        found.update([self.restored(seen) for seen in odd - found if _words.search(seen)])
         points = np.frombuffer(low.encode("utf-32-le"), np.uint32)
         drawn = np.flatnonzero((points[2:] == points[1:-1]) & (points[1:-1] == points[:-2]))
         if any(low[i].isalpha() for i in drawn.tolist()):

@@ -18,6 +18,19 @@ def test_restores_disguised_words(learned):
         assert meant in toxicity.Restorer(learned.model).words(f"the {seen} of")[0], seen
 
 
+def test_restores_words_disguised_at_both_ends_or_spaced(learned):
+    for seen, meant in [
+        ("5h17", "shit"), ("1d107", "idiot"), ("7r45h", "trash"), ("7r4$h!", "trash"), ("h473", "hate"), ("1d10+", "idiot"), ("(1d107)", "idiot"), ("p o o p", "poop"),
+        ("l 0 5 3 r", "loser"), ("m . 0 . r . 0 . n", "moron"), ("s,  c, u,\tm", "scum"), ("p.....athet..1c", "pathetic"), ("see(1d107", "idiot"),
+    ]:
+        assert meant in toxicity.Restorer(learned.model).words(f"the {seen} of")[0], seen
+    assert toxicity.Restorer(learned.model).words("1 2 3 4 5, 12.50 and 2024") == ({"and"}, 1)
+
+
+def test_long_spans(learned):
+    assert len(toxicity.Restorer(learned.model).words("a 1 b 2 c 3 " * 5000)[0]) == 5
+
+
 def test_held_out_quality(spark, learned):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where(langid.held_out("doc_id"))
     rows = toxicity.score(docs, learned, ["doc_id"]).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").collect()
