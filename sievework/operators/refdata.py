@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,6 +120,27 @@ def link_entities(entries: DataFrame, candidates: DataFrame, weights: dict[str,
     return entries.join(best, "entry", "left").withColumn("note", note)
 
 
+def link_on_shared(entries: DataFrame, candidates: DataFrame, block: str, weights: dict[str, int], bonus: str | None = None, review_below: int = 20) -> DataFrame:
+    """``link_entities`` where the features are equal columns of ``entries(entry, ...)`` and ``candidates(candidate, ord, ...)``.
+
+    Only candidates with the entry's ``block`` count, never the entry itself; ``bonus`` is an entry's own column, added to
+    each score.  For every set of features the two best candidates of each value stay, and entries meet only those.
+    """
+    best = None
+    for chosen in product((False, True), repeat=len(weights)):
+        shared = [block, *[c for c, use in zip(weights, chosen, strict=True) if use]]
+        once = candidates.groupBy(*shared, "candidate").agg(F.min("ord").alias("ord"))
+        rn = F.row_number().over(Window.partitionBy(*shared).orderBy("ord", "candidate"))
+        two = once.withColumn("_rn", rn).where("_rn <= 2").drop("_rn")
+        score = F.lit(sum(weights[c] for c in shared[1:])) + (F.coalesce(bonus, F.lit(0)) if bonus else F.lit(0))
+        met = entries.join(two, shared).where("entry <> candidate").select("entry", score.alias("score"), "ord", "candidate")
+        best = met if best is None else best.union(met)
+    top = best.groupBy("entry").agg(F.min(F.struct((-F.col("score")).alias("less"), "ord", "candidate")).alias("b"))
+    top = top.select("entry", "b.candidate", (-F.col("b.less")).alias("score"))
+    note = F.when(F.col("candidate").isNull(), "none").when(F.col("score") < review_below, "review").otherwise("ok")
+    return entries.select("entry").join(top, "entry", "left").withColumn("note", note)
+
+
 def lock_prune(lock: DataFrame, entries: DataFrame, key: str) -> DataFrame:
     """Locked ids of entries that still exist, sorted."""
     return lock.join(entries.select(key), key, "left_semi").orderBy(key)

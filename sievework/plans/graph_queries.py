@@ -157,14 +157,22 @@ def admit_placeholders(spark, sf_dir):
     return refdata.admit(new, known.select("p_partkey"), known.where("p_partkey % 2 = 0").select("label").distinct(), "p_partkey", "label", ["rod", "gear"]).select("p_partkey", "label")
 
 
+def _linked(entries, cands):
+    of = lambda df, *ids: df.select(*ids, F.split("p_name", " ")[1].alias("word"), "p_name", "p_brand")
+    rows = of(entries, F.col("p_partkey").alias("entry")).withColumn("suffix", F.when(F.col("word") == "rod", 3).otherwise(0))
+    found = refdata.link_on_shared(rows, of(cands, F.col("p_partkey").alias("candidate"), F.col("p_size").alias("ord")), "word", {"p_name": 20, "p_brand": 15}, "suffix")
+    return found.select("entry", "candidate", "score", "note")
+
+
 def entity_link(spark, sf_dir):
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    entries = part.where("p_partkey % 20 = 0").select(F.col("p_partkey").alias("entry"), F.col("p_name").alias("e_name"), F.col("p_brand").alias("e_brand"))
-    cands = part.where("p_partkey % 20 = 1").select(F.col("p_partkey").alias("candidate"), "p_name", "p_brand", F.col("p_size").alias("ord"))
-    word = F.split("e_name", " ")[1]
-    met = entries.join(cands, F.split("e_name", " ")[1] == F.split("p_name", " ")[1])
-    met = met.select("entry", "candidate", F.struct("ord", "candidate").alias("ord"), (F.col("e_name") == F.col("p_name")).alias("exact"), (F.col("e_brand") == F.col("p_brand")).alias("brand"), (word == "rod").alias("suffix"))
-    return refdata.link_entities(entries.select("entry"), met, {"exact": 20, "brand": 15, "suffix": 3}).select("entry", "candidate", "score", "note")
+    part = table(spark, sf_dir, "part")
+    return _linked(part.where("p_partkey % 20 = 0"), part.where("p_partkey % 20 = 1"))
+
+
+def entity_link_all(spark, sf_dir):
+    """Every part with the best other part."""
+    part = table(spark, sf_dir, "part")
+    return _linked(part, part)
 
 
 def slice_merge(spark, sf_dir):
@@ -188,7 +196,7 @@ def build_stats(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     taxonomy_closure, path_to_root, tree_listing, sub_regions, resolve_labels, pick_homonym, region_variants, resolve_category, canonical_batch, corroboration_counts, evidence_status,
-    finer_regions, unique_checks, fk_checks, label_collisions, cycle_check, synonym_arbitration, admit_placeholders, entity_link, slice_merge, snapshot_diff, build_stats,
+    finer_regions, unique_checks, fk_checks, label_collisions, cycle_check, synonym_arbitration, admit_placeholders, entity_link, entity_link_all, slice_merge, snapshot_diff, build_stats,
 )}
 
 EDGES = """WITH RECURSIVE e AS (SELECT 'r' || r_regionkey AS id, NULL AS parent_id, r_name AS name FROM region
@@ -246,6 +254,10 @@ SELECT p_partkey, p_size || ' ' || lower(p_name) AS label FROM part WHERE p_part
 FROM part a JOIN part b ON split_part(a.p_name, ' ', 2) = split_part(b.p_name, ' ', 2) WHERE a.p_partkey % 20 = 0 AND b.p_partkey % 20 = 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY entry ORDER BY score DESC, ord, candidate) AS rn FROM m)
 SELECT p_partkey AS entry, candidate, score, CASE WHEN candidate IS NULL THEN 'none' WHEN score < 20 THEN 'review' ELSE 'ok' END AS note FROM part LEFT JOIN r ON entry = p_partkey AND rn = 1 WHERE p_partkey % 20 = 0""",
+    "entity_link_all": """WITH m AS (SELECT a.p_partkey AS entry, b.p_partkey AS candidate, b.p_size AS ord, CASE WHEN a.p_name = b.p_name THEN 20 ELSE 0 END + CASE WHEN a.p_brand = b.p_brand THEN 15 ELSE 0 END + CASE WHEN split_part(a.p_name, ' ', 2) = 'rod' THEN 3 ELSE 0 END AS score
+FROM part a JOIN part b ON split_part(a.p_name, ' ', 2) = split_part(b.p_name, ' ', 2) AND a.p_partkey <> b.p_partkey),
+r AS (SELECT *, row_number() OVER (PARTITION BY entry ORDER BY score DESC, ord, candidate) AS rn FROM m)
+SELECT p_partkey AS entry, candidate, score, CASE WHEN candidate IS NULL THEN 'none' WHEN score < 20 THEN 'review' ELSE 'ok' END AS note FROM part LEFT JOIN r ON entry = p_partkey AND rn = 1""",
     "slice_merge": """WITH b AS (SELECT s_suppkey, s_nationkey, s_name, s_acctbal, 'Q' || s_suppkey AS qid FROM supplier WHERE s_suppkey % 5 > 0),
 n AS (SELECT s_nationkey, s_name AS old, CASE WHEN s_suppkey % 2 = 0 THEN s_name || ' new' ELSE s_name END AS new, s_acctbal + 1 AS bal FROM supplier WHERE s_suppkey % 3 = 0)
 SELECT coalesce(b.s_nationkey, n.s_nationkey) AS s_nationkey, coalesce(new, b.s_name) AS s_name, round(coalesce(bal, b.s_acctbal), 2) AS s_acctbal, qid,
