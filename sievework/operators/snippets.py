@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.common import bounded_broadcast
+from sievework.common import bounded_broadcast, cut, stored
 from sievework.functions import text, urls
 
 
@@ -121,34 +119,51 @@ def word_set(col: Column) -> Column:
 
 def near_duplicates(
     df: DataFrame, group: Sequence[str], body: str, order: Sequence[str], jaccard: float = 0.9, containment: float = 0.9, least_long: int = 800
-) -> DataFrame:
+) -> DataFrame:
     """``df`` with ``is_dup``: like an earlier row of its group that is itself no duplicate.
 
-    A greedy fold in order, so it runs once per group, in one task; groups are the snippets of one
-    product.  For a whole corpus use ``near_duplicate_pairs``.
+    Equal word sets of a group are one class, of which only the first row may stay.  Classes meet as in
+    ``near_duplicate_pairs``; for containment the smaller set's first words meet all words of longer bodies.  The
+    greedy fold is settled in rounds: a class with no earlier link left stays, and what it links goes.
     """
-    columns = df.columns
-    schema = df.select(*columns, F.lit(False).alias("is_dup")).schema
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(list(order), kind="stable")
-        kept: list[tuple[set, int]] = []
-        marks = []
-        for value in rows[body]:
-            value = value or ""
-            have = set(re.findall("[a-z]{3,}", value.lower()))
-            like = False
-            for other, size in kept:
-                both = len(have & other)
-                if both and (both / len(have | other) >= jaccard or (min(len(value), size) >= least_long and both / min(len(have), len(other)) >= containment)):
-                    like = True
-                    break
-            marks.append(like)
-            if not like:
-                kept.append((have, len(value)))
-        return rows.assign(is_dup=marks)[[*columns, "is_dup"]]
-
-    return df.groupBy(*group).applyInPandas(fold, schema)
+    rows = stored(df.withColumn("_id", F.monotonically_increasing_id()))
+    at = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))], F.col("_id"))
+    text_ = F.coalesce(F.col(body), F.lit(""))
+    keyed = rows.select(
+        F.sha2(F.to_json(F.struct(*group)), 256).alias("_g"), "_id", at.alias("_at"), (F.length(text_) >= least_long).alias("_long"), F.array_sort(word_set(text_)).alias("_w")
+    )
+    keyed = keyed.where("size(_w) > 0").withColumn("_c", F.sha2(F.concat_ws(" ", "_g", F.col("_long").cast("string"), F.array_join("_w", " ")), 256))
+    classes = keyed.groupBy("_c").agg(F.min("_at").alias("at"), F.first("_g").alias("g"), F.first("_long").alias("long"), F.first("_w").alias("w"))
+    classes = stored(classes.select("_c", F.col("at._id").alias("id"), "at", "g", "long", "w", F.size("w").alias("n")))
+
+    # A word of a group goes as one hash: equal hashes of other words only add candidates, which are compared below.
+    words = classes.select("id", "long", "n", F.explode(F.transform("w", lambda x: F.xxhash64("g", x))).alias("word"))
+    rarity = words.groupBy("word").agg(F.count("*").alias("_rows")).where("_rows > 1")
+    place = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("_rows", F.lit(1)), "word"))
+    upto = lambda t: F.col("_p") <= F.col("n") - F.ceil(F.col("n") * F.lit(t) - 1e-9) + 1
+    ranked = stored(words.join(rarity, "word", "left").withColumn("_p", place).where(upto(min(jaccard, containment))).where("_rows > 1"))
+    side = lambda r, p: r.select("word", F.col("id").alias(f"{p}_id"), F.col("n").alias(f"{p}_n"))
+    alike = side(ranked.where(upto(jaccard)), "a").join(side(ranked.where(upto(jaccard)), "b"), "word").where("a_id <> b_id AND a_n <= b_n")
+    alike = alike.where(F.col("a_n") >= F.lit(jaccard) * F.col("b_n") - 1e-9)
+    within = side(ranked.where("long").where(upto(containment)), "a").join(side(words.where("long"), "b"), "word").where("a_id <> b_id AND a_n <= b_n")
+    met = alike.select("a_id", "b_id").union(within.select("a_id", "b_id")).distinct()
+    sets = lambda p: classes.select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "at", "long", "w")])
+    both = met.join(sets("a"), "a_id").join(sets("b"), "b_id").withColumn("_both", F.size(F.array_intersect("a_w", "b_w")))
+    size_a, size_b = F.size("a_w"), F.size("b_w")
+    like = (F.col("_both") / (size_a + size_b - F.col("_both")) >= jaccard) | (F.col("a_long") & F.col("b_long") & (F.col("_both") / F.least(size_a, size_b) >= containment))
+    earlier = F.col("a_at") < F.col("b_at")
+    links = cut(both.where(like).select(F.when(earlier, F.col("a_id")).otherwise(F.col("b_id")).alias("a"), F.when(earlier, F.col("b_id")).otherwise(F.col("a_id")).alias("b")).distinct())
+
+    gone = links.select(F.col("b").alias("id")).limit(0)
+    while not links.isEmpty():
+        stay = links.join(links.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+        out = cut(stay.select(F.col("b").alias("id")).distinct())
+        gone = cut(gone.union(out))
+        links = cut(links.join(out.withColumnRenamed("id", "a"), "a", "left_anti").join(out.withColumnRenamed("id", "b"), "b", "left_anti"))
+
+    heads = classes.select("_c", F.col("id").alias("_head")).join(gone.select(F.col("id").alias("_head"), F.lit(True).alias("_gone")), "_head", "left")
+    marks = keyed.select("_id", "_c").join(heads, "_c").select("_id", ((F.col("_id") != F.col("_head")) | F.coalesce("_gone", F.lit(False))).alias("is_dup"))
+    return rows.join(marks, "_id", "left").select(*df.columns, F.coalesce("is_dup", F.lit(False)).alias("is_dup"))
 
 
 def near_duplicate_pairs(df: DataFrame, id_col: str, body: str, threshold: float = 0.9) -> DataFrame:

@@ -102,9 +102,8 @@ def near_dup_pairs(spark, sf_dir):
 
 
 def near_dup_greedy(spark, sf_dir):
-    # Groups of one language and source that share their opening word: as small as a product's snippets.
-    rows = _docs(spark, sf_dir).select("doc_id", "lang", "source", F.lower(F.substring("text", 1, 24)).alias("head"), F.col("text").alias("body"))
-    return snippets.near_duplicates(rows, ["lang", "source", "head"], "body", ["doc_id"]).select("doc_id", "is_dup")
+    rows = _docs(spark, sf_dir).select("doc_id", "lang", "source", F.col("text").alias("body"))
+    return snippets.near_duplicates(rows, ["lang", "source"], "body", ["doc_id"]).select("doc_id", "is_dup")
 
 
 def pick_diverse(spark, sf_dir):

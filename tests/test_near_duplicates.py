@@ -1,0 +1,58 @@
+"""Near-duplicates within groups against a plain greedy fold."""
+
+import random
+import re
+
+from sievework.operators import snippets
+from sievework.plans import text_queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def fold(rows):
+    """``{id: is_dup}`` of rows (group, id, body)."""
+    marks, kept = {}, {}
+    for g, i, body in sorted(rows, key=lambda r: r[1]):
+        body = body or ""
+        have = set(re.findall("[a-z]{3,}", body.lower()))
+        marks[i] = any(
+            have & o and (len(have & o) / len(have | o) >= 0.9 or (min(len(body), n) >= 800 and len(have & o) / min(len(have), len(o)) >= 0.9)) for o, n in kept.get(g, [])
+        )
+        if not marks[i]:
+            kept.setdefault(g, []).append((have, len(body)))
+    return marks
+
+
+def test_against_greedy_fold(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    base = [[word() for _ in range(n)] for n in (12, 40, 200, 300)]
+    rows = [("a", 0, None), ("a", 1, ""), ("a", 2, "1 2"), (None, 3, "one two three"), (None, 4, "Three, two one")]
+    for i in range(5, 125):
+        w = list(rng.choice(base))
+        for _ in range(rng.choice((0, 1, 2, 4, 10, 15))):
+            w[rng.randrange(len(w))] = word()
+        if rng.random() < 0.3:
+            w = w[: len(w) // 2] + [word() for _ in range(5)]
+        if rng.random() < 0.5:
+            w.insert(0, word() * 8)  # other first characters
+        rows.append((rng.choice(("a", "b", None)), i, " ".join(w)))
+    want = fold(rows)
+    df = spark.createDataFrame(rows, "g string, id int, body string").repartition(3)
+    got = {r.id: r.is_dup for r in snippets.near_duplicates(df, ["g"], "body", ["id"]).collect()}
+    assert got == want and 10 < sum(want.values()) < 110
+
+
+def test_query_compares_whole_groups(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    want = fold([((r.lang, r.source), r.doc_id, r.text) for r in docs])
+    assert any(want.values())
+    assert {r.doc_id: r.is_dup for r in text_queries.near_dup_greedy(spark, SF).collect()} == want
+
+
+def test_query_links_other_first_characters(spark, tmp_path):
+    body = " ".join(f"word{a}{b}" for a in "abcdef" for b in "ghijkl")
+    rows = [(1, "en", "s", body), (2, "en", "s", f"entirely different opening here {body}"), (3, "en", "t", body), (4, "en", "s", "something else")]
+    spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.is_dup for r in text_queries.near_dup_greedy(spark, str(tmp_path)).collect()}
+    assert got == {1: False, 2: True, 3: False, 4: False}
