@@ -4,8 +4,11 @@ The pre-tokens of a batch that are not known yet stand in one buffer as linked l
 merge rank holds the positions whose pair has that rank; a bitmap of three levels marks the buckets
 that hold something, and find-first-set on it picks the next rank.  A drained bucket skips stale
 entries (dead positions, or pairs whose rank has changed), merges what is left and queues the new
-pairs, also where they rank lower than the bucket just drained.  A pre-token of any length costs
-time in proportion to its merges.
+pairs, also where they rank lower than the bucket just drained.
+
+Ranks whose token is part of a token of lower rank must merge one pair at a time within a pre-token.  Short
+pre-tokens do so side by side, in arrays over all of them; a pre-token beyond ``LONG`` bytes is merged alone,
+with the same queue over its positions, each bucket a heap, so that it costs ``n log n`` in its length n.
 
 Distinct pre-tokens are remembered per Python worker, up to ``MEMORY`` of them, after which
 the memory starts afresh; this bounds a worker's memory and changes no result.
@@ -19,7 +22,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +36,11 @@ from sievework.common import Shared
 from sievework.llm.packing import numbered, renamed
 
 #: Pre-tokens that a worker remembers.
-MEMORY = 400_000
+MEMORY = 250_000
 #: Characters of text whose pre-tokens are held at once.
-HELD_CHARS = 4_000_000
+HELD_CHARS = 2_000_000
+#: Bytes beyond which a pre-token is merged alone.
+LONG = 512
 NONE = np.int32(2**31 - 1)
 
 
@@ -73,6 +80,7 @@ class Vocabulary:
         # Ranks whose token is part of a token of lower rank: their merges must go one at a time.
         parts_of = np.concatenate([keys // self.size, keys % self.size])
         self.risky = set(parts_of[parts_of > np.tile(merged, 2)].tolist())
+        self.merged = dict(zip(keys.tolist(), merged.tolist(), strict=True))
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).view(np.int64) & self.mask
@@ -199,6 +207,75 @@ def merge_all(vocabulary: Vocabulary, data: np.ndarray, sizes: np.ndarray) -> tu
     return ids[alive], np.bincount(piece[alive], minlength=len(sizes))
 
 
+def merge_long(vocabulary: Vocabulary, data: np.ndarray) -> np.ndarray:
+    """BPE of one pre-token: its ids.
+
+    A bucket is a run of positions known from the start, in order, beside a heap of those that merges add.
+    """
+    n, size, merged = len(data), vocabulary.size, vocabulary.merged.get
+    first = vocabulary.byte_id[data]
+    rank_at = np.append(vocabulary.pair(first[:-1], first[1:]), NONE)
+    order = np.argsort(rank_at, kind="stable")
+    order = order[rank_at[order] != NONE]
+    bounds = np.flatnonzero(np.diff(rank_at[order], prepend=-1)).tolist()
+    start = {int(rank_at[order[i]]): (i, j) for i, j in zip(bounds, [*bounds[1:], len(order)], strict=True)}
+    order, ids, rank = array("q", order.tobytes()), array("i", first.tobytes()), array("i", rank_at.astype(np.int32).tobytes())
+    after, before = array("i", range(1, n + 1)), array("i", range(-1, n - 1))
+    after[n - 1] = -1
+    low, mid, top = [0] * ((size >> 6) + 1), [0] * ((size >> 12) + 1), 0
+    heaps: dict[int, list[int]] = {}
+    for r in start:
+        low[r >> 6] |= 1 << (r & 63)
+    for a, word in enumerate(low):
+        if word:
+            mid[a >> 6] |= 1 << (a & 63)
+            top |= 1 << (a >> 6)
+    while top:
+        a = (top & -top).bit_length() - 1
+        b = (a << 6) + (mid[a] & -mid[a]).bit_length() - 1
+        r = (b << 6) + (low[b] & -low[b]).bit_length() - 1
+        at, stop = start.get(r, (0, 0))
+        heap = heaps.setdefault(r, [])
+        lower = False
+        while not lower and (heap or at < stop):
+            if at < stop and not (heap and heap[0] < order[at]):
+                p = order[at]
+                at += 1
+            else:
+                p = heappop(heap)
+            if rank[p] != r:  # stale
+                continue
+            gone = after[p]
+            beyond = after[gone]
+            after[p], ids[p], rank[gone], ids[gone] = beyond, r, NONE, -1
+            made = None
+            if beyond >= 0:
+                before[beyond] = p
+                made = merged(r * size + ids[beyond])
+            rank[p] = NONE if made is None else made
+            left = before[p]
+            other = merged(ids[left] * size + r) if left >= 0 else None
+            if left >= 0:
+                rank[left] = NONE if other is None else other
+            for new, position in ((made, p), (other, left)):
+                if new is not None:
+                    heappush(heaps.setdefault(new, []), position)
+                    low[new >> 6] |= 1 << (new & 63)
+                    mid[new >> 12] |= 1 << ((new >> 6) & 63)
+                    top |= 1 << (new >> 12)
+                    lower |= new < r
+        start[r] = (at, stop)
+        if not heap and at >= stop:
+            del heaps[r], start[r]
+            low[b] &= ~(1 << (r & 63))
+            if not low[b]:
+                mid[a] &= ~(1 << (b & 63))
+                if not mid[a]:
+                    top &= ~(1 << a)
+    ids = np.frombuffer(ids, np.int32)
+    return ids[ids >= 0]
+
+
 class Encoder:
     """Encodes texts by a vocabulary; remembers pre-tokens between calls."""
 
@@ -239,15 +316,22 @@ class Encoder:
         whole = np.array([self.vocabulary.ranks.get(x, -1) for x in new], np.int64)
         other = np.flatnonzero(whole < 0)
         count = np.ones(len(new), np.int64)
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        alone = {i: merge_long(self.vocabulary, np.frombuffer(new[i], np.uint8)) for i in other[size[other] > LONG].tolist()}
+        other = other[size[other] <= LONG]
         parts = [new[i] for i in other.tolist()]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        ids, many = merge_all(self.vocabulary, np.frombuffer(b"".join(parts), np.uint8), sizes) if parts else (np.empty(0, np.int32), [])
+        ids, many = merge_all(self.vocabulary, np.frombuffer(b"".join(parts), np.uint8), size[other]) if parts else (np.empty(0, np.int32), [])
         count[other] = many
+        count[list(alone)] = [len(x) for x in alone.values()]
         ends = np.cumsum(count)
         out = np.empty(int(ends[-1]), np.int32)
-        own = np.repeat(whole < 0, count)
-        out[own] = ids
-        out[~own] = whole[whole >= 0]
+        short = whole < 0
+        short[list(alone)] = False
+        out[np.repeat(short, count)] = ids
+        known = whole >= 0
+        out[np.repeat(known, count)] = whole[known]
+        for i, x in alone.items():
+            out[ends[i] - len(x) : ends[i]] = x
         self.ids, self.count = np.concatenate([self.ids, out]), np.concatenate([self.count, count])
 
 

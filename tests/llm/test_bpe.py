@@ -1,5 +1,7 @@
 import hashlib
+import time
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -33,14 +35,38 @@ def test_long_pre_tokens(text):
     same(text)
 
 
+RISKY = [t.decode() for r, t in enumerate(sorted(VOCABULARY.ranks, key=VOCABULARY.ranks.get)) if r in VOCABULARY.risky and t.isalpha() and t.isascii()][:400]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(RISKY), min_size=1, max_size=600))
+def test_tokens_that_merge_one_at_a_time(parts):
+    same("".join(parts))
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.sampled_from(RISKY), min_size=1, max_size=80))
+def test_both_merges_agree(parts):
+    data = np.frombuffer("".join(parts).encode(), np.uint8)
+    assert bpe.merge_long(VOCABULARY, data).tolist() == bpe.merge_all(VOCABULARY, data, np.array([len(data)]))[0].tolist()
+
+
+def test_time_grows_with_length_alone():
+    def seconds(n):
+        start = time.perf_counter()
+        bpe.Encoder(VOCABULARY, P.PATTERN).encode(["st" * n])
+        return time.perf_counter() - start
+
+    assert seconds(200_000) < 10 * max(seconds(50_000), 0.2)
+    same("st" * 32_000)
+
+
 @pytest.mark.parametrize("text", ["a" * 30000, "ab" * 9000, "the" * 5000, " " * 500 + "x", "0" * 999, "\x1c a\x1d x\xa0y  z \n\n", "don't we'll I'M 'S", "<|endoftext|>", ""])
 def test_odd_texts(text):
     same(text)
 
 
 def test_queue_finds_lowest_rank_again_after_lower_push():
-    import numpy as np
-
     q = bpe.RankQueue(60000)
     q.push(np.array([5000, 70, 5000]), np.array([1, 2, 3]))
     assert q.pop()[0] == 70
