@@ -6,38 +6,40 @@ whole, in blocks with each dictionary; the language whose dictionary gives the f
 predicted.  A text whose smallest and second smallest sizes are close is rejected.  A block
 that is short is written four times over, because zstandard stores what it can hardly shrink.
 
-The sample: for each language the rows with the least hash in each of ``slots`` hash slots, up to
-``excerpt`` bytes of each, so at most ``slots * excerpt`` bytes per language however large the
-table.  Prediction sees the whole text and nothing else.
+The sample: for each language the rows with the least hash in each of ``slots`` hash slots; of each up to
+``excerpt`` characters in ``PIECES`` pieces spread evenly over the whole text, so at most ``slots * excerpt`` characters
+per language however large the table.  Prediction sees the whole text and nothing else.
 
-Defined results: a null text, or one without a letter, is ``und`` with score 0 and rejected; so is
-every text where no row is labelled.  Of languages with equal sizes the one with more labelled rows
-wins.  Repeated rows get equal results.  An empty table gives an empty result.  A kept column named like one made here gives way.
+Defined results: letters are the characters of Unicode's category L, with the marks that follow them.  A null text, or one
+without a letter, is ``und`` with score 0 and rejected; so is every text where no row is labelled.  Of languages with
+equal sizes the one with more labelled rows wins.  Repeated rows get equal results, and count once in the sample.  An empty table gives an empty result.  A kept column named like one made here gives way.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.common import Shared
+from sievework.common import Shared, bounded_broadcast
 from sievework.llm.packing import numbered, renamed
 
-SLOTS, EXCERPT = 128, 1500
+SLOTS, EXCERPT, PIECES = 128, 1500, 5
 LEVEL, BLOCK, SHORT = 5, 4096, 400
 #: Texts whose runner-up is less than this share larger are rejected.
 MARGIN = 0.01
-_apart = re.compile(r"[\W\d_]+").sub
+_apart = regex.compile(r"[^\p{L}\p{M}]+").sub
+_letter = regex.compile(r"\p{L}").search
 
 
 def letters(text: str | None) -> bytes:
-    """Lower-cased letters of a text, one space between runs of them."""
-    return _apart(" ", (text or "").lower()).strip().encode()
+    """Lower-cased letters of a text and their marks, one space between runs of them; empty without a letter."""
+    low = _apart(" ", (text or "").lower()).strip()
+    return low.encode() if _letter(low) else b""
 
 
 def held_out(id_col: str) -> Column:
@@ -45,23 +47,33 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def spread(text: Column, chars: int, pieces: int = PIECES) -> Column:
+    """Up to ``chars`` characters of a text: all of it, or pieces spread evenly from its start to its end, a line each."""
+    each = chars // pieces
+    step = (F.length(text) - each) / F.lit(float(max(pieces - 1, 1)))
+    some = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: F.substr(text, F.floor(i * step).cast("int") + 1, F.lit(each)))
+    return F.when(F.length(text) <= chars, text).otherwise(F.array_join(some, "\n"))
+
+
 def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", slots: int = SLOTS, excerpt: int = EXCERPT) -> list[tuple[str, bytes]]:
-    """Dictionary text of each language, the language with most rows first."""
+    """Dictionary text of each language, the language with most rows first.
+
+    Two scans: the least hash of each slot, then the excerpts of those rows, met by a join.
+    """
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) > 0))
     known = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
     slot = F.pmod(F.shiftright("h", 7), F.lit(slots)).alias("slot")
     least = known.groupBy("lang", slot).agg(F.min("h").alias("h"), F.count("*").alias("n")).collect()  # slots rows per language
     if not least:
         return []
-    rows, wanted = {}, {}
+    rows: dict[str, int] = {}
     for r in least:
         rows[r["lang"]] = rows.get(r["lang"], 0) + r["n"]
-        wanted[(r["lang"], r["h"])] = r["slot"]
-    picked = known.where(F.col("h").isin([h for _, h in wanted])).dropDuplicates(["lang", "h"])
+    wanted = labelled.sparkSession.createDataFrame([(r["lang"], r["h"], r["slot"]) for r in least], "lang string, h long, slot long")
+    picked = known.join(bounded_broadcast(wanted), ["lang", "h"]).select("lang", "slot", spread(F.col("text"), excerpt).alias("text"))
     texts: dict[str, list[tuple[int, bytes]]] = {}
-    for r in picked.select("lang", "h", F.substring("text", 1, 2 * excerpt).alias("text")).collect():
-        if (r["lang"], r["h"]) in wanted:
-            texts.setdefault(r["lang"], []).append((wanted[(r["lang"], r["h"])], letters(r["text"])[:excerpt]))
+    for r in picked.distinct().collect():  # one row per slot and language
+        texts.setdefault(r["lang"], []).append((r["slot"], letters(r["text"])))
     return [(lang, b"\n".join(t for _, t in sorted(texts[lang]))) for lang in sorted(texts, key=lambda x: (-rows[x], x))]
 
 
