@@ -6,7 +6,8 @@
 2. Restoring: a stretch of text that looks disguised (symbols or digits between letters, letters
    set apart, letters repeated three times or more) becomes a lattice.  A symbol may be any letter it
    stands for, a separator vanishes, a repeated letter may stay or vanish, each at a price; Viterbi
-   finds the likeliest letters under the trigram model.
+   finds the likeliest letters under the trigram model.  Letters set apart are also read without their first or last,
+   which may be words of their own (``a p o o p``), where at most ``LONGEST`` are left.
 3. Score: words and word beginnings that are frequent in toxic training texts and rare in others carry
    the log of that ratio; a logistic regression on a text's evidence gives the score.
 
@@ -32,7 +33,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.common import Shared
+from sievework.common import Shared, stored
 from sievework.llm.packing import numbered, renamed
 
 #: Labelled rows that learning takes at most.
@@ -41,6 +42,8 @@ SAMPLE = 40_000
 COMMON, RATIO = 0.01, 1.0
 #: Lengths of word beginnings that are terms beside whole words.
 BEGINNINGS = (4, 5, 6, 7)
+#: Letters of the longest word that is looked for beside one-letter words.
+LONGEST = 24
 #: Disguised spans a worker remembers.
 MEMORY = 200_000
 
@@ -61,7 +64,8 @@ _triple = re.compile(r"([^\W\d_])\1\1")
 _runs = re.compile(rf"[\w{_signs}]+(?:[.*~\-]+[\w{_signs}]+)*")
 _pieces = re.compile(r"(?:[^\W_]|[@$€£¡])+")
 _single = rf"(?:[^\W_]|[{_signs}])"
-_spaced = re.compile(rf"(?<![^\W_]){_single}(?:[{_parts}\s]++{_single}){{3,}}(?![^\W_])")
+_spaced = re.compile(rf"(?<![^\W_]){_single}(?:[{_parts}\s]++{_single}){{2,}}(?![^\W_])")
+_symbols = re.compile(_single)
 _words = re.compile(r"[^\W\d_]+")
 
 EDGE, OTHER, LETTERS = 0, 27, 28
@@ -83,7 +87,11 @@ class CharacterModel:
         self.log = np.log(p3).tolist()
 
     def restore(self, seen: str) -> str:
-        """The likeliest letters behind a disguised span: Viterbi over (last two letters)."""
+        """The likeliest letters behind a disguised span."""
+        return self.decode(seen)[0]
+
+    def decode(self, seen: str) -> tuple[str, float]:
+        """The likeliest letters behind a disguised span and their log value: Viterbi over (last two letters)."""
         states: dict = {(EDGE, EDGE, ""): (0.0, None)}  # last two symbols and the last character read; letters are linked
         for i, c in enumerate(seen):
             new: dict = {}
@@ -108,12 +116,20 @@ class CharacterModel:
                         if letter == last:
                             put((a, b, letter), value + STANDS_FOR + again, text)
             states = new or states
-        best = max(states.items(), key=lambda s: s[1][0] + self.log[s[0][0]][s[0][1]][EDGE])
+        ended = lambda s: s[1][0] + self.log[s[0][0]][s[0][1]][EDGE]
+        best = max(states.items(), key=ended)
         text, letters = best[1][1], []
         while text:
             text, letter = text
             letters.append(letter)
-        return "".join(reversed(letters))
+        return "".join(reversed(letters)), ended(best)
+
+
+def _without_ends(spaced: str) -> list[str]:
+    """A spaced span, and it without a first or last symbol that may be a word of its own, if that leaves a word."""
+    at = [m.start() for m in _symbols.finditer(spaced)]
+    cut = [(i, j) for i in (0, 1) for j in (0, 1) if i + j and 3 <= len(at) - i - j <= LONGEST]
+    return [spaced, *(spaced[at[i] : at[len(at) - 1 - j] + 1] for i, j in cut)]
 
 
 class Restorer:
@@ -137,8 +153,9 @@ class Restorer:
         odd = set(_runs.findall(low)) - found
         odd.update([piece for run in odd for piece in _pieces.findall(run)])
         for spaced in _spaced.findall(low):
-            odd.add(" ".join(spaced.split()))
-            found.add("".join(_words.findall(spaced)))  # doubled letters as written
+            for part in _without_ends(" ".join(spaced.split())):
+                odd.add(part)
+                found.add("".join(_words.findall(part)))  # doubled letters as written
         found.discard("")
         found.update([self.restored(seen) for seen in odd - found if _words.search(seen)])
         points = np.frombuffer(low.encode("utf-32-le"), np.uint32)
@@ -239,7 +256,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = CharacterModel(count_trigrams(docs, text_col))
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_toxic"))
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    texts = docs.join(F.broadcast(known), docs[id_col] == known["_id"]).select(F.col(text_col).alias("text"), F.col("_toxic").cast("int").alias("toxic"))
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "_id")
+    texts = stored(texts.select("text", F.col("_toxic").cast("int").alias("toxic")))  # read three times below
 
     def count_terms(only: set[str] | None):
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

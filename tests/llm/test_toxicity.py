@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
 from helpers import awkward, documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from sievework.llm import langid, toxicity
 
@@ -27,6 +29,52 @@ def test_restores_words_disguised_at_both_ends_or_spaced(learned):
     assert toxicity.Restorer(learned.model).words("1 2 3 4 5, 12.50 and 2024") == ({"and"}, 1)
 
 
+def test_spaced_words_of_any_letters(learned):
+    words = toxicity.Restorer(learned.model).words
+    assert "kook" in words("you k o o k there")[0] and "ass" in words("the a s s of")[0] and "poop" in words("a p o o p")[0]
+
+
+def readings(model, seen):
+    """Every reading of a span and its value: the product of all choices at each character."""
+    prices = {None: toxicity.AS_IS}
+    every = [("", "", 0.0)]  # letters, last character read, price
+    for i, c in enumerate(seen):
+        run = any(seen[j : j + 3] == c * 3 for j in range(max(0, i - 2), i + 1))
+        again = toxicity.DRAWN_OUT if run else toxicity.DOUBLED
+        new = []
+        for letters, last, price in every:
+            if c.isalpha():
+                new.append((letters + c, c, price + prices[None]))
+                if c == last:
+                    new.append((letters, last, price + again))
+                continue
+            if c in toxicity.SEPARATORS or c in toxicity.LEET:
+                new.append((letters, last, price + (toxicity.PARTED if c in toxicity.SEPARATORS else toxicity.DROPPED)))
+            for x in toxicity.LEET.get(c, ""):
+                new.append((letters + x, x, price + toxicity.STANDS_FOR))
+                if x == last:
+                    new.append((letters, last, price + toxicity.STANDS_FOR + again))
+        every = new or every
+    for letters, _, price in every:
+        symbols = [0, 0, *(ord(x) - 96 if "a" <= x <= "z" else 27 for x in letters), 0]
+        yield letters, price + sum(model.log[a][b][x] for a, b, x in zip(symbols, symbols[1:], symbols[2:], strict=False))
+
+
+@settings(max_examples=300, deadline=None)
+@given(seen=st.text(alphabet="aasot01$!.- 5\u00e9", min_size=1, max_size=9))
+def test_viterbi_against_every_reading(learned, seen):
+    text, value = learned.model.decode(seen)
+    every = list(readings(learned.model, seen))
+    assert abs(value - max(v for _, v in every)) < 1e-9
+    assert any(t == text and abs(v - value) < 1e-9 for t, v in every)
+
+
+def test_labels_and_ids_of_any_name(spark):
+    docs = documents(spark, awkward()).selectExpr("*", "1 AS _toxic", "2 AS _id", "3 AS toxic")
+    labels = spark.createDataFrame([(3, 1), (5, 0), (5, 0), (6, 0), (7, 0)], "doc_id long, toxic int")
+    assert 0 <= toxicity.score(docs, toxicity.learn(docs, labels), ["doc_id", "_toxic", "_id"]).first().score <= 1
+
+
 def test_long_spans(learned):
     assert len(toxicity.Restorer(learned.model).words("a 1 b 2 c 3 " * 5000)[0]) == 5
 
