@@ -8,7 +8,9 @@ repeats in epochs; a copy whose middle word is the c-th of that order is taken w
 the target, and trains at position ``t = D^-1(c)``.  Copies are then range-sorted by position.
 
 The running word count of a source is built in two levels, over hash buckets and within each
-bucket, so a source with a third of all rows never meets in one task.
+bucket, so a source with a third of all rows never meets in one task.  A document's place is hashed from its id and text, so
+neither does an id; the number of buckets grows with the counted rows.  Only the targets are settled in one task, over one
+short row per source.
 
 Defined results: a null text counts no words; a document without words is never taken; a null
 source is a source of its own, last in order; repeated rows are rows of their own; an empty table
@@ -18,6 +20,7 @@ them, and ``mix`` leaves its own out instead.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,8 +29,8 @@ from pyspark.sql import functions as F
 from sievework.common import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Hash buckets per source: hex digits of the document's order key.
-BUCKET_DIGITS = 3
+#: Rows of a source that a hash bucket holds, about, at most.
+BUCKET_ROWS = 20_000
 
 
 def word_count(text: Column) -> Column:
@@ -76,10 +79,13 @@ def plan_mix(
     """
     keep = list(docs.columns if keep is None else keep)
     key = F.coalesce(F.concat(F.lit("0"), F.col(source_col)), F.lit("1"))
-    order_key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    order_key = F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(text_col), F.lit(""))))
+    digits = max(1, math.ceil(math.log(max(1, docs.count() / BUCKET_ROWS), 16)))
     held = [F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]  # so that no name clashes with those below
     sized = docs.select(*held, key.alias("source_key"), word_count(F.col(text_col)).alias("size"), order_key.alias("order_key"))
-    sized = sized.withColumn("bucket", F.substring("order_key", 1, BUCKET_DIGITS))
+    sized = sized.withColumn("bucket", F.substring("order_key", 1, digits))
+    if text_col not in keep:  # read twice below: without the texts it is cheaper to store than to make again
+        sized = stored(sized)
 
     # One pass over the texts for all sums; the sources' come from the buckets'.
     sums = stored(sized.select("source_key", "bucket", "size").groupBy("source_key", "bucket").agg(F.sum("size").alias("in_bucket")))
@@ -114,11 +120,13 @@ def plan_mix(
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The training stream: one row per copy taken, with ``docs``' columns, range-sorted by position."""
+    """The training stream: one row per copy taken, with ``docs``' columns, range-sorted by position.
+
+    ``epoch`` and ``position`` follow, unless ``docs`` has a column of either name.
+    """
     columns = docs.columns
-    carried = docs.withColumnsRenamed({c: f"_in{i}" for i, c in enumerate(columns)})
+    carried = docs.select(*[F.col(c).alias(f"_in{i}") for i, c in enumerate(columns)])
     names = {f"{k}_col": f"_in{columns.index(options.get(f'{k}_col', d))}" for k, d in (("id", "doc_id"), ("text", "text"), ("source", "source"))}
-    stream = plan_mix(carried, **options | names).select(*[F.col(f"_in{i}").alias(c) for i, c in enumerate(columns)], F.posexplode("positions").alias("_epoch", "_position"))
-    if not {"position", "epoch"} & set(columns):
-        return stream.withColumnsRenamed({"_epoch": "epoch", "_position": "position"}).orderBy("position", options.get("id_col", "doc_id"))
-    return stream.orderBy("_position", options.get("id_col", "doc_id")).select(*columns)
+    stream = plan_mix(carried, **options | names).select(*carried.columns, F.posexplode("positions").alias("epoch", "position"))
+    added = [] if {"position", "epoch"} & set(columns) else ["epoch", "position"]
+    return stream.orderBy("position", names["id_col"]).select(*[F.col(f"_in{i}").alias(c) for i, c in enumerate(columns)], *added)

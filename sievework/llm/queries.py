@@ -94,7 +94,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, coalesce('0' || source, '1') AS k, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS o,
+  SELECT doc_id, coalesce('0' || source, '1') AS k, md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')) AS o,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents
 ), per AS (
   SELECT k, CAST(sum(size) AS BIGINT) AS s, (row_number() OVER (ORDER BY substr(k, 1, 1), k) - 1) % 3 AS turn FROM sized GROUP BY k

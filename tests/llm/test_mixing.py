@@ -55,3 +55,19 @@ def test_stream_is_sorted_and_whole(spark):
     assert planned[(0, "a")] == planned[(1, "a")] == 0
     assert mixing.mix(docs).columns == docs.columns
     assert mixing.plan_mix(docs.limit(0), keep=["doc_id"]).count() == 0
+
+
+def test_columns_of_any_name(spark):
+    docs = documents(spark, awkward()).selectExpr("*", "1 AS _position", "2 AS _epoch", "3 AS _in0", "4 AS _0", "5 AS source_key", "6 AS bucket", "7 AS _at")
+    stream = mixing.mix(docs)
+    assert stream.columns == [*docs.columns, "epoch", "position"]
+    rows = stream.collect()
+    assert rows and all((r._position, r._epoch, r._in0, r.bucket) == (1, 2, 3, 6) for r in rows)
+
+
+def test_many_buckets_change_nothing(spark, monkeypatch):
+    docs = documents(spark, [(i % 40 if i % 3 else None, f"w{i} " * (i % 30), "en", f"s{i % 5}") for i in range(700)])
+    places = lambda: sorted(((r.size, r.source_size, tuple(r.positions)) for r in mixing.plan_mix(docs, keep=["doc_id"]).collect()), key=repr)
+    few = places()
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 3)
+    assert places() == few
