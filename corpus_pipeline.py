@@ -26,19 +26,32 @@ def restored(rows: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear; those without a letter or with narrow margins go."""
+    """Documents whose language is clear; those without a letter or with narrow margins go.
+
+    Null and empty texts have no letter and go.  Languages whose dictionaries compress a text equally well leave it unclear: it goes.  Repeated rows
+    are judged alike and all stay or go.  Columns of any name are carried.  An empty table, or one without any ``lang``, gives an empty table.
+    """
     dictionaries = langid.learn(docs.where(~langid.held_out("doc_id")))
     rows, names = carried(docs)
     return restored(langid.identify(rows, dictionaries, rows.columns, names["text"]).where("accepted"), names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
-    return simhash.keep_one_of_each(docs).select(*docs.columns)
+    """One document of each group of near copies, the one with the smallest id: five-word shingles, similarity 0.8 or more.
+
+    Null, empty and blank texts are one group.  Of rows that share the smallest id one stays, by a hash of id and text; repeated rows
+    become one.  A null id stays only where its whole group has none.  Columns of any name are carried.  An empty table stays empty.
+    """
+    return simhash.keep_one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the words of passages that stand anywhere else too."""
+    """Every document, without the words of passages of 35 words or more that stand anywhere else too: all copies go, the first as well.
+
+    Words that stay are joined by one space and ``n_chars`` counts them anew.  Null and empty texts become the empty text; a text all of
+    whose words are repeated becomes empty and stays.  Repeated rows are copies of each other.  Columns of any name are carried.  An
+    empty table stays empty.
+    """
     rows, names = carried(docs)
     text, n_chars = names["text"], names["n_chars"]
     rest = [c for c in rows.columns if c not in (text, n_chars)]
@@ -47,12 +60,20 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The training stream: a row for each copy of a document that the mix takes, by training position."""
+    """The training stream: a row for each copy of a document that the mix takes, by training position.
+
+    Texts without words are never taken; a null source is a source of its own; repeated rows are rows of their own; copies at one position
+    come by id.  Columns of any name are carried.  An empty table stays empty.
+    """
     return mixing.mix(docs).select(*docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row, with digests of the ids and of what they decode to."""
+    """Token ids of every row, with digests of the ids and of what they decode to.
+
+    A null text encodes like the empty one, to no ids.  Repeated rows are encoded row by row.  Columns other than id, language and source
+    are left out.  An empty table gives an empty one.
+    """
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode(docs, path, public_tokenizers.PATTERN, ["doc_id", "lang", "source"], digests=True)
 
