@@ -18,17 +18,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a reliable checkpoint in the cluster's shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; one of our own is made only where that
-    is unset (tests on a single machine).
+    One of our own is made only where that is unset and the master is local, as in tests; on a cluster it is an error.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-")
-        sc.setCheckpointDir(folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def scratch(spark: SparkSession) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut by a reliable checkpoint in the cluster's shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -47,14 +59,9 @@ def stored(df: DataFrame) -> DataFrame:
     Like ``cut``, for larger intermediate results: columns compress, checkpoints do not. The table
     stays in the folder until whoever runs the cluster clears it.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
-        spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder}/tables/{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession)
     df.write.option("compression", "snappy").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class Shared:

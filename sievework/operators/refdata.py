@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.common import cut
-from sievework.operators.taxonomy import DEEPEST
 
 
 def violation(rule: str, key: Column, message: Column, severity: str = "error") -> list[Column]:
@@ -44,17 +43,17 @@ def check_references(df: DataFrame, key: str, refs: Sequence[str], targets: Data
 
 
 def check_cycles(edges: DataFrame, child: str = "id", parent: str = "parent_id", rule: str = "cycle") -> DataFrame:
-    """Nodes that are their own ancestor.  Steps double each round, so depth costs its logarithm."""
+    """Nodes that are their own ancestor, where each node has one parent.
+
+    Steps double each round: on a forest until nobody can go further up, which takes the logarithm of its depth.  Who can still go up
+    after as many steps as there are nodes has gone round, and where that leads lies on a cycle.
+    """
     jump = cut(edges.where(F.col(parent).isNotNull()).select(F.col(child).alias("n"), F.col(parent).alias("up")).distinct())
-    reach = 1
-    while reach < DEEPEST * 4:
-        # Who can still go up after 2, 4, 8... steps: in a finite forest nobody in the end but nodes above whom a cycle is.
+    reach, nodes = 1, jump.select("n").distinct().count()
+    while reach <= nodes and not jump.isEmpty():
         jump = cut(jump.join(jump.select(F.col("n").alias("up"), F.col("up").alias("_far")), "up").select("n", F.col("_far").alias("up")).distinct())
         reach *= 2
-        if jump.isEmpty():
-            break
-    looped = jump.select(F.col("up").alias("n")).distinct()  # what is reached after so many steps lies on a cycle
-    return looped.select(*violation(rule, F.col("n"), F.lit("is its own ancestor")))
+    return jump.select(F.col("up").alias("n")).distinct().select(*violation(rule, F.col("n"), F.lit("is its own ancestor")))
 
 
 def check_required(df: DataFrame, key: str, pin: str, lock: DataFrame, source: str, rule: str = "missing_id") -> DataFrame:
@@ -64,17 +63,39 @@ def check_required(df: DataFrame, key: str, pin: str, lock: DataFrame, source: s
     return joined.where(bad).select(*violation(rule, F.col(key), F.when(F.col("_id").isNull(), F.lit("no id")).otherwise(F.lit("no id and no source"))))
 
 
-def check_slice(rows: DataFrame, others: DataFrame, class_words: Sequence[str]) -> DataFrame:
-    """A research slice held against the merged view: parents, labels, class words, sources."""
+def check_slice(rows: DataFrame, others: DataFrame, class_words: Sequence[str], known_grapes: DataFrame | None = None) -> DataFrame:
+    """A research slice held against the merged view: parents, labels, class words, grapes, synonyms, sources.
+
+    ``rows(name, country, parent, synonyms[], source, was, grapes[])``; ``others(name, country, slug)`` is the view without the slice, rows that
+    the slice replaces (same country and old or same name) taken out before labels are counted.  ``known_grapes(label)`` holds the
+    labels of the allowlist and of all slices.
+    """
     has_class = F.rlike(F.lower("name"), F.lit(r"(^|\s)(" + "|".join(class_words) + r")(\s|$)"))
-    found = check_unique(rows, ["name", "country"], "duplicate_label")
-    found = found.union(check_references(rows, "name", ["parent", "country"], rows.unionByName(others, True), ["name", "country"], "unknown_parent"))
+    gone = rows.select("country", F.coalesce("was", "name").alias("name")).distinct()
+    merged = rows.select("name", "country", F.lit(1).alias("own")).union(others.join(gone, ["country", "name"], "left_anti").select("name", "country", F.lit(0)))
+    twice = merged.groupBy("name", "country").agg(F.count("*").alias("n"), F.max("own").alias("own")).where("n > 1 AND own = 1")
+    found = twice.select(*violation("duplicate_label", F.concat_ws("|", "name", "country"), F.concat(F.lit("appears "), F.col("n").cast("string"), F.lit(" times"))))
+    found = found.union(check_references(rows, "name", ["parent", "country"], merged, ["name", "country"], "unknown_parent"))
     found = found.union(rows.where(has_class).select(*violation("class_word", F.col("name"), F.lit("has a classification word"), "warning")))
     syn = rows.select("name", F.explode("synonyms").alias("s")).join(others.select(F.col("name").alias("s")).distinct(), "s")
     found = found.union(syn.select(*violation("synonym_is_name", F.col("name"), F.concat(F.col("s"), F.lit(" is a name elsewhere")), "warning")))
+    if known_grapes is not None:
+        asked = rows.select("name", F.explode("grapes").alias("label"))
+        lost = asked.join(known_grapes.select("label").distinct(), "label", "left_anti")
+        found = found.union(lost.select(*violation("unknown_grape", F.col("name"), F.concat(F.col("label"), F.lit(" is in no list")))))
     return found.union(rows.where(F.coalesce(F.col("source"), F.lit("")) == "").select(*violation("no_source", F.col("name"), F.lit("has no source"), "warning")))
 
 
+def check_fields(rows: DataFrame, key: str, formats: dict[str, str]) -> DataFrame:
+    """One violation per value that does not fit its column's pattern (the whole value must); nulls do not count."""
+    found = None
+    for c, pattern in formats.items():
+        bad = rows.where(F.col(c).isNotNull() & ~F.rlike(F.col(c).cast("string"), F.lit(f"^(?:{pattern})$")))
+        part = bad.select(*violation(f"format_{c}", F.col(key), F.concat(F.lit("is "), F.col(c).cast("string"))))
+        found = part if found is None else found.union(part)
+    return found
+
+
 def arbitrate(labels: DataFrame, scope: Sequence[str], fold: str, order: Sequence[str]) -> DataFrame:
     """The first claim on each folded label of a scope; the others go."""
     rn = F.row_number().over(Window.partitionBy(*scope, fold).orderBy(*order))
@@ -146,6 +167,13 @@ def lock_prune(lock: DataFrame, entries: DataFrame, key: str) -> DataFrame:
     return lock.join(entries.select(key), key, "left_semi").orderBy(key)
 
 
+def lock_report(lock: DataFrame, entries: DataFrame, key: str, id_col: str = "qid", note: str = "note") -> DataFrame:
+    """What a person should look at: entries that no lock gives an id (``unresolved``), and locked ids whose note is not ``ok``."""
+    known = lock.where(F.col(id_col).isNotNull())
+    lost = entries.select(key).distinct().join(known.select(key), key, "left_anti").select(key, F.lit("unresolved").alias("why"))
+    return lost.union(lock.join(entries.select(key), key, "left_semi").where((F.col(note) != "ok") & F.col(id_col).isNotNull()).select(key, F.col(note)))
+
+
 def merge_slice(base: DataFrame, slice_: DataFrame, keys: Sequence[str], name: str, was: str, attrs: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
     """``base`` with a slice merged: rows renamed by ``was``, replaced, added; unreturned rows stay.
 
@@ -205,6 +233,15 @@ def tree_listing(nodes: DataFrame, tree: DataFrame, node: str = "id", name: str
     return paths.join(below, node).orderBy("path")
 
 
+def label_union(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Rows of several files, of each key the row of the first file that has it; no file orders its own rows."""
+    every = None
+    for i, df in enumerate(frames):
+        part = df.withColumn("_file", F.lit(i))
+        every = part if every is None else every.unionByName(part, True)
+    return every.dropDuplicates([*keys, "_file"]).withColumn("_first", F.min("_file").over(Window.partitionBy(*keys))).where("_file = _first").drop("_file", "_first")
+
+
 def build_stats(tables: dict[str, DataFrame], canonical: str = "is_canonical") -> DataFrame:
     """Rows and canonical rows of each table."""
     parts = [df.agg(F.lit(n).alias("table"), F.count("*").alias("n"), F.sum(F.when(F.col(canonical), 1).otherwise(0)).alias("canonical")) for n, df in tables.items()]

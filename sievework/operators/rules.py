@@ -107,6 +107,11 @@ def search(df: DataFrame, text: str, cols: Sequence[str], equals: dict[str, str]
     return out
 
 
+def event_filter(events: DataFrame, hidden: Sequence[str] = ("wine_start",)) -> DataFrame:
+    """Events but those of the hidden types; an event without a type stays."""
+    return events.where(~F.coalesce(F.col("type").isin(list(hidden)), F.lit(False)))
+
+
 def sort_nulls_last(df: DataFrame, col: str, ascending: bool = True, tie: Sequence[str] = ()) -> DataFrame:
     """Sorted by a column, nulls last in both directions."""
     return df.orderBy(F.col(col).asc_nulls_last() if ascending else F.col(col).desc_nulls_last(), *tie)

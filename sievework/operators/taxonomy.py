@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from sievework.common import cut
 
-#: Edges deeper than this count as a cycle.
-DEEPEST = 32
-
 # Classification words that labels attach to a place name, folded.
 CLASS_WORDS = (
     "appellation d'origine controlee", "appellation d'origine protegee", "appellation controlee", "appellation", "aoc", "aop", "ac",
@@ -24,21 +21,22 @@ CLASS_WORDS = (
 
 
 def closure(edges: DataFrame, child: str = "id", parent: str = "parent_id") -> DataFrame:
-    """``(ancestor, descendant, distance)`` of a forest, each node its own at distance 0.
+    """``(ancestor, descendant, distance)`` of a forest of any depth, each node its own at distance 0.
 
-    Paths double each round, so a tree of depth d takes log2(d) joins; nodes on or below a cycle are left
-    out (see ``refdata.check_cycles``).
+    Paths double each round until a round finds no new pair, so a tree of depth d takes log2(d) joins; nodes on or
+    below a cycle are left out (see ``refdata.check_cycles``).
     """
     nodes = edges.select(F.col(child).alias("n")).union(edges.select(F.col(parent).alias("n"))).where("n IS NOT NULL").distinct()
     step = edges.where(F.col(parent).isNotNull()).select(F.col(parent).alias("ancestor"), F.col(child).alias("descendant"), F.lit(1).alias("distance")).distinct()
     paths, reach = cut(step), 1
-    while reach < DEEPEST:
+    while True:
         up = paths.select(F.col("ancestor").alias("_top"), F.col("descendant").alias("_mid"), F.col("distance").alias("_d"))
         far = paths.where(F.col("distance") == reach).join(up, F.col("ancestor") == F.col("_mid")).select(F.col("_top").alias("ancestor"), "descendant", (F.col("distance") + F.col("_d")).alias("distance"))
-        far = cut(far.distinct())
+        # Only on a cycle is a pair met again, at a greater distance.
+        far = cut(far.groupBy("ancestor", "descendant").agg(F.min("distance").alias("distance")).join(paths, ["ancestor", "descendant"], "left_anti"))
         if far.isEmpty():
             break
-        paths, reach = cut(paths.union(far).distinct()), reach * 2
+        paths, reach = cut(paths.union(far)), reach * 2
     looped = paths.where("ancestor = descendant").select(F.col("descendant").alias("_l")).distinct()
     below = paths.join(looped, F.col("ancestor") == F.col("_l")).select(F.col("descendant").alias("_b")).union(looped).distinct()
     own = nodes.select(F.col("n").alias("ancestor"), F.col("n").alias("descendant"), F.lit(0).alias("distance"))
@@ -62,29 +60,52 @@ def children(entities: DataFrame, parent: object, only_canonical: bool = True) -
     return (rows.where("is_canonical") if only_canonical else rows).orderBy("name")
 
 
-def strip_classification(folded: Column, class_words: Sequence[str] = CLASS_WORDS, rounds: int = 3) -> Column:
-    """A folded place name without classification words at its ends, a bracket at its end, or a wrapping."""
-    def spelled(word: str) -> str:
-        dotted = r"\.?".join(word) + r"\.?" if word.isalpha() and len(word) <= 4 else None
-        plain = word.replace("'", "['’]")
-        return f"{plain}|{dotted}" if dotted else plain
+def strip_classification(folded: Column, class_words: Sequence[str] = CLASS_WORDS) -> Column:
+    """A folded place name without classification words at its ends, a bracket at its end, a wrapping, or dashes around it.
 
-    words = "|".join(spelled(w) for w in sorted(class_words, key=lambda w: (-len(w), w)))
-    out = folded
-    for _ in range(rounds):
-        out = F.regexp_replace(out, r"^appellation (.+?) (?:controlee|protegee)$", "$1")
-        out = F.regexp_replace(out, r"\s*\([^()]*\)$", "")
-        out = F.regexp_replace(out, rf"^(?:{words})(?:\s+|$)", "")
-        out = F.regexp_replace(out, rf"(?:^|\s+)(?:{words})$", "")
-    return F.trim(out)
+    The name is a list of words, shortened from both ends by the longest classification that stands there (short ones also with
+    dots), over and over: one turn for each word and bracket it has is enough to come to rest.
+    """
+    by_size: dict[int, list[str]] = {}
+    for w in class_words:
+        by_size.setdefault(len(w.split()), []).append(w)
+    dotted = F.array(*[F.lit(w) for w in by_size.get(1, []) if len(w) <= 4])
+
+    def ends_in(words: Column, last: bool) -> Column:
+        """How many words at one end are a classification."""
+        out = F.lit(0)
+        for n, known in sorted(by_size.items()):
+            part = F.array_join(F.slice(words, F.size(words) - n + 1 if last else F.lit(1), F.lit(n)), " ")
+            hit = F.array_contains(F.array(*[F.lit(w) for w in known]), part)
+            if n == 1:
+                hit = hit | F.array_contains(dotted, F.replace(part, F.lit("."), F.lit("")))
+            out = F.when(F.when(F.size(words) >= n, hit).otherwise(False), n).otherwise(out)
+        return out
+
+    def turn(name: Column, _: Column) -> Column:
+        name = F.btrim(name, F.lit(" -\u2013"))
+        bracket = F.substring_index(name, "(", -1)
+        closes = (F.length(bracket) < F.length(name)) & (F.length(bracket) > 0) & (F.instr(bracket, ")") == F.length(bracket))
+        name = F.when(closes, F.substring(name, F.lit(1), F.length(name) - F.length(bracket) - 1)).otherwise(name)
+        words = F.split(F.trim(name), " +")
+        within = (F.size(words) > 2) & (F.element_at(words, 1) == "appellation") & F.element_at(words, -1).isin("controlee", "protegee")
+        words = F.when(within, F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))).otherwise(words)
+        words = F.slice(words, ends_in(words, False) + 1, F.size(words))
+        words = F.slice(words, F.lit(1), F.size(words) - ends_in(words, True))
+        return F.array_join(words, " ")
+
+    turns = F.sequence(F.lit(0), F.size(F.split(folded, r"\s+|\(")))
+    plain = F.replace(folded, F.lit("\u2019"), F.lit("'"))
+    return F.btrim(F.aggregate(turns, plain, turn), F.lit(" -\u2013"))
 
 
 def region_variants(folded: Column, class_words: Sequence[str] = CLASS_WORDS) -> Column:
-    """Spellings to try in order: as given, bare, dash opened, each part, each part bare."""
-    parts = F.split(folded, r"\s*(?:[,;/]|\s-\s)\s*")
-    bare = lambda c: strip_classification(c, class_words)
-    each = F.flatten(F.transform(parts, lambda p: F.array(p, bare(p))))
-    every = F.concat(F.array(folded, bare(folded), F.trim(F.regexp_replace(folded, r"\s+-\s+|-", " "))), each)
+    """Spellings to try in order: as given, bare, dash opened; where the label lists several names each of them, as it is and bare."""
+    spaced_dash = F.regexp_replace(folded, " [-\u2013] ", ";")
+    parts = F.filter(F.transform(F.split(spaced_dash, "[,;/]"), F.trim), lambda p: p != "")
+    each = F.flatten(F.transform(parts, lambda p: F.array(p, strip_classification(p, class_words))))
+    whole = F.array(folded, strip_classification(folded, class_words), F.regexp_replace(folded, " [-\u2013] ", " "))
+    every = F.when(F.size(parts) > 1, F.concat(whole, each)).otherwise(whole)
     return F.array_distinct(F.filter(every, lambda v: v != ""))
 
 

@@ -106,12 +106,42 @@ def test_strip_classification(spark):
     assert got == ["margaux", "rioja", "rioja", "chianti", ""]
 
 
-def test_origin_masks_the_products_name():
-    assert evidence.origin_of("napa valley", "grown in napa valley", "some wine")
-    assert not evidence.origin_of("napa valley", "our shop based in napa valley", "some wine")
-    assert not evidence.origin_of("beaune", "the hospices de beaune cuvee", "hospices de beaune cuvee")
-    assert evidence.origin_of("beaune", "the hospices de beaune cuvee", "hospices de beaune")
-    assert not evidence.origin_of("ay", "made in ay", "x")
+def test_strips_to_a_fixpoint(spark):
+    rows = [("rioja - doc", "rioja"), ("rioja doc aoc igt dop igp", "rioja"), ("grand cru vin de pays x (a) (b) d.o.c.", "x"), ("appellation d\u2019origine controlee margaux", "margaux"),
+            ("(x)", ""), ("rioja (", "rioja ("), ("docks do", "docks"), ("a (b) c", "a (b) c"), ("", "")]
+    got = spark.createDataFrame(rows, "a string, want string").select("a", "want", taxonomy.strip_classification(F.col("a")).alias("x")).collect()
+    assert {r.a: r.x for r in got} == dict(rows)
+
+
+def test_deep_chains(spark):
+    edges = spark.createDataFrame([(i, i - 1 if i else None) for i in range(300)], "id int, parent_id int")
+    assert taxonomy.closure(edges).count() == 300 * 301 // 2 and refdata.check_cycles(edges).count() == 0
+    ring = spark.createDataFrame([(i, (i + 1) % 150) for i in range(150)] + [(i, i - 1) for i in range(500, 700)] + [(499, 3)], "id int, parent_id int")
+    assert {int(r.key) for r in refdata.check_cycles(ring).collect()} == set(range(150))
+    assert taxonomy.closure(ring).count() == 0
+
+
+def test_origin(spark):
+    cases = [
+        ("napa valley", "grown in napa valley", "some wine", True), ("napa valley", "our shop based in napa valley", "some wine", False),
+        ("beaune", "the hospices de beaune cuvee", "hospices de beaune cuvee", False), ("beaune", "the hospices de beaune cuvee", "hospices de beaune", True),
+        ("ay", "made in ay", "x", False), ("rioja", "bodega based in oyon. a red wine from rioja", "faustino", True), ("baalbek", "38 km from baalbek", "chateau ka", False),
+        ("barolo", "vajra barolo albe from barolo, piedmont", "vajra barolo albe", True), ("cotes du rhone", "a cotes-du-rhone, red", "x", True), ("napa", "situated (2 km) napa", "x", False),
+        ("rioja", "", "rioja", False), ("rioja", "rioja", "rioja", True),
+    ]
+    df = spark.createDataFrame(cases, "a string, h string, n string, want boolean")
+    got = df.select("*", evidence.named_as_origin(F.col("a"), F.col("h"), F.col("n")).alias("x")).collect()
+    assert [(r.a, r.h, r.n, r.x) for r in got] == cases
+
+
+def test_longer_regions_outweigh(spark):
+    labels = spark.createDataFrame([("fr", "b", "brouilly", True), ("fr", "cb", "cote de brouilly", True), ("fr", "x", "grand brouilly", False)], "scope string, entity string, alias string, is_canonical boolean")
+    tree = taxonomy.closure(spark.createDataFrame([("b", None), ("cb", None), ("x", None)], "id string, parent_id string"))
+    leaves = spark.createDataFrame([(1, "b"), (2, "b")], "p int, region string")
+    blocks = spark.createDataFrame([(1, "s", "a cote de brouilly"), (1, "t", "from brouilly"), (2, "s", "a cote de brouilly"), (2, "t", "brouilly"), (2, "u", "brouilly too")], "p int, family string, body string")
+    names = spark.createDataFrame([(1, "some name"), (2, "some name")], "p int, name string")
+    got = evidence.longer_regions(leaves, "p", "region", labels, tree, blocks, names).collect()
+    assert [(r.p, r.longer, r.n, r.leaf_n) for r in got] == [(1, "cb", 1, 1)]
 
 
 def test_leaves_finer_and_longer(spark):
