@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,16 +82,26 @@ def strip_classification(folded: Column, class_words: Sequence[str] = CLASS_WORD
             out = F.when(F.when(F.size(words) >= n, hit).otherwise(False), n).otherwise(out)
         return out
 
-    def turn(name: Column, _: Column) -> Column:
-        name = F.btrim(name, F.lit(" -\u2013"))
-        bracket = F.substring_index(name, "(", -1)
-        closes = (F.length(bracket) < F.length(name)) & (F.length(bracket) > 0) & (F.instr(bracket, ")") == F.length(bracket))
-        name = F.when(closes, F.substring(name, F.lit(1), F.length(name) - F.length(bracket) - 1)).otherwise(name)
-        words = F.split(F.trim(name), " +")
+    def let(value: Column, use: Callable[[Column], Column]) -> Column:
+        """``use`` of a value that is worked out once, however often it stands there."""
+        return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+    def unbracketed(name: Column) -> Column:
+        def without(bracket: Column) -> Column:
+            closes = (F.length(bracket) < F.length(name)) & (F.length(bracket) > 0) & (F.instr(bracket, ")") == F.length(bracket))
+            return F.when(closes, F.substring(name, F.lit(1), F.length(name) - F.length(bracket) - 1)).otherwise(name)
+
+        return let(F.substring_index(name, "(", -1), without)
+
+    def unwrapped(words: Column) -> Column:
         within = (F.size(words) > 2) & (F.element_at(words, 1) == "appellation") & F.element_at(words, -1).isin("controlee", "protegee")
-        words = F.when(within, F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))).otherwise(words)
-        words = F.slice(words, ends_in(words, False) + 1, F.size(words))
-        words = F.slice(words, F.lit(1), F.size(words) - ends_in(words, True))
+        return F.when(within, F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))).otherwise(words)
+
+    def turn(name: Column, _: Column) -> Column:
+        name = let(F.btrim(name, F.lit(" -\u2013")), unbracketed)
+        words = let(F.split(F.trim(name), " +"), unwrapped)
+        words = let(words, lambda w: F.slice(w, ends_in(w, False) + 1, F.size(w)))
+        words = let(words, lambda w: F.slice(w, F.lit(1), F.size(w) - ends_in(w, True)))
         return F.array_join(words, " ")
 
     turns = F.sequence(F.lit(0), F.size(F.split(folded, r"\s+|\(")))
@@ -102,7 +112,7 @@ def strip_classification(folded: Column, class_words: Sequence[str] = CLASS_WORD
 def region_variants(folded: Column, class_words: Sequence[str] = CLASS_WORDS) -> Column:
     """Spellings to try in order: as given, bare, dash opened; where the label lists several names each of them, as it is and bare."""
     spaced_dash = F.regexp_replace(folded, " [-\u2013] ", ";")
-    parts = F.filter(F.transform(F.split(spaced_dash, "[,;/]"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(spaced_dash, "[,;/]"), lambda p: F.trim(p)), lambda p: p != "")
     each = F.flatten(F.transform(parts, lambda p: F.array(p, strip_classification(p, class_words))))
     whole = F.array(folded, strip_classification(folded, class_words), F.regexp_replace(folded, " [-\u2013] ", " "))
     every = F.when(F.size(parts) > 1, F.concat(whole, each)).otherwise(whole)
