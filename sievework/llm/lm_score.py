@@ -7,9 +7,9 @@ the lower, the more it is like the target.
 
 All texts are counted: tasks sum their own n-grams, a shuffle sums those of all.  Probabilities are
 interpolated from order to order, ``P(d|abc) = (c(abcd) + K P(d|bc)) / (c(abc) + K)``, by joins over the n-gram table,
-which grows with the corpus.  Documents look their n-grams up in a copy of the table held by each worker
-while the table has at most ``HELD_ROWS`` rows, which is counted; beyond that their n-gram counts join the
-table by shuffle.  Both ways give the same scores.
+which grows with the corpus and is never held whole.  Distinct texts are dealt into blocks of about ``BLOCK_BYTES``; each block asks
+the table, by a join, for the n-grams it has, once each, and scores its texts with the answers.  So a frequent n-gram is sent once a
+block, not once a document, and a worker holds what one block needs.
 
 Defined results: a null or empty text has no tokens and null losses and score.  Without any target document the target model is
 uniform.  Labels of an id more than once count as good if any does.  Repeated rows count and are scored row by row.  An empty table gives an empty result.  Extra
@@ -18,6 +18,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,27 +26,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.common import Shared, bounded_broadcast, stored
-from sievework.llm.packing import numbered, renamed
+from sievework.common import bounded_broadcast, stored
+from sievework.llm.meeting import whole_groups
+from sievework.llm.packing import in_slices, numbered, packed, renamed, unpacked
 from sievework.llm.words import slices
 
-ORDER, K = 4, 8.0
-#: Rows of the n-gram table up to which workers hold it: 12 bytes each.
-HELD_ROWS = 4_000_000
+ORDER, K = 5, 8.0
+#: Bytes of text in a block.
+BLOCK_BYTES = 16_000_000
 #: Bytes of text taken at once.
-HELD = 3_000_000
+HELD = 2_000_000
 PAD = b"\n" * (ORDER - 1)
 
 
 def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packed n-grams of all texts in a row, and where each text starts and ends among them."""
     texts = [t or b"" for t in column.cast(pa.binary()).to_pylist()]
-    data = np.frombuffer(PAD + PAD.join(texts), np.uint8).astype(np.uint32)
+    data = np.frombuffer(PAD + PAD.join(texts), np.uint8).astype(np.uint64)
     n = len(PAD)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    key = np.zeros(max(0, len(data) - n), np.uint32)
+    key = np.zeros(max(0, len(data) - n), np.uint64)
     for i in range(ORDER):
-        key = (key << np.uint32(8)) | data[i : i + len(key)]
+        key = (key << np.uint64(8)) | data[i : i + len(key)]
     start = np.cumsum(sizes + n) - sizes - n
     return key, start, start + sizes
 
@@ -69,14 +71,11 @@ def count_grams(docs: DataFrame, text_col: str, target_col: str) -> DataFrame:
     """``(gram, target, background)``: counts over the texts where ``target_col`` holds, and over all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = [np.empty(0, np.uint32), np.empty(0, np.int64)]
+        none = [np.empty(0, np.uint64), np.empty(0, np.int64)]
         every, target = none, none
-        for batch in batches:
-            for i, j in slices(batch.column(0), HELD):
-                every = _add(every, _inside(*grams(batch.column(0).slice(i, j - i))))
-            chosen = batch.filter(batch.column(1)).column(0)
-            for i, j in slices(chosen, HELD):
-                target = _add(target, _inside(*grams(chosen.slice(i, j - i))))
+        for batch in in_slices(batches, 0, HELD):
+            every = _add(every, _inside(*grams(batch.column(0))))
+            target = _add(target, _inside(*grams(batch.filter(batch.column(1)).column(0))))
         in_target = np.zeros(len(every[0]), np.int64)
         in_target[np.searchsorted(every[0], target[0])] = target[1]
         yield pa.RecordBatch.from_arrays([pa.array(every[0].astype(np.int64)), pa.array(in_target), pa.array(every[1])], names=["gram", "target", "background"])
@@ -102,52 +101,47 @@ def models(counts: DataFrame, k: float = K) -> DataFrame:
     return known.select("gram", *[(-F.log(f"p_{c}")).alias(f"{c}_loss") for c in ("target", "background")])
 
 
-def _by_lookup(docs: DataFrame, table: DataFrame, keep: list[str], text_col: str) -> DataFrame:
-    held = table.orderBy("gram").toArrow()
-    shared = Shared(docs.sparkSession, (held["gram"].to_numpy().astype(np.uint32), held["target_loss"].to_numpy(), held["background_loss"].to_numpy()))
-    source, types = numbered(docs, keep, F.col(text_col).alias("_text"))
-    made = ["n_tokens", "target_loss", "background_loss"]
-    schema = ", ".join([*types, "n_tokens long, target_loss double, background_loss double"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, *losses = shared.value
-        for batch in batches:
-            texts = batch.column(len(keep))
-            for i, j in slices(texts, HELD):
-                key, start, stop = grams(texts.slice(i, j - i))
-                at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-                size = stop - start
-                out = [pa.array(size)]
-                for loss in losses:
-                    sums = np.concatenate(([0.0], np.cumsum(loss[at])))
-                    with np.errstate(invalid="ignore", divide="ignore"):
-                        out.append(pa.array((sums[stop] - sums[start]) / size, pa.float64(), mask=size == 0))
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[: len(keep)]), *out], names=[*batch.schema.names[: len(keep)], *made])
-
-    return renamed(source.mapInArrow(run, schema), keep, made)
-
-
-def _by_join(docs: DataFrame, table: DataFrame, keep: list[str], text_col: str) -> DataFrame:
+def score_texts(docs: DataFrame, table: DataFrame, keep: list[str], text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs``' columns ``keep`` with ``n_tokens`` and the mean losses by ``table(gram, target_loss, background_loss)``."""
     key = [F.xxhash64(text_col).alias("_k1"), F.hash(text_col).alias("_k2")]
     keyed, _ = numbered(docs, keep, *key, F.col(text_col).alias("_text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, text in enumerate(batch.column(2)):
-                key, n = np.unique(grams(pa.array([text.as_py()]))[0], return_counts=True)
-                k1, k2 = (pa.array([batch.column(c)[i].as_py()] * len(key), t) for c, t in ((0, pa.int64()), (1, pa.int32())))
-                yield pa.RecordBatch.from_arrays([k1, k2, pa.array(key.astype(np.int64)), pa.array(n)], names=["_k1", "_k2", "gram", "n"])
-
-    distinct = keyed.groupBy("_k1", "_k2").agg(F.first("_text").alias("_text")).where("_text <> ''")
-    used = distinct.mapInArrow(run, "_k1 long, _k2 int, gram long, n long").join(table, "gram")
-    mean = lambda c: (F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c)
-    scored = used.groupBy("_k1", "_k2").agg(F.sum("n").alias("n_tokens"), mean("target_loss"), mean("background_loss"))
-    joined = keyed.drop("_text").join(scored, ["_k1", "_k2"], "left")
+    blocks = max(1, math.ceil((docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0) / block_bytes))
+    once = keyed.where("_text <> ''").groupBy("_k1", "_k2").agg(F.first("_text").alias("_text"))
+    texts = stored(packed(once.select("_k1", "_k2", F.pmod("_k1", F.lit(blocks)).cast("int").alias("block"), "_text")))
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, _ in whole_groups(batches, ["block"]):
+            block = rows.column("block").to_numpy()
+            for b in np.unique(block).tolist():
+                mine = rows.column("_packed").filter(pa.array(block == b)).combine_chunks()
+                held = np.empty(0, np.uint64)
+                for i, j in slices(mine, HELD // 8):  # packed
+                    held = np.union1d(held, _inside(*grams(pa.array(unpacked(mine.slice(i, j - i)), pa.binary()))))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(held), b, np.int32)), pa.array(held.astype(np.int64))], names=["block", "gram"])
+
+    def scored(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        order = np.argsort(answers.column("gram").to_numpy())
+        known = answers.column("gram").to_numpy()[order].astype(np.uint64)
+        losses = [answers.column(c).to_numpy()[order] for c in ("target_loss", "background_loss")]
+        mine, out = rows.column("_packed").combine_chunks(), []
+        for i, j in slices(mine, HELD // 8):
+            grammed, start, stop = grams(pa.array(unpacked(mine.slice(i, j - i)), pa.binary()))
+            at = np.minimum(np.searchsorted(known, grammed), max(0, len(known) - 1))
+            size = stop - start
+            sums = [np.concatenate(([0.0], np.cumsum(loss[at]))) for loss in losses]
+            out.append((size, *((s[stop] - s[start]) / size for s in sums)))
+        n, target, background = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.table({"_k1": rows.column("_k1"), "_k2": rows.column("_k2"), "n_tokens": pa.array(n, pa.int64()), "target_loss": pa.array(target), "background_loss": pa.array(background)})
+
+    answers = texts.select("block", "_packed").repartition("block").sortWithinPartitions("block").mapInArrow(asked, "block int, gram long").join(table, "gram")
+    made = "_k1 long, _k2 int, n_tokens long, target_loss double, background_loss double"
+    found = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, made)
+    joined = keyed.drop("_text").join(stored(found), ["_k1", "_k2"], "left")
     return renamed(joined.withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0)).cast("long")), keep, ["n_tokens", "target_loss", "background_loss"])
 
 
 def cross_entropy_difference(
-    docs: DataFrame, good: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", held_rows: int = HELD_ROWS
+    docs: DataFrame, good: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """``docs``' columns ``keep`` with ``n_tokens, target_loss, background_loss, ce_diff``.
 
@@ -156,7 +150,5 @@ def cross_entropy_difference(
     chosen = good.select(F.col(id_col).alias("_good")).where("_good IS NOT NULL").distinct()
     marked = docs.select(id_col, text_col).join(bounded_broadcast(chosen), F.col(id_col) == F.col("_good"), "left")
     counts = stored(count_grams(marked.withColumn("_target", F.col("_good").isNotNull()), text_col, "_target"))
-    table = stored(models(counts))
-    rows = table.count()
-    scored = (_by_lookup if 0 < rows <= held_rows else _by_join)(docs, table, keep, text_col)
+    scored = score_texts(docs, stored(models(counts)), keep, text_col, block_bytes)
     return scored.withColumn("ce_diff", F.col("target_loss") - F.col("background_loss"))
