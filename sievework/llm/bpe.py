@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.common import Shared
-from sievework.llm.packing import numbered, renamed
+from sievework.llm.packing import in_slices, numbered, renamed
 
 #: Pre-tokens that a worker remembers.
-MEMORY = 250_000
-#: Characters of text whose pre-tokens are held at once.
-HELD_CHARS = 2_000_000
+MEMORY = 200_000
+#: Bytes of text whose pre-tokens are held at once.
+HELD_CHARS = 1_500_000
 #: Bytes beyond which a pre-token is merged alone.
 LONG = 512
 NONE = np.int32(2**31 - 1)
@@ -341,18 +341,6 @@ def load_vocabulary(path: str) -> Vocabulary:
         return Vocabulary(file.readlines())
 
 
-def _held(texts: Iterator[list[str | None]]) -> Iterator[tuple[int, int, list[str | None]]]:
-    """Slices of a batch with at most HELD_CHARS characters, or one text."""
-    for batch in texts:
-        i, chars = 0, 0
-        for j, text in enumerate(batch):
-            chars += len(text or "")
-            if chars > HELD_CHARS and j > i:
-                yield i, j, batch[i:j]
-                i, chars = j, len(text or "")
-        yield i, len(batch), batch[i:]
-
-
 def encode(
     docs: DataFrame, path: str, pattern: str, keep: list[str], text_col: str = "text", ids: bool = True, digests: bool = False
 ) -> DataFrame:
@@ -369,20 +357,19 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value
         vocabulary = encoder.vocabulary
-        for batch in batches:
-            for i, j, texts in _held(iter([batch.column(len(keep)).to_pylist()])):
-                flat, per = encoder.encode(texts)
-                ends = np.cumsum(per)
-                out = [pa.array(per)]
-                if ids:
-                    out.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(flat)))
-                if digests:
-                    little = flat.astype("<u4")
-                    data, length = vocabulary.decode(flat)
-                    byte_ends = np.concatenate(([0], np.cumsum(length)))[ends].tolist()
-                    sha = lambda a, stops: [hashlib.sha256(a[x:y].tobytes()).hexdigest() for x, y in zip([0, *stops[:-1]], stops, strict=True)] if stops else []
-                    out += [pa.array(sha(little, ends.tolist()), pa.string()), pa.array(sha(data, byte_ends), pa.string())]
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[: len(keep)]), *out], names=[*batch.schema.names[: len(keep)], *made])
+        for batch in in_slices(batches, len(keep), HELD_CHARS):
+            flat, per = encoder.encode(batch.column(len(keep)).to_pylist())
+            ends = np.cumsum(per)
+            out = [pa.array(per)]
+            if ids:
+                out.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(flat)))
+            if digests:
+                little = flat.astype("<u4")
+                data, length = vocabulary.decode(flat)
+                byte_ends = np.concatenate(([0], np.cumsum(length)))[ends].tolist()
+                sha = lambda a, stops: [hashlib.sha256(a[x:y].tobytes()).hexdigest() for x, y in zip([0, *stops[:-1]], stops, strict=True)] if stops else []
+                out += [pa.array(sha(little, ends.tolist()), pa.string()), pa.array(sha(data, byte_ends), pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], names=[*batch.schema.names[: len(keep)], *made])
 
     return renamed(source.mapInArrow(run, schema), keep, made)
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.common import Shared, bounded_broadcast
-from sievework.llm.packing import numbered, renamed
+from sievework.llm.packing import in_slices, numbered, renamed
 
 SLOTS, EXCERPT, PIECES = 128, 1500, 5
 LEVEL, BLOCK, SHORT = 5, 4096, 400
@@ -111,7 +111,7 @@ def identify(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Compressors(shared.value).judge
-        for batch in batches:
+        for batch in in_slices(batches, len(keep)):
             found = [judge(text.as_py(), margin) for text in batch.column(len(keep))]
             out = [pa.array([x[i] for x in found], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], names=[*batch.schema.names[: len(keep)], *made])

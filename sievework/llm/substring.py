@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.common import stored
-from sievework.llm.packing import numbered, packed, renamed, unpacked
+from sievework.llm.packing import in_slices, numbered, packed, renamed, unpacked
 from sievework.llm.words import Powers, Rolling, Words, scramble, slices
 
 WINDOW, SEED = 35, 8
@@ -86,15 +86,14 @@ def blocks(docs: DataFrame, text_col: str, window: int, seed: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        for batch in batches:
-            for i, j in slices(batch.column(2)):
-                row, first, many, offset, anchor, reach = _blocks(batch.column(2).slice(i, j - i), powers, window, seed)
-                keys = [c.slice(i, j - i).take(pa.array(row)) for c in batch.columns[:2]]
-                yield pa.RecordBatch.from_arrays(
-                    [*keys, pa.array(first.astype(np.int32)), pa.array(many.astype(np.int32)), pa.array(offset.astype(np.int32)),
-                     pa.array(anchor.view(np.int64)), pa.array(reach.view(np.int64))],
-                    names=["_k1", "_k2", "first", "many", "offset", "anchor", "reach"],
-                )
+        for batch in in_slices(batches, 2):
+            row, first, many, offset, anchor, reach = _blocks(batch.column(2), powers, window, seed)
+            keys = [c.take(pa.array(row)) for c in batch.columns[:2]]
+            yield pa.RecordBatch.from_arrays(
+                [*keys, pa.array(first.astype(np.int32)), pa.array(many.astype(np.int32)), pa.array(offset.astype(np.int32)),
+                 pa.array(anchor.view(np.int64)), pa.array(reach.view(np.int64))],
+                names=["_k1", "_k2", "first", "many", "offset", "anchor", "reach"],
+            )
 
     return docs.select("_k1", "_k2", text_col).mapInArrow(run, "_k1 long, _k2 int, first int, many int, offset int, anchor long, reach long")
 
@@ -104,7 +103,7 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        for batch in batches:
+        for batch in in_slices(batches, 0):
             texts = pa.array(unpacked(batch.column(0)), pa.large_binary())
             for i, j in slices(texts):
                 words = Words(texts.slice(i, j - i))
@@ -184,7 +183,7 @@ def remove_repeats(
     made = ["n_words", "n_removed", last]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, len(keep)):
             texts, lists = batch.column(len(keep)), batch.column(len(keep) + 1)
             total, removed, kept = [], [], []
             for i, text in enumerate(unpacked(texts)):

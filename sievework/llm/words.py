@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute
 
 #: Bytes of text whose arrays are held at once; a longer text is held alone.
-HELD_BYTES = 1_000_000
+HELD_BYTES = 400_000
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 SPACE = np.zeros(256, bool)
