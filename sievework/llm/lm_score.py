@@ -33,7 +33,7 @@ from sievework.llm.words import slices
 
 ORDER, K = 5, 8.0
 #: Bytes of text in a block.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 10_000_000
 #: Bytes of text taken at once.
 HELD = 2_000_000
 PAD = b"\n" * (ORDER - 1)
@@ -106,8 +106,8 @@ def score_texts(docs: DataFrame, table: DataFrame, keep: list[str], text_col: st
     key = [F.xxhash64(text_col).alias("_k1"), F.hash(text_col).alias("_k2")]
     keyed, _ = numbered(docs, keep, *key, F.col(text_col).alias("_text"))
     blocks = max(1, math.ceil((docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0) / block_bytes))
-    once = keyed.where("_text <> ''").groupBy("_k1", "_k2").agg(F.first("_text").alias("_text"))
-    texts = stored(packed(once.select("_k1", "_k2", F.pmod("_k1", F.lit(blocks)).cast("int").alias("block"), "_text")))
+    once = packed(keyed.where("_text <> ''").select("_k1", "_k2", "_text")).groupBy("_k1", "_k2").agg(F.first("_packed").alias("_packed"))
+    texts = stored(once.withColumn("block", F.pmod("_k1", F.lit(blocks)).cast("int")))
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _ in whole_groups(batches, ["block"]):
