@@ -16,13 +16,16 @@ def expand_queries(products: DataFrame, templates: DataFrame, supplier_domains:
 
     ``templates`` is (plan_idx, label, scope, query); ``{name}``, ``{sku}`` and ``{dist}`` are filled in.
     Templates with ``{sku}`` need 8 to 14 digits, those with ``{dist}`` a supplier that contains one of
-    ``supplier_domains`` (substring, domain; the first that fits).  A template list is small and broadcast.
+    ``supplier_domains`` (substring, domain; the first that fits).  The templates, a list somebody wrote, become one array
+    that each product opens: no join.
     """
     supplier = F.lower(F.coalesce(F.col("supplier"), F.lit("")))
     domain = F.coalesce(*[F.when(F.contains(supplier, F.lit(s.lower())), F.lit(d)) for s, d in supplier_domains], F.lit(None).cast("string"))
     sku = F.when(F.rlike(F.coalesce(F.col("sku").cast("string"), F.lit("")), F.lit("^[0-9]{8,14}$")), F.col("sku").cast("string"))
     known = products.select(F.col(id_col), F.col("name").alias("_name"), sku.alias("_sku"), domain.alias("_dist"))
-    planned = known.crossJoin(F.broadcast(templates))
+    rows = templates.select("plan_idx", "label", "scope", "query").collect()
+    each = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("plan_idx", "label", "scope", "query")]) for r in rows])
+    planned = known.withColumn("_t", F.explode(each)).select(*known.columns, "_t.*")
     needs = lambda mark: F.contains(F.concat_ws(" ", "label", "scope", "query"), F.lit(mark))
     planned = planned.where((~needs("{sku}") | F.col("_sku").isNotNull()) & (~needs("{dist}") | F.col("_dist").isNotNull()))
 
@@ -74,16 +77,23 @@ def _word_list(c: str) -> Column:
 def _by_seed(long: DataFrame, parts: DataFrame, body: str) -> DataFrame:
     """``long`` with each segment that shares a run of words with it; ``_a`` and ``_b`` are its row key.
 
-    A segment's inner words are whole words wherever it stands, so texts that hold it have its seed.  Only row
-    keys and hashes are exploded.  Segments of few words meet every text; they must be a small list.
+    A segment's inner words are whole words wherever it stands, so texts that hold it have its seed: the first of them, up to
+    ``SEED_WORDS``.  Only row keys and hashes are exploded.  Segments of one or two words have no inner word and meet every text;
+    they must be a small list.
     """
-    seeded = parts.where(F.size(_word_list("segment")) >= SEED_WORDS + 2)
-    seeds = seeded.select("segment", F.xxhash64(F.slice(_word_list("segment"), 2, SEED_WORDS)).alias("_seed"))
-    listed = long.select("_a", "_b", _word_list(body).alias("_w")).where(F.size("_w") > SEED_WORDS)
-    runs = F.transform(F.sequence(F.lit(1), F.size("_w") - SEED_WORDS + 1), lambda i: F.xxhash64(F.slice("_w", i, SEED_WORDS)))
-    met = listed.select("_a", "_b", F.explode(F.array_distinct(runs)).alias("_seed")).join(bounded_broadcast(seeds), "_seed").select("_a", "_b", "segment").distinct()
-    few = parts.where(F.size(_word_list("segment")) < SEED_WORDS + 2).select("segment")
-    return long.join(met, ["_a", "_b"]).unionByName(long.crossJoin(bounded_broadcast(few, 10_000)))
+    inner = F.least(F.size(_word_list("segment")) - 2, F.lit(SEED_WORDS))
+    seeds = parts.where(F.size(_word_list("segment")) > 2).select("segment", F.xxhash64(F.slice(_word_list("segment"), F.lit(2), inner)).alias("_seed"), inner.alias("_n"))
+    sizes = [r["_n"] for r in seeds.select("_n").distinct().collect()]  # at most SEED_WORDS numbers
+    listed = long.select("_a", "_b", _word_list(body).alias("_w"))
+
+    def runs(n: int) -> Column:
+        return F.when(F.size("_w") > n, F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - n + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("_w", i, n))))
+
+    every = F.array_distinct(F.flatten(F.array_compact(F.array(*map(runs, sizes))))) if sizes else F.array().cast("array<bigint>")
+    met = listed.select("_a", "_b", F.explode(every).alias("_seed")).join(bounded_broadcast(seeds.drop("_n")), "_seed").select("_a", "_b", "segment").distinct()
+    few = parts.where(F.size(_word_list("segment")) <= 2).select("segment")
+    joined = long.join(met, ["_a", "_b"])
+    return joined if few.isEmpty() else joined.unionByName(long.crossJoin(bounded_broadcast(few, 10_000)))
 
 
 def trim_splices(

@@ -87,10 +87,15 @@ def canonical_batch(spark, sf_dir):
     return out.select("c_custkey", "ok", F.array_join("issues", ",").alias("issues"), F.col("normalized.country").alias("country"), F.array_join("normalized.region", ";").alias("region"), F.array_join("normalized.grapes", ";").alias("grapes"))
 
 
+def languages(docs):
+    """The languages that documents have, as one array: a few short codes."""
+    return F.array(*[F.lit(r["lang"]) for r in docs.select("lang").where("lang IS NOT NULL").distinct().collect()]).cast("array<string>")
+
+
 def corroboration_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     claims = table(spark, sf_dir, "benchmark").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{6,})"), 1))).alias("claim")).distinct()
-    groups = docs.select("lang").distinct().crossJoin(F.broadcast(claims))  # four languages
+    groups = claims.withColumn("lang", F.explode(languages(docs)))
     aliases = claims.select("claim", F.concat("claim", F.lit("s")).alias("alias"))
     blocks = docs.select("lang", F.col("source").alias("family"), F.lower("text").alias("body"))
     return evidence.corroboration(groups, blocks, aliases, "lang")
@@ -228,7 +233,7 @@ SELECT c_custkey, concat_ws(',', CASE WHEN unknown_c THEN 'unknown_country' END,
   coalesce(country, CASE WHEN has_r THEN own END) AS country,
   CASE WHEN has_r AND canon THEN n_name || CASE WHEN n_nationkey >= 20 THEN ';' || (SELECT n2.n_name FROM nation n2 WHERE n2.n_nationkey = c.n_nationkey - 20) ELSE '' END ELSE '' END AS region,
   CASE WHEN c_mktsegment = 'MACHINERY' THEN '' ELSE c_mktsegment END AS grapes FROM c""",
-    "corroboration_counts": r"""WITH cl AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS claim FROM benchmark), g AS (SELECT lang, claim FROM (SELECT DISTINCT lang FROM documents), cl),
+    "corroboration_counts": r"""WITH cl AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS claim FROM benchmark), g AS (SELECT lang, claim FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL), cl),
 b AS (SELECT DISTINCT lang, source, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS word FROM documents), a AS (SELECT claim, claim AS word FROM cl UNION SELECT claim, claim || 's' FROM cl),
 h AS (SELECT lang, claim, count(DISTINCT source) AS n FROM b JOIN a USING (word) GROUP BY 1, 2)
 SELECT lang, claim, coalesce(n, 0) AS n_sources FROM g LEFT JOIN h USING (lang, claim)""",

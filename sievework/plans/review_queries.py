@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sievework.common import table
 from sievework.functions import text
 from sievework.operators import analytics, dictionary, evidence, refdata, rules, scoring, selection, taxonomy
+from sievework.plans.graph_queries import languages
 
 NOUN = F.split("p_name", " ")[1]
 
@@ -117,7 +118,7 @@ def unsupported_claims(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     word = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{6,})"), 1)))
     claims = table(spark, sf_dir, "benchmark").select("item_id", word.alias("claim")).select(F.when(F.col("item_id") % 2 == 0, F.reverse("claim")).otherwise(F.col("claim")).alias("claim")).distinct()
-    groups = docs.select("lang").distinct().join(claims)
+    groups = claims.withColumn("lang", F.explode(languages(docs)))
     blocks = docs.select("lang", F.col("source").alias("family"), F.lower("text").alias("body"))
     return evidence.unsupported(evidence.corroboration(groups, blocks, claims.select("claim", F.col("claim").alias("alias")), "lang")).select("lang", "claim")
 

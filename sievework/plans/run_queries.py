@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from sievework.common import table
+from sievework.common import scratch, table
 from sievework.operators import analytics, scoring, store
 from sievework.sources import html_tables as html
 from sievework.streaming import progress as prog
@@ -190,11 +188,15 @@ def latest_per_job(spark, sf_dir):
 
 
 def _drained(spark, frame, mode):
-    """A stream run to its end into an in-memory table of its own."""
-    name = f"drained_{uuid.uuid4().hex}"
-    query = frame.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+    """A stream run to its end; what each batch puts out is written under its number, so that one done again replaces itself."""
+    out = scratch(spark)
+
+    def keep(rows, batch):
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    query = frame.writeStream.outputMode(mode).option("checkpointLocation", scratch(spark)).foreachBatch(keep).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.table(name)
+    return spark.read.parquet(out)
 
 
 def _event_stream(spark, sf_dir):
@@ -205,22 +207,31 @@ def _event_stream(spark, sf_dir):
 def progress_stream(spark, sf_dir):
     """State of every job after all its events, by the stateful stream."""
     rows = _drained(spark, prog.progress_stream(_event_stream(spark, sf_dir).withColumnRenamed("event_type", "type"), "user_id"), "update")
-    return rows.groupBy("user_id").agg(*[F.last(c).alias(c) for c in ("done", "ended", "errors")])
+    return rows.groupBy("user_id").agg(*[F.max_by(c, "batch").alias(c) for c in ("done", "ended", "errors")])
 
 
 def windowed_status(spark, sf_dir):
     rows = _drained(spark, prog.windowed_counts(_event_stream(spark, sf_dir), "ts", "event_type", "1 day", "1 day"), "complete")
-    return rows.select("start", "event_type", "n")
+    return rows.groupBy("start", "event_type").agg(F.max_by("n", "batch").alias("n"))
 
 
 def html_name_tables(spark, sf_dir):
-    """The name tables of pages that Spark renders from the parts: one page per brand."""
-    row = F.concat(F.lit("<tr><td>"), "p_name", F.lit("</td><td><b>"), F.lower("p_type"), F.lit("</b></td><td>"), F.lit("Size "), "p_size", F.lit(", Brand; "), "p_brand", F.lit(" and rest</td></tr>"))
-    part = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_list(row)), "").alias("rows"))
-    head = "<html><table><tr><td>other</td></tr></table><table class=wikitable><tr><th>Grape variety</th><th>Colour</th><th>Regions</th></tr>"
-    pages = part.select("p_brand", F.concat(F.lit(head), "rows", F.lit("</table></html>")).alias("html"))
-    found = html.name_tables(html.html_tables(pages, "html", ["p_brand"]), ["p_brand"], "grape|variety")
-    return found.select("p_brand", "name", "colour", F.array_join("regions", "|").alias("regions"))
+    """The name tables of whole pages, each of which gets one beside another table at its end."""
+    k = F.col("page_id")
+    row = F.concat(F.lit("<tr><td>Name "), k, F.lit("</td><td><b>kind "), k % 3, F.lit("</b></td><td>Place "), k % 7, F.lit(", North; South and rest</td></tr>"))
+    head = "<table><tr><td>other</td></tr></table><table class=wikitable><tr><th>Grape variety</th><th>Colour</th><th>Regions</th></tr>"
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.coalesce("html", F.lit("")), F.lit(head), row, F.lit("</table>")).alias("html"))
+    found = html.name_tables(html.html_tables(pages, "html", ["page_id"]), ["page_id"], "grape|variety")
+    return found.select("page_id", "name", "colour", F.array_join("regions", "|").alias("regions"))
+
+
+def run_progress(spark, sf_dir):
+    """Runs of real event kinds: plans, phases that start, count items and end, errors that stop what runs."""
+    e, k = table(spark, sf_dir, "events"), F.col("event_id")
+    kind = F.create_map(*[F.lit(x) for x in ("signup", "run_plan", "view", "phase_start", "click", "progress", "purchase", "phase_end", "error", "error")])[F.col("event_type")]
+    phase = F.when(~F.col("event_type").isin("signup", "error"), F.element_at(F.array(*map(F.lit, prog.PHASES)), (k % 3 + 1).cast("int")))
+    rows = e.select(F.col("user_id").alias("run_id"), kind.alias("type"), "ts", phase.alias("phase"), (k % 10).alias("index"), F.lit(12).cast("long").alias("total"))
+    return prog.progress(rows.union(rows)).select("run_id", "phase", "state", "done")  # every event twice: replays count once
 
 
 def parse_reply(spark, sf_dir):
@@ -250,7 +261,7 @@ def score_gate(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     protected_upsert, apply_tags, apply_edits, reset_human, skip_human, legacy_status, export_tags, render_tags, status_counts, retention, history_backfill, product_history, run_results,
     run_summary, remaining, phase_counts, run_outcome, tool_call_counts, submitted_values, submit_attempts, replay_resolve, replay_diff, usage_rollup, event_dedupe, phase_rate,
-    overall_fraction, overall_eta, latest_per_job, progress_stream, windowed_status, html_name_tables, parse_reply, reask_loop, score_gate,
+    overall_fraction, overall_eta, latest_per_job, progress_stream, windowed_status, html_name_tables, run_progress, parse_reply, reask_loop, score_gate,
 )}
 
 STORE = """WITH s AS (SELECT c_custkey, c_name, c_acctbal - 1 AS c_acctbal, 'old' AS note, CASE WHEN c_custkey % 7 = 0 THEN 'human' WHEN c_custkey % 3 = 0 THEN 'model' ELSE 'pending' END AS tag_status,
@@ -315,7 +326,11 @@ p AS (SELECT *, max(CASE WHEN event_type = 'signup' THEN i ELSE 0 END) OVER (PAR
 q AS (SELECT *, min(CASE WHEN event_type = 'purchase' AND i > plan THEN i END) OVER (PARTITION BY user_id) AS fin FROM p)
 SELECT user_id, sum((event_type = 'click' AND i > plan AND (fin IS NULL OR i < fin))::INT)::BIGINT AS done, max((event_type = 'purchase' AND i > plan)::INT)::BIGINT AS ended, sum((event_type = 'error' AND i > plan)::INT)::BIGINT AS errors FROM q GROUP BY 1""",
     "windowed_status": "SELECT date_trunc('day', ts)::TIMESTAMP AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
-    "html_name_tables": "SELECT p_brand, p_name AS name, lower(p_type) AS colour, 'Size ' || p_size || '|Brand|' || p_brand || '|rest' AS regions FROM part",
+    "html_name_tables": "SELECT page_id, 'Name ' || page_id AS name, 'kind ' || page_id % 3 AS colour, 'Place ' || page_id % 7 || '|North|South|rest' AS regions FROM pages",
+    "run_progress": """WITH p AS (SELECT user_id, max(ts) FILTER (event_type = 'signup') AS plan FROM events GROUP BY 1), e AS (SELECT events.*, ['search', 'score', 'tag'][event_id % 3 + 1] AS phase FROM events JOIN p USING (user_id) WHERE plan IS NULL OR ts >= plan),
+s AS (SELECT user_id, count(*) AS errors FROM e WHERE event_type = 'error' GROUP BY 1), g AS (SELECT user_id, phase, bool_or(event_type = 'purchase') AS ended, bool_or(event_type = 'view') AS started,
+  coalesce(max(event_id % 10 + 1) FILTER (event_type = 'click'), 0) AS done FROM e WHERE event_type NOT IN ('signup', 'error') GROUP BY 1, 2)
+SELECT user_id AS run_id, phase, CASE WHEN ended THEN 'done' WHEN errors > 0 THEN 'stopped' WHEN started OR done > 0 THEN 'active' ELSE 'pending' END AS state, CASE WHEN ended THEN 12 ELSE done END AS done FROM g LEFT JOIN s USING (user_id)""",
     "parse_reply": """SELECT doc_id, CASE WHEN doc_id % 10 > 0 THEN least(100, n_chars % 150)::INT END AS s1, CASE WHEN doc_id % 10 > 0 THEN (doc_id % 90)::INT END AS s2, CASE WHEN doc_id % 10 > 0 THEN 'grape,region' END AS f2 FROM documents""",
     "reask_loop": r"""SELECT doc_id, round_even(100 * (SELECT count(DISTINCT w) FROM unnest(regexp_split_to_array(lower(text), '\s+')) t(w) WHERE w IN ('the', 'and', 'for')) / 3, 0)::INT AS score, FALSE AS unscored FROM documents""",
     "score_gate": "SELECT doc_id, CASE WHEN NOT (contains(lower(text), 'src') OR contains(lower(text), substr(source, 4, 1)) OR (length(source) > 4 AND contains(lower(text), substr(source, 5, 1)))) THEN 'producer_absent' END AS dropped_reason FROM documents",
