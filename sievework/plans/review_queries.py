@@ -9,7 +9,9 @@ from sievework.functions import text
 from sievework.operators import analytics, dictionary, evidence, refdata, rules, scoring, selection, taxonomy
 from sievework.plans.graph_queries import languages
 
-NOUN = F.split("p_name", " ")[1]
+
+def _noun():
+    return F.split("p_name", " ")[1]
 
 
 def _place(name):
@@ -147,7 +149,7 @@ def white_only(spark, sf_dir):
     p = F.col("p_partkey")
     category = F.when(p % 4 == 0, "red").when(p % 4 == 1, "rose").when(p % 4 == 2, "white")
     colours = F.when(p % 3 == 0, F.array(F.lit("white"), F.lit("white"))).when(p % 3 == 1, F.array(F.lit("white"), F.lit("red"))).otherwise(F.array().cast("array<string>"))
-    return table(spark, sf_dir, "part").select("p_partkey", evidence.white_grapes_only(category, colours, F.array(NOUN), ["rod"]).alias("white_only"))
+    return table(spark, sf_dir, "part").select("p_partkey", evidence.white_grapes_only(category, colours, F.array(_noun()), ["rod"]).alias("white_only"))
 
 
 def origin_named(spark, sf_dir):
@@ -166,9 +168,9 @@ def origin_named(spark, sf_dir):
 
 def longer_regions(spark, sf_dir):
     """Orders claim a part's noun; up to three sources name the part's whole name or the noun alone."""
-    rows = _ordered_parts(spark, sf_dir).withColumn("noun", NOUN)
+    rows = _ordered_parts(spark, sf_dir).withColumn("noun", _noun())
     part = table(spark, sf_dir, "part")
-    labels = part.select(F.lit("x").alias("scope"), F.col("p_name").alias("entity")).union(part.select(F.lit("x"), NOUN)).distinct().select("scope", "entity", F.col("entity").alias("alias"), F.lit(True).alias("is_canonical"))
+    labels = part.select(F.lit("x").alias("scope"), F.col("p_name").alias("entity")).union(part.select(F.lit("x"), _noun())).distinct().select("scope", "entity", F.col("entity").alias("alias"), F.lit(True).alias("is_canonical"))
     tree = taxonomy.closure(labels.select(F.col("entity").alias("id"), F.lit(None).cast("string").alias("parent_id")))
     o = F.col("o_orderkey")
     said = F.array(
@@ -204,7 +206,7 @@ def region_from_name(spark, sf_dir):
 
 
 def replaced_regions(spark, sf_dir):
-    new = evidence.replace_region(F.array("p_brand", NOUN, F.lit("widget"), F.lit("wid")), F.array(F.col("p_name"), F.lit("goods")))
+    new = evidence.replace_region(F.array("p_brand", _noun(), F.lit("widget"), F.lit("wid")), F.array(F.col("p_name"), F.lit("goods")))
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(new, "|").alias("regions"))
 
 
@@ -221,7 +223,7 @@ def _slug(p):
 
 def colour_conflict(spark, sf_dir):
     p = F.col("p_partkey")
-    own = F.when(p % 4 == 2, F.array(NOUN, F.lit("white"))).otherwise(F.array(NOUN))
+    own = F.when(p % 4 == 2, F.array(_noun(), F.lit("white"))).otherwise(F.array(_noun()))
     hit = text.value_conflict(text.slug_words(_slug(p)), F.when(p % 4 == 3, "white").otherwise("red"), {"red": ["white", "rose"]}, own)
     return table(spark, sf_dir, "part").select("p_partkey", hit.alias("conflict"))
 
@@ -235,13 +237,13 @@ def search_echo(spark, sf_dir):
 def content_gates(spark, sf_dir):
     p = F.col("p_partkey")
     rows = table(spark, sf_dir, "part").select(
-        "p_partkey", F.when(p % 7 == 0, "earlier").alias("dropped_reason"), F.when(p % 3 == 0, F.concat(F.lit("results for "), "p_name")).otherwise("a body").alias("body"), _slug(p).alias("url"), F.lit("red").alias("category"), F.array(NOUN).alias("own"))
+        "p_partkey", F.when(p % 7 == 0, "earlier").alias("dropped_reason"), F.when(p % 3 == 0, F.concat(F.lit("results for "), "p_name")).otherwise("a body").alias("body"), _slug(p).alias("url"), F.lit("red").alias("category"), F.array(_noun()).alias("own"))
     return scoring.content_gates(rows, "results for (.+)", {"red": ["white"]}, "own").select("p_partkey", "dropped_reason")
 
 
 def name_coverage(spark, sf_dir):
     p = F.col("p_partkey")
-    body = F.when(p % 3 == 0, F.concat(F.lit("Hot Rod Cold Gear Old Anvil New Plate "), F.initcap("p_name"))).when(p % 3 == 1, F.concat(F.lit("this is the "), "p_name")).otherwise(NOUN)
+    body = F.when(p % 3 == 0, F.concat(F.lit("Hot Rod Cold Gear Old Anvil New Plate "), F.initcap("p_name"))).when(p % 3 == 1, F.concat(F.lit("this is the "), "p_name")).otherwise(_noun())
     return table(spark, sf_dir, "part").select("p_partkey", scoring.name_coverage(F.split("p_name", " "), F.lower(body), body).alias("covered"))
 
 
@@ -255,7 +257,7 @@ def scored_snippets(spark, sf_dir):
     """Orders as snippets of their part: two that score and three that a gate each drops."""
     o = F.col("o_orderkey")
     rows = _ordered_parts(spark, sf_dir)
-    body = F.when(o % 5 == 0, F.concat(F.lit("the "), "p_name", F.lit(" is here"))).when(o % 5 == 1, F.concat(F.lit("only "), NOUN, F.lit(" here"))).when(o % 5 == 2, F.concat(F.lit("results for "), "p_name")).when(o % 5 == 3, F.col("p_name")).otherwise("nothing of it")
+    body = F.when(o % 5 == 0, F.concat(F.lit("the "), "p_name", F.lit(" is here"))).when(o % 5 == 1, F.concat(F.lit("only "), _noun(), F.lit(" here"))).when(o % 5 == 2, F.concat(F.lit("results for "), "p_name")).when(o % 5 == 3, F.col("p_name")).otherwise("nothing of it")
     url = F.when(o % 5 == 3, "http://s.com/x-white").otherwise("http://s.com/x")
     df = rows.select(
         F.col("p_partkey").alias("product_id"), o.alias("pos"), F.col("p_name").alias("name"), F.lit("red").alias("category"), F.split("p_name", " ").alias("tokens"), F.split("p_name", " ").alias("own"),
@@ -290,7 +292,7 @@ def phase_states(spark, sf_dir):
 
 def wine_search(spark, sf_dir):
     """Status equality and a substring over text and array columns."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", F.array(F.lower("p_type"), NOUN).alias("regions"), F.when(F.col("p_partkey") % 2 == 0, "model").otherwise("human").alias("tag_status"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", F.array(F.lower("p_type"), _noun()).alias("regions"), F.when(F.col("p_partkey") % 2 == 0, "model").otherwise("human").alias("tag_status"))
     return rules.search(part, " ECO", ["p_name", "p_brand", "regions"], {"tag_status": "model"}).select("p_partkey")
 
 
@@ -387,7 +389,7 @@ def label_union(spark, sf_dir):
 
 def synonym_changes(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    old, new = part.select("p_partkey", F.split("p_name", " ").alias("syn")), part.select("p_partkey", F.array(NOUN, F.col("p_brand")).alias("syn"))
+    old, new = part.select("p_partkey", F.split("p_name", " ").alias("syn")), part.select("p_partkey", F.array(_noun(), F.col("p_brand")).alias("syn"))
     out = refdata.synonym_changes(old, new, ["p_partkey"], "syn")
     return out.select("p_partkey", F.array_join("gained", "|").alias("gained"), F.array_join("lost", "|").alias("lost"))
 
