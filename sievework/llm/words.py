@@ -7,9 +7,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 
 #: Bytes of text whose arrays are held at once; a longer text is held alone.
 HELD_BYTES = 400_000
+#: Polynomials modulo 2**64 tell spans of up to this many bytes apart well; those of a thousand and more have known collisions.
+LONG_WORD = 256
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 SPACE = np.zeros(256, bool)
@@ -90,4 +93,8 @@ class Words:
     def hashes(self, powers: Powers) -> np.ndarray:
         """A 64-bit hash of each word."""
         rolling = Rolling(self.data.astype(np.uint64) + np.uint64(1), powers)
-        return scramble(rolling.span(self.start, self.stop) + (self.stop - self.start).astype(np.uint64))
+        size = self.stop - self.start
+        hashed = scramble(rolling.span(self.start, self.stop) + size.astype(np.uint64))
+        for i in np.flatnonzero(size > LONG_WORD):  # texts without spaces: few, however long
+            hashed[i] = xxhash.xxh3_64_intdigest(self.data[self.start[i] : self.stop[i]])
+        return hashed

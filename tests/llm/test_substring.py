@@ -39,6 +39,14 @@ def test_awkward_documents(spark):
     check(spark, awkward())
 
 
+def test_long_words_of_equal_polynomials_differ(spark):
+    """Thue-Morse words: polynomials modulo 2**64 are equal for both, whatever the base."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    two = one.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"w{i}" for i in range(34))
+    check(spark, [(1, f"{one} {rest}", "en", "a"), (2, f"{two} {rest}", "en", "a"), (3, f"x {one} {rest}", "en", "a")])
+
+
 def test_small_window(spark):
     check(spark, [(1, "a b c d e f g h i j x", "en", "a"), (2, "y a b c d e f g h i j", "en", "a"), (3, "a b c d e f g h i", "en", "a")], window=10)
 
