@@ -234,6 +234,34 @@ def run_progress(spark, sf_dir):
     return prog.progress(rows.union(rows)).select("run_id", "phase", "state", "done")  # every event twice: replays count once
 
 
+def _run_events(spark, sf_dir):
+    """Events as those of runs that plan, resume, run, pause, end and stop."""
+    k, kind = F.col("event_id"), F.col("event_type")
+    name = (
+        F.when(kind == "signup", F.when(k % 4 == 0, "run_plan").when(k % 4 == 1, "info").otherwise("paused")).when(kind == "view", F.when(k % 2 == 0, "phase_start").otherwise("wine_start"))
+        .when(kind == "click", "progress").when(kind == "purchase", F.when(k % 2 == 0, "phase_end").otherwise("progress")).when(k % 2 == 0, "error").otherwise("exit")
+    )
+    phase = lambda n: F.element_at(F.array(*map(F.lit, prog.PHASES)), (n % 3 + 1).cast("int"))
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("run_id"), "event_id", "ts", name.alias("type"), F.when(~name.isin("run_plan", "error", "exit"), phase(k)).alias("phase"), (k % 10).alias("index"),
+        F.when(k % 5 < 4, 12 + k % 3).alias("total"), F.concat(F.lit("item "), k % 10).alias("name"), (k % 7).alias("cursor"), phase(k).alias("resume_phase"),
+        F.when(k % 3 < 2, phase(F.floor(k / 3))).alias("stop_after"),
+    )
+
+
+def run_bars(spark, sf_dir):
+    """Every phase's bar by the full state machine, over each event twice: replays count once."""
+    rows = _run_events(spark, sf_dir)
+    return prog.run_bars(rows.union(rows), seq="event_id")
+
+
+def bars_eta(spark, sf_dir):
+    """Seconds left at the time of a run's last event; phases of odd totals have a rate of their own, of 10 seconds."""
+    rows = _run_events(spark, sf_dir)
+    bars = prog.run_bars(rows, seq="event_id").join(rows.groupBy("run_id").agg(F.max(prog.seconds("ts")).alias("now")), "run_id")
+    return prog.bars_eta(bars, "run_id", F.when(F.col("total") % 2 == 1, 10.0), F.col("now")).select("run_id", F.round("eta", 3).alias("eta"))
+
+
 def parse_reply(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     made = F.when(F.col("doc_id") % 10 == 0, "no reply").otherwise(F.concat(F.lit('Sure: {"1": '), F.col("n_chars") % 150, F.lit(', "2": {"score": '), F.col("doc_id") % 90, F.lit(', "facts": ["region", "bad", "grape"]}} ok')))
@@ -261,7 +289,7 @@ def score_gate(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     protected_upsert, apply_tags, apply_edits, reset_human, skip_human, legacy_status, export_tags, render_tags, status_counts, retention, history_backfill, product_history, run_results,
     run_summary, remaining, phase_counts, run_outcome, tool_call_counts, submitted_values, submit_attempts, replay_resolve, replay_diff, usage_rollup, event_dedupe, phase_rate,
-    overall_fraction, overall_eta, latest_per_job, progress_stream, windowed_status, html_name_tables, run_progress, parse_reply, reask_loop, score_gate,
+    overall_fraction, overall_eta, latest_per_job, progress_stream, windowed_status, html_name_tables, run_progress, run_bars, bars_eta, parse_reply, reask_loop, score_gate,
 )}
 
 STORE = """WITH s AS (SELECT c_custkey, c_name, c_acctbal - 1 AS c_acctbal, 'old' AS note, CASE WHEN c_custkey % 7 = 0 THEN 'human' WHEN c_custkey % 3 = 0 THEN 'model' ELSE 'pending' END AS tag_status,
@@ -274,6 +302,23 @@ a AS (SELECT name, n, CASE WHEN contains(name, '_9') THEN 'phrase' WHEN l IS NUL
 b AS (SELECT name, n, CASE WHEN contains(name, '_9') THEN 'phrase' WHEN l IS NULL THEN 'unknown' WHEN k % 4 = 0 THEN 'placeholder' ELSE 'ok' END AS status FROM c LEFT JOIN (SELECT * FROM d WHERE k % 5 > 0) ON l = name)
 """
 
+BARS = """WITH e AS (SELECT *, CASE event_type WHEN 'signup' THEN ['run_plan', 'info', 'paused', 'paused'][event_id % 4 + 1] WHEN 'view' THEN ['phase_start', 'wine_start'][event_id % 2 + 1]
+  WHEN 'click' THEN 'progress' WHEN 'purchase' THEN ['phase_end', 'progress'][event_id % 2 + 1] ELSE 'stop' END AS kind, event_id % 3 AS ph, CASE WHEN event_id % 5 < 4 THEN 12 + event_id % 3 END AS tot FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, coalesce(list_position(['info', 'run_plan', 'phase_start', 'wine_start', 'progress', 'phase_end'], kind), 7), event_id) AS i FROM e),
+p AS (SELECT user_id, max(i) FILTER (kind = 'run_plan' OR (kind = 'info' AND tot IS NOT NULL)) AS pi, max(i) FILTER (kind = 'stop') AS si FROM o GROUP BY 1),
+r AS (SELECT p.user_id, pi, si, coalesce(tot, 0) AS ptot, event_id % 7 AS cur, ph AS first, CASE WHEN kind = 'run_plan' AND event_id % 3 < 2 THEN (event_id // 3) % 3 END AS last FROM p LEFT JOIN o ON o.user_id = p.user_id AND i = pi),
+f AS (SELECT o.* FROM o JOIN p USING (user_id) WHERE kind IN ('phase_start', 'wine_start', 'progress', 'phase_end') AND i > coalesce(pi, 0)),
+x AS (SELECT user_id, ph, min(i) FILTER (kind = 'phase_end') AS ei FROM f GROUP BY 1, 2),
+g AS (SELECT user_id, ph, max(i) AS mi, arg_max(tot, i) FILTER (tot IS NOT NULL) AS stot, max(event_id % 10 + 1) FILTER (kind = 'progress') AS dn, arg_max(kind, i) AS lk, arg_max(event_id, i) AS le, arg_max(ts, i) AS lt
+  FROM f JOIN x USING (user_id, ph) WHERE kind <> 'phase_end' AND (ei IS NULL OR i < ei) GROUP BY 1, 2),
+b AS (SELECT r.*, z.ph, ei, mi, lk, le, lt, coalesce(z.ph < first, FALSE) AS pre, CASE WHEN coalesce(z.ph < first, FALSE) THEN ptot ELSE coalesce(stot, CASE WHEN pi IS NULL THEN 0 ELSE ptot END) END AS tot,
+  greatest(CASE WHEN z.ph = first THEN least(cur, ptot) ELSE 0 END, coalesce(dn, 0)) AS n FROM r CROSS JOIN (SELECT unnest([0, 1, 2]) AS ph) z LEFT JOIN x ON x.user_id = r.user_id AND x.ph = z.ph LEFT JOIN g ON g.user_id = r.user_id AND g.ph = z.ph),
+c AS (SELECT *, CASE WHEN pre THEN tot WHEN ei IS NOT NULL THEN greatest(n, tot) ELSE n END AS done, CASE WHEN pre OR ei IS NOT NULL THEN 'done' WHEN mi IS NULL THEN 'pending' WHEN si > mi THEN 'stopped' ELSE 'running' END AS state FROM b),
+bars AS (SELECT user_id AS run_id, ['search', 'score', 'tag'][ph + 1] AS phase, state, done::BIGINT AS done, tot::BIGINT AS total, CASE WHEN last >= first THEN ph <= last ELSE TRUE END AS in_run, pi IS NOT NULL AS planned,
+  CASE WHEN sh THEN CASE WHEN lk = 'wine_start' THEN le % 10 ELSE done END END::BIGINT AS current_index, CASE WHEN sh AND lk = 'wine_start' THEN 'item ' || le % 10 END AS current_name, CASE WHEN sh THEN lt END AS since
+  FROM (SELECT *, state = 'running' AND (lk <> 'progress' OR done < tot) AS sh FROM c))
+"""
+
 SQL = {
     "protected_upsert": STORE + """, f AS (SELECT c_custkey, c_name, c_acctbal, CASE WHEN c_custkey % 5 = 0 THEN 'white' END AS category FROM customer)
 SELECT f.c_custkey, f.c_name, round(f.c_acctbal, 2) AS c_acctbal, note, coalesce(tag_status, 'pending') AS tag_status,
@@ -331,6 +376,11 @@ SELECT user_id, sum((event_type = 'click' AND i > plan AND (fin IS NULL OR i < f
 s AS (SELECT user_id, count(*) AS errors FROM e WHERE event_type = 'error' GROUP BY 1), g AS (SELECT user_id, phase, bool_or(event_type = 'purchase') AS ended, bool_or(event_type = 'view') AS started,
   coalesce(max(event_id % 10 + 1) FILTER (event_type = 'click'), 0) AS done FROM e WHERE event_type NOT IN ('signup', 'error') GROUP BY 1, 2)
 SELECT user_id AS run_id, phase, CASE WHEN ended THEN 'done' WHEN errors > 0 THEN 'stopped' WHEN started OR done > 0 THEN 'active' ELSE 'pending' END AS state, CASE WHEN ended THEN 12 ELSE done END AS done FROM g LEFT JOIN s USING (user_id)""",
+    "run_bars": BARS + "SELECT * FROM bars",
+    "bars_eta": BARS + """, n AS (SELECT user_id AS run_id, epoch(max(ts)) AS now FROM events GROUP BY 1),
+l AS (SELECT *, greatest(0, total - done) AS todo, CASE phase WHEN 'search' THEN 17.0 WHEN 'score' THEN 60.0 ELSE 30.0 END::DOUBLE AS typ FROM bars JOIN n USING (run_id))
+SELECT run_id, round(CASE WHEN bool_or(state = 'running') THEN sum(CASE WHEN NOT in_run OR state IN ('done', 'stopped') THEN 0 WHEN state = 'running' AND total % 2 = 1
+  THEN greatest(0, todo * 10.0::DOUBLE - greatest(0, coalesce(now - epoch(since), 0))) ELSE todo * typ END) END, 3) AS eta FROM l GROUP BY 1""",
     "parse_reply": """SELECT doc_id, CASE WHEN doc_id % 10 > 0 THEN least(100, n_chars % 150)::INT END AS s1, CASE WHEN doc_id % 10 > 0 THEN (doc_id % 90)::INT END AS s2, CASE WHEN doc_id % 10 > 0 THEN 'grape,region' END AS f2 FROM documents""",
     "reask_loop": r"""SELECT doc_id, round_even(100 * (SELECT count(DISTINCT w) FROM unnest(regexp_split_to_array(lower(text), '\s+')) t(w) WHERE w IN ('the', 'and', 'for')) / 3, 0)::INT AS score, FALSE AS unscored FROM documents""",
     "score_gate": "SELECT doc_id, CASE WHEN NOT (contains(lower(text), 'src') OR contains(lower(text), substr(source, 4, 1)) OR (length(source) > 4 AND contains(lower(text), substr(source, 5, 1)))) THEN 'producer_absent' END AS dropped_reason FROM documents",

@@ -47,6 +47,80 @@ def progress(events: DataFrame, run: str = "run_id", ts: str = "ts") -> DataFram
     return joined.select(run, "phase", state.alias("state"), "total", done.alias("done"), "started", "ended")
 
 
+#: Kinds of one time in the order in which a run emits them; all others come after.
+ORDER = ("info", "run_plan", "phase_start", "wine_start", "progress", "phase_end")
+
+
+def run_bars(events: DataFrame, run: str = "run_id", ts: str = "ts", seq: str = "index", live: bool = True) -> DataFrame:
+    """The bar of every phase of every run's last invocation: ``run, phase, state, done, total, in_run, planned, current_index, current_name, since``.
+
+    Columns read: ``type, phase, index, total, name, cursor, resume_phase, stop_after``, the run and the time; events of one time and
+    kind come by ``seq``.  A ``run_plan``, or an ``info`` with a phase and a total, plans anew: phases before the one it resumes are done,
+    that one starts at the cursor, and those after ``stop_after`` are not in the run.  Starts and items make a phase run, ``phase_end``
+    ends it for good, and an ``error`` or ``exit`` stops what runs until it goes on.  Without ``live`` nothing runs any more.
+
+    Replays of an event change nothing, so none need be dropped.  States are folded from maxima, so a run of any number of events is
+    counted in the tasks that read it.  Runs without a plan have totals from their events.  An empty table gives an empty result.
+    """
+    c, of = F.col, lambda cond, what: F.when(cond, what)
+    index_of = lambda x: F.array_position(F.array(*map(F.lit, PHASES)), x)  # noqa: E731  from 1; 0: no phase
+    rank = F.array_position(F.array(*map(F.lit, ORDER)), c("type"))
+    at = F.struct(c(ts).alias("t"), F.when(rank > 0, rank).otherwise(len(ORDER) + 1).alias("rank"), c(seq).alias("seq"))
+    told = (c("type") == "info") & (index_of(c("phase")) > 0) & c("total").isNotNull()
+    plans = told | (c("type") == "run_plan")
+    plan = F.struct(
+        F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("cursor", F.lit(0)).alias("cursor"),
+        F.greatest(F.lit(1), F.coalesce(index_of(F.when(told, c("phase")).otherwise(c("resume_phase"))), F.lit(0))).alias("first"),
+        F.coalesce(index_of(F.when(~told, c("stop_after"))), F.lit(0)).alias("last"),
+    )
+    timed = events.withColumn("_at", at)
+    runs = timed.groupBy(run).agg(
+        F.max_by(plan, of(plans, c("_at"))).alias("_plan"), F.max(of(plans, c("_at"))).alias("_from"), F.max(of(c("type").isin("error", "exit"), c("_at"))).alias("_stop"))
+
+    moves = c("type").isin("phase_start", "wine_start") | ((c("type") == "progress") & c("index").isNotNull())
+    steps = timed.where((index_of(c("phase")) > 0) & (moves | (c("type") == "phase_end"))).join(runs.select(run, "_from"), run)
+    steps = steps.where(c("_from").isNull() | (c("_at") > c("_from")))
+    ends = steps.where("type = 'phase_end'").groupBy(run, "phase").agg(F.min("_at").alias("_end"))
+    steps = steps.join(ends, [run, "phase"], "left").where(moves & (c("_end").isNull() | (c("_at") < c("_end"))))
+    folded = steps.groupBy(run, "phase").agg(
+        F.max("_at").alias("_moved"), F.max_by("total", of(c("total").isNotNull(), c("_at"))).alias("_total"), F.max(of(c("type") == "progress", c("index") + 1)).alias("_done"),
+        F.max_by(F.struct("type", "index", "name", c(ts).alias("t")), "_at").alias("_last"))
+
+    bars = runs.select("*", F.explode(F.array(*map(F.lit, PHASES))).alias("phase")).join(folded, [run, "phase"], "left").join(ends, [run, "phase"], "left")
+    at_phase, planned = index_of(c("phase")), c("_plan").isNotNull()
+    before = F.coalesce(at_phase < c("_plan.first"), F.lit(False))
+    total = F.when(before, c("_plan.total")).otherwise(F.coalesce("_total", "_plan.total", F.lit(0)))
+    start = F.when(at_phase == c("_plan.first"), F.least("_plan.cursor", "_plan.total")).otherwise(0)
+    counted = F.greatest(start, F.coalesce("_done", F.lit(0)))
+    done = F.when(before, total).when(c("_end").isNotNull(), F.greatest(counted, total)).otherwise(counted)
+    stopped = F.coalesce(c("_stop") > c("_moved"), F.lit(False)) | F.lit(not live)
+    state = F.when(before | c("_end").isNotNull(), "done").when(c("_moved").isNull(), "pending").when(stopped, "stopped").otherwise("running")
+    bars = bars.withColumns({"_t": total.cast("long"), "_n": done.cast("long"), "_state": state})
+    kind = c("_last.type")
+    shown = (c("_state") == "running") & ((kind != "progress") | (c("_n") < c("_t")))
+    last = F.when(c("_plan.last") >= c("_plan.first"), c("_plan.last")).otherwise(len(PHASES))
+    return bars.select(
+        run, "phase", c("_state").alias("state"), c("_n").alias("done"), c("_t").alias("total"), (at_phase <= last).alias("in_run"), planned.alias("planned"),
+        of(shown, F.when(kind == "wine_start", F.coalesce("_last.index", "_n")).otherwise(c("_n"))).cast("long").alias("current_index"),
+        of(shown & (kind == "wine_start"), c("_last.name")).alias("current_name"), of(shown, c("_last.t")).alias("since"),
+    )
+
+
+def bars_eta(bars: DataFrame, run: str, rate: Column, now: Column) -> DataFrame:
+    """Per run the seconds until its invocation ends or pauses: ``run, eta``; null if nothing runs.
+
+    A running phase takes what is left at its own rate, less what has passed since its last item, or at the typical rate while it has none;
+    those to come in this run take their typical time.
+    """
+    typical = F.create_map(*[F.lit(x) for kv in TYPICAL.items() for x in kv])
+    left = F.greatest(F.lit(0), F.col("total") - F.col("done"))
+    spent = F.greatest(F.lit(0.0), F.coalesce(now - seconds("since"), F.lit(0.0)))
+    own = F.when(rate.isNotNull(), F.greatest(F.lit(0.0), left * rate - spent))
+    running = F.col("state") == "running"
+    each = F.when(F.col("in_run") & (running | (F.col("state") == "pending")), F.coalesce(F.when(running, own), left * F.try_element_at(typical, F.col("phase"))))
+    return bars.groupBy(run).agg(F.when(F.max(running), F.sum(F.coalesce(each, F.lit(0.0)))).alias("eta"))
+
+
 def phase_rate(events: DataFrame, keys: list[str], ts: str, counted: Column, least: int = 3) -> DataFrame:
     """Mean seconds between counted events per key, null until there are ``least``."""
     prior = F.lag(seconds(ts)).over(Window.partitionBy(*keys).orderBy(ts, "index"))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,6 +194,48 @@ def test_progress_ignores_replays(spark):
     assert {r.phase: (r.state, r.done) for r in progress.progress(df).collect()} == {"search": ("done", 3), "score": ("stopped", 1)}
 
 
+def _folded(events):
+    """The bars of one run, event by event."""
+    bars, order = {p: ["pending", 0, 0, True] for p in progress.PHASES}, list(progress.PHASES)
+    for kind, phase, index, total, cursor, resume, stop in events:
+        if kind == "run_plan":
+            first = order.index(resume or "search")
+            last = order.index(stop) if stop and order.index(stop) >= first else 2
+            bars = {p: ["done", total, total, i <= last] if i < first else ["pending", min(cursor, total) if i == first else 0, total, i <= last] for i, p in enumerate(order)}
+        elif kind in ("error", "exit"):
+            for b in bars.values():
+                b[0] = "stopped" if b[0] == "running" else b[0]
+        elif phase and bars[phase][0] != "done":
+            b = bars[phase]
+            if kind == "phase_end":
+                b[:2] = "done", max(b[1], b[2])
+            elif kind in ("phase_start", "wine_start", "progress"):
+                b[0], b[2] = "running", b[2] if total is None else total
+                b[1] = max(b[1], index + 1) if kind == "progress" else b[1]
+    return {p: tuple(b) for p, b in bars.items()}
+
+
+def test_run_bars_fold_any_events(spark):
+    rng, rows, want = random.Random(5), [], {}
+    kinds = ["phase_start", "wine_start", "progress", "progress", "progress", "phase_end", "paused", "error", "exit"]
+    for run in range(60):
+        events = []
+        for _ in range(rng.randrange(1, 25)):
+            kind = "run_plan" if rng.random() < 0.12 else rng.choice(kinds)
+            plan = kind == "run_plan"
+            phase = None if plan or kind in ("error", "exit") else rng.choice(progress.PHASES)
+            events.append((kind, phase, rng.randrange(6), rng.randrange(3, 8) if plan or rng.random() < 0.7 else None, rng.randrange(9), rng.choice(progress.PHASES), rng.choice([None, *progress.PHASES])))
+        want[run] = _folded(events)
+        rows += [(run, float(i), *e, "x") for i, e in enumerate(events)] * rng.randrange(1, 3)
+    df = spark.createDataFrame(rows, "run_id int, ts double, type string, phase string, index int, total int, cursor int, resume_phase string, stop_after string, name string")
+    got = {}
+    for r in progress.run_bars(df).collect():
+        got.setdefault(r.run_id, {})[r.phase] = (r.state, r.done, r.total, r.in_run)
+    assert got == want
+    assert {r.state for r in progress.run_bars(df, live=False).collect()} <= {"pending", "done", "stopped"}
+    assert progress.run_bars(df.limit(0)).count() == 0
+
+
 def test_fold_state_is_order_free_within_a_batch():
     rows = [(3, "click", 3), (1, "signup", 1), (2, "click", 2), (4, "purchase", 4), (5, "click", 5)]
     assert progress.fold_state(rows, None) == {"done": 2, "ended": 1, "errors": 0}
