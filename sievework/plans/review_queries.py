@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sievework.common import table
 from sievework.functions import text
-from sievework.operators import analytics, dictionary, evidence, refdata, rules, scoring, selection, taxonomy
+from sievework.operators import analytics, dictionary, evidence, refdata, review, rules, scoring, selection, taxonomy
 from sievework.plans.graph_queries import languages
 
 
@@ -205,6 +205,29 @@ def region_from_name(spark, sf_dir):
     return evidence.region_from_name(rows, "claimed", "from_name", _tree(spark, sf_dir))
 
 
+def reviewed_tags(spark, sf_dir):
+    """Customers claim their region or nation; names and two sources name either, neither, or another: the whole review in one pass."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    placed = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", _place("n_name").alias("place"), F.lower("r_name").alias("land"))
+    tree = taxonomy.closure(placed.select(F.col("place").alias("id"), F.col("land").alias("parent_id")).union(region.select(F.lower("r_name"), F.lit(None).cast("string"))))
+    labels = placed.select(F.col("land").alias("scope"), F.col("place").alias("entity")).union(region.select(F.lower("r_name"), F.lower("r_name"))).select("scope", "entity", F.col("entity").alias("alias"), F.lit(True).alias("is_canonical"))
+    other = placed.select(((F.col("n_nationkey") + 24) % 25).alias("c_nationkey"), F.col("place").alias("other"))
+    cust = table(spark, sf_dir, "customer").join(placed, F.col("c_nationkey") == F.col("n_nationkey")).join(other, "c_nationkey")
+    turn, place, land = F.col("c_custkey") % 6, F.col("place"), F.col("land")
+    name = F.when(turn == 0, F.concat(F.lit("wine of "), place)).when(turn == 4, F.concat(F.lit("wine of "), "other")).otherwise("plain wine")
+    rows = cust.select(
+        F.col("c_custkey").alias("row"), name.alias("name"), F.lit("red").alias("category"), F.lit(None).cast("string").alias("scope"), (turn != 5).alias("submitted"), F.lit(False).alias("is_blend"),
+        (60 + F.col("c_custkey") % 40).alias("confidence"), F.array(F.lit("malbec")).alias("grapes"), F.array(F.lit("red")).alias("colours"),
+        F.when(turn.isin(2, 4), F.array(place, land)).otherwise(F.array(land)).alias("regions"), F.lit(False).alias("named_whole"),
+    )
+    said = F.when(turn.isin(1, 4), F.concat(F.lit("the "), place, F.lit(" malbec"))).when(turn == 3, F.concat(F.lit("malbec of "), land)).otherwise("a malbec")
+    families = F.when(turn == 3, F.array(F.lit("f1"))).otherwise(F.array(F.lit("f1"), F.lit("f2")))
+    blocks = cust.select(F.col("c_custkey").alias("row"), F.explode(families).alias("family"), said.alias("body"))
+    grapes = spark.range(1).select(F.lit("malbec").alias("claim"), F.lit("cot noir").alias("alias"))
+    out = review.review(rows, blocks, grapes, labels, tree)
+    return out.select(F.col("row").alias("c_custkey"), F.array_join("regions", "|").alias("regions"), F.array_join("reasons", ",").alias("reasons"), "confidence", "status")
+
+
 def replaced_regions(spark, sf_dir):
     new = evidence.replace_region(F.array("p_brand", _noun(), F.lit("widget"), F.lit("wid")), F.array(F.col("p_name"), F.lit("goods")))
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(new, "|").alias("regions"))
@@ -396,7 +419,7 @@ def synonym_changes(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     strip_classification, deep_closure, deep_cycles, below_node, region_candidates, lookup_labels, list_regions, list_by_edges, label_dims, mentioned_words, unsupported_claims, shares_named, blends_named_whole,
-    called_blends, white_only, origin_named, longer_regions, unsupported_regions, name_region, region_from_name, replaced_regions, organic_confirmed, colour_conflict, search_echo, content_gates, name_coverage,
+    called_blends, white_only, origin_named, longer_regions, unsupported_regions, name_region, region_from_name, reviewed_tags, replaced_regions, organic_confirmed, colour_conflict, search_echo, content_gates, name_coverage,
     url_only_tokens, scored_snippets, ranked_facts, truncated_bodies, best_score, phase_states, wine_search, event_filter, required_ids, picked_countries, linked_edges, filled_colours, lock_prune, lock_report,
     merged_names, slice_check, field_checks, found_labels, sibling_slices, label_union, synonym_changes,
 )}
@@ -432,6 +455,11 @@ SELECT o_orderkey, noun AS region, p_name AS longer, n, leaf_n FROM c WHERE n >=
     "name_region": "SELECT c_custkey, 'n' || c_nationkey AS region FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = c_custkey % 5",
     "region_from_name": """SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'r' || n_regionkey WHEN 1 THEN 'n' || c_nationkey WHEN 3 THEN 'n' || (c_nationkey + 1) % 25 END AS claimed, CASE WHEN c_custkey % 9 > 0 THEN 'n' || c_nationkey END AS from_name,
   CASE WHEN c_custkey % 9 = 0 THEN NULL WHEN c_custkey % 4 = 1 THEN 'agree' WHEN c_custkey % 4 = 3 THEN 'conflict' ELSE 'upgrade' END AS name_verdict FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    "reviewed_tags": """WITH c AS (SELECT c_custkey, c_custkey % 6 AS turn, 60 + c_custkey % 40 AS conf, lower(replace(n.n_name, '_', ' ')) AS place, lower(r_name) AS land, lower(replace(o.n_name, '_', ' ')) AS other
+  FROM customer JOIN nation n ON c_nationkey = n.n_nationkey JOIN region ON n_regionkey = r_regionkey JOIN nation o ON (c_nationkey + 1) % 25 = o.n_nationkey),
+x AS (SELECT *, CASE WHEN turn = 5 THEN 'no_submit' ELSE concat_ws(',', CASE turn WHEN 3 THEN 'single_source' WHEN 4 THEN 'name_region_conflict:' || other WHEN 2 THEN 'unsupported_region:' || place
+  WHEN 0 THEN NULL END, CASE WHEN conf < 80 THEN 'low_confidence' END) END AS reasons, CASE WHEN turn = 3 THEN least(conf, 69) ELSE conf END AS confidence FROM c)
+SELECT c_custkey, CASE WHEN turn IN (3, 5) THEN land ELSE place || '|' || land END AS regions, reasons, confidence, CASE WHEN reasons = '' AND confidence >= 80 THEN 'model' ELSE 'needs_review' END AS status FROM x""",
     "replaced_regions": "SELECT p_partkey, p_name || '|goods|' || p_brand || CASE WHEN split_part(p_name, ' ', 2) <> 'widget' THEN '|widget' ELSE '' END || '|wid' AS regions FROM part",
     "organic_confirmed": "SELECT doc_id, contains(h, 'and the') OR contains(h, ' que ') OR contains(h, 'src3') AS organic FROM (SELECT doc_id, lower(concat_ws(' ', text, source)) AS h FROM documents)",
     "colour_conflict": "SELECT p_partkey, p_partkey % 4 = 0 AS conflict FROM part",

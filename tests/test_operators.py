@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.operators import dictionary, evidence, refdata, rules, scoring, selection, snippets, store, taxonomy
+from sievework.operators import dictionary, evidence, refdata, review, rules, scoring, selection, snippets, store, taxonomy
 from sievework.sources import catalog, html_tables, sinks
 from sievework.streaming import progress
 
@@ -283,6 +283,40 @@ def test_shares_and_blends(spark):
     assert [r.x for r in spark.createDataFrame(rows, "c string, k array<string>, n array<string>").select(white.alias("x")).collect()] == [True, False, False, False, False]
 
 
+def test_review_upgrades_before_it_checks(spark):
+    edges = [("piedmont", None), ("barolo", "piedmont"), ("langhe", "piedmont"), ("beaujolais", None), ("brouilly", "beaujolais"), ("cote de brouilly", "beaujolais")]
+    tree = taxonomy.closure(spark.createDataFrame(edges, "id string, parent_id string"))
+    labels = spark.createDataFrame([("it" if i < 3 else "fr", e, e, True) for i, (e, _) in enumerate(edges)], "scope string, entity string, alias string, is_canonical boolean")
+    row = lambda i, name, regions, conf=90, submitted=True, blend=False, grapes=("nebbiolo",), category="red", colour="red": (
+        i, name, category, None, submitted, blend, conf, list(grapes), [colour] * len(grapes), regions, False)
+    rows = spark.createDataFrame(
+        [row(1, "neirano barolo", ["piedmont"]), row(2, "plain wine", ["piedmont"]), row(3, "pav brouilly", ["brouilly", "beaujolais"]), row(4, "gran barolo", ["brouilly", "beaujolais"]),
+         row(5, "plain", ["langhe", "piedmont"], grapes=("merlot",)), row(6, "plain", [], submitted=False), row(7, "plain", ["piedmont"]), row(8, "plain", ["piedmont"], blend=True, colour="white"),
+         row(9, "plain", None, conf=70, grapes=()), row(10, "plain", ["piedmont", "utopia"])],
+        "row int, name string, category string, scope string, submitted boolean, is_blend boolean, confidence int, grapes array<string>, colours array<string>, regions array<string>, named_whole boolean",
+    )
+    said = {1: ["barolo nebbiolo", "a nebbiolo"], 2: ["from barolo, nebbiolo", "the barolo style"], 3: ["cote de brouilly nebbiolo", "cote-de-brouilly"], 4: ["nebbiolo", "nebbiolo"], 5: ["langhe wine"],
+            6: ["x"], 8: ["piedmont", "nebbiolo of piedmont"], 9: ["x", None], 10: ["piedmont and barolo nebbiolo", "langhe or barolo", "langhe nebbiolo"]}
+    blocks = spark.createDataFrame([(i, f"f{j}", b) for i, bodies in said.items() for j, b in enumerate(bodies)], "row int, family string, body string")
+    grapes = spark.createDataFrame([("nebbiolo", "spanna")], "claim string, alias string")
+    got = {r.row: (r.regions, r.reasons, r.confidence, r.status) for r in review.review(rows, blocks, grapes, labels, tree).collect()}
+    assert got == {
+        1: (["barolo", "piedmont"], [], 90, "model"),
+        2: (["barolo", "piedmont"], [], 90, "model"),
+        3: (["cote de brouilly", "beaujolais"], [], 90, "model"),
+        4: (["brouilly", "beaujolais"], ["name_region_conflict:barolo", "unsupported_region:brouilly"], 90, "needs_review"),
+        5: (["langhe", "piedmont"], ["single_source", "unsupported_grape:merlot"], 69, "needs_review"),
+        6: ([], ["no_submit"], 69, "needs_review"),
+        7: (["piedmont"], ["no_context"], 90, "needs_review"),
+        8: (["piedmont"], ["uncorroborated_grape:nebbiolo", "incomplete_blend", "white_grapes_only"], 90, "needs_review"),
+        9: ([], ["no_grapes", "low_confidence"], 70, "needs_review"),
+        10: (["piedmont", "utopia"], ["coarse_region:barolo", "coarse_region:langhe"], 90, "needs_review"),
+    }
+    told = {r.row: r.reasons for r in review.review(rows, blocks, grapes, labels, tree, review_upgrades=True).where("row < 4").collect()}
+    assert told == {1: ["region_from_name:piedmont→barolo"], 2: ["region_from_sources:piedmont→barolo"], 3: ["region_from_sources:brouilly→cote de brouilly"]}
+    assert review.review(rows.limit(0), blocks, grapes, labels, tree).count() == 0
+
+
 def test_corroboration_counts_families_and_phrases(spark):
     claims = spark.createDataFrame([(1, "merlot"), (1, "pinot noir"), (1, "syrah"), (2, "merlot")], "p int, claim string")
     aliases = spark.createDataFrame([("pinot noir", "spatburgunder"), ("syrah", "shiraz"), ("merlot", "mer")], "claim string, alias string")
