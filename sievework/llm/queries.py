@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.common import table
-from sievework.llm import bpe, embed, fingerprint, langid, lm_score, mixing, simhash, substring, toxicity, url_filter
+from sievework.llm import bpe, embed, fingerprint, langid, lm_score, mixing, simhash, substring, toxicity, url_filter, vector_codes, whitening
 
 #: The rules that the URL query judges by: verdict, host, path.
 URL_RULES = [
@@ -118,6 +118,51 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target, CAST(copi
 FROM c
 """
 
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _round_sql(k: int) -> str:
+    """Assigning of all parts to the codebooks ``b{k}``, and the codebooks after it."""
+    return f"""a{k} AS MATERIALIZED (
+  SELECT vec_id, part, min({{'dist': p.sq + b.sq - 2 * list_dot_product(p.xs, b.xs), 'entry': entry}}) AS best
+  FROM p JOIN b{k} b USING (part) GROUP BY ALL
+), m{k} AS MATERIALIZED (
+  SELECT part, entry, list(CAST(floor(total / n) AS DOUBLE) ORDER BY pos) AS xs FROM (
+    SELECT part, best.entry AS entry, pos, sum(xs[pos]) AS total, count(*) AS n
+    FROM a{k} JOIN p USING (vec_id, part), range(1, len(xs) + 1) AS r(pos) GROUP BY ALL
+  ) GROUP BY ALL
+), b{k + 1} AS MATERIALIZED (
+  SELECT part, entry, x.xs, list_dot_product(x.xs, x.xs) AS sq
+  FROM (SELECT b.part, b.entry, coalesce(m.xs, b.xs) AS xs FROM b{k} b LEFT JOIN m{k} m USING (part, entry)) x
+), """
+
+
+#: Sums and squares are whole numbers that doubles hold exactly; lists are cut into parts by their length.
+OP13_SQL = f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c AS (
+  SELECT vec_id, part, x[part * len(x) // 4 + 1 : (part + 1) * len(x) // 4] AS xs FROM v, range(4) AS r(part)
+), p AS MATERIALIZED (
+  SELECT *, list_dot_product(xs, xs) AS sq FROM c
+), b0 AS MATERIALIZED (
+  SELECT part, entry, xs, sq FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM p) WHERE entry < 256
+), {"".join(_round_sql(k) for k in range(5))}s AS (
+  SELECT vec_id, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, CAST(sum(best.dist) AS BIGINT) AS error FROM a4 GROUP BY vec_id
+), h AS (
+  SELECT sha256(string_agg(CAST(CAST(xs[pos] AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256
+  FROM b4, range(1, len(xs) + 1) AS r(pos)
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM s JOIN v USING (vec_id), h
+"""
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_bpe": op2_bpe,
@@ -129,6 +174,8 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_toxicity": op9_toxicity,
     "op10_mix": op10_mix,
+    "op12_whitening": op12_whitening,
+    "op13_vector_codes": op13_vector_codes,
 }
 
-ORACLE_SQL = {"op1_url_filter": OP1_SQL, "op10_mix": OP10_SQL}
+ORACLE_SQL = {"op1_url_filter": OP1_SQL, "op10_mix": OP10_SQL, "op13_vector_codes": OP13_SQL}
