@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.common import table
-from sievework.llm import bpe, embed, fingerprint, langid, lm_score, mixing, simhash, substring, toxicity, url_filter, vector_codes, whitening
+from sievework.llm import bpe, embed, fingerprint, langid, lm_score, mixing, quality, simhash, substring, toxicity, url_filter, vector_codes, whitening
 
 #: The rules that the URL query judges by: verdict, host, path.
 URL_RULES = [
@@ -119,6 +119,14 @@ FROM c
 """
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out)
+    model = quality.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
+    found = quality.score(docs, model, ["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -174,6 +182,7 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_toxicity": op9_toxicity,
     "op10_mix": op10_mix,
+    "op11_quality": op11_quality,
     "op12_whitening": op12_whitening,
     "op13_vector_codes": op13_vector_codes,
 }
