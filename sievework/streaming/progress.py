@@ -18,9 +18,15 @@ def seconds(ts: str) -> Column:
     return F.coalesce(F.col(ts).cast("string").try_cast("double"), F.col(ts).cast("string").try_cast("timestamp").cast("double"))
 
 
-def event_dedupe(events: DataFrame, keys: list[str]) -> DataFrame:
-    """Each event once, batch or stream (a stream's state is bounded by its watermark)."""
-    return events.dropDuplicatesWithinWatermark(keys) if events.isStreaming else events.dropDuplicates(keys)
+def event_dedupe(events: DataFrame, keys: list[str], ts: str | None = None, late: str = "10 minutes") -> DataFrame:
+    """Each event once, batch or stream.
+
+    A stream knows keys again up to ``late`` after their first event and forgets them then; it takes the watermark of column ``ts``, unless it has one
+    already (``ts`` null).  Its events older than the watermark are dropped.
+    """
+    if not events.isStreaming:
+        return events.dropDuplicates(keys)
+    return (events.withWatermark(ts, late) if ts else events).dropDuplicatesWithinWatermark(keys)
 
 
 def current_invocation(events: DataFrame, run: str = "run_id", ts: str = "ts", plan: str = "run_plan") -> DataFrame:
