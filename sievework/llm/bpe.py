@@ -10,8 +10,8 @@ Ranks whose token is part of a token of lower rank must merge one pair at a time
 pre-tokens do so side by side, in arrays over all of them; a pre-token beyond ``LONG`` bytes is merged alone,
 with the same queue over its positions, each bucket a heap, so that it costs ``n log n`` in its length n.
 
-Distinct pre-tokens are remembered per Python worker, up to ``MEMORY`` of them, after which
-the memory starts afresh; this bounds a worker's memory and changes no result.
+Distinct pre-tokens are remembered per Python worker until they and their ids take ``MEMORY`` bytes, after which
+the memory starts afresh: a worker holds that and one slice of text, however long pre-tokens are, and no result changes.
 
 Defined results: a null text encodes like the empty text, to no ids.  Repeated rows are encoded row
 by row.  An empty table gives an empty result.  Extra columns are ignored.  Text that looks like a
@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from sievework.common import Shared
 from sievework.llm.packing import in_slices, numbered, renamed
 
-#: Pre-tokens that a worker remembers.
-MEMORY = 200_000
+#: Bytes of pre-tokens and ids that a worker remembers, and those of the objects that one pre-token takes.
+MEMORY, ENTRY = 40_000_000, 150
 #: Bytes of text whose pre-tokens are held at once.
 HELD_CHARS = 1_500_000
 #: Bytes beyond which a pre-token is merged alone.
@@ -285,11 +285,12 @@ class Encoder:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
+        self.held = 0
         self.ids, self.count = np.empty(0, np.int32), np.empty(0, np.int64)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts in a row, and how many each text has."""
-        if len(self.number) > MEMORY:
+        if self.held > MEMORY:
             self.forget()
         number, known = self.number, len(self.number)
         rows = []
@@ -333,6 +334,7 @@ class Encoder:
         for i, x in alone.items():
             out[ends[i] - len(x) : ends[i]] = x
         self.ids, self.count = np.concatenate([self.ids, out]), np.concatenate([self.count, count])
+        self.held += int(size.sum()) + out.nbytes + ENTRY * len(new)
 
 
 def load_vocabulary(path: str) -> Vocabulary:

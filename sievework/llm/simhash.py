@@ -330,10 +330,12 @@ def near_copies(
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, shingle: int = WORDS) -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near copies one row, with its smallest id.
 
-    Rows are known by a 96-bit key of id and text; equal rows are reduced to one before texts are shuffled, which is once.
+    Rows are known by a 128-bit key of all their columns; of a group's rows with its smallest id the one of least key stays, in whatever order the
+    rows come.  Rows that are equal in all columns are reduced to one before texts are shuffled, which is once.
     """
     keys = ["_k1", "_k2"]
-    held, _ = numbered(docs, docs.columns, F.xxhash64(id_col, text_col).alias("_k1"), F.hash(text_col, id_col).alias("_k2"))
+    whole = [F.to_json(F.struct(c)) if "map<" in kind else F.col(c) for c, kind in docs.dtypes]  # maps have no hash
+    held, _ = numbered(docs, docs.columns, F.xxhash64(*whole).alias("_k1"), F.xxhash64(F.lit(1), *whole[::-1]).alias("_k2"))
     own = {c: f"_{docs.columns.index(c)}" for c in (id_col, text_col)}
     rows = near_copies(held, keys, own[id_col], own[text_col], similarity, shingle)
     first = rows.where(F.col(own[id_col]).eqNullSafe(F.col("component_id")))

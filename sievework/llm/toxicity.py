@@ -44,8 +44,8 @@ COMMON, RATIO = 0.01, 1.0
 BEGINNINGS = (4, 5, 6, 7)
 #: Letters of the longest word that is looked for beside one-letter words.
 LONGEST = 24
-#: Disguised spans a worker remembers.
-MEMORY = 200_000
+#: Characters of disguised spans and of the objects around them that a worker remembers.
+MEMORY, ENTRY = 40_000_000, 200
 
 # Letters that symbols and digits stand for.
 LEET = {
@@ -136,13 +136,17 @@ class Restorer:
     """Finds disguised spans of a text and restores them; remembers spans it has seen."""
 
     def __init__(self, model: CharacterModel):
-        self.model, self.known = model, {}
+        self.model, self.known, self.held = model, {}, 0
 
     def restored(self, seen: str) -> str:
         if (got := self.known.get(seen)) is None:
-            if len(self.known) >= MEMORY:
+            got = self.model.restore(seen)
+            self.held += len(seen) + len(got) + ENTRY
+            if self.held > MEMORY:
                 self.known.clear()
-            got = self.known[seen] = self.model.restore(seen)
+                self.held = 0
+            else:
+                self.known[seen] = got
         return got
 
     def words(self, text: str | None) -> tuple[set[str], int]:

@@ -95,3 +95,25 @@ def test_operator_round_trip(spark):
     back = bpe.decode(out, PATH, ["doc_id"])
     assert sorted(((r.doc_id, bytes(r.bytes)) for r in back.collect()), key=repr) == sorted(((i, (t or "").encode()) for i, t, _, _ in rows), key=repr)
     assert bpe.encode(docs.limit(0), PATH, P.PATTERN, ["doc_id"]).count() == 0
+
+
+def test_memory_is_bounded_by_bytes(monkeypatch):
+    """Distinct pre-tokens of 3,000 letters and of 3: what is remembered stays within the bound and one slice, ids unchanged."""
+    import random
+
+    rng = random.Random(1)
+    monkeypatch.setattr(bpe, "MEMORY", 300_000)
+    vocabulary = bpe.load_vocabulary(PATH)
+    encoder = bpe.Encoder(vocabulary, P.PATTERN)
+    whole = lambda e: sum(len(x.encode()) for x in e.number) + e.ids.nbytes + bpe.ENTRY * len(e.number)
+    forgot = 0
+    for k in range(30):
+        texts = ["".join(rng.choices("abcdefghij", k=3000 if k % 2 else 3)) for _ in range(20 if k % 2 else 400)]
+        before = len(encoder.number)
+        flat, per = encoder.encode(texts)
+        forgot += len(encoder.number) < before + len(set(texts))
+        assert encoder.held == whole(encoder) <= 300_000 + 20 * (3000 * 5 + bpe.ENTRY)
+        ends = per.cumsum().tolist()
+        for text, i, j in zip(texts[:2], [0, *ends], ends, strict=False):
+            assert flat[i:j].tolist() == THEIRS.encode_ordinary(text)
+    assert forgot

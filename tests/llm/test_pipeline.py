@@ -55,25 +55,51 @@ def test_stages_against_plain_versions(spark):
         before = after
 
 
-def stored_texts(spark):
+def mixed(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
     return docs.collect()
 
 
-def test_whole_run(spark):
+def test_whole_run_keeps_the_order_of_the_stream(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
-    made = stored_texts(spark)
+    made = mixed(spark)
+    assert [r.doc_id for r in rows] == [r.doc_id for r in made]
+    places = [(r.stream_part, r.stream_row) for r in rows]
+    assert places == sorted(set(places))
     assert Counter((r.doc_id, tuple(r.ids)) for r in rows) == Counter((r.doc_id, tuple(THEIRS.encode_ordinary(r.text))) for r in made)
     assert rows and all(r.n_tokens == len(r.ids) for r in rows)
     assert all(r.ids_sha256 == hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in r.ids)).hexdigest() for r in rows[:20])
 
 
-def test_awkward_documents(spark):
+def test_order_of_many_files(spark, tmp_path):
+    """Files of one task and tasks beyond five digits come in the order of their numbers."""
+    df = documents(spark, [(i, f"text {i}", "en", "a") for i in range(100)]).repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id")
+    df.write.option("maxRecordsPerFile", 3).parquet(str(tmp_path / "a"))
+    for f in (tmp_path / "a").glob("part-00004*"):
+        f.rename(f.with_name(f.name.replace("part-00004", "part-100004")))
+    assert [r.doc_id for r in corpus_pipeline.encoding(spark, spark.read.parquet(str(tmp_path / "a")), SF).collect()] == list(range(100))
+
+
+def test_near_duplicates_do_not_depend_on_the_order_of_rows(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text, "en", "x"), (1, text, "de", "y"), (1, text, None, None), (1, text, "en", "x"), (2, text + " eleven", "en", "x"), (None, "alone", "en", "x"), (None, "alone", "fr", "x")]
+    seen = set()
+    for k in range(6):
+        docs = documents(spark, rows[k:] + rows[:k]).coalesce(1)
+        seen.add(tuple(sorted(map(str, corpus_pipeline.near_duplicates(spark, docs, SF).collect()))))
+    assert len(seen) == 1 and len(next(iter(seen))) == 2, seen
+
+
+def test_awkward_documents(spark, tmp_path):
     docs = documents(spark, awkward(), extra=True).selectExpr("*", "1 AS kept", "2 AS n_words", "true AS accepted", "'z' AS lang_pred", "3 AS _k1", "4 AS _k2", "5 AS _position", "6 AS _epoch", "7 AS _0", "8 AS _id", "9 AS _text", "10 AS _in0", "11 AS in_0")
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs.limit(0).write.parquet(str(tmp_path / "none"))
+    kept = {"near_duplicates": 7, "repeated_passages": 12, "encoding": 12}
     for name, stage in corpus_pipeline.STAGES:
-        out = stage(spark, docs, SF)
-        assert out.count() >= 0 and (name == "encoding" or out.columns == docs.columns)
-    for _, stage in corpus_pipeline.STAGES:
-        assert stage(spark, docs.limit(0), SF).count() == 0
+        out = stage(spark, spark.read.parquet(str(tmp_path / "docs")), SF)
+        ids = [r.doc_id for r in out.collect()]
+        assert len(ids) == kept.get(name, len(ids)) and (name == "encoding" or out.columns == docs.columns)
+        assert name not in ("language_id", "mixing_sources") or not {0, 1, 2} & set(ids)
+        assert stage(spark, spark.read.parquet(str(tmp_path / "none")), SF).count() == 0

@@ -101,3 +101,13 @@ def test_awkward_documents(spark, learned):
     docs, labels = documents(spark, rows), spark.createDataFrame([(3, 0), (3, 1), (None, 1), (5, None)], "doc_id long, toxic int")
     assert toxicity.score(docs, toxicity.learn(docs, labels.limit(0)), ["doc_id"]).first().score == 0
     assert toxicity.score(docs.limit(0), toxicity.learn(docs, labels), ["doc_id"]).count() == 0
+
+
+def test_memory_is_bounded_by_characters(learned, monkeypatch):
+    monkeypatch.setattr(toxicity, "MEMORY", 20_000)
+    r, other = toxicity.Restorer(learned.model), toxicity.Restorer(learned.model)
+    for i in range(60):
+        seen = f"1d10t{chr(97 + i % 26)}0" * (40 + i)
+        assert r.restored(seen) == learned.model.restore(seen) and r.held <= 20_000
+        assert r.held == sum(len(k) + len(v) + toxicity.ENTRY for k, v in r.known.items())
+    assert r.words("the 1d10t") == other.words("the 1d10t")
