@@ -29,7 +29,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear; those without a letter or with narrow margins go.
 
     Null and empty texts have no letter and go.  Languages whose dictionaries compress a text equally well leave it unclear: it goes.  Repeated rows
-    are judged alike and all stay or go.  Columns of any name are carried.  An empty table, or one without any ``lang``, gives an empty table.
+    are judged alike and all stay or go.  Very long texts are judged whole.  Columns of any name are carried.  An empty table, or one without any ``lang``, gives an empty table.
     """
     dictionaries = langid.learn(docs.where(~langid.held_out("doc_id")))
     rows, names = carried(docs)
@@ -39,8 +39,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id: five-word shingles, similarity 0.8 or more.
 
-    Null, empty and blank texts are one group.  Of rows that share the smallest id one stays, by a hash of id and text; repeated rows
-    become one.  A null id stays only where its whole group has none.  Columns of any name are carried.  An empty table stays empty.
+    Null, empty and blank texts are one group.  Of rows that share the smallest id one stays, by a hash of all columns; repeated rows
+    become one.  Very long texts are compared whole.  A null id stays only where its whole group has none.  Columns of any name are carried.  An empty table stays empty.
     """
     return simhash.keep_one_of_each(docs)
 
@@ -49,7 +49,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Every document, without the words of passages of 35 words or more that stand anywhere else too: all copies go, the first as well.
 
     Words that stay are joined by one space and ``n_chars`` counts them anew.  Null and empty texts become the empty text; a text all of
-    whose words are repeated becomes empty and stays.  Repeated rows are copies of each other.  Columns of any name are carried.  An
+    whose words are repeated becomes empty and stays.  Repeated rows are copies of each other.  Very long texts are searched whole.  Columns of any name are carried.  An
     empty table stays empty.
     """
     rows, names = carried(docs)
@@ -60,22 +60,35 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The training stream: a row for each copy of a document that the mix takes, by training position.
+    """The training stream: a row for each copy of a document that the mix takes, sorted by training position.
 
     Texts without words are never taken; a null source is a source of its own; repeated rows are rows of their own; copies at one position
-    come by id.  Columns of any name are carried.  An empty table stays empty.
+    come by id.  Very long texts are taken whole or not at all.  Columns of any name are carried.  An empty table stays empty.
     """
     return mixing.mix(docs).select(*docs.columns)
 
 
+def in_stream_order(docs: DataFrame, own: list[str]) -> DataFrame:
+    """``docs``' columns ``own``, sorted as they were written: with ``stream_part``, the number of the task that wrote a row, and ``stream_row``, its place there.
+
+    A sorted result is written as one range of rows per task, in their order; reading packs files by size, so order comes back only by sorting.
+    """
+    name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    part = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long").alias("stream_part")
+    file = F.regexp_extract(name, r"-c(\d+)\.", 1).try_cast("long").alias("_file")  # a task may write several files
+    return docs.select(*own, part, file, row.alias("stream_row")).orderBy("stream_part", "_file", "stream_row").drop("_file")
+
+
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row, with digests of the ids and of what they decode to.
+    """The training stream as token ids, in its order, with digests of the ids and of what they decode to.
 
-    A null text encodes like the empty one, to no ids.  Repeated rows are encoded row by row.  Columns other than id, language and source
-    are left out.  An empty table gives an empty one.
+    ``docs`` is a table read from Parquet; its order is that in which the stage before wrote it, and ``stream_part, stream_row`` tell a row's place in it.
+    A null text encodes like the empty one, to no ids.  Repeated rows are encoded row by row.  Very long texts are encoded whole.  Columns other
+    than id, language and source are left out.  An empty table gives an empty one.
     """
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.encode(docs, path, public_tokenizers.PATTERN, ["doc_id", "lang", "source"], digests=True)
+    kept = ["doc_id", "lang", "source"]
+    return bpe.encode(in_stream_order(docs, [*kept, "text"]), path, public_tokenizers.PATTERN, [*kept, "stream_part", "stream_row"], digests=True)
 
 
 STAGES = [
