@@ -1,16 +1,22 @@
-"""Names of a dictionary found in text: leftmost, longest, each word used once."""
+"""Names of a dictionary found in text: leftmost, longest, each word used once.
+
+``find_names`` joins the word n-grams of texts with the dictionary's aliases by their hashes, so neither has to fit anywhere;
+``find_phrases`` scans each text with a trie in every worker, for dictionaries of checked size.
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.common import Shared
-from sievework.functions.fold import fold_text
+from sievework.common import Shared, bounded_broadcast, stored
+from sievework.functions.fold import fold, fold_text
 
 #: Aliases that a worker may hold; more are refused, so that what is broadcast stays bounded.
 MOST_ALIASES = 2_000_000
@@ -77,6 +83,78 @@ def find_phrases(df: DataFrame, text: str, index: DataFrame, column: str = "matc
     return df.withColumn(column, run(F.col(text)))
 
 
+def phrase_tokens(folded: Column) -> Column:
+    """Words of folded text in order, with a line break where what stands between two words cannot join them to one name."""
+    broken = F.regexp_replace(F.coalesce(folded, F.lit("")), r"[^a-z0-9 \-'’.]", "\n")
+    return F.regexp_extract_all(broken, F.lit(r"([a-z0-9]+|\n)"), 1)
+
+
+def _phrase_keys(phrase: Column) -> list[Column]:
+    """96 bits that stand for a phrase in joins."""
+    return [F.xxhash64(phrase).alias("h"), F.hash(phrase).alias("h2")]
+
+
+def _grams(tokens: Column, lengths: Sequence[int]) -> Column:
+    """All n-grams of these lengths without a break: array of (start, size, h, h2)."""
+
+    def of(n: int) -> Column:
+        every = F.transform(F.sequence(F.lit(0), F.size(tokens) - n), lambda i: F.struct(i.alias("start"), F.array_join(F.slice(tokens, i + 1, n), " ").alias("gram")))
+        sound = F.filter(every, lambda g: ~F.contains(g["gram"], F.lit("\n")))
+        made = F.transform(sound, lambda g: F.struct(g["start"].alias("start"), F.lit(n).alias("size"), *_phrase_keys(g["gram"])))
+        return F.when(F.size(tokens) >= n, made).otherwise(F.array().cast("array<struct<start:int,size:int,h:bigint,h2:int>>"))
+
+    return F.concat(*[of(n) for n in lengths])
+
+
+def _leftmost_longest(found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of each text's spans the leftmost, of those that start together the longest, and none that overlaps one before: one sweep over sorted spans."""
+    placed = found.repartition(*keys).sortWithinPartitions(*keys, "start", F.col("size").desc())
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text, end = None, 0
+        for batch in batches:
+            starts, sizes = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("start", "size"))
+            own = list(zip(*(batch.column(i).to_pylist() for i in range(len(keys))), strict=True))
+            taken = np.zeros(len(batch), bool)
+            for i, (key, start, size) in enumerate(zip(own, starts, sizes, strict=True)):
+                if key != text:
+                    text, end = key, 0
+                if start >= end:
+                    taken[i], end = True, start + size
+            yield batch.filter(pa.array(taken))
+
+    return placed.mapInArrow(sweep, placed.schema)
+
+
+def find_names(df: DataFrame, keys: Sequence[str], text: str, index: DataFrame, folded: Column | None = None) -> DataFrame:
+    """``(keys..., pos, kind, name)``: the names that each text mentions; ``pos`` counts words and breaks before one.
+
+    For dictionaries of any size: distinct aliases are stored once, texts are cut into n-grams of the lengths that aliases have, and
+    both meet by hash.  Only keys, places and hashes are shuffled; the hashes of up to a counted bound of aliases are broadcast instead, and names
+    join the matches that are left.  ``keys`` tell texts apart.  ``folded`` is ``text`` folded, by ``fold`` if it is not given.  Of equal aliases
+    the one of least priority, kind and name counts.  Null and empty texts mention nothing.
+    """
+    words = F.regexp_extract_all("alias", F.lit("([a-z0-9]+)"), 1)
+    best = F.min(F.struct("priority", "kind", "name")).alias("best")
+    aliases = index.select(F.array_join(words, " ").alias("phrase"), F.size(words).alias("size"), "priority", "kind", "name").where("size > 0")
+    aliases = stored(aliases.groupBy("phrase", "size").agg(best).select(*_phrase_keys(F.col("phrase")), "size", "best.kind", "best.name"))
+    lengths = [r["size"] for r in aliases.select("size").distinct().orderBy("size").collect()]  # at most as many as the longest alias has words
+    own = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    if not lengths:
+        return df.limit(0).select(*keys, F.lit(0).alias("pos"), F.lit("").alias("kind"), F.lit("").alias("name"))
+    tokens = df.select(*own, phrase_tokens(fold(F.col(text)) if folded is None else folded).alias("_tokens"))
+    grams = tokens.select(*names, F.explode(_grams(F.col("_tokens"), lengths)).alias("g")).select(*names, "g.*")
+    hits = grams.join(bounded_broadcast(aliases.select("h", "h2")), ["h", "h2"], "left_semi").select(*names, "start", "size", "h", "h2")
+    taken = _leftmost_longest(hits, names).join(aliases.drop("size"), ["h", "h2"])
+    return taken.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], F.col("start").alias("pos"), "kind", "name")
+
+
+def name_lists(found: DataFrame, keys: Sequence[str], column: str = "matches") -> DataFrame:
+    """The rows of ``find_names`` as one array of (pos, kind, name) per text, in order."""
+    return found.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "kind", "name"))).alias(column))
+
+
 def facts(matches: Column, kind: str) -> Column:
     """Distinct names of one kind, in order of first mention."""
     return F.array_distinct(F.transform(F.filter(matches, lambda m: m["kind"] == kind), lambda m: m["name"]))

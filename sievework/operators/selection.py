@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievework.common import bounded_broadcast, stored
+
 
 def source_family(source: Column) -> Column:
     """A source label without its number, trimmed and lower-cased."""
@@ -24,16 +26,26 @@ def pick_diverse(df: DataFrame, group: Sequence[str], family: str, rank: Sequenc
     """The best ``n`` of each group in three passes, with ``pass`` and ``pick_no``.
 
     First the best row of each family for which ``first`` holds, then the best of each other family,
-    then the rest by rank.  Two windows over one partitioning: one shuffle.
+    then the rest by rank.  A row with ``n`` better ones in its family is never picked, so both windows keep their first ``n``
+    rows alone, and Spark cuts to those in every task before it shuffles: a group of any size sends at most ``n`` rows per task and family, and no
+    task gets more than that of it.  Give it the columns that decide and join the rest to the picks with ``join_picks``.
     """
     in_family = F.row_number().over(Window.partitionBy(*group, family).orderBy(*rank))
-    ranked = df.repartition(*group).withColumn("_in", in_family)
+    ranked = df.withColumn("_in", in_family).where(F.col("_in") <= n)
     turn = F.when((F.col("_in") == 1) & (first if first is not None else F.lit(False)), 1).when(F.col("_in") == 1, 2).otherwise(3)
     ranked = ranked.withColumn("pass", turn)
     pick = F.row_number().over(Window.partitionBy(*group).orderBy("pass", *rank))
     return ranked.withColumn("pick_no", pick).where(F.col("pick_no") <= n).drop("_in")
 
 
+def join_picks(picked: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``picked`` with the other columns of ``rows``, of which ``key`` tells one from another: their bodies travel only if they are picked."""
+    held = stored(picked)
+    rest = rows.select(*key, *[c for c in rows.columns if c not in held.columns])
+    wanted = rest.join(bounded_broadcast(held.select(*key)), list(key), "left_semi")
+    return held.join(wanted, list(key))
+
+
 def survivors(scored: DataFrame, threshold: int = 70) -> DataFrame:
     """Snippets that no gate dropped and that score at least the threshold."""
     return scored.where(F.col("dropped_reason").isNull() & (F.col("match_score") >= threshold))

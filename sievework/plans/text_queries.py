@@ -116,8 +116,9 @@ def pick_diverse(spark, sf_dir):
 
 def build_context(spark, sf_dir):
     rows = _docs(spark, sf_dir).select((F.col("doc_id") % 40).alias("grp"), "doc_id", "source", (F.col("n_chars") % 100).alias("match_score"), F.col("text").alias("body"))
-    picked = selection.pick_diverse(rows.where("match_score >= 70"), ["grp"], "source", [F.col("match_score").desc(), F.col("doc_id")])
-    return selection.build_context(picked, ["grp"]).select("grp", F.size("blocks").alias("n_blocks"), F.md5("web_context").alias("context_md5"))
+    rows = rows.where("match_score >= 70")
+    picked = selection.pick_diverse(rows.drop("body"), ["grp"], "source", [F.col("match_score").desc(), F.col("doc_id")])
+    return selection.build_context(selection.join_picks(picked, rows, ["doc_id"]), ["grp"]).select("grp", F.size("blocks").alias("n_blocks"), F.md5("web_context").alias("context_md5"))
 
 
 def context_blocks(spark, sf_dir):
@@ -143,8 +144,21 @@ def dictionary_facts(spark, sf_dir):
     return found.select("doc_id", F.size(dictionary.facts(F.col("matches"), "term")).alias("n_terms"), F.size("matches").alias("n_matches"))
 
 
+def phrase_facts(spark, sf_dir):
+    """Names of up to three words in all texts: the openings of documents, so the dictionary grows with them, and words of the benchmark."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    tokens = docs.select(dictionary.phrase_tokens(fold.fold(F.col("text"))).alias("t"))
+    openings = tokens.select(F.explode(F.array(*[F.slice("t", 1, n) for n in (2, 3)])).alias("o")).where("NOT array_contains(o, '\n')").select(F.array_join("o", " ").alias("alias"))
+    opening = openings.select(F.lit("opening").alias("kind"), F.upper("alias").alias("name"), "alias", F.lit(False).alias("is_name"), F.lit(1).alias("priority"))
+    found = dictionary.find_names(docs, ["doc_id"], "text", dictionary.build_phrase_index(_names(spark, sf_dir).union(opening)))
+    lists = dictionary.name_lists(found, ["doc_id"])
+    named = docs.select("doc_id").join(lists, "doc_id", "left").withColumn("matches", F.coalesce("matches", F.array().cast("array<struct<pos:int,kind:string,name:string>>")))
+    openings = F.size(dictionary.facts(F.col("matches"), "opening"))
+    return named.select("doc_id", F.size("matches").alias("n_matches"), openings.alias("n_openings"), F.md5(F.array_join(F.transform("matches", lambda m: m["name"]), "|")).alias("names_md5"))
+
+
 QUERIES = {f.__name__: f for f in (
-    fold_text, fold_latin, tokens_significant, clean_body, price_only, list_page_ratio, url_host, on_site, url_dedupe, url_slug_words, query_plan, source_numbering, drop_counters,
+    phrase_facts, fold_text, fold_latin, tokens_significant, clean_body, price_only, list_page_ratio, url_host, on_site, url_dedupe, url_slug_words, query_plan, source_numbering, drop_counters,
     mostly_failed, splice_trim, near_dup_pairs, near_dup_greedy, pick_diverse, build_context, context_blocks, scored_view, dictionary_facts,
 )}
 
@@ -156,6 +170,17 @@ PRICE = r"regexp_full_match({}, '[\d\s.,:;/()%+\-€£$]*')"
 SETS = "(SELECT min(doc_id) AS id, w FROM (SELECT doc_id, list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z]{3,}'))) AS w FROM documents) WHERE len(w) > 0 GROUP BY w)"
 
 SQL = {
+    "phrase_facts": r"""WITH RECURSIVE t AS MATERIALIZED (SELECT doc_id, regexp_extract_all(regexp_replace(""" + FOLD + r""", '[^a-z0-9 \-''’.]', chr(10), 'g'), '[a-z0-9]+|\n') AS w FROM documents),
+a AS (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS alias, 0 AS pri FROM benchmark), b AS (SELECT alias, pri FROM a WHERE length(alias) >= 6),
+o AS (SELECT array_to_string(w[1:n], ' ') AS alias, 1 AS pri FROM t, (VALUES (2), (3)) z(n) WHERE NOT list_contains(w[1:n], chr(10))),
+d AS MATERIALIZED (SELECT alias, min(pri) AS pri FROM (SELECT * FROM b UNION ALL SELECT * FROM o WHERE length(alias) >= 5) WHERE regexp_matches(alias, '[a-z0-9]') GROUP BY 1),
+u AS (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM t), v AS (SELECT doc_id, i, n, array_to_string(w[i + 1:i + n], ' ') AS gram FROM u, (VALUES (1), (2), (3)) z(n) WHERE i + n <= len(w)),
+m AS MATERIALIZED (SELECT doc_id, i, max(n) AS n FROM v JOIN d ON gram = alias GROUP BY ALL),
+x AS MATERIALIZED (SELECT m.doc_id, m.i, m.n, y.i AS nxt FROM m ASOF LEFT JOIN m y ON m.doc_id = y.doc_id AND m.i + m.n <= y.i),
+s AS (SELECT x.* FROM x WHERE (doc_id, i) IN (SELECT (doc_id, min(i)) FROM m GROUP BY doc_id) UNION ALL SELECT x.* FROM s JOIN x ON x.doc_id = s.doc_id AND x.i = s.nxt),
+e AS (SELECT s.doc_id, s.i, pri, CASE pri WHEN 0 THEN alias ELSE upper(alias) END AS name FROM s JOIN t USING (doc_id) JOIN d ON alias = array_to_string(w[i + 1:i + s.n], ' ')),
+g AS (SELECT doc_id, count(*)::INT AS n, count(DISTINCT name) FILTER (pri = 1)::INT AS k, md5(string_agg(name, '|' ORDER BY i)) AS h FROM e GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_matches, coalesce(k, 0) AS n_openings, coalesce(h, md5('')) AS names_md5 FROM documents LEFT JOIN g USING (doc_id)""",
     "fold_text": f"SELECT doc_id, md5({FOLD}) AS folded_md5 FROM documents",
     "fold_latin": f"SELECT doc_id, md5({FOLD}) AS folded_md5 FROM documents",
     "tokens_significant": f"""
