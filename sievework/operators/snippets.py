@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sievework.common import bounded_broadcast, cut, stored
 from sievework.functions import text, urls
+from sievework.operators import seeds
 
 
 def expand_queries(products: DataFrame, templates: DataFrame, supplier_domains: Sequence[tuple[str, str]] = (), id_col: str = "id") -> DataFrame:
@@ -66,34 +67,9 @@ def mostly_failed(results: DataFrame, errors: DataFrame, key: str, label: str =
     return both.withColumn("mostly_failed", (F.col("answered") == 0) | (F.col("failed") / (F.col("failed") + F.col("answered")) >= share))
 
 
-#: Words of a segment, from its second on, by which texts and segments meet where no key joins them.
-SEED_WORDS = 6
-
-
-def _word_list(c: str) -> Column:
-    return F.split(F.trim(F.col(c)), r"\s+")
-
-
-def _by_seed(long: DataFrame, parts: DataFrame, body: str) -> DataFrame:
-    """``long`` with each segment that shares a run of words with it; ``_a`` and ``_b`` are its row key.
-
-    A segment's inner words are whole words wherever it stands, so texts that hold it have its seed: the first of them, up to
-    ``SEED_WORDS``.  Only row keys and hashes are exploded.  Segments of one or two words have no inner word and meet every text;
-    they must be a small list.
-    """
-    inner = F.least(F.size(_word_list("segment")) - 2, F.lit(SEED_WORDS))
-    seeds = parts.where(F.size(_word_list("segment")) > 2).select("segment", F.xxhash64(F.slice(_word_list("segment"), F.lit(2), inner)).alias("_seed"), inner.alias("_n"))
-    sizes = [r["_n"] for r in seeds.select("_n").distinct().collect()]  # at most SEED_WORDS numbers
-    listed = long.select("_a", "_b", _word_list(body).alias("_w"))
-
-    def runs(n: int) -> Column:
-        return F.when(F.size("_w") > n, F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - n + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("_w", i, n))))
-
-    every = F.array_distinct(F.flatten(F.array_compact(F.array(*map(runs, sizes))))) if sizes else F.array().cast("array<bigint>")
-    met = listed.select("_a", "_b", F.explode(every).alias("_seed")).join(bounded_broadcast(seeds.drop("_n")), "_seed").select("_a", "_b", "segment").distinct()
-    few = parts.where(F.size(_word_list("segment")) <= 2).select("segment")
-    joined = long.join(met, ["_a", "_b"])
-    return joined if few.isEmpty() else joined.unionByName(long.crossJoin(bounded_broadcast(few, 10_000)))
+def _hash_pair(c: Column, names: Sequence[str]) -> list[Column]:
+    """96 bits that stand for a text in joins."""
+    return [F.xxhash64(c).alias(names[0]), F.hash(c).alias(names[1])]
 
 
 def trim_splices(
@@ -103,19 +79,40 @@ def trim_splices(
     """Cuts a long body before the first of the other texts it holds, if it holds enough of them.
 
     ``segments(keys..., segment)`` are compared as they came, not as cut.  ``distinct`` may forbid
-    pairs (columns of both sides).  Rows whose rest is too short are dropped; ``spliced`` marks cut ones.
-    With keys the pairs stay within a key; without, texts and segments meet on shared runs of words.
+    pairs (columns of both sides but their texts).  Rows whose rest is too short are dropped; ``spliced`` marks cut ones.
+
+    Bodies and segments meet by anchors (``seeds``), of which every segment of ``least_segment`` characters has one that any text holding it has
+    too, whatever its words.  Of a segment's anchors the one that fewest bodies hold is its seed.  Anchors, keys and hashes are shuffled; a body
+    is read again for its candidates only, and a segment is known by the hashes and length of its bytes, so its text goes nowhere.  ``least_segment`` is
+    at least the length of an anchor's gram, 32.  With keys only texts of a key meet.  A null body is never cut, a null segment found nowhere.
     """
+    window = least_segment - seeds.GRAM + 1
+    if window < 1:
+        raise ValueError(f"segments have {seeds.GRAM} characters at least")
+    same = [f"_same{i}" for i in range(len(keys))]
+    of_key = lambda df: df.withColumns({n: F.struct(k) for n, k in zip(same, keys, strict=True)})  # noqa: E731  a null key is a key
     rows = bodies.withColumns({"_a": F.xxhash64(*bodies.columns), "_b": F.hash(*bodies.columns)})  # equal rows fare equally
-    parts = segments.where(F.length("segment") >= least_segment)
-    long = rows.where(F.length(body) >= least_body).dropDuplicates(["_a", "_b"])
-    if keys:
-        pairs = long.join(parts.withColumnsRenamed({k: f"_{k}" for k in keys}), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    else:
-        pairs = _by_seed(long, parts.select("segment").distinct(), body)
-    on = (F.instr(F.col(body), F.col("segment")) > 0) & (F.length("segment") < F.length(body))
-    at = F.expr(f"instr(`{body}`, segment)")
-    found = pairs.where(on if distinct is None else on & distinct).groupBy("_a", "_b").agg(F.count_distinct("segment").alias("_n"), F.min(at).alias("_at"))
+    raw = F.col("segment").cast("binary")
+    others = [c for c in segments.columns if c not in ("segment", *keys)]
+    parts = of_key(segments.where(F.length("segment") >= least_segment)).withColumns(dict(zip(("_s", "_t"), _hash_pair(raw, ("_s", "_t")), strict=True)))
+    parts = parts.withColumns({"_chars": F.length("segment"), "_bytes": F.length(raw)})
+    long = of_key(rows.where(F.length(body) >= least_body)).dropDuplicates(["_a", "_b"])
+
+    spots = stored(seeds.text_anchors(long, [*same, "_a", "_b"], body, window))
+    known = [*same, "_s", "_t"]
+    marks = seeds.text_anchors(parts.dropDuplicates(known), [*known, "_chars", "_bytes"], "segment", window)
+    common = spots.groupBy(*same, "seed").agg(F.count("*").alias("_often"))
+    rarest = F.min_by(F.struct("seed", "place"), F.struct("_often", "seed", "place")).alias("m")
+    seeded = marks.join(common, [*same, "seed"]).groupBy(*known, "_chars", "_bytes").agg(rarest).select(*known, "_chars", "_bytes", "m.seed", F.col("m.place").alias("_off"))
+    met = spots.join(seeded, [*same, "seed"]).withColumn("_from", F.col("place") - F.col("_off")).where("_from >= 0").drop("seed", "place", "_off", *same).distinct()
+    pairs = met.join(long, ["_a", "_b"])
+    if distinct is not None:
+        pairs = pairs.join(parts.select(*known, *others).distinct(), known).where(distinct)
+    data = F.col(body).cast("binary")
+    there = F.substring(data, F.col("_from").cast("int") + 1, F.col("_bytes"))
+    on = (F.col("_chars") < F.length(body)) & (F.length(there) == F.col("_bytes")) & (F.xxhash64(there) == F.col("_s")) & (F.hash(there) == F.col("_t"))
+    at = F.length(F.substring(data, F.lit(1), F.col("_from").cast("int")).cast("string")) + 1
+    found = pairs.where(on).groupBy("_a", "_b").agg(F.count_distinct("_s", "_t").alias("_n"), F.min(at).alias("_at"))
     cut = rows.join(found.where(F.col("_n") >= segments_needed), ["_a", "_b"], "left")
     rest = F.when(F.col("_at").isNotNull(), F.rtrim(F.expr(f"substring(`{body}`, 1, _at - 1)"))).otherwise(F.col(body))
     cut = cut.withColumn("spliced", F.col("_at").isNotNull()).withColumn(body, rest)

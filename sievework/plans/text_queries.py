@@ -96,6 +96,18 @@ def splice_trim(spark, sf_dir):
     return cut.select("doc_id", "spliced", F.length("body").alias("n"))
 
 
+def splice_trim_two(spark, sf_dir):
+    """Texts that get no, one or two passages of the benchmark at their end, some of them single words of any length; two different ones make a splice."""
+    passages = table(spark, sf_dir, "benchmark").select("item_id", F.when(F.col("item_id") % 3 == 0, F.regexp_replace("text", r"\s", "")).otherwise(F.col("text")).alias("segment"))
+    n = passages.count()
+    got = lambda i, name: passages.select(F.col("item_id").alias(i), F.col("segment").alias(name))
+    docs = _docs(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("body"), F.when(F.col("doc_id") % 3 > 0, F.pmod("doc_id", F.lit(n))).alias("i"), F.when(F.col("doc_id") % 3 == 2, F.pmod(F.col("doc_id") * 7 + 1, F.lit(n))).alias("j"))
+    docs = docs.join(got("i", "one"), "i", "left").join(got("j", "two"), "j", "left")
+    rows = docs.select("doc_id", F.concat_ws("; ", "body", "one", "two").alias("body"))
+    cut = snippets.trim_splices(rows, passages.select("segment"), [])
+    return cut.select("doc_id", "spliced", F.length("body").alias("n"), F.md5("body").alias("body_md5"))
+
+
 def near_dup_pairs(spark, sf_dir):
     pairs = snippets.near_duplicate_pairs(_docs(spark, sf_dir), "doc_id", "text", 0.9)
     return pairs.select("id", "other", F.round("jaccard", 6).alias("jaccard"))
@@ -159,7 +171,7 @@ def phrase_facts(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     phrase_facts, fold_text, fold_latin, tokens_significant, clean_body, price_only, list_page_ratio, url_host, on_site, url_dedupe, url_slug_words, query_plan, source_numbering, drop_counters,
-    mostly_failed, splice_trim, near_dup_pairs, near_dup_greedy, pick_diverse, build_context, context_blocks, scored_view, dictionary_facts,
+    mostly_failed, splice_trim, splice_trim_two, near_dup_pairs, near_dup_greedy, pick_diverse, build_context, context_blocks, scored_view, dictionary_facts,
 )}
 
 FOLD = r"trim(regexp_replace(lower(strip_accents(text)), '\s+', ' ', 'g'))"
@@ -215,6 +227,12 @@ SELECT *, answered = 0 OR failed / (failed + answered) >= 0.5 AS mostly_failed F
     "splice_trim": """WITH f AS (SELECT doc_id, min(strpos(d.text, b.text)) AS cut_at FROM documents d JOIN benchmark b ON length(d.text) >= 800 AND length(b.text) >= 80 AND length(b.text) < length(d.text) AND strpos(d.text, b.text) > 0 GROUP BY 1)
 SELECT doc_id, cut_at IS NOT NULL AS spliced, length(CASE WHEN cut_at IS NULL THEN text ELSE rtrim(substr(text, 1, cut_at - 1)) END)::INT AS n FROM documents LEFT JOIN f USING (doc_id)
 WHERE cut_at IS NULL OR length(rtrim(substr(text, 1, cut_at - 1))) >= 40""",
+    "splice_trim_two": r"""WITH p AS (SELECT item_id, CASE WHEN item_id % 3 = 0 THEN regexp_replace(text, '\s', '', 'g') ELSE text END AS segment, count(*) OVER () AS n FROM benchmark),
+d AS (SELECT doc_id, concat_ws('; ', coalesce(text, ''), a.segment, b.segment) AS body FROM (SELECT *, (SELECT count(*) FROM benchmark) AS n FROM documents) x
+  LEFT JOIN p a ON x.doc_id % 3 > 0 AND a.item_id = x.doc_id % x.n LEFT JOIN p b ON x.doc_id % 3 = 2 AND b.item_id = (x.doc_id * 7 + 1) % x.n),
+f AS (SELECT doc_id, count(DISTINCT segment) AS n, min(strpos(body, segment)) AS cut_at FROM d, p WHERE length(body) >= 800 AND length(segment) >= 80 AND length(segment) < length(body) AND strpos(body, segment) > 0 GROUP BY 1),
+c AS (SELECT doc_id, coalesce(f.n >= 2, FALSE) AS spliced, CASE WHEN f.n >= 2 THEN rtrim(substr(body, 1, cut_at - 1)) ELSE body END AS body FROM d LEFT JOIN f USING (doc_id))
+SELECT doc_id, spliced, length(body)::INT AS n, md5(body) AS body_md5 FROM c WHERE NOT spliced OR length(body) >= 40""",
     "near_dup_pairs": f"""WITH s AS {SETS}, p AS (
 SELECT a.id, b.id AS other, len(list_intersect(a.w, b.w)) AS i, len(a.w) AS n, len(b.w) AS m FROM s a JOIN s b ON a.id < b.id AND least(len(a.w), len(b.w)) >= 0.9 * greatest(len(a.w), len(b.w)))
 SELECT id, other, round(i / (n + m - i), 6) AS jaccard FROM p WHERE i / (n + m - i) >= 0.9
