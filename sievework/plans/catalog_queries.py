@@ -114,8 +114,24 @@ def saved_store(spark, sf_dir):
     return sinks.load_store(spark, root).where("generated_at IS NOT NULL").select("c_custkey", "c_name")
 
 
+def store_commits(spark, sf_dir):
+    """A store that two writers change from one version: the second is refused and applies its change to what the first has made of it."""
+    root, key = scratch(spark), F.col("c_custkey")
+    base = sinks.commit_store(table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.lit("pending").alias("tag_status"), F.lit(0).alias("edits")), root, 0)
+    held = sinks.load_store(spark, root, base).drop("generated_at")
+    sinks.commit_store(held.withColumns({"tag_status": F.when(key % 3 == 0, "model").otherwise(F.col("tag_status")), "edits": F.col("edits") + 1}), root, base)
+    human = lambda df: df.withColumns({"tag_status": F.when(key % 5 == 0, "human").otherwise(F.col("tag_status")), "edits": F.col("edits") + 1})
+    refused = False
+    try:
+        sinks.commit_store(human(held), root, base)
+    except sinks.ConflictError:
+        refused = True
+    version = sinks.update_store(spark, root, human)
+    return sinks.load_store(spark, root).select("c_custkey", "tag_status", "edits", F.lit(version).alias("version"), F.lit(refused).alias("refused"))
+
+
 QUERIES = {f.__name__: f for f in (
-    csv_products, csv_row_count, newest_export, phase_logs, event_lines, event_tail, event_resume, written_decisions, written_summary, rewritten_phase_log, saved_store,
+    csv_products, csv_row_count, newest_export, phase_logs, event_lines, event_tail, event_resume, written_decisions, written_summary, rewritten_phase_log, saved_store, store_commits,
 )}
 
 SQL = {
@@ -132,5 +148,6 @@ SELECT 'stage' AS level, keep, stage, NULL AS match, NULL AS grp, count(*) AS n
 UNION ALL SELECT 'match', keep, stage, match, NULL, count(*) FROM d WHERE match IS NOT NULL GROUP BY keep, stage, match
 UNION ALL SELECT 'group', keep, stage, NULL, grp, count(*) FROM d WHERE grp IS NOT NULL GROUP BY keep, stage, grp""",
     "rewritten_phase_log": "SELECT 'run' || o_orderkey % 3 AS run_id, CASE WHEN o_orderkey % 3 = 1 THEN 2 ELSE 1 END AS version, count(*) AS n FROM orders GROUP BY 1, 2",
+    "store_commits": "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'human' WHEN c_custkey % 3 = 0 THEN 'model' ELSE 'pending' END AS tag_status, 2 AS edits, 3 AS version, TRUE AS refused FROM customer",
     "saved_store": "SELECT c_custkey, upper(c_name) AS c_name FROM customer",
 }

@@ -131,6 +131,24 @@ def shares_named(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", evidence.has_share(body, F.lit("merlot")).alias("has_share"))
 
 
+#: Grapes by all their names, and what may stand around one of them.
+GRAPE_NAMES = (("merlot",), ("st. laurent", "saint laurent"), ("l'aigle", "aigle (red)"), ("garnacha tinta", "grenache", "a+b*"))
+SHARE_TEXTS = (
+    "{} is 20% of it", "20% of {} and more", "12,5 % {}", "{} 8%", "{} (30.5 %)", "{}: 7%", "20% of {}s", "x{} 20%", "{}, 20%", "100 of {}", "{} - 20%", "1234% {}", "", "20%{}", "{}20%",
+)
+
+
+def shares_by_alias(spark, sf_dir):
+    """Whether a text gives a grape a share by any of its names: signs in names, plurals, parts of words, decimals."""
+    o = F.col("o_orderkey")
+    at = lambda values, n: F.element_at(F.array(*values), (n + 1).cast("int"))
+    names = at([F.array(*map(F.lit, x)) for x in GRAPE_NAMES], o % len(GRAPE_NAMES))
+    spelled = F.element_at("names", (F.floor(o / 4) % F.size("names") + 1).cast("int"))
+    text = F.replace(at(list(map(F.lit, SHARE_TEXTS)), F.floor(o / 16) % len(SHARE_TEXTS)), F.lit("{}"), spelled)
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", names.alias("names")).withColumn("body", text)
+    return rows.select("o_orderkey", evidence.share_named(F.col("body"), F.col("names")).alias("has_share"))
+
+
 def blends_named_whole(spark, sf_dir):
     """A customer's orders as snippets that name one to three of two grapes."""
     o = F.col("o_orderkey")
@@ -418,7 +436,7 @@ def synonym_changes(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    strip_classification, deep_closure, deep_cycles, below_node, region_candidates, lookup_labels, list_regions, list_by_edges, label_dims, mentioned_words, unsupported_claims, shares_named, blends_named_whole,
+    strip_classification, deep_closure, deep_cycles, below_node, region_candidates, lookup_labels, list_regions, list_by_edges, label_dims, mentioned_words, unsupported_claims, shares_named, shares_by_alias, blends_named_whole,
     called_blends, white_only, origin_named, longer_regions, unsupported_regions, name_region, region_from_name, reviewed_tags, replaced_regions, organic_confirmed, colour_conflict, search_echo, content_gates, name_coverage,
     url_only_tokens, scored_snippets, ranked_facts, truncated_bodies, best_score, phase_states, wine_search, event_filter, required_ids, picked_countries, linked_edges, filled_colours, lock_prune, lock_report,
     merged_names, slice_check, field_checks, found_labels, sibling_slices, label_union, synonym_changes,
@@ -444,6 +462,11 @@ UNION ALL SELECT 'region', 'c' || n_nationkey, n_nationkey, 2 FROM nation WHERE
     "unsupported_claims": r"""WITH cl AS (SELECT DISTINCT CASE WHEN item_id % 2 = 0 THEN reverse(w) ELSE w END AS claim FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS w FROM benchmark)),
 b AS (SELECT DISTINCT lang, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS claim FROM documents)
 SELECT lang, claim FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL), cl EXCEPT SELECT lang, claim FROM b""",
+    "shares_by_alias": """WITH g(k, names) AS (VALUES """ + ", ".join(f"({i}, [" + ", ".join("'" + n.replace("'", "''") + "'" for n in names) + "])" for i, names in enumerate(GRAPE_NAMES)) + """),
+t(j, form) AS (VALUES """ + ", ".join(f"({i}, '{x}')" for i, x in enumerate(SHARE_TEXTS)) + r"""),
+b AS (SELECT o_orderkey, names, replace(form, '{}', names[(o_orderkey // 4) % len(names) + 1]) AS body FROM orders JOIN g ON k = o_orderkey % 4 JOIN t ON j = (o_orderkey // 16) % """ + str(len(SHARE_TEXTS)) + r"""),
+n AS (SELECT o_orderkey, body, regexp_escape(unnest(names)) AS n FROM b)
+SELECT o_orderkey, bool_or(regexp_matches(body, '\d{1,3}([.,]\d+)?\s?%\s*(of\s+)?' || n || '([^a-z0-9]|$)') OR regexp_matches(body, '(^|[^a-z0-9])' || n || '\s*[:(]?\s*\d{1,3}([.,]\d+)?\s?%')) AS has_share FROM n GROUP BY 1""",
     "shares_named": "SELECT o_orderkey, o_orderkey % 4 < 2 AS has_share FROM orders",
     "blends_named_whole": "SELECT o_custkey, bool_or(o_orderkey % 5 = 0 AND (o_orderkey % 3 = 0 OR (o_orderkey % 3 = 2 AND o_orderkey % 7 = 0))) AS named_whole FROM orders GROUP BY o_custkey",
     "called_blends": r"SELECT doc_id, doc_id % 5 = 0 OR regexp_matches(lower(coalesce(text, '')), '\b(blend|blended|assemblage)\b') AS blend FROM documents",
