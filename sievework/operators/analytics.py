@@ -54,6 +54,39 @@ def submitted_values(transcripts: DataFrame, tool: str, fields: Sequence[str]) -
     return out.groupBy("kind", "name").agg(F.count("*").alias("n"))
 
 
+def message_calls(messages: DataFrame, message: str) -> DataFrame:
+    """``(kind, arguments)``: the tool calls of ``messages``, one JSON message per row, with arguments as a variant.
+
+    A conversation's messages are rows of their own, so one of any length is read by many tasks.  Arguments may be an object or a string that holds one;
+    what is no JSON is skipped, as are messages without calls.
+    """
+    calls = messages.select(F.explode(F.try_variant_get(F.try_parse_json(message), "$.tool_calls", "array<variant>")).alias("c"))
+    told = F.try_variant_get("c", "$.function.arguments", "string")
+    return calls.select(F.try_variant_get("c", "$.function.name", "string").alias("kind"), F.try_parse_json(told).alias("arguments")).where("arguments IS NOT NULL")
+
+
+def message_tool_calls(messages: DataFrame, message: str, names: Sequence[str], argument: str = "name", scope: str = "country") -> DataFrame:
+    """``tool_calls`` of messages that are rows of their own: calls of the named tools by (kind, name, scope)."""
+    rows = message_calls(messages, message).where(F.col("kind").isin(list(names)))
+    rows = rows.select("kind", *[F.try_variant_get("arguments", f"$.{path}", "string").alias(c) for c, path in (("name", argument), ("scope", scope))])
+    return rows.where("name IS NOT NULL").groupBy("kind", "name", "scope").agg(F.count("*").alias("n"))
+
+
+def message_values(messages: DataFrame, message: str, tool: str, fields: Sequence[str]) -> DataFrame:
+    """``submitted_values`` of messages that are rows of their own: each value of array arguments of a tool, counted by field."""
+    calls = message_calls(messages, message).where(F.col("kind") == tool)
+    every = F.array(*[F.struct(F.lit(f).alias("kind"), F.try_variant_get("arguments", f"$.{f}", "array<string>").alias("names")) for f in fields])
+    rows = calls.select(F.explode(every).alias("x")).select("x.kind", F.explode("x.names").alias("name"))
+    return rows.groupBy("kind", "name").agg(F.count("*").alias("n"))
+
+
+def message_attempts(messages: DataFrame, key: str, message: str, tool: str = "submit_tags") -> DataFrame:
+    """``submit_attempts`` of messages that are rows of their own: answers of one tool in each conversation."""
+    of = lambda path: F.try_variant_get(F.try_parse_json(message), path, "string")
+    answer = F.coalesce((of("$.role") == "tool") & (of("$.name") == tool), F.lit(False))
+    return messages.groupBy(key).agg(F.sum(answer.cast("int")).cast("int").alias("attempts"))
+
+
 def replay(calls: DataFrame, dims: DataFrame, fold: str, phrases: Sequence[str] = ()) -> DataFrame:
     """Counted names against a library version: phrase, unknown, placeholder or ok."""
     best = dims.groupBy(F.col("label_fold").alias(fold)).agg(F.max(F.col("is_canonical").cast("int")).alias("_c"))

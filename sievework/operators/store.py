@@ -134,6 +134,26 @@ def run_summary(items: DataFrame, final: DataFrame, key: str) -> DataFrame:
     return items.join(done, ["run_id", key], "left").groupBy("run_id").agg(F.count("*").alias("products"), F.count("_done").alias("tagged")).orderBy(F.col("run_id").desc())
 
 
+def run_overview(runs: DataFrame, items: DataFrame, final: DataFrame, logs: DataFrame, phases: Sequence[str], key: str) -> DataFrame:
+    """``run_summary`` with each phase: a row for every run and phase, newest run first.
+
+    ``runs(run_id, ..., phases MAP<STRING, STRUCT<...>>)`` is what a run says of itself, carried along; ``info`` is what it says of the phase, null where it says
+    nothing.  ``items(run_id, key)`` are its products, ``final(run_id, key)`` those tagged, ``logs(run_id, phase, key)`` the phase logs; ``logged`` counts the products
+    of each phase, which ``run_files`` lists.  Runs without items or logs count 0.
+    """
+    of = lambda df, name: df.select("run_id", key).distinct().groupBy("run_id").agg(F.count("*").alias(name))
+    logged = logs.select("run_id", "phase", key).distinct().groupBy("run_id", "phase").agg(F.count("*").alias("logged"))
+    every = runs.select("*", F.explode(F.array(*map(F.lit, phases))).alias("phase"))
+    every = every.withColumn("info", F.try_element_at("phases", F.col("phase"))).drop("phases")
+    out = every.join(of(items, "products"), "run_id", "left").join(of(final, "tagged"), "run_id", "left").join(logged, ["run_id", "phase"], "left")
+    return out.fillna(0, ["products", "tagged", "logged"]).orderBy(F.col("run_id").desc(), F.array_position(F.array(*map(F.lit, phases)), F.col("phase")))
+
+
+def run_files(logs: DataFrame, final: DataFrame, key: str) -> DataFrame:
+    """``(run_id, phase, key)``: the products that each phase of each run has a log of, those tagged as phase ``final``; rows, so a run of any size is many tasks'."""
+    return logs.select("run_id", "phase", key).union(final.select("run_id", F.lit("final"), key)).distinct()
+
+
 def retention(runs: DataFrame, keep_latest: int, protect: Sequence[str] = (), by: Sequence[str] = (), order: str = "run_id") -> DataFrame:
     """``runs`` with ``action``: keep the newest, skip protected ones, delete the rest."""
     rn = F.row_number().over(Window.partitionBy(*by).orderBy(F.col(order).desc()))
@@ -151,3 +171,16 @@ def same_list(items: DataFrame, saved: DataFrame, key: str, order: str) -> bool:
     """Whether a saved run has exactly the requested products in the same order."""
     a, b = items.select(F.col(order).alias("_o"), F.col(key).alias("_a")), saved.select(F.col(order).alias("_o"), F.col(key).alias("_b"))
     return a.join(b, "_o", "full").where(~F.col("_a").eqNullSafe(F.col("_b"))).isEmpty()
+
+
+def matching_runs(items: DataFrame, saved: DataFrame, key: str, order: str, run: str = "run_id") -> DataFrame:
+    """``(run, same)``: which saved runs have exactly the requested products in the same order, so that they may be resumed.
+
+    ``items(order, key)`` and ``saved(run, order, key)`` have one row for each place of a list.  Places meet by equality and are counted, so no list is
+    gathered.  An empty request is the same as no run.
+    """
+    asked = items.select(F.col(order).alias("_o"), F.col(key).alias("_k"))
+    places = saved.select(run, F.col(order).alias("_o"), F.col(key).alias("_s")).join(asked, "_o", "left")
+    counted = places.groupBy(run).agg(F.count("*").alias("_n"), F.sum(F.coalesce((F.col("_s") == F.col("_k")).cast("int"), F.lit(0))).alias("_met"))
+    n = asked.count()
+    return counted.select(run, ((F.col("_n") == n) & (F.col("_met") == n)).alias("same"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievework.common import table
-from sievework.operators import evidence, refdata, taxonomy
+from sievework.operators import evidence, linking, refdata, taxonomy
 
 
 def _edges(spark, sf_dir):
@@ -199,8 +199,45 @@ def build_stats(spark, sf_dir):
     return refdata.build_stats({"region": flagged("region", "r_regionkey"), "nation": flagged("nation", "n_nationkey"), "part": flagged("part", "p_partkey")})
 
 
+def tree_intervals(spark, sf_dir):
+    """Customers in chains of 1,000, with their suppliers' and parts' keys as leaves of the chains' middle: interval labels of every node."""
+    c = F.col("c_custkey")
+    chain = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), c).alias("id"), F.when(c % 1000 > 0, F.concat(F.lit("c"), c - 1)).alias("parent_id"))
+    leaves = table(spark, sf_dir, "part").select(F.concat(F.lit("p"), "p_partkey").alias("id"), F.lit("c77").alias("parent_id"))
+    rows = taxonomy.tree_intervals(chain.union(leaves))
+    return rows.select("id", "root", "depth", (taxonomy.subtree_size(F.col("pre"), F.col("post")) - 1).alias("n_below"))
+
+
+def below_tops(spark, sf_dir):
+    """Everything below the customers of low balance, in chains of 1,000."""
+    c = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer")
+    labels = taxonomy.tree_intervals(rows.select(c.alias("id"), F.when(c % 1000 > 0, c - 1).alias("parent_id")))
+    return taxonomy.below_any(labels, rows.where("c_acctbal < -700").select(c.alias("top")))
+
+
+def _label_rows(spark, sf_dir):
+    """Parts as entries by their names, and as candidates by labels made of them."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    name, turned = F.lower("p_name"), F.concat_ws(" ", F.element_at(F.split(F.lower("p_name"), " "), 2), F.element_at(F.split(F.lower("p_name"), " "), 1))
+    label = F.when(k % 7 == 0, name).when(k % 7 == 1, F.concat(name, F.lit(" doc"))).when(k % 7 == 2, F.concat(F.lit("old "), name)).when(k % 7 == 3, turned).when(k % 7 == 4, F.concat(name, F.lit(" wine region"))).otherwise(F.lower("p_brand"))
+    desc = F.when(k % 5 == 0, "a wine grape mutation").when(k % 5 == 1, "grape variety").when(k % 5 == 2, "wine area").otherwise("a ship")
+    kinds = F.when(k % 3 == 0, F.array(F.lit("comune"))).when(k % 3 == 1, F.array(F.lit("Vitis")))
+    none = F.lit(None).cast("array<string>")
+    entries = p.select(k.alias("entry"), name.alias("name"), F.when(k % 2 == 0, F.array(turned)).alias("synonyms"), F.when(k % 4 == 0, "DOC").alias("classification"))
+    return entries, p.select(F.concat(F.lit("q"), k).alias("candidate"), label.alias("label"), desc.alias("description"), F.when(F.col("p_size") > 45, F.array(F.lit("W"), F.lit("S"))).alias("classes"), none.alias("supers"), kinds.alias("class_labels"), F.col("p_size").alias("ord"))
+
+
+def link_grapes(spark, sf_dir):
+    return linking.link_grapes(*_label_rows(spark, sf_dir), ["G"], ["S"]).select("entry", "candidate", F.col("score").cast("int").alias("score"), "note")
+
+
+def link_regions(spark, sf_dir):
+    return linking.link_regions(*_label_rows(spark, sf_dir), ["W"], [" doc", " wine region"], ["comune"]).select("entry", "candidate", F.col("score").cast("int").alias("score"), "note")
+
+
 QUERIES = {f.__name__: f for f in (
-    taxonomy_closure, path_to_root, tree_listing, sub_regions, resolve_labels, pick_homonym, region_variants, resolve_category, canonical_batch, corroboration_counts, evidence_status,
+    tree_intervals, below_tops, link_grapes, link_regions, taxonomy_closure, path_to_root, tree_listing, sub_regions, resolve_labels, pick_homonym, region_variants, resolve_category, canonical_batch, corroboration_counts, evidence_status,
     finer_regions, unique_checks, fk_checks, label_collisions, cycle_check, synonym_arbitration, admit_placeholders, entity_link, entity_link_all, slice_merge, snapshot_diff, build_stats,
 )}
 
@@ -211,7 +248,25 @@ t AS (SELECT id AS ancestor, id AS descendant, 0 AS distance FROM e UNION ALL SE
 DIMS = """d AS (SELECT CASE WHEN n_nationkey % 5 = 0 THEN 'shared name' ELSE lower(n_name) END AS label_fold, n_nationkey AS entity, n_name AS name, n_regionkey::VARCHAR AS scope, n_nationkey % 7 <> 3 AS is_canonical FROM nation)"""
 FAULTY = "f AS (SELECT n_nationkey, n_name, CASE WHEN n_nationkey % 6 = 0 THEN 99 ELSE n_regionkey END AS n_regionkey FROM nation UNION ALL SELECT n_nationkey, n_name, CASE WHEN n_nationkey % 6 = 0 THEN 99 ELSE n_regionkey END FROM nation WHERE n_nationkey % 4 = 0)"
 
+LABEL_ROWS = """WITH p AS (SELECT p_partkey AS k, p_size AS ord, lower(p_name) AS name, split_part(lower(p_name), ' ', 2) || ' ' || split_part(lower(p_name), ' ', 1) AS turned, lower(p_brand) AS brand FROM part),
+c AS (SELECT *, 'q' || k AS candidate, CASE k % 7 WHEN 0 THEN name WHEN 1 THEN name || ' doc' WHEN 2 THEN 'old ' || name WHEN 3 THEN turned WHEN 4 THEN name || ' wine region' ELSE brand END AS label FROM p),
+"""
+
 SQL = {
+    "tree_intervals": """WITH m AS (SELECT max(c_custkey) AS mx, (SELECT count(*) FROM part) AS np FROM customer)
+SELECT 'c' || c_custkey AS id, 'c' || (c_custkey - c_custkey % 1000) AS root, c_custkey % 1000 AS depth, least(999 - c_custkey % 1000, mx - c_custkey) + CASE WHEN c_custkey <= 77 THEN np ELSE 0 END AS n_below FROM customer, m
+UNION ALL SELECT 'p' || p_partkey, 'c0', 78, 0 FROM part""",
+    "below_tops": "SELECT a.c_custkey AS top, b.c_custkey AS id, b.c_custkey - a.c_custkey AS distance FROM customer a JOIN customer b ON a.c_custkey // 1000 = b.c_custkey // 1000 AND a.c_custkey < b.c_custkey WHERE a.c_acctbal < -700",
+    "link_grapes": LABEL_ROWS + """s AS (SELECT candidate, label, ord, 10 - 5 * (ord > 45 OR k % 5 = 0)::INT AS own FROM c WHERE k % 3 = 1 OR k % 5 < 2),
+w AS (SELECT DISTINCT name, turned, k % 2 = 0 AS syn FROM p),
+j AS (SELECT w.name, syn, candidate, ord, own + CASE WHEN label = name THEN 20 WHEN syn AND label = turned THEN 15 WHEN starts_with(label, name || ' ') OR ends_with(label, ' ' || name) THEN 3 END AS score FROM w, s),
+b AS (SELECT name, syn, arg_min(candidate, (-score, ord, candidate)) AS candidate, max(score)::INT AS score FROM j WHERE score IS NOT NULL GROUP BY 1, 2)
+SELECT k AS entry, candidate, score, CASE WHEN candidate IS NULL THEN 'none' WHEN score >= 25 THEN 'ok' ELSE 'inexact label' END AS note FROM p LEFT JOIN b ON b.name = p.name AND syn = (k % 2 = 0)""",
+    "link_regions": LABEL_ROWS + """s AS (SELECT candidate, label, ord, ord > 45 OR k % 5 IN (0, 2) AS wine, CASE WHEN ord > 45 OR k % 5 IN (0, 2) THEN 30 ELSE 15 END + 5 * (k % 5 IN (0, 2))::INT AS own FROM c WHERE ord > 45 OR k % 5 IN (0, 2) OR k % 3 = 0),
+w AS (SELECT DISTINCT name, k % 4 = 0 AS doc FROM p),
+j AS (SELECT w.name, doc, candidate, ord, own + CASE WHEN label = name THEN 0 WHEN label IN (name || ' doc', name || ' wine region') THEN 3 END AS score FROM w, s WHERE wine OR NOT doc),
+b AS (SELECT name, doc, arg_min(candidate, (-score, ord, candidate)) AS candidate, max(score)::INT AS score FROM j WHERE score IS NOT NULL GROUP BY 1, 2)
+SELECT k AS entry, candidate, score, CASE WHEN candidate IS NULL THEN 'none' WHEN score >= 30 THEN 'ok' ELSE 'no wine class' END AS note FROM p LEFT JOIN b ON b.name = p.name AND doc = (k % 4 = 0)""",
     "taxonomy_closure": EDGES + "SELECT * FROM t",
     "path_to_root": EDGES + "SELECT descendant AS id, coalesce(string_agg(ancestor, '>' ORDER BY distance) FILTER (distance > 0), '') AS parents FROM t GROUP BY 1",
     "tree_listing": EDGES + ", b AS (SELECT ancestor AS id, count(*) - 1 AS below FROM t GROUP BY 1) SELECT descendant AS id, max(distance)::BIGINT AS depth, string_agg(e.name, ' / ' ORDER BY distance DESC) AS path, any_value(below) AS below FROM t JOIN e ON e.id = t.ancestor JOIN b ON b.id = t.descendant GROUP BY 1",

@@ -121,26 +121,60 @@ def run_outcome(spark, sf_dir):
     return analytics.run_outcome(items, _store(spark, sf_dir), "c_custkey")
 
 
-def _transcripts(spark, sf_dir):
-    """The events of a user as one transcript: every event is a message with one tool call."""
+def _messages(spark, sf_dir):
+    """Every event as a JSON message with one tool call, of its user's transcript; arguments are objects or strings of them."""
     e = table(spark, sf_dir, "events")
-    bad = F.col("event_id") % 50 == 0
-    args = F.when(bad, "not json").otherwise(F.to_json(F.struct(F.concat(F.lit("name "), F.col("event_id") % 9).alias("name"), F.array("event_type").alias("region"))))
-    call = F.struct(F.col("event_id").cast("string").alias("id"), F.struct(F.when(F.col("event_type") == "click", "submit_tags").otherwise("lookup_region").alias("name"), args.alias("arguments")).alias("function"))
-    message = F.struct(F.when(F.col("event_type") == "view", "tool").otherwise("assistant").alias("role"), F.lit("").alias("content"), F.when(F.col("event_type") == "view", "submit_tags").alias("name"), F.array(call).alias("tool_calls"))
-    return e.groupBy("user_id").agg(F.collect_list(message).alias("transcript"))
+    args = F.to_json(F.struct(F.concat(F.lit("name "), F.col("event_id") % 9).alias("name"), F.array("event_type").alias("region")))
+    told = F.when(F.col("event_id") % 50 == 0, '"not json"').when(F.col("event_id") % 7 == 0, args).otherwise(F.concat(F.lit('"'), F.replace(args, F.lit('"'), F.lit('\\"')), F.lit('"')))
+    kind, view = F.when(F.col("event_type") == "click", "submit_tags").otherwise("lookup_region"), F.col("event_type") == "view"
+    call = F.concat(F.lit('{"id": "'), "event_id", F.lit('", "function": {"name": "'), kind, F.lit('", "arguments": '), told, F.lit("}}"))
+    head = F.when(view, '{"role": "tool", "name": "submit_tags"').otherwise('{"role": "assistant"')
+    return e.select("user_id", F.concat(head, F.lit(', "content": "", "tool_calls": ['), call, F.lit("]}")).alias("message"))
 
 
 def tool_call_counts(spark, sf_dir):
-    return analytics.tool_calls(_transcripts(spark, sf_dir), ["lookup_region", "submit_tags"])
+    return analytics.message_tool_calls(_messages(spark, sf_dir), "message", ["lookup_region", "submit_tags"])
 
 
 def submitted_values(spark, sf_dir):
-    return analytics.submitted_values(_transcripts(spark, sf_dir), "submit_tags", ["region"])
+    return analytics.message_values(_messages(spark, sf_dir), "message", "submit_tags", ["region"])
 
 
 def submit_attempts(spark, sf_dir):
-    return analytics.submit_attempts(_transcripts(spark, sf_dir), "user_id")
+    return analytics.message_attempts(_messages(spark, sf_dir), "user_id", "message")
+
+
+def _run_logs(spark, sf_dir):
+    """Runs by month of order: what they say of themselves, their products, those tagged, and logs by phase."""
+    orders = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("run_id"), F.col("o_orderkey").alias("id"))
+    line = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), "l_returnflag", "l_linestatus")
+    logs = orders.join(line, "id").select("run_id", F.when(F.col("l_returnflag") == "N", "search").when(F.col("l_returnflag") == "A", "score").otherwise("tag").alias("phase"), "id")
+    final = orders.join(line.where("l_linestatus = 'F'"), "id").select("run_id", "id")
+    month = F.substring("run_id", 6, 2).cast("int")
+    info = lambda done: F.struct(F.when(month % 2 == 0, "done").otherwise("running").alias("state"), done.alias("done"))
+    said = F.map_concat(F.create_map(F.lit("search"), info(month)), F.when(month % 3 > 0, F.create_map(F.lit("tag"), info(month * 2))).otherwise(F.create_map().cast("map<string,struct<state:string,done:int>>")))
+    runs = orders.select("run_id").distinct().select("run_id", F.when(month % 4 == 0, "paused").otherwise("done").alias("status"), said.alias("phases"))
+    return runs, orders, final, logs
+
+
+def run_overview(spark, sf_dir):
+    runs, items, final, logs = _run_logs(spark, sf_dir)
+    return store.run_overview(runs, items, final, logs, prog.PHASES, "id").select("run_id", "status", "phase", F.col("info.state").alias("state"), F.col("info.done").alias("done"), "products", "tagged", "logged")
+
+
+def run_files(spark, sf_dir):
+    _, _, final, logs = _run_logs(spark, sf_dir)
+    return store.run_files(logs, final, "id")
+
+
+def matching_runs(spark, sf_dir):
+    """Saved lists of all customers: as asked, backwards, without the last, with one more, and with two that changed places."""
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pos"), F.col("c_custkey").alias("id"))
+    last, pos = rows.agg(F.max("pos")).first()[0] or 0, F.col("pos")
+    run = lambda name, at: rows.select(F.lit(name).alias("run_id"), at.alias("pos"), "id")
+    saved = run("same", pos).union(run("backwards", last - pos)).union(run("shorter", pos).where(pos < last)).union(run("longer", pos))
+    saved = saved.union(rows.where(pos == last).select(F.lit("longer"), pos + 1, F.col("id") + 1)).union(run("swapped", F.when(pos == 1, 2).when(pos == 2, 1).otherwise(pos)))
+    return store.matching_runs(rows, saved, "id", "pos")
 
 
 def _versions(spark, sf_dir):
@@ -288,7 +322,7 @@ def score_gate(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     protected_upsert, apply_tags, apply_edits, reset_human, skip_human, legacy_status, export_tags, render_tags, status_counts, retention, history_backfill, product_history, run_results,
-    run_summary, remaining, phase_counts, run_outcome, tool_call_counts, submitted_values, submit_attempts, replay_resolve, replay_diff, usage_rollup, event_dedupe, phase_rate,
+    run_summary, run_overview, run_files, matching_runs, remaining, phase_counts, run_outcome, tool_call_counts, submitted_values, submit_attempts, replay_resolve, replay_diff, usage_rollup, event_dedupe, phase_rate,
     overall_fraction, overall_eta, latest_per_job, progress_stream, windowed_status, html_name_tables, run_progress, run_bars, bars_eta, parse_reply, reask_loop, score_gate,
 )}
 
@@ -302,6 +336,11 @@ a AS (SELECT name, n, CASE WHEN contains(name, '_9') THEN 'phrase' WHEN l IS NUL
 b AS (SELECT name, n, CASE WHEN contains(name, '_9') THEN 'phrase' WHEN l IS NULL THEN 'unknown' WHEN k % 4 = 0 THEN 'placeholder' ELSE 'ok' END AS status FROM c LEFT JOIN (SELECT * FROM d WHERE k % 5 > 0) ON l = name)
 """
 
+RUN_LOGS = """WITH o AS (SELECT strftime(o_orderdate, '%Y-%m') AS run_id, month(o_orderdate)::INT AS mo, o_orderkey AS id FROM orders),
+g AS (SELECT DISTINCT run_id, CASE l_returnflag WHEN 'N' THEN 'search' WHEN 'A' THEN 'score' ELSE 'tag' END AS phase, id FROM o JOIN lineitem ON l_orderkey = id),
+f AS (SELECT DISTINCT run_id, id FROM o JOIN lineitem ON l_orderkey = id WHERE l_linestatus = 'F')
+"""
+
 BARS = """WITH e AS (SELECT *, CASE event_type WHEN 'signup' THEN ['run_plan', 'info', 'paused', 'paused'][event_id % 4 + 1] WHEN 'view' THEN ['phase_start', 'wine_start'][event_id % 2 + 1]
   WHEN 'click' THEN 'progress' WHEN 'purchase' THEN ['phase_end', 'progress'][event_id % 2 + 1] ELSE 'stop' END AS kind, event_id % 3 AS ph, CASE WHEN event_id % 5 < 4 THEN 12 + event_id % 3 END AS tot FROM events),
 o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, coalesce(list_position(['info', 'run_plan', 'phase_start', 'wine_start', 'progress', 'phase_end'], kind), 7), event_id) AS i FROM e),
@@ -345,6 +384,12 @@ SELECT o_orderkey, c_name, CASE WHEN n IS NULL THEN NULL WHEN n % 5 > 0 THEN 'ok
   CASE WHEN n % 7 > 0 THEN 'model' ELSE 'pending' END AS run_status, coalesce(tag_status = 'human', FALSE) AS human_in_store
 FROM orders LEFT JOIN s ON o_custkey = c_custkey LEFT JOIN p ON p.k = o_custkey""",
     "run_summary": "SELECT strftime(o_orderdate, '%Y-%m') AS run_id, count(*) AS products, sum((o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R'))::INT)::BIGINT AS tagged FROM orders GROUP BY 1",
+    "run_overview": RUN_LOGS + """SELECT r.run_id, CASE WHEN mo % 4 = 0 THEN 'paused' ELSE 'done' END AS status, p.phase, CASE WHEN said THEN CASE WHEN mo % 2 = 0 THEN 'done' ELSE 'running' END END AS state,
+  CASE WHEN said THEN CASE p.phase WHEN 'search' THEN mo ELSE mo * 2 END END AS done, products, coalesce((SELECT count(*) FROM f WHERE f.run_id = r.run_id), 0) AS tagged,
+  coalesce((SELECT count(*) FROM g WHERE g.run_id = r.run_id AND g.phase = p.phase), 0) AS logged
+FROM (SELECT run_id, mo, count(*) AS products FROM o GROUP BY ALL) r, (VALUES ('search'), ('score'), ('tag')) p(phase), LATERAL (SELECT p.phase = 'search' OR (p.phase = 'tag' AND mo % 3 > 0) AS said)""",
+    "run_files": RUN_LOGS + "SELECT run_id, phase, id FROM g UNION ALL SELECT run_id, 'final', id FROM f",
+    "matching_runs": "SELECT run_id, run_id = 'same' AS same FROM (VALUES ('same'), ('backwards'), ('shorter'), ('longer'), ('swapped')) t(run_id)",
     "remaining": "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')",
     "phase_counts": """WITH o AS (SELECT *, year(o_orderdate)::INT AS run_id, o_orderstatus = 'P' AS sk, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_orderkey % 4 END AS sn FROM orders)
 SELECT run_id, sum((NOT sk)::INT)::BIGINT AS searched, sum(sk::INT)::BIGINT AS skipped_human, sum((NOT sk AND sn = 0)::INT)::BIGINT AS no_snippets, sum(sn)::BIGINT AS snippets_total,
