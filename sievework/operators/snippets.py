@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.common import bounded_broadcast, cut, stored
+from sievework.common import Shared, cut, stored
 from sievework.functions import text, urls
 from sievework.operators import seeds
 
@@ -173,28 +175,58 @@ def near_duplicates(
     return rows.join(marks, "_id", "left").select(*df.columns, F.coalesce("is_dup", F.lit(False)).alias("is_dup"))
 
 
+#: Words of most sets whose counts order all words; the others count as the rarest.
+FREQUENT = 100_000
+
+
+def _rare_prefixes(classes: DataFrame, threshold: float) -> DataFrame:
+    """``(word, id, size, place)``: of each set of ``classes(id, w)`` the rarest words, as many as a set alike may lack and one more.
+
+    Any order of words that all sets share will do, and rare words first make few sets meet; so the ``FREQUENT`` most frequent words are ordered by their counts and
+    the others come before them, by hash.  Each set is cut where it is read.
+    """
+    counts = classes.select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
+    top = sorted((r["word"], r["n"]) for r in counts.orderBy(F.col("n").desc(), "word").limit(FREQUENT).collect())  # a fixed number of words
+    shared = Shared(classes.sparkSession, np.array(top or [(0, 0)], np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, often = shared.value.T
+            size = batch.column(1).value_lengths().to_numpy()
+            flat, row = batch.column(1).flatten().to_numpy(), np.repeat(np.arange(len(batch)), size)
+            at = np.minimum(np.searchsorted(words, flat), len(words) - 1)
+            order = np.lexsort((flat, np.where(words[at] == flat, often[at], 0), row))
+            place = np.arange(len(flat)) - (np.cumsum(size) - size)[row] + 1
+            keep = place <= (size - np.ceil(size * threshold) + 1)[row]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat[order][keep]), batch.column(0).take(pa.array(row[keep])), pa.array(size[row[keep]].astype(np.int32)), pa.array(place[keep].astype(np.int32))],
+                names=["word", "id", "size", "place"],
+            )
+
+    return classes.select("id", "w").mapInArrow(run, f"word long, id {classes.schema['id'].dataType.simpleString()}, size int, place int")
+
+
 def near_duplicate_pairs(df: DataFrame, id_col: str, body: str, threshold: float = 0.9) -> DataFrame:
     """Pairs of different word sets with Jaccard at or over the threshold, and who has each set.
 
-    Prefix filter: with a set's words in order of rarity, two sets that alike share one of the first
-    ``n - ceil(t n) + 1``; sets meet on those words only.  Equal sets are one class, so a group of
+    Texts are read once, to sets of 64-bit word hashes.  Prefix filter: with a set's words in order of rarity, two sets that alike share one of the first
+    ``n - ceil(t n) + 1``; sets meet on those words only, and only if enough words are left in both after the first they share.  Equal sets are one class, so a group of
     copies counts once: ``(id, other)`` are the smallest ids of two classes, or of a class and each further row of it.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.array_sort(word_set(F.col(body))).alias("w")).where("size(w) > 0")
-    rows = rows.withColumn("key", F.sha2(F.array_join("w", " "), 256))
-    classes = rows.groupBy("key").agg(F.min("id").alias("id"), F.first("w").alias("w"))
-    rarity = classes.select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    ranked = classes.select("id", F.size("w").alias("size"), F.explode("w").alias("word")).join(rarity, "word")
-    place = F.row_number().over(Window.partitionBy("id").orderBy("n", "word"))
-    prefix = ranked.withColumn("_p", place).where(F.col("_p") <= F.col("size") - F.ceil(F.col("size") * F.lit(threshold)) + 1).where("n > 1")
-    a, b = prefix.select("word", "id", "size"), prefix.select("word", F.col("id").alias("other"), F.col("size").alias("other_size"))
-    met = a.join(b, "word").where("id < other").where(F.least("size", "other_size") >= F.lit(threshold) * F.greatest("size", "other_size"))
-    met = met.select("id", "other").distinct()
+    hashed = F.array_sort(F.transform(word_set(F.col(body)), lambda w: F.xxhash64(w)))
+    rows = df.select(F.col(id_col).alias("id"), hashed.alias("w")).where("size(w) > 0")
+    rows = stored(rows.withColumns({"k1": F.xxhash64("w"), "k2": F.xxhash64(F.lit(1), F.col("w"))}))
+    classes = stored(rows.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.first("w").alias("w")))
+    prefix = stored(_rare_prefixes(classes, threshold))
+    other = prefix.select("word", F.col("id").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place"))
+    met = prefix.join(other, "word").where("id < other").where(F.least("size", "other_size") >= F.lit(threshold) * F.greatest("size", "other_size"))
+    common = 1 + F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
+    met = met.where(common >= F.lit(threshold / (1 + threshold)) * (F.col("size") + F.col("other_size")) - 1e-9).select("id", "other").distinct()
     sets = classes.select("id", "w")
     both = met.join(sets, "id").join(sets.select(F.col("id").alias("other"), F.col("w").alias("v")), "other")
     like = F.size(F.array_intersect("w", "v")) / F.size(F.array_union("w", "v"))
     pairs = both.withColumn("jaccard", like).where(F.col("jaccard") >= threshold).select("id", "other", "jaccard")
-    copies = rows.join(classes.select("key", F.col("id").alias("first")), "key").where("id > first")
+    copies = rows.select("id", "k1", "k2").join(classes.select("k1", "k2", F.col("id").alias("first")), ["k1", "k2"]).where("id > first")
     return pairs.unionByName(copies.select(F.col("first").alias("id"), F.col("id").alias("other"), F.lit(1.0).alias("jaccard")))
 
 

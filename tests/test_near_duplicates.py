@@ -56,3 +56,29 @@ def test_query_links_other_first_characters(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.is_dup for r in text_queries.near_dup_greedy(spark, str(tmp_path)).collect()}
     assert got == {1: False, 2: True, 3: False, 4: False}
+
+
+def test_pairs_against_all_pairs(spark, monkeypatch):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdef", k=3))
+    base = [[word() for _ in range(n)] for n in (3, 8, 30, 120)]
+    rows = [(0, None), (1, ""), (2, "a bc 12")]
+    for i in range(3, 160):
+        w = list(rng.choice(base))
+        for _ in range(rng.choice((0, 0, 1, 2, 5))):
+            w[rng.randrange(len(w))] = word()
+        rows.append((i, " ".join(w)))
+    sets = {i: set(re.findall("[a-z]{3,}", (t or "").lower())) for i, t in rows}
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(frozenset(sets[i]), i)
+    reps = [i for i in sorted(sets) if sets[i] and first[frozenset(sets[i])] == i]
+    want = {(first[frozenset(sets[i])], i): 1.0 for i in sets if sets[i] and i not in reps}
+    for threshold in (0.9, 0.6):
+        near = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for k, b in enumerate(reps) for a in reps[:k]}
+        expected = want | {p: j for p, j in near.items() if j >= threshold}
+        for frequent in (100_000, 3):
+            monkeypatch.setattr(snippets, "FREQUENT", frequent)
+            got = snippets.near_duplicate_pairs(spark.createDataFrame(rows, "i int, t string").repartition(4), "i", "t", threshold)
+            assert {(r.id, r.other): r.jaccard for r in got.collect()} == expected
+    assert snippets.near_duplicate_pairs(spark.createDataFrame([], "i int, t string"), "i", "t").count() == 0
