@@ -12,11 +12,12 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.common import Shared, bounded_broadcast, stored
-from sievework.functions.fold import fold, fold_text
+from sievework.functions.fold import fold_text
 
 #: Aliases that a worker may hold; more are refused, so that what is broadcast stays bounded.
 MOST_ALIASES = 2_000_000
@@ -89,21 +90,116 @@ def phrase_tokens(folded: Column) -> Column:
     return F.regexp_extract_all(broken, F.lit(r"([a-z0-9]+|\n)"), 1)
 
 
-def _phrase_keys(phrase: Column) -> list[Column]:
-    """96 bits that stand for a phrase in joins."""
-    return [F.xxhash64(phrase).alias("h"), F.hash(phrase).alias("h2")]
-
-
-def _grams(tokens: Column, lengths: Sequence[int]) -> Column:
-    """All n-grams of these lengths without a break: array of (start, size, h, h2)."""
-
-    def of(n: int) -> Column:
-        every = F.transform(F.sequence(F.lit(0), F.size(tokens) - n), lambda i: F.struct(i.alias("start"), F.array_join(F.slice(tokens, i + 1, n), " ").alias("gram")))
-        sound = F.filter(every, lambda g: ~F.contains(g["gram"], F.lit("\n")))
-        made = F.transform(sound, lambda g: F.struct(g["start"].alias("start"), F.lit(n).alias("size"), *_phrase_keys(g["gram"])))
-        return F.when(F.size(tokens) >= n, made).otherwise(F.array().cast("array<struct<start:int,size:int,h:bigint,h2:int>>"))
-
-    return F.concat(*[of(n) for n in lengths])
+#: Bytes of text, and words of it, whose arrays are held at once.
+HELD, CHUNK = 1 << 20, 1 << 16
+#: Places of the filter that n-grams pass before they are sent to the join: 8 MB of bits, whatever the dictionary.
+PLACES = 1 << 26
+_KIND = np.zeros(256, np.uint8)  # 0 ends a name, 1 stands in a word, 2 joins words
+_KIND[[*range(48, 58), *range(97, 123)]] = 1
+_KIND[list(b" -'.")] = 2
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+class _Phrases:
+    """The words of folded texts, hashed: where each text's begin, and the n-grams of any length within names' reach."""
+
+    def __init__(self, texts: Sequence[str]):
+        parts = [t.encode().replace("’".encode(), b"'") for t in texts]
+        data = np.frombuffer(b"\n".join([*parts, b""]), np.uint8)
+        kind = _KIND[data]
+        word = np.concatenate(([False], kind == 1, [False]))
+        self.start, stop = np.flatnonzero(word[1:-1] & ~word[:-2]), np.flatnonzero(word[1:-1] & ~word[2:]) + 1
+        self.ends = np.cumsum(kind == 0, dtype=np.int32)[self.start]  # names' ends before each word: equal for words of one run
+        self.text = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), self.start, "right")
+        self.first = np.searchsorted(self.text, np.arange(len(parts)))
+        self.hashes = [np.empty(len(self.start), np.uint64) for _ in _BASES]
+        for i in range(0, len(self.start), CHUNK):
+            a, b = self.start[i : i + CHUNK], stop[i : i + CHUNK]
+            size = b - a
+            within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            values = data[np.repeat(a, size) + within].astype(np.uint64) + np.uint64(1)
+            for held, base in zip(self.hashes, _BASES, strict=True):
+                up = np.concatenate(([np.uint64(1)], np.cumprod(np.full(int(size.max()), base, np.uint64))))
+                held[i : i + CHUNK] = _mixed(np.add.reduceat(values * up[within], np.cumsum(size) - size) + size.astype(np.uint64))
+
+    def grams(self, n: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The first words of all n-grams that no name's end cuts, and the grams' two hashes."""
+        many = max(len(self.start) - n + 1, 0)
+        at = np.flatnonzero(self.ends[:many] == self.ends[n - 1 :][:many])
+        out = []
+        for h, base in zip(self.hashes, _BASES, strict=True):
+            g = h[at]
+            for j in range(1, n):
+                g = g * np.uint64(base) + h[at + j]
+            out.append(_mixed(g))
+        return at, out
+
+
+def _place(h: np.ndarray) -> np.ndarray:
+    return (h % np.uint64(PLACES)).astype(np.int64)
+
+
+def _hashed(aliases: DataFrame) -> DataFrame:
+    """``aliases(phrase, ...)`` with the two hashes of their phrase as ``h, h2``."""
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in aliases.schema.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            phrases = _Phrases(batch.column(0).to_pylist())
+            count = np.diff(np.append(phrases.first, len(phrases.start)))
+            found = [np.zeros(len(batch), np.uint64) for _ in _BASES]
+            for n in np.unique(count[count > 0]).tolist():
+                at, hashes = phrases.grams(n)
+                whole = np.isin(at, phrases.first[count == n])
+                for held, h in zip(found, hashes, strict=True):
+                    held[phrases.text[at[whole]]] = h[whole]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(h.view(np.int64)) for h in found)], names=[*batch.schema.names, "h", "h2"])
+
+    return aliases.mapInArrow(run, f"{kinds}, h long, h2 long")
+
+
+def _filter(aliases: DataFrame) -> Shared:
+    """Bits of the places that some alias has: a fixed number of cells is collected."""
+    placed = aliases.select(F.pmod(F.col("h"), F.lit(PLACES)).alias("place"))  # PLACES divides 2^64, so signs do not matter
+    cells = placed.groupBy(F.shiftright("place", 6).alias("cell")).agg(F.expr("bit_or(shiftleft(1L, CAST(place % 64 AS INT)))").alias("bits"))
+    bits = np.zeros(PLACES // 64, np.int64)
+    for batch in cells.toArrow().to_batches():
+        bits[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return Shared(aliases.sparkSession, bits.view(np.uint64))
+
+
+def _candidates(texts: DataFrame, keys: int, lengths: Sequence[int], bits: Shared, bare: bool) -> DataFrame:
+    """``(keys..., start, size, h, h2)``: the n-grams of ``texts(keys..., text)`` that pass the filter; ``bare`` texts are folded first."""
+    names = texts.columns[:keys]
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema.fields[:keys]), "start int, size int, h long, h2 long"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = bits.value
+        for batch in batches:
+            sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(keys)), 0).to_numpy()
+            ends, i = np.cumsum(sizes), 0
+            while i < len(batch):
+                j = max(i + 1, int(np.searchsorted(ends, ends[i] - sizes[i] + HELD, "right")))
+                some = [t or "" for t in batch.column(keys).slice(i, j - i).to_pylist()]
+                phrases = _Phrases([fold_text(t, "text") for t in some] if bare else some)
+                for n in lengths:
+                    at, (h, h2) = phrases.grams(n)
+                    spot = _place(h)
+                    hit = (held[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
+                    at, text = at[hit], phrases.text[at[hit]]
+                    own = [c.take(pa.array(i + text)) for c in batch.columns[:keys]]
+                    yield pa.RecordBatch.from_arrays(
+                        [*own, pa.array((at - phrases.first[text]).astype(np.int32)), pa.array(np.full(len(at), n, np.int32)), pa.array(h[hit].view(np.int64)), pa.array(h2[hit].view(np.int64))],
+                        names=[*names, "start", "size", "h", "h2"],
+                    )
+                i = j
+
+    return texts.mapInArrow(run, schema)
 
 
 def _leftmost_longest(found: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -126,25 +222,25 @@ def _leftmost_longest(found: DataFrame, keys: Sequence[str]) -> DataFrame:
     return placed.mapInArrow(sweep, placed.schema)
 
 
-def find_names(df: DataFrame, keys: Sequence[str], text: str, index: DataFrame, folded: Column | None = None) -> DataFrame:
-    """``(keys..., pos, kind, name)``: the names that each text mentions; ``pos`` counts words and breaks before one.
+def find_names(df: DataFrame, keys: Sequence[str], text: str, index: DataFrame, folded: bool = False) -> DataFrame:
+    """``(keys..., pos, kind, name)``: the names that each text mentions; ``pos`` is the number of words before one.
 
-    For dictionaries of any size: distinct aliases are stored once, texts are cut into n-grams of the lengths that aliases have, and
-    both meet by hash.  Only keys, places and hashes are shuffled; the hashes of up to a counted bound of aliases are broadcast instead, and names
-    join the matches that are left.  ``keys`` tell texts apart.  ``folded`` is ``text`` folded, by ``fold`` if it is not given.  Of equal aliases
-    the one of least priority, kind and name counts.  Null and empty texts mention nothing.
+    For dictionaries of any size: distinct aliases are stored once, with two 64-bit hashes.  Texts are cut into hashed n-grams of the lengths that aliases
+    have, where they are read; a filter of fixed size lets those through that some alias may equal, and these meet the aliases by both hashes.  Only keys,
+    places and hashes are shuffled; the hashes of up to a counted bound of aliases are broadcast instead, and names join the matches that are left.
+    ``keys`` tell texts apart; ``folded`` says that texts are folded.  Of equal aliases the one of least priority, kind and name counts.  Null and empty texts
+    mention nothing.
     """
     words = F.regexp_extract_all("alias", F.lit("([a-z0-9]+)"), 1)
     best = F.min(F.struct("priority", "kind", "name")).alias("best")
     aliases = index.select(F.array_join(words, " ").alias("phrase"), F.size(words).alias("size"), "priority", "kind", "name").where("size > 0")
-    aliases = stored(aliases.groupBy("phrase", "size").agg(best).select(*_phrase_keys(F.col("phrase")), "size", "best.kind", "best.name"))
+    aliases = stored(_hashed(aliases.groupBy("phrase", "size").agg(best).select("phrase", "size", "best.kind", "best.name")).drop("phrase"))
     lengths = [r["size"] for r in aliases.select("size").distinct().orderBy("size").collect()]  # at most as many as the longest alias has words
-    own = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     names = [f"_k{i}" for i in range(len(keys))]
     if not lengths:
         return df.limit(0).select(*keys, F.lit(0).alias("pos"), F.lit("").alias("kind"), F.lit("").alias("name"))
-    tokens = df.select(*own, phrase_tokens(fold(F.col(text)) if folded is None else folded).alias("_tokens"))
-    grams = tokens.select(*names, F.explode(_grams(F.col("_tokens"), lengths)).alias("g")).select(*names, "g.*")
+    texts = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(text).alias("_text"))
+    grams = _candidates(texts, len(keys), lengths, _filter(aliases), not folded)
     hits = grams.join(bounded_broadcast(aliases.select("h", "h2")), ["h", "h2"], "left_semi").select(*names, "start", "size", "h", "h2")
     taken = _leftmost_longest(hits, names).join(aliases.drop("size"), ["h", "h2"])
     return taken.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], F.col("start").alias("pos"), "kind", "name")

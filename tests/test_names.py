@@ -15,16 +15,18 @@ def index(rng, n):
     return [*rows, ("region", "R0", rows[0][2], 0), ("region", "R1", "saint-emilion", 0), ("region", "none", "' -", 0)]
 
 
-def test_joins_find_what_the_trie_finds(spark):
+def test_joins_find_what_the_trie_finds(spark, monkeypatch):
     rng = random.Random(2)
     texts = [None, "", "  ", "Cabernet, Sauvignon Blanc", "Saint-Émilion. Grand Cru", "x " * 400, "a b c"]
     texts += ["".join(rng.choice(WORDS) + rng.choice([" ", "-", ", ", ". ", "’", " \n", "; ", " – "]) for _ in range(rng.randrange(40))) for _ in range(150)]
     df = spark.createDataFrame([(i, f"k{i % 3}", t) for i, t in enumerate(texts)], "i int, k string, t string").repartition(3)
+    monkeypatch.setattr(dictionary, "HELD", 300)
+    monkeypatch.setattr(dictionary, "CHUNK", 7)
     for n in (1, 40):
         labels = spark.createDataFrame(index(rng, n), INDEX)
-        want = {r.i: [(m["kind"], m["name"]) for m in r.matches] for r in dictionary.find_phrases(df, "t", labels).collect()}
+        want = {r.i: [(m["kind"], m["name"], m["pos"]) for m in r.matches] for r in dictionary.find_phrases(df, "t", labels).collect()}
         found = dictionary.find_names(df, ["i", "k"], "t", labels)
-        got = {r.i: [(m["kind"], m["name"]) for m in r.matches] for r in dictionary.name_lists(found, ["i", "k"]).collect()}
+        got = {r.i: [(m["kind"], m["name"], m["pos"]) for m in r.matches] for r in dictionary.name_lists(found, ["i", "k"]).collect()}
         assert {i: got.get(i, []) for i in want} == want and (n == 1 or any(len(x) > 2 for x in got.values()))
 
 
@@ -34,7 +36,7 @@ def test_large_dictionaries_meet_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(dictionary, "bounded_broadcast", lambda df: common.bounded_broadcast(df, 0))
     labels = spark.createDataFrame([("region", "Picpoul de Pinet", "picpoul de pinet", 0), ("grape", "Picpoul", "picpoul", 1)], INDEX)
     df = spark.createDataFrame([(1, "Picpoul de Pinet, picpoul"), (2, "Pinet")], "i int, t string")
-    assert [(r.i, r.pos, r.name) for r in dictionary.find_names(df, ["i"], "t", labels).orderBy("pos").collect()] == [(1, 0, "Picpoul de Pinet"), (1, 4, "Picpoul")]
+    assert [(r.i, r.pos, r.name) for r in dictionary.find_names(df, ["i"], "t", labels).orderBy("pos").collect()] == [(1, 0, "Picpoul de Pinet"), (1, 3, "Picpoul")]
     assert dictionary.find_names(df, ["i"], "t", labels.limit(0)).count() == 0 and dictionary.find_names(df.limit(0), ["i"], "t", labels).count() == 0
 
 
