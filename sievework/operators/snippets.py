@@ -84,7 +84,8 @@ def trim_splices(
     pairs (columns of both sides but their texts).  Rows whose rest is too short are dropped; ``spliced`` marks cut ones.
 
     Bodies and segments meet by anchors (``seeds``), of which every segment of ``least_segment`` characters has one that any text holding it has
-    too, whatever its words.  Of a segment's anchors the one that fewest bodies hold is its seed.  Anchors, keys and hashes are shuffled; a body
+    too, whatever its words.  Of a segment's anchors the one that fewest bodies hold is its seed.  Bodies' anchors that no segment has are
+    left where they are read, if the segments' are few enough to broadcast; else anchors, keys and hashes are shuffled.  A body
     is read again for its candidates only, and a segment is known by the hashes and length of its bytes, so its text goes nowhere.  ``least_segment`` is
     at least the length of an anchor's gram, 32.  With keys only texts of a key meet.  A null body is never cut, a null segment found nowhere.
     """
@@ -100,9 +101,10 @@ def trim_splices(
     parts = parts.withColumns({"_chars": F.length("segment"), "_bytes": F.length(raw)})
     long = of_key(rows.where(F.length(body) >= least_body)).dropDuplicates(["_a", "_b"])
 
-    spots = stored(seeds.text_anchors(long, [*same, "_a", "_b"], body, window))
     known = [*same, "_s", "_t"]
-    marks = seeds.text_anchors(parts.dropDuplicates(known), [*known, "_chars", "_bytes"], "segment", window)
+    marks = stored(seeds.text_anchors(parts.dropDuplicates(known), [*known, "_chars", "_bytes"], "segment", window))
+    wanted = marks.select(*same, "seed").distinct()
+    spots = stored(seeds.text_anchors(long, [*same, "_a", "_b"], body, window).join(bounded_broadcast(wanted), [*same, "seed"], "left_semi"))
     common = spots.groupBy(*same, "seed").agg(F.count("*").alias("_often"))
     rarest = F.min_by(F.struct("seed", "place"), F.struct("_often", "seed", "place")).alias("m")
     seeded = marks.join(common, [*same, "seed"]).groupBy(*known, "_chars", "_bytes").agg(rarest).select(*known, "_chars", "_bytes", "m.seed", F.col("m.place").alias("_off"))
