@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.common import Shared, cut, stored
+from sievework.common import Shared, bounded_broadcast, cut, stored
 from sievework.functions import text, urls
 from sievework.operators import seeds
 
