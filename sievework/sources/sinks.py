@@ -69,15 +69,18 @@ def commit_store(store: DataFrame, root: str, base: int, name: str | None = None
     files.mkdirs(final.getParent())
     how = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
     how[0] = fs.Options.Rename.NONE
+    taken = base != store_version(spark, root)
     try:
-        if base != store_version(spark, root):
-            raise ConflictError(f"{root} has a version after {base}")
-        fs.FileContext.getFileContext(files.getUri(), conf).rename(files.makeQualified(waiting), files.makeQualified(final), how)
+        if not taken:
+            fs.FileContext.getFileContext(files.getUri(), conf).rename(files.makeQualified(waiting), files.makeQualified(final), how)
     except Py4JJavaError as error:
         if "FileAlreadyExistsException" not in str(error.java_exception):
             raise
-        files.delete(fs.Path(f"{root}/{data}"), True)
-        raise ConflictError(f"{root} has a version after {base}") from error
+        taken = True
+    if taken:
+        for own in (waiting, fs.Path(f"{root}/{data}")):
+            files.delete(own, True)
+        raise ConflictError(f"{root} is not at version {base} any more")
     return base + 1
 
 

@@ -13,6 +13,7 @@ def test_second_writer_is_refused(spark, tmp_path):
         with pytest.raises(sinks.ConflictError):
             sinks.commit_store(df.limit(1), root, base)
     assert sinks.load_store(spark, root).count() == 10 and sinks.load_store(spark, root, 1).count() == 5
+    assert len(list((tmp_path / "s" / "data").iterdir())) == 2 and not list((tmp_path / "s" / "waiting").glob("[!.]*"))  # nothing of the refused is left
     with pytest.raises(FileNotFoundError):
         sinks.load_store(spark, root, 9)
     with pytest.raises(FileNotFoundError):
