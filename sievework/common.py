@@ -33,9 +33,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _tables(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession) -> str:
-    """A path of its own in the shared folder."""
-    return f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    """A path of its own in the shared folder, among those of this application."""
+    return f"{_tables(spark)}/{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes what this application has stored in the shared folder; results that still read it are to be written first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -57,7 +67,7 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a compressed table in the cluster's shared folder, and read from there.
 
     Like ``cut``, for larger intermediate results: columns compress, checkpoints do not. The table
-    stays in the folder until whoever runs the cluster clears it.
+    stays in the folder until ``clear`` removes the application's, or whoever runs the cluster does.
     """
     path = scratch(df.sparkSession)
     df.write.option("compression", "snappy").parquet(path)

@@ -71,6 +71,14 @@ def event_tail(spark, sf_dir):
     return catalog.tail(catalog.read_events(spark, folder, EVENT), 20).select("event_id")
 
 
+def event_tail_all(spark, sf_dir):
+    """The newest of all events, read from appended lines."""
+    folder = scratch(spark)
+    for part in (0, 1):
+        _event_lines(spark, sf_dir, folder, part)
+    return catalog.tail(catalog.read_events(spark, folder, EVENT), 50).select("event_id", "event_type")
+
+
 def event_resume(spark, sf_dir):
     """A stream over appended lines, stopped and resumed from its checkpoint: each event arrives once."""
     folder, out, state = scratch(spark), scratch(spark), scratch(spark)
@@ -131,7 +139,7 @@ def store_commits(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    csv_products, csv_row_count, newest_export, phase_logs, event_lines, event_tail, event_resume, written_decisions, written_summary, rewritten_phase_log, saved_store, store_commits,
+    csv_products, csv_row_count, newest_export, phase_logs, event_lines, event_tail, event_tail_all, event_resume, written_decisions, written_summary, rewritten_phase_log, saved_store, store_commits,
 )}
 
 SQL = {
@@ -141,6 +149,7 @@ SQL = {
     "phase_logs": "SELECT 'run' || r_regionkey % 2 AS run_id, 'score' AS phase, r_regionkey, r_name AS name FROM region UNION ALL SELECT 'run9', 'score', NULL, NULL",
     "event_lines": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || rtrim(rtrim(strftime(ts, '.%f'), '0'), '.') AS ts, user_id, event_type AS type, value FROM events WHERE event_type <> 'error'",
     "event_tail": "SELECT event_id FROM events WHERE event_id % 2 = 0 ORDER BY ts DESC LIMIT 20",
+    "event_tail_all": "SELECT event_id, event_type FROM events ORDER BY ts DESC LIMIT 50",
     "event_resume": "SELECT event_id, event_type, value FROM events",
     "written_decisions": CASCADE + "SELECT p_partkey, CASE WHEN keep THEN stage END AS ingest_pass, CASE WHEN NOT keep THEN stage END AS excluded_by FROM d",
     "written_summary": CASCADE + """

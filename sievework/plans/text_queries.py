@@ -11,6 +11,7 @@ from sievework.operators import dictionary, selection, snippets
 STOPWORDS = ("that", "with", "this", "from", "have", "they")
 PHRASES = ("released under the mit license", "all rights reserved", "sign up")
 SENTENCES = (r"\S+@\S+\.\S+",)
+SNIPPET_WORDS = ("alpha", "bravo", "charlie", "delta", "echo", "foxtrot", "golf", "hotel", "india", "juliet")
 TEMPLATES = [
     (0, "name", "*", "{name}"), (1, "name facts", "*", "{name} origin"), (2, "sku", "*", "{sku}"), (3, "sku name", "*", "{sku} {name}"), (4, "dist", "{dist}", "{name}"),
     (5, "dist sku", "{dist}", "{sku}"), (6, "review", "*", "{name} review"), (7, "made", "*", "who makes {name}"), (8, "size", "*", "{name} size"), (9, "blend", "*", "is {name} a blend?"),
@@ -108,6 +109,17 @@ def splice_trim_two(spark, sf_dir):
     return cut.select("doc_id", "spliced", F.length("body").alias("n"), F.md5("body").alias("body_md5"))
 
 
+def gathered_snippets(spark, sf_dir):
+    """Every rule from results to snippets in turn: pages as results of products, some of one URL, some blocked, some prices or empty, some with one text."""
+    k = F.col("page_id")
+    words = [F.concat(F.lit(w), F.translate((k / 40).cast("long").cast("string"), "0123456789", "abcdefghij")) for w in SNIPPET_WORDS]
+    told = F.concat(F.concat_ws(" ", *words), F.when(k % 2 == 0, "  All rights reserved. ").otherwise(" "))
+    body = F.when(k % 9 == 0, "12.99 $").when(k % 11 == 0, F.lit(None).cast("string")).when(k % 17 == 0, " ").otherwise(told)
+    url = F.when(k % 5 == 0, F.regexp_replace("url", "[0-9]+.*$", "/")).otherwise(F.col("url"))
+    rows = table(spark, sf_dir, "pages").select((k % 20).alias("product"), (k % 10).alias("plan_idx"), k.alias("pos"), F.concat(F.lit("q"), k % 3).alias("label"), F.lit("*").alias("scope"), url.alias("url"), body.alias("body"))
+    return snippets.gather_snippets(rows, "product", PHRASES, SENTENCES, blocked=["net"], ad_hosts=["shop.example.com"]).select("product", "plan_idx", "pos", "source", "url", "domain", F.md5("body").alias("body_md5"))
+
+
 def near_dup_pairs(spark, sf_dir):
     pairs = snippets.near_duplicate_pairs(_docs(spark, sf_dir), "doc_id", "text", 0.9)
     return pairs.select("id", "other", F.round("jaccard", 6).alias("jaccard"))
@@ -171,7 +183,7 @@ def phrase_facts(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     phrase_facts, fold_text, fold_latin, tokens_significant, clean_body, price_only, list_page_ratio, url_host, on_site, url_dedupe, url_slug_words, query_plan, source_numbering, drop_counters,
-    mostly_failed, splice_trim, splice_trim_two, near_dup_pairs, near_dup_greedy, pick_diverse, build_context, context_blocks, scored_view, dictionary_facts,
+    mostly_failed, splice_trim, splice_trim_two, gathered_snippets, near_dup_pairs, near_dup_greedy, pick_diverse, build_context, context_blocks, scored_view, dictionary_facts,
 )}
 
 FOLD = r"trim(regexp_replace(lower(strip_accents(text)), '\s+', ' ', 'g'))"
@@ -233,6 +245,14 @@ d AS (SELECT doc_id, concat_ws('; ', coalesce(text, ''), a.segment, b.segment) A
 f AS (SELECT doc_id, count(DISTINCT segment) AS n, min(strpos(body, segment)) AS cut_at FROM d, p WHERE length(body) >= 800 AND length(segment) >= 80 AND length(segment) < length(body) AND strpos(body, segment) > 0 GROUP BY 1),
 c AS (SELECT doc_id, coalesce(f.n >= 2, FALSE) AS spliced, CASE WHEN f.n >= 2 THEN rtrim(substr(body, 1, cut_at - 1)) ELSE body END AS body FROM d LEFT JOIN f USING (doc_id))
 SELECT doc_id, spliced, length(body)::INT AS n, md5(body) AS body_md5 FROM c WHERE NOT spliced OR length(body) >= 40""",
+    "gathered_snippets": f"""WITH r AS (SELECT page_id, page_id % 20 AS product, page_id % 10 AS plan_idx, 'q' || page_id % 3 AS label, CASE WHEN page_id % 5 = 0 THEN regexp_replace(url, '[0-9]+.*$', '/') ELSE url END AS url,
+  CASE WHEN page_id % 9 = 0 THEN '12.99 $' WHEN page_id % 11 = 0 THEN NULL WHEN page_id % 17 = 0 THEN ' ' ELSE array_to_string(list_transform({list(SNIPPET_WORDS)}, lambda w: w || translate((page_id // 40)::VARCHAR, '0123456789', 'abcdefghij')), ' ')
+    || CASE WHEN page_id % 2 = 0 THEN '  All rights reserved. ' ELSE ' ' END END AS text FROM pages),
+f AS (SELECT *, {HOST} AS host, regexp_replace(lower(trim(url)), '/+$', '') AS k FROM r WHERE trim(text) <> ''),
+d AS (SELECT *, row_number() OVER (PARTITION BY product, k ORDER BY plan_idx, page_id) AS rn FROM f WHERE host <> '' AND NOT (host = 'net' OR ends_with(host, '.net') OR host = 'shop.example.com' OR ends_with(host, '.shop.example.com'))),
+n AS (SELECT *, count(*) OVER (PARTITION BY product, label) AS c, row_number() OVER (PARTITION BY product, label ORDER BY plan_idx, page_id) AS i, {CLEAN} AS clean FROM d WHERE rn = 1 OR k = ''),
+g AS (SELECT *, row_number() OVER (PARTITION BY product, clean ORDER BY plan_idx, page_id) AS again FROM n WHERE length(clean) >= 40 AND length(clean) / length(text) >= 0.4 AND NOT {PRICE.format('clean')})
+SELECT product, plan_idx, page_id AS pos, CASE WHEN c > 1 THEN label || ' #' || i ELSE label END AS source, url, host AS domain, md5(clean) AS body_md5 FROM g WHERE again = 1""",
     "near_dup_pairs": f"""WITH s AS {SETS}, p AS (
 SELECT a.id, b.id AS other, len(list_intersect(a.w, b.w)) AS i, len(a.w) AS n, len(b.w) AS m FROM s a JOIN s b ON a.id < b.id AND least(len(a.w), len(b.w)) >= 0.9 * greatest(len(a.w), len(b.w)))
 SELECT id, other, round(i / (n + m - i), 6) AS jaccard FROM p WHERE i / (n + m - i) >= 0.9
