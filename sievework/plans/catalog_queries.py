@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sievework.common import scratch, table
 from sievework.operators import rules
 from sievework.plans.ingest_queries import CASCADE, decided
-from sievework.sources import catalog, sinks
+from sievework.sources import catalog, entries, sinks
 
 EVENT = "event_id long, ts string, user_id long, event_type string, value double"
 
@@ -138,8 +138,34 @@ def store_commits(spark, sf_dir):
     return sinks.load_store(spark, root).select("c_custkey", "tag_status", "edits", F.lit(version).alias("version"), F.lit(refused).alias("refused"))
 
 
+ENTRY_FIELDS = {
+    "name": entries.Field(required=True), "color": entries.Field(pattern="red|white|rose|gris"), "synonyms": entries.Field(many=True), "qid": entries.Field(pattern=r"Q\d+|none"),
+}
+
+
+def _entries(spark, sf_dir):
+    """Parts as JSON entries, some with faults, and a lock map of the ids of some."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    name = F.when(k % 19 == 0, '" "').when(k % 23 == 0, "17").otherwise(F.concat(F.lit('"'), "p_name", F.lit(" "), k, F.lit(' "')))
+    color = F.when(k % 5 == 0, '"red"').when(k % 5 == 1, '"blue"').when(k % 5 == 2, "null").otherwise('"white"')
+    synonyms = F.when(k % 4 == 0, F.concat(F.lit('[" a'), k, F.lit('", "", "b"]'))).when(k % 4 == 1, "[]").when(k % 4 == 2, '"one"').otherwise("[1, 2]")
+    qid = F.when(k % 6 == 0, F.concat(F.lit(', "qid": "Q'), k, F.lit('"'))).when(k % 6 == 1, ', "qid": "none"').when(k % 6 == 2, ', "qid": "X1"').otherwise("")
+    text = F.when(k % 29 == 0, "[no entry").otherwise(F.concat(F.lit('{"name": '), name, F.lit(', "color": '), color, F.lit(', "synonyms": '), synonyms, qid, F.lit("}")))
+    lock = p.where(k % 2 == 1).select(F.concat("p_name", F.lit(" "), k).alias("key"), F.concat(F.lit("L"), k).alias("id"))
+    return entries.load_entries(p.select("p_partkey", text.alias("entry")), "entry", ENTRY_FIELDS), lock
+
+
+def loaded_entries(spark, sf_dir):
+    rows, lock = _entries(spark, sf_dir)
+    return entries.apply_lock(rows, lock, F.col("name")).select("p_partkey", "name", "color", F.array_join("synonyms", "|").alias("synonyms"), "qid", "no_id")
+
+
+def entry_faults(spark, sf_dir):
+    return _entries(spark, sf_dir)[0].select("p_partkey", F.explode("faults").alias("f")).select("p_partkey", "f.rule", "f.message")
+
+
 QUERIES = {f.__name__: f for f in (
-    csv_products, csv_row_count, newest_export, phase_logs, event_lines, event_tail, event_tail_all, event_resume, written_decisions, written_summary, rewritten_phase_log, saved_store, store_commits,
+    csv_products, csv_row_count, newest_export, phase_logs, event_lines, event_tail, event_tail_all, event_resume, written_decisions, written_summary, rewritten_phase_log, saved_store, store_commits, loaded_entries, entry_faults,
 )}
 
 SQL = {
@@ -157,6 +183,16 @@ SELECT 'stage' AS level, keep, stage, NULL AS match, NULL AS grp, count(*) AS n
 UNION ALL SELECT 'match', keep, stage, match, NULL, count(*) FROM d WHERE match IS NOT NULL GROUP BY keep, stage, match
 UNION ALL SELECT 'group', keep, stage, NULL, grp, count(*) FROM d WHERE grp IS NOT NULL GROUP BY keep, stage, grp""",
     "rewritten_phase_log": "SELECT 'run' || o_orderkey % 3 AS run_id, CASE WHEN o_orderkey % 3 = 1 THEN 2 ELSE 1 END AS version, count(*) AS n FROM orders GROUP BY 1, 2",
+    "loaded_entries": """WITH e AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 29 > 0 AND p_partkey % 19 > 0 AND p_partkey % 23 > 0 THEN p_name || ' ' || p_partkey END AS name, p_partkey % 29 > 0 AS ok FROM part)
+SELECT k AS p_partkey, name, CASE WHEN ok THEN CASE k % 5 WHEN 0 THEN 'red' WHEN 1 THEN 'blue' WHEN 2 THEN NULL ELSE 'white' END END AS color, CASE WHEN ok AND k % 4 = 0 THEN 'a' || k || '|b' ELSE '' END AS synonyms,
+  CASE WHEN ok AND k % 6 = 1 THEN NULL WHEN ok AND k % 6 = 0 THEN 'Q' || k WHEN ok AND k % 6 = 2 THEN 'X1' WHEN name IS NOT NULL AND k % 2 = 1 THEN 'L' || k END AS qid, ok AND k % 6 = 1 AS no_id FROM e""",
+    "entry_faults": """WITH e AS (SELECT p_partkey AS k FROM part WHERE p_partkey % 29 > 0)
+SELECT p_partkey, 'no_entry' AS rule, 'is no entry' AS message FROM part WHERE p_partkey % 29 = 0
+UNION ALL SELECT k, 'required_name', 'is required' FROM e WHERE k % 19 = 0
+UNION ALL SELECT k, 'type_name', 'expected a string, got BIGINT' FROM e WHERE k % 23 = 0 AND k % 19 > 0
+UNION ALL SELECT k, 'format_color', 'is blue' FROM e WHERE k % 5 = 1
+UNION ALL SELECT k, 'type_synonyms', CASE k % 4 WHEN 2 THEN 'expected a list of strings, got STRING' ELSE 'expected a list of strings, got ARRAY<BIGINT>' END FROM e WHERE k % 4 > 1
+UNION ALL SELECT k, 'format_qid', 'is X1' FROM e WHERE k % 6 = 2""",
     "store_commits": "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'human' WHEN c_custkey % 3 = 0 THEN 'model' ELSE 'pending' END AS tag_status, 2 AS edits, 3 AS version, TRUE AS refused FROM customer",
     "saved_store": "SELECT c_custkey, upper(c_name) AS c_name FROM customer",
 }
