@@ -15,7 +15,7 @@ in a second, small step.
 Defined results: a null text is the empty text, whose fingerprint is like no text but itself.  Rows of
 equal id are ordered by the hash of their text and equal rows are each other's neighbours; null ids come
 last.  The next document after the last is the first; a single document is its own.  An empty
-table gives an empty result.  Extra columns are ignored.
+table gives an empty result.  Extra columns are ignored.  Very long texts are fingerprinted whole, one at a time, with some 100 bytes held per character.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ block, not once a document, and a worker holds what one block needs.
 
 Defined results: a null or empty text has no tokens and null losses and score.  Without any target document the target model is
 uniform.  Labels of an id more than once count as good if any does.  Repeated rows count and are scored row by row.  An empty table gives an empty result.  Extra
-columns are ignored.
+columns are ignored.  Very long texts are counted and scored whole.  Documents of equal scores are not ranked among themselves.
 """
 
 from __future__ import annotations

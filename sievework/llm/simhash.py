@@ -21,7 +21,7 @@ estimates the angle of the two sets, and links at the angle of the threshold (at
 Defined results: a text that is null, empty or white space has fingerprint 0, which links like any
 other.  Repeated rows share a component.  A null id takes part but is never a component's id
 unless all its ids are null.  An empty table gives an empty result.  Extra columns are ignored by ``simhash_near_dedup`` and
-carried, whatever their names, by ``keep_one_of_each``.
+carried, whatever their names, by ``keep_one_of_each``.  Very long texts are hashed whole.  A bit that exactly half the shingles have is 0.
 """
 
 from __future__ import annotations

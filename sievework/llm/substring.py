@@ -19,7 +19,7 @@ other side, so AQE can split them.
 Two words, grams or windows count as equal if their 64-bit hashes agree, windows only together
 with their anchor's, so 128 bits in all.  Defined results: a null text has no words; texts shorter
 than a window lose nothing; repeated rows are copies of each other.  An empty table gives an empty
-result.  Extra columns are carried along only by ``remove_repeats``.
+result.  Extra columns are carried along only by ``remove_repeats``.  Very long texts are searched whole.
 """
 
 from __future__ import annotations

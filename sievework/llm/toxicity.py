@@ -17,7 +17,8 @@ whole.
 
 Defined results: a null or empty text has no evidence and gets the score of a text without any; every text gets the
 base rate of 0 where no label exists.  Rows labelled more than once count as toxic if any label says so.  Repeated
-rows get equal scores.  An empty table gives an empty result.  Extra columns are ignored.
+rows get equal scores.  An empty table gives an empty result.  Extra columns are ignored.  Very long texts are restored and scored whole.  Of readings
+of equal value the one met first counts; labelled rows of equal hash are taken by id.
 """
 
 from __future__ import annotations

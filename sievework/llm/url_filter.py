@@ -3,7 +3,7 @@
 Every URL is expanded into the expressions that some rule could equal: the host suffixes with as
 many labels as rule hosts have, times the path prefixes as long as rule paths are.  Expressions
 join the rules on the first 32 bits of their SHA-256, a hit counts only if the full digest agrees,
-and of several rules that fit the longest decides.
+and of several rules that fit the longest decides; of equally long ones that with the longer host, whose path is then the shorter.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and fits no rule.
 An empty rule table gives every URL the default verdict.  Repeated rows are judged row by row.
