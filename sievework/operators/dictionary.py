@@ -16,7 +16,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.common import Shared, bounded_broadcast, stored
+from sievework.common import BROADCAST_ROWS, Shared, stored
 from sievework.functions.fold import fold_text
 
 #: Aliases that a worker may hold; more are refused, so that what is broadcast stays bounded.
@@ -140,10 +140,6 @@ class _Phrases:
         return at, out
 
 
-def _place(h: np.ndarray) -> np.ndarray:
-    return (h % np.uint64(PLACES)).astype(np.int64)
-
-
 def _hashed(aliases: DataFrame) -> DataFrame:
     """``aliases(phrase, ...)`` with the two hashes of their phrase as ``h, h2``."""
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in aliases.schema.fields)
@@ -173,35 +169,68 @@ def _filter(aliases: DataFrame) -> Shared:
     return Shared(aliases.sparkSession, bits.view(np.uint64))
 
 
-def _candidates(texts: DataFrame, keys: int, lengths: Sequence[int], bits: Shared, bare: bool) -> DataFrame:
-    """``(keys..., start, size, h, h2)``: the n-grams of ``texts(keys..., text)`` that pass the filter; ``bare`` texts are folded first."""
+def _small(aliases: DataFrame) -> Shared | None:
+    """The hashes of all aliases, sorted, if they are at most ``BROADCAST_ROWS`` (16 MB); None if they are more, or two share the first hash."""
+    if aliases.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return None
+    found = aliases.select("h", "h2").toArrow()
+    h, h2 = (found[c].to_numpy().view(np.uint64) for c in ("h", "h2"))
+    order = np.argsort(h)
+    return Shared(aliases.sparkSession, (h[order], h2[order])) if len(np.unique(h)) == len(h) else None
+
+
+def _spans(texts: DataFrame, keys: int, lengths: Sequence[int], bare: bool, small: Shared | None, bits: Shared | None) -> DataFrame:
+    """``(keys..., start, size, h, h2)`` of the n-grams of ``texts(keys..., text)``; ``bare`` texts are folded first.
+
+    With ``small`` these are the names themselves, swept where the text is read; with ``bits`` all that pass the filter.
+    """
     names = texts.columns[:keys]
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema.fields[:keys]), "start int, size int, h long, h2 long"])
 
+    def equal(h: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        if small is None:
+            spot = (h % np.uint64(PLACES)).astype(np.int64)
+            return (bits.value[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
+        first, second = small.value
+        at = np.minimum(np.searchsorted(first, h), len(first) - 1)
+        return (first[at] == h) & (second[at] == h2)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = bits.value
         for batch in batches:
             sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(keys)), 0).to_numpy()
             ends, i = np.cumsum(sizes), 0
             while i < len(batch):
                 j = max(i + 1, int(np.searchsorted(ends, ends[i] - sizes[i] + HELD, "right")))
                 some = [t or "" for t in batch.column(keys).slice(i, j - i).to_pylist()]
-                phrases = _Phrases([fold_text(t, "text") for t in some] if bare else some)
+                phrases, found = _Phrases([fold_text(t, "text") for t in some] if bare else some), []
                 for n in lengths:
                     at, (h, h2) = phrases.grams(n)
-                    spot = _place(h)
-                    hit = (held[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
-                    at, text = at[hit], phrases.text[at[hit]]
-                    own = [c.take(pa.array(i + text)) for c in batch.columns[:keys]]
-                    yield pa.RecordBatch.from_arrays(
-                        [*own, pa.array((at - phrases.first[text]).astype(np.int32)), pa.array(np.full(len(at), n, np.int32)), pa.array(h[hit].view(np.int64)), pa.array(h2[hit].view(np.int64))],
-                        names=[*names, "start", "size", "h", "h2"],
-                    )
+                    hit = equal(h, h2)
+                    found.append((at[hit], np.full(int(hit.sum()), n), h[hit], h2[hit]))
+                at, size, h, h2 = (np.concatenate(x) for x in zip(*found, strict=True))
+                if small is not None:
+                    order = np.lexsort((-size, at))
+                    order = order[_swept(at[order], size[order])]  # no name reaches into another text
+                    at, size, h, h2 = at[order], size[order], h[order], h2[order]
+                text = phrases.text[at]
+                own = [c.take(pa.array(i + text)) for c in batch.columns[:keys]]
+                made = [pa.array((at - phrases.first[text]).astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(h2.view(np.int64))]
+                yield pa.RecordBatch.from_arrays([*own, *made], names=[*names, "start", "size", "h", "h2"])
                 i = j
 
     return texts.mapInArrow(run, schema)
 
 
+def _swept(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Of spans in order of their starts, longest first, those that overlap none taken before."""
+    end, taken = 0, []
+    for i, (start, size) in enumerate(zip(starts.tolist(), sizes.tolist(), strict=True)):
+        if start >= end:
+            taken.append(i)
+            end = start + size
+    return np.array(taken, np.int64)
+
+
 def _leftmost_longest(found: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Of each text's spans the leftmost, of those that start together the longest, and none that overlaps one before: one sweep over sorted spans."""
     placed = found.repartition(*keys).sortWithinPartitions(*keys, "start", F.col("size").desc())
@@ -226,8 +255,9 @@ def find_names(df: DataFrame, keys: Sequence[str], text: str, index: DataFrame,
     """``(keys..., pos, kind, name)``: the names that each text mentions; ``pos`` is the number of words before one.
 
     For dictionaries of any size: distinct aliases are stored once, with two 64-bit hashes.  Texts are cut into hashed n-grams of the lengths that aliases
-    have, where they are read; a filter of fixed size lets those through that some alias may equal, and these meet the aliases by both hashes.  Only keys,
-    places and hashes are shuffled; the hashes of up to a counted bound of aliases are broadcast instead, and names join the matches that are left.
+    have, where they are read.  The hashes of up to a counted bound of aliases are sent there, and texts are swept there too.  Beyond it a filter of fixed
+    size lets those n-grams through that some alias may equal; these meet the aliases by both hashes and are swept text by text, so only keys, places and hashes are
+    shuffled.  Names join the matches that are left.
     ``keys`` tell texts apart; ``folded`` says that texts are folded.  Of equal aliases the one of least priority, kind and name counts.  Null and empty texts
     mention nothing.
     """
@@ -240,9 +270,12 @@ def find_names(df: DataFrame, keys: Sequence[str], text: str, index: DataFrame,
     if not lengths:
         return df.limit(0).select(*keys, F.lit(0).alias("pos"), F.lit("").alias("kind"), F.lit("").alias("name"))
     texts = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(text).alias("_text"))
-    grams = _candidates(texts, len(keys), lengths, _filter(aliases), not folded)
-    hits = grams.join(bounded_broadcast(aliases.select("h", "h2")), ["h", "h2"], "left_semi").select(*names, "start", "size", "h", "h2")
-    taken = _leftmost_longest(hits, names).join(aliases.drop("size"), ["h", "h2"])
+    small = _small(aliases)
+    taken = _spans(texts, len(keys), lengths, not folded, small, None if small else _filter(aliases))
+    if small is None:
+        hits = taken.join(aliases.select("h", "h2"), ["h", "h2"], "left_semi").select(*names, "start", "size", "h", "h2")
+        taken = _leftmost_longest(hits, names)
+    taken = taken.join(aliases.drop("size"), ["h", "h2"])
     return taken.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], F.col("start").alias("pos"), "kind", "name")
 
 

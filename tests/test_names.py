@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from sievework.operators import dictionary, selection
@@ -15,7 +16,11 @@ def index(rng, n):
     return [*rows, ("region", "R0", rows[0][2], 0), ("region", "R1", "saint-emilion", 0), ("region", "none", "' -", 0)]
 
 
-def test_joins_find_what_the_trie_finds(spark, monkeypatch):
+@pytest.mark.parametrize("large", [False, True])
+def test_joins_find_what_the_trie_finds(spark, monkeypatch, large):
+    """Dictionaries beyond the bound of what is sent to the tasks give the same."""
+    if large:
+        monkeypatch.setattr(dictionary, "BROADCAST_ROWS", 0)
     rng = random.Random(2)
     texts = [None, "", "  ", "Cabernet, Sauvignon Blanc", "Saint-Émilion. Grand Cru", "x " * 400, "a b c"]
     texts += ["".join(rng.choice(WORDS) + rng.choice([" ", "-", ", ", ". ", "’", " \n", "; ", " – "]) for _ in range(rng.randrange(40))) for _ in range(150)]
@@ -31,9 +36,7 @@ def test_joins_find_what_the_trie_finds(spark, monkeypatch):
 
 
 def test_large_dictionaries_meet_by_shuffle(spark, monkeypatch):
-    from sievework import common
-
-    monkeypatch.setattr(dictionary, "bounded_broadcast", lambda df: common.bounded_broadcast(df, 0))
+    monkeypatch.setattr(dictionary, "BROADCAST_ROWS", 1)
     labels = spark.createDataFrame([("region", "Picpoul de Pinet", "picpoul de pinet", 0), ("grape", "Picpoul", "picpoul", 1)], INDEX)
     df = spark.createDataFrame([(1, "Picpoul de Pinet, picpoul"), (2, "Pinet")], "i int, t string")
     assert [(r.i, r.pos, r.name) for r in dictionary.find_names(df, ["i"], "t", labels).orderBy("pos").collect()] == [(1, 0, "Picpoul de Pinet"), (1, 3, "Picpoul")]
