@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievework.common import bounded_broadcast
+
 STATUSES = ("pending", "model", "needs_review", "human")
 LEGACY = {"auto": "model", "manual": "human"}
 
@@ -155,10 +157,17 @@ def run_files(logs: DataFrame, final: DataFrame, key: str) -> DataFrame:
 
 
 def retention(runs: DataFrame, keep_latest: int, protect: Sequence[str] = (), by: Sequence[str] = (), order: str = "run_id") -> DataFrame:
-    """``runs`` with ``action``: keep the newest, skip protected ones, delete the rest."""
-    rn = F.row_number().over(Window.partitionBy(*by).orderBy(F.col(order).desc()))
+    """``runs`` with ``action``: keep the newest, skip protected ones, delete the rest.
+
+    Without ``by`` the newest are found as the first ``keep_latest`` of all, a few rows that are joined back, so no task gets every run; rows of one ``order`` then fare alike.
+    """
     safe = F.col(order).isin(list(protect)) if protect else F.lit(False)
-    return runs.withColumn("_rn", rn).withColumn("action", F.when(F.col("_rn") <= keep_latest, "keep").when(safe, "skip").otherwise("delete")).drop("_rn")
+    if by:
+        rows = runs.withColumn("_new", F.row_number().over(Window.partitionBy(*by).orderBy(F.col(order).desc())) <= keep_latest)
+    else:
+        newest = runs.select(F.col(order).alias("_o")).orderBy(F.col("_o").desc()).limit(keep_latest).distinct().withColumn("_hit", F.lit(True))
+        rows = runs.join(bounded_broadcast(newest), F.col(order).eqNullSafe(F.col("_o")), "left").withColumn("_new", F.coalesce("_hit", F.lit(False))).drop("_o", "_hit")
+    return rows.withColumn("action", F.when(F.col("_new"), "keep").when(safe, "skip").otherwise("delete")).drop("_new")
 
 
 def remaining(items: DataFrame, done: DataFrame, keys: Sequence[str], limit: int | None = None, order: str | None = None) -> DataFrame:

@@ -245,7 +245,7 @@ def progress_stream(spark, sf_dir):
 
 
 def windowed_status(spark, sf_dir):
-    rows = _drained(spark, prog.windowed_counts(_event_stream(spark, sf_dir), "ts", "event_type", "1 day", "1 day"), "complete")
+    rows = _drained(spark, prog.windowed_counts(_event_stream(spark, sf_dir), "ts", "event_type", "1 day", "1 day"), "update")  # windows that the watermark has passed leave the state
     return rows.groupBy("start", "event_type").agg(F.max_by("n", "batch").alias("n"))
 
 

@@ -73,3 +73,11 @@ def test_overview_of_runs_with_and_without_logs(spark):
         ("r2", "search", None, 0, 0, 0), ("r2", "tag", None, 0, 0, 0), ("r1", "search", ("ok", 3), 2, 1, 1), ("r1", "tag", None, 2, 1, 1),
     ]
     assert sorted(map(tuple, store.run_files(logs, final, "id").collect())) == [("r1", "final", 2), ("r1", "search", 1), ("r1", "tag", 2)]
+
+
+def test_retention_of_all_runs_and_of_groups(spark):
+    runs = spark.createDataFrame([("a", i) for i in range(6)] + [("b", i) for i in range(10, 13)], "g string, run_id int")
+    got = {r.run_id: r.action for r in store.retention(runs, 2, [1, 12]).collect()}
+    assert got == {12: "keep", 11: "keep", 10: "delete", 1: "skip", **{i: "delete" for i in (0, 2, 3, 4, 5)}}
+    assert {r.run_id: r.action for r in store.retention(runs, 2, [1], ["g"]).collect()} == {5: "keep", 4: "keep", 12: "keep", 11: "keep", 1: "skip", **{i: "delete" for i in (0, 2, 3, 10)}}
+    assert store.retention(runs.limit(0), 2).count() == 0
