@@ -211,14 +211,18 @@ def _rare_prefixes(classes: DataFrame, threshold: float) -> DataFrame:
 def near_duplicate_pairs(df: DataFrame, id_col: str, body: str, threshold: float = 0.9) -> DataFrame:
     """Pairs of different word sets with Jaccard at or over the threshold, and who has each set.
 
-    Texts are read once, to sets of 64-bit word hashes.  Prefix filter: with a set's words in order of rarity, two sets that alike share one of the first
+    Texts are read twice, to keys of their sets of 64-bit word hashes, and to the sets of one row of each class: no set is shuffled to be told apart.  Prefix filter: with a set's words in order of rarity, two sets that alike share one of the first
     ``n - ceil(t n) + 1``; sets meet on those words only, and only if enough words are left in both after the first they share.  Equal sets are one class, so a group of
     copies counts once: ``(id, other)`` are the smallest ids of two classes, or of a class and each further row of it.
     """
     hashed = F.array_sort(F.transform(word_set(F.col(body)), lambda w: F.xxhash64(w)))
-    rows = df.select(F.col(id_col).alias("id"), hashed.alias("w")).where("size(w) > 0")
-    rows = stored(rows.withColumns({"k1": F.xxhash64("w"), "k2": F.xxhash64(F.lit(1), F.col("w"))}))
-    classes = stored(rows.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.first("w").alias("w")))
+    sets = df.select(F.col(id_col).alias("id"), hashed.alias("w")).where("size(w) > 0").withColumns({"k1": F.xxhash64("w"), "k2": F.xxhash64(F.lit(1), F.col("w"))})
+    rows = stored(sets.select("id", "k1", "k2"))
+    least = rows.groupBy("k1", "k2", "id").agg(F.count("*").alias("n")).groupBy("k1", "k2").agg(F.min(F.struct("id", "n")).alias("m"))
+    least = stored(least.select("k1", "k2", "m.*"))
+    classes = sets.join(bounded_broadcast(least.drop("n")), ["k1", "k2", "id"], "left_semi")
+    classes = classes if least.where("n > 1").isEmpty() else classes.dropDuplicates(["k1", "k2"])  # rows repeated whole
+    classes = stored(classes.select("id", "w", "k1", "k2"))
     prefix = stored(_rare_prefixes(classes, threshold))
     other = prefix.select("word", F.col("id").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place"))
     met = prefix.join(other, "word").where("id < other").where(F.least("size", "other_size") >= F.lit(threshold) * F.greatest("size", "other_size"))
