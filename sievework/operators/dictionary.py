@@ -275,7 +275,8 @@ def find_names(df: DataFrame, keys: Sequence[str], text: str, index: DataFrame,
     if small is None:
         hits = taken.join(aliases.select("h", "h2"), ["h", "h2"], "left_semi").select(*names, "start", "size", "h", "h2")
         taken = _leftmost_longest(hits, names)
-    taken = taken.join(aliases.drop("size"), ["h", "h2"])
+    on = ["h"] if small else ["h", "h2"]  # the first hash tells a small dictionary's aliases apart
+    taken = taken.select(*names, "start", *on).join(aliases.select(*on, "kind", "name"), on)
     return taken.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], F.col("start").alias("pos"), "kind", "name")
 
 
