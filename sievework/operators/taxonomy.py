@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.common import bounded_broadcast, cut
+from sievework.common import bounded_broadcast, cut, stored
 
 # Classification words that labels attach to a place name, folded.
 CLASS_WORDS = (
@@ -57,38 +57,53 @@ def descendants(tree: DataFrame, node: object) -> DataFrame:
 def tree_intervals(edges: DataFrame, child: str = "id", parent: str = "parent_id") -> DataFrame:
     """``(id, root, depth, pre, post)`` of a forest of any depth: a node is below another if its interval lies within the other's, and both have one root.
 
-    The walk round each tree enters and leaves every node once.  A step's place is its distance to the end of the walk, found by pointer jumping:
-    each round doubles what a step sees ahead, so n nodes take log2(2n) joins of 2n rows whatever the depth, where a closure has n rows for every level.
+    Leaves are numbered among their siblings and weigh two steps of the walk right behind their parent's first, so only the other nodes walk.
+    The walk round each tree enters and leaves each of those once.  A step's place is its distance to the end of the walk, found by pointer jumping:
+    each round doubles what a step sees ahead, so n nodes take at most log2(2n) joins of the steps that go on with all, whatever the depth, where a closure has n rows for every level.
     ``pre`` and ``post`` count down to 0, the last step out of the root.  Siblings are linked within the tasks that numbered them, then task by task, so a
     node with any number of children is no task's alone.  An edge given twice counts once.  Nodes on or below a cycle are left out, as in ``closure``.
     """
     given = edges.select(F.col(child).alias("id"), F.col(parent).alias("up")).where("id IS NOT NULL").distinct()
-    tops = given.where("up IS NOT NULL").select(F.col("up").alias("id")).join(given.select("id"), "id", "left_anti").distinct()
-    # Numbers that the checkpoint fixes: one per node, those of a task in a row.
-    nodes = cut(given.unionByName(tops.withColumn("up", F.lit(None).cast(given.schema["up"].dataType))).withColumn("key", F.monotonically_increasing_id()))
-    linked = nodes.join(nodes.select(F.col("id").alias("up"), F.col("key").alias("over")), "up", "left").select("key", "over", F.shiftright("key", 33).alias("task"))
-    linked = cut(linked)
-    kids = linked.where("over IS NOT NULL")
+    tops = given.where("up IS NOT NULL").select(F.col("up").alias("id")).distinct().join(given.select("id"), "id", "left_anti")
+    # Numbers that the written table fixes: one per node, those of a task in a row.
+    nodes = stored(given.unionByName(tops.withColumn("up", F.lit(None).cast(given.schema["up"].dataType))).withColumn("key", F.monotonically_increasing_id()))
+    linked = stored(nodes.join(nodes.select(F.col("id").alias("up"), F.col("key").alias("over")), "up", "left").select("key", "over", F.shiftright("key", 33).alias("task")))
+    parents = linked.where("over IS NOT NULL").select(F.col("over").alias("key")).distinct().withColumn("_inner", F.lit(True))
+    linked = stored(linked.join(parents, "key", "left").select("key", "over", "task", (F.col("over").isNotNull() & F.col("_inner").isNull()).alias("leaf")))
+
+    leaves = linked.where("leaf")
+    runs = leaves.groupBy("over", "task").agg(F.count("*").alias("n"))
+    earlier = F.sum("n").over(Window.partitionBy("over").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    nth = F.row_number().over(Window.partitionBy("over", "task").orderBy("key")) - 1
+    leaves = leaves.withColumn("nth", nth).join(runs.withColumn("earlier", F.coalesce(earlier, F.lit(0))), ["over", "task"]).select("key", "over", (F.col("earlier") + F.col("nth")).alias("nth"))
+    hung = runs.groupBy(F.col("over").alias("key")).agg(F.sum("n").alias("hung"))
+
+    inner = linked.where("NOT leaf")
+    kids = inner.where("over IS NOT NULL")
     runs = kids.groupBy("over", "task").agg(F.min("key").alias("first"))
     runs = runs.withColumn("onward", F.lead("first").over(Window.partitionBy("over").orderBy("task"))).drop("first")
     beside = F.lead("key").over(Window.partitionBy("over", "task").orderBy("key"))
     siblings = kids.withColumn("beside", beside).join(runs, ["over", "task"]).select("key", F.coalesce("beside", "onward").alias("beside"))
     eldest = kids.groupBy(F.col("over").alias("key")).agg(F.min("key").alias("eldest"))
-    known = linked.join(siblings, "key", "left").join(eldest, "key", "left")
-    step = lambda at, nxt, w: F.struct(at.alias("at"), nxt.alias("nxt"), F.lit(w).cast("long").alias("level"))
-    key, out = F.col("key") * 2, F.col("key") * 2 + 1
-    walk = known.select(F.explode(F.array(step(key, F.coalesce(F.col("eldest") * 2, out), 1), step(out, F.coalesce(F.col("beside") * 2, F.col("over") * 2 + 1), -1))).alias("s")).select("s.*")
-    walk = cut(walk.select("at", "nxt", "level", F.when(F.col("nxt").isNull(), 0).otherwise(1).cast("long").alias("ahead"), F.coalesce("nxt", "at").alias("end")))
+    known = inner.join(siblings, "key", "left").join(eldest, "key", "left").join(hung, "key", "left")
+    step = lambda at, nxt, w, n: F.struct(at.alias("at"), nxt.alias("nxt"), F.lit(w).cast("long").alias("level"), n.cast("long").alias("n"))
+    key, out, wide = F.col("key") * 2, F.col("key") * 2 + 1, F.coalesce("hung", F.lit(0)) * 2 + 1
+    walk = known.select(F.explode(F.array(step(key, F.coalesce(F.col("eldest") * 2, out), 1, wide), step(out, F.coalesce(F.col("beside") * 2, F.col("over") * 2 + 1), -1, F.lit(1)))).alias("s")).select("s.*")
+    walk = stored(walk.select("at", "nxt", "level", F.when(F.col("nxt").isNull(), 0).otherwise(F.col("n")).alias("ahead"), F.coalesce("nxt", "at").alias("end")))
     seen, n = 1, walk.count()
     while seen < n and not walk.where("nxt IS NOT NULL").isEmpty():
         far = walk.select(F.col("at").alias("nxt"), F.col("nxt").alias("then"), F.col("level").alias("l"), F.col("ahead").alias("a"), F.col("end").alias("e"))
-        walk = walk.join(far, "nxt", "left")
-        walk = cut(walk.select("at", F.col("then").alias("nxt"), (F.col("level") + F.coalesce("l", F.lit(0))).alias("level"), (F.col("ahead") + F.coalesce("a", F.lit(0))).alias("ahead"), F.coalesce("e", "end").alias("end")))
+        on = walk.where("nxt IS NOT NULL").join(far, "nxt")  # steps that have come to the end would all meet in one task
+        on = on.select("at", F.col("then").alias("nxt"), (F.col("level") + F.col("l")).alias("level"), (F.col("ahead") + F.col("a")).alias("ahead"), F.col("e").alias("end"))
+        walk = stored(walk.where("nxt IS NULL").unionByName(on))
         seen *= 2
     done = walk.where("nxt IS NULL")
     entered = done.where("at % 2 = 0").select((F.col("at") / 2).cast("long").alias("key"), (-F.col("ahead")).alias("pre"), (-F.col("level")).alias("depth"), ((F.col("end") - 1) / 2).cast("long").alias("top"))
     left = done.where("at % 2 = 1").select(((F.col("at") - 1) / 2).cast("long").alias("key"), (-F.col("ahead")).alias("post"))
-    named = entered.join(left, "key").join(nodes.select("id", "key").distinct(), "key")
+    placed = stored(entered.join(left, "key"))
+    at = F.col("pre") + F.col("nth") * 2 + 1
+    hanging = leaves.join(placed.withColumnRenamed("key", "over"), "over").select("key", at.alias("pre"), (F.col("depth") + 1).alias("depth"), "top", (at + 1).alias("post"))
+    named = placed.unionByName(hanging).join(nodes.select("id", "key").distinct(), "key")
     return named.join(nodes.select(F.col("id").alias("root"), F.col("key").alias("top")), "top").select("id", "root", "depth", "pre", "post")
 
 

@@ -55,6 +55,17 @@ def test_intervals_of_odd_edges(spark):
     assert taxonomy.tree_intervals(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_leaves_take_no_rounds(spark, monkeypatch):
+    """A node with many leaves is no longer walk than one without: leaves are numbered, not walked."""
+    tables = []
+    for name in ("cut", "stored"):
+        monkeypatch.setattr(taxonomy, name, lambda df, f=getattr(taxonomy, name, None): tables.append(1) or f(df), raising=False)
+    edges = [("top", None), *((f"leaf{i}", "top") for i in range(700))]
+    rows = {r.id: r for r in taxonomy.tree_intervals(spark.createDataFrame(edges, "id string, parent_id string").repartition(6)).collect()}
+    assert len(tables) < 9 and len(rows) == 701 and (rows["top"].pre, rows["top"].post) == (-1401, 0)
+    assert sorted((r.pre, r.post) for r in rows.values() if r.depth == 1) == [(i, i + 1) for i in range(-1400, 0, 2)]
+
+
 C_SCHEMA = "candidate string, label string, description string, classes array<string>, supers array<string>, class_labels array<string>, ord int"
 WORDS = ["pinot", "noir", "gris", "napa", "valley", "old"]
 SUFFIXES = [" ava", " wine region", " (wine)"]
