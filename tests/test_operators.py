@@ -146,6 +146,20 @@ def test_longer_regions_outweigh(spark):
     assert [(r.p, r.longer, r.n, r.leaf_n) for r in got] == [(1, "cb", 1, 1)]
 
 
+def test_longer_regions_meet_what_texts_hold(spark, monkeypatch):
+    """A common word is in many names; only those that a row's texts hold are looked for in them."""
+    many = [("fr", f"n{i}", f"hill number{i}", True) for i in range(200)]
+    labels = spark.createDataFrame([("fr", "h", "hill", True), *many], "scope string, entity string, alias string, is_canonical boolean")
+    tree = taxonomy.closure(spark.createDataFrame([(x[1], None) for x in labels.collect()], "id string, parent_id string"))
+    leaves = spark.createDataFrame([(i, "h") for i in range(5)], "p int, region string")
+    blocks = spark.createDataFrame([(i, "s", f"a hill  number{i}, red") for i in range(5)], "p int, family string, body string")
+    names = spark.createDataFrame([(i, "some name") for i in range(5)], "p int, name string")
+    asked, counts = [], evidence.origin_counts
+    monkeypatch.setattr(evidence, "origin_counts", lambda c, *a, **b: asked.append(c.count()) or counts(c, *a, **b))
+    got = evidence.longer_regions(leaves, "p", "region", labels, tree, blocks, names).collect()
+    assert sorted((r.p, r.longer, r.n, r.leaf_n) for r in got) == [(i, f"n{i}", 1, 0) for i in range(5)] and max(asked) == 5
+
+
 def test_leaves_finer_and_longer(spark):
     tree = taxonomy.closure(spark.createDataFrame([("r", None), ("s", "r"), ("t", "s")], "id string, parent_id string"))
     claims = spark.createDataFrame([(1, "r"), (1, "s"), (2, "r")], "p int, region string")
