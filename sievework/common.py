@@ -63,6 +63,12 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out to as many tasks as shuffles have, before dear work on each row: small files of many rows make few tasks."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a compressed table in the cluster's shared folder, and read from there.
 

@@ -169,9 +169,14 @@ def strip_classification(folded: Column, class_words: Sequence[str] = CLASS_WORD
         words = let(words, lambda w: F.slice(w, F.lit(1), F.size(w) - ends_in(w, True)))
         return F.array_join(words, " ")
 
+    def onward(held: Column, i: Column) -> Column:
+        """The next turn, while the last one has changed the name; a name that has come to rest is left alone."""
+        return F.when(held["rests"], held).otherwise(let(turn(held["name"], i), lambda name: F.struct(name.alias("name"), (name == held["name"]).alias("rests"))))
+
     turns = F.sequence(F.lit(0), F.size(F.split(folded, r"\s+|\(")))
     plain = F.replace(folded, F.lit("\u2019"), F.lit("'"))
-    return F.btrim(F.aggregate(turns, plain, turn), F.lit(" -\u2013"))
+    rested = F.aggregate(turns, F.struct(plain.alias("name"), F.lit(False).alias("rests")), onward, lambda held: held["name"])
+    return F.btrim(rested, F.lit(" -\u2013"))
 
 
 def region_variants(folded: Column, class_words: Sequence[str] = CLASS_WORDS) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievework.common import table
+from sievework.common import spread, table
 from sievework.operators import evidence, linking, refdata, taxonomy
 
 
@@ -57,7 +57,7 @@ def pick_homonym(spark, sf_dir):
 
 def region_variants(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" / ", "p_name", F.concat(F.lower("p_type"), F.lit(" aoc"))).alias("label"))
-    return part.select("p_partkey", F.array_join(taxonomy.region_variants(F.col("label")), "|").alias("variants"))
+    return spread(part).select("p_partkey", F.array_join(taxonomy.region_variants(F.col("label")), "|").alias("variants"))
 
 
 def resolve_category(spark, sf_dir):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievework.operators import dictionary, evidence, refdata, review, rules, scoring, selection, snippets, store, taxonomy
+from sievework.plans import graph_queries
 from sievework.sources import catalog, html_tables, sinks
 from sievework.streaming import progress
 
@@ -160,6 +161,12 @@ def test_longer_regions_meet_what_texts_hold(spark, monkeypatch):
     assert sorted((r.p, r.longer, r.n, r.leaf_n) for r in got) == [(i, f"n{i}", 1, 0) for i in range(5)] and max(asked) == 5
 
 
+def test_variants_are_made_in_many_tasks(spark):
+    """A small file of many rows is one task's to read; spelling its labels is not."""
+    got = graph_queries.region_variants(spark, "/root/testdata/sf0.001")
+    assert spark.read.parquet("/root/testdata/sf0.001/part.parquet").rdd.getNumPartitions() == 1 < got.rdd.getNumPartitions()
+
+
 def test_leaves_finer_and_longer(spark):
     tree = taxonomy.closure(spark.createDataFrame([("r", None), ("s", "r"), ("t", "s")], "id string, parent_id string"))
     claims = spark.createDataFrame([(1, "r"), (1, "s"), (2, "r")], "p int, region string")
