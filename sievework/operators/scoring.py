@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +12,8 @@ from sievework.common import cut
 from sievework.functions import text
 from sievework.operators import selection
 
+#: Rows that are scored at once, in batches; texts of so many are held as Python objects.
+SLICE = 256
 Scorer = Callable[[str, list[str]], dict[int, tuple[int, list[str]]]]
 
 
@@ -29,33 +31,41 @@ def score_batches(df: DataFrame, scorer: Scorer = lexical_scorer, name: str = "n
     """``df`` with ``score`` and ``facts``; both null where the scorer's reply leaves a row out.
 
     Rows of one product go to the scorer in batches, in the order of ``order`` (all columns, if none is given), whatever partitions and Arrow batches
-    they come in: a product is one task's, sorted, and a batch that Arrow cuts waits for its rest.  Put filters before: they do not pass a mapInPandas.
+    they come in: a product is one task's, sorted, and a batch that Arrow cuts waits for its rest.  Put filters before: they do not pass a mapInArrow.
     """
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields)}, score int, facts array<string>"
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     by = [key, *(order or [c for c in df.columns if c != key and "map<" not in kinds[c] and "variant" not in kinds[c]])]
-
-    def scored(rows: pd.DataFrame) -> pd.DataFrame:
-        reply = scorer(rows[name].iloc[0] or "", [b or "" for b in rows[body]])
-        every = [reply.get(j, (None, None)) for j in range(len(rows))]
-        return rows.assign(score=pd.Series([s for s, _ in every], index=rows.index, dtype="Int32"), facts=[f for _, f in every])
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    reads = [df.columns.index(c) for c in (key, name, body)]
+
+    def scored(rows: pa.Table, ends: list[int]) -> Iterator[pa.RecordBatch]:
+        """Rows with what the scorer says of each batch, which ends where told."""
+        names, bodies, every = rows.column(reads[1]).to_pylist(), rows.column(reads[2]).to_pylist(), []
+        for start, end in zip([0, *ends], ends, strict=False):
+            reply = scorer(names[start] or "", [b or "" for b in bodies[start:end]])
+            every += [reply.get(j, (None, None)) for j in range(end - start)]
+        out = rows.append_column("score", pa.array([s for s, _ in every], pa.int32())).append_column("facts", pa.array([f for _, f in every], pa.list_(pa.string())))
+        yield from out.combine_chunks().to_batches()
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for part in parts:
-            rows = part if held is None else pd.concat([held, part], ignore_index=True)
-            held, done = None, []
-            product = rows[key].fillna("").astype(str) + rows[key].isna().astype(str)
-            for _, some in rows.groupby((product != product.shift()).cumsum(), sort=False):
-                for i in range(0, len(some), batch_size):
-                    done.append(some.iloc[i : i + batch_size])
-            held = done.pop() if done else None  # it may go on
-            if done:
-                yield pd.concat([scored(x) for x in done])
-        if held is not None:
-            yield scored(held)
-
-    return df.repartition(key).sortWithinPartitions(*by).mapInPandas(run, schema)
+            for at in range(0, part.num_rows, SLICE):  # few rows at a time become Python objects
+                rows = pa.Table.from_batches([part.slice(at, SLICE)])
+                rows = rows if held is None else pa.concat_tables([held, rows])
+                products = rows.column(reads[0]).to_pylist()
+                ends, start = [], 0
+                for i in range(1, len(products)):
+                    if products[i] != products[i - 1] or i - start == batch_size:
+                        ends.append(i)
+                        start = i
+                if ends:
+                    yield from scored(rows.slice(0, start), ends)
+                held = rows.slice(start)  # it may go on
+        if held is not None and held.num_rows:
+            yield from scored(held, [held.num_rows])
+
+    return df.repartition(key).sortWithinPartitions(*by).mapInArrow(run, schema)
 
 
 def reask_missing(df: DataFrame, keys: Sequence[str], scorers: Sequence[Scorer], **options) -> DataFrame:
@@ -115,7 +125,7 @@ def score_and_assemble(
     """Scored snippets, and the context of each product that has one.
 
     ``snippets(key, pos, name, category, tokens, own, hay, body, url, source, n_grapes, n_regions)``: gates come
-    before the scorer, since a filter does not pass a mapInPandas; snippets they drop score 0.
+    before the scorer, since a filter does not pass a mapInArrow; snippets they drop score 0.
     """
     gated = producer_gate(content_gates(snippets.withColumn("dropped_reason", F.lit(None).cast("string")), echo, conflicts, "own"), "tokens", "hay")
     scored = reask_missing(gated.where("dropped_reason IS NULL"), [key, "pos"], scorers, key=key)

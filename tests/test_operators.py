@@ -167,6 +167,14 @@ def test_variants_are_made_in_many_tasks(spark):
     assert spark.read.parquet("/root/testdata/sf0.001/part.parquet").rdd.getNumPartitions() == 1 < got.rdd.getNumPartitions()
 
 
+def test_scorer_batches_cross_slices(spark, monkeypatch):
+    """Few rows at a time become Python objects, and the scorer still gets a product's rows in full batches."""
+    monkeypatch.setattr(scoring, "SLICE", 3)
+    rows = spark.createDataFrame([(p, i, "n", f"b{i}") for p in ("x", None, "y") for i in range(20)], "product_id string, i int, name string, body string")
+    got = scoring.score_batches(rows.repartition(3), lambda name, bodies: {j: (len(bodies), [b]) for j, b in enumerate(bodies)}).collect()
+    assert {(r.product_id, r.i): (r.score, r.facts) for r in got} == {(p, i): (8 if i < 16 else 4, [f"b{i}"]) for p in ("x", None, "y") for i in range(20)} and len(got) == 60
+
+
 def test_leaves_finer_and_longer(spark):
     tree = taxonomy.closure(spark.createDataFrame([("r", None), ("s", "r"), ("t", "s")], "id string, parent_id string"))
     claims = spark.createDataFrame([(1, "r"), (1, "s"), (2, "r")], "p int, region string")
