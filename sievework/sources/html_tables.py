@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Table rows that are put out at once.
+ROWS = 1000
+
 
 class _Tables(HTMLParser):
     """Collects the cells of each table, header cells apart."""
@@ -50,13 +54,29 @@ def table_rows(html: str | None) -> list[dict]:
 
 
 def html_tables(pages: DataFrame, html: str, keep: list[str]) -> DataFrame:
-    """One row per table row of each page, parsed in Arrow batches."""
-
-    @F.pandas_udf("array<struct<table_no:int,row_no:int,cells:array<string>>>")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(table_rows)
-
-    return pages.select(*keep, F.explode(run(F.col(html))).alias("_r")).select(*keep, "_r.*")
+    """One row per table row of each page; few pages at a time are Python objects, whatever an Arrow batch holds."""
+    n = len(keep)
+    found = pa.struct([("table_no", pa.int32()), ("row_no", pa.int32()), ("cells", pa.list_(pa.string()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, rows = [], []
+
+            def out() -> Iterator[pa.RecordBatch]:
+                for at in range(0, len(rows), ROWS):
+                    own = [batch.column(c).take(pa.array(of[at : at + ROWS])) for c in range(n)]  # noqa: B023
+                    yield pa.RecordBatch.from_arrays([*own, *pa.array(rows[at : at + ROWS], found).flatten()], names=[*keep, *found.names])  # noqa: B023
+
+            for i in range(batch.num_rows):
+                more = table_rows(batch.column(n)[i].as_py())
+                of, rows = of + [i] * len(more), rows + more
+                if len(rows) >= ROWS:
+                    yield from out()
+                    of, rows = [], []
+            yield from out()
+
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema.fields]
+    return pages.select(*keep, F.col(html).alias("_html")).mapInArrow(run, ", ".join([*kinds, "table_no int", "row_no int", "cells array<string>"]))
 
 
 def name_tables(rows: DataFrame, keys: list[str], header: str) -> DataFrame:

@@ -175,6 +175,14 @@ def test_scorer_batches_cross_slices(spark, monkeypatch):
     assert {(r.product_id, r.i): (r.score, r.facts) for r in got} == {(p, i): (8 if i < 16 else 4, [f"b{i}"]) for p in ("x", None, "y") for i in range(20)} and len(got) == 60
 
 
+def test_table_rows_leave_in_parts(spark, monkeypatch):
+    """Rows of tables go out a few at a time, whatever a batch of pages holds."""
+    monkeypatch.setattr(html_tables, "ROWS", 4)
+    pages = spark.createDataFrame([(i, None if i == 3 else "<table>" + f"<tr><td>{i}</td></tr>" * i + "</table>") for i in range(12)], "p long, h string").coalesce(1)
+    got = html_tables.html_tables(pages, "h", ["p"]).collect()
+    assert sorted((r.p, r.table_no, r.row_no, r.cells) for r in got) == [(i, 0, k, [str(i)]) for i in range(12) if i != 3 for k in range(i)]
+
+
 def test_leaves_finer_and_longer(spark):
     tree = taxonomy.closure(spark.createDataFrame([("r", None), ("s", "r"), ("t", "s")], "id string, parent_id string"))
     claims = spark.createDataFrame([(1, "r"), (1, "s"), (2, "r")], "p int, region string")
