@@ -223,21 +223,24 @@ class _Latest(StatefulProcessor):
         self.handle, self.newest = handle, handle.getValueState("newest", "t long, seq long, type string, n long")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        best, n = None, 0
-        if self.newest.exists():
-            *best, n = self.newest.get()
+        held = self.newest.get()
+        *best, n = (None, 0) if held is None else held
+        best = best if held is not None else None
         for row in rows:  # one at a time, however many there are
             n += 1
             if best is None or place(row["t"], 0, row["seq"]) > place(best[0], 0, best[1]):
                 best = [row["t"], row["seq"], row["type"]]
         self.newest.update((*best, n))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(best[0] // 1000 + self.idle)
+        if held is None:  # its one timer goes on by itself: asking for timers costs more than the event
+            self.handle.registerTimer(best[0] // 1000 + self.idle)
         yield Row(job=key[0], latest=best[2], at=_timestamp(best[0]), n_events=n)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        self.newest.clear()
+        held = self.newest.get()
+        if held is not None and held[0] // 1000 + self.idle > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(held[0] // 1000 + self.idle)  # newer events came since
+        else:
+            self.newest.clear()
         return iter(())
 
     def close(self) -> None:

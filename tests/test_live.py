@@ -107,6 +107,36 @@ def test_latest_job_of_a_stream(spark, tmp_path):
     assert {k[0]: v for k, v in stream.feed([("a", at(101), 11, "again"), ("a", at(7), 12, "too late")], schema).items()} == {"a": ("a", "again", at(101), 1)}
 
 
+def test_latest_keeps_one_timer():
+    """Events of a known job touch its state only; its one timer moves on by itself, and ends the state when the job is idle."""
+    calls, held = [], []
+
+    class Kept:
+        get = staticmethod(lambda: held[-1] if held else None)
+        exists = staticmethod(lambda: bool(held))
+        update = staticmethod(held.append)
+        clear = staticmethod(held.clear)
+
+    class Handle:
+        getValueState = staticmethod(lambda *a: Kept)  # noqa: N815
+        listTimers = staticmethod(lambda: calls.append("list") or [])  # noqa: N815
+        registerTimer = staticmethod(calls.append)  # noqa: N815
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    job = live._Latest(1000)
+    job.init(Handle)
+    row = lambda t: {"t": t * 1000, "seq": 1, "type": "x"}
+    got = [list(job.handleInputRows(("a",), iter([row(t)]), At(0)))[0] for t in (5, 700, 6)]
+    assert [r.n_events for r in got] == [1, 2, 3] and calls == [1005]
+    list(job.handleExpiredTimer(("a",), At(1100), None))
+    assert calls == [1005, 1700] and held
+    list(job.handleExpiredTimer(("a",), At(1700), None))
+    assert calls == [1005, 1700] and not held
+
+
 def test_state_of_the_dedupe_is_bounded(spark, tmp_path):
     schema = "job string, ts timestamp, event_id long, type string"
     at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
