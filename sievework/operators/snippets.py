@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -179,40 +180,136 @@ def near_duplicates(
 
 #: Words of most sets whose counts order all words; the others count as the rarest.
 FREQUENT = 100_000
+#: Places of the table of words' counts, of four bits each: 8 MB, whatever the vocabulary.
+PLACES = 1 << 24
+#: Longs of a set's odd signature.
+SIGNED = 4
 
 
-def _rare_prefixes(classes: DataFrame, threshold: float) -> DataFrame:
-    """``(word, id, size, place)``: of each set of ``classes(id, w)`` the rarest words, as many as a set alike may lack and one more.
+def _magnitudes(counts: DataFrame) -> Shared:
+    """The powers of two of the greatest counts of the words ``counts(word, n)`` of each place, 15 at most, 16 in a long; 0 where no word counts over 1.
+
+    A fixed number of cells is collected.  Words that share a place only seem more frequent than they are.
+    """
+    level = F.least(F.lit(15), F.floor(F.log2("n") + 1e-9)).cast("long")
+    placed = counts.where("n > 1").select(F.pmod("word", F.lit(PLACES)).alias("place"), level.alias("level")).groupBy("place").agg(F.max("level").alias("level"))
+    cells = placed.groupBy(F.shiftright("place", 4).alias("cell")).agg(F.expr("bit_or(shiftleft(level, CAST(place % 16 * 4 AS INT)))").alias("levels"))
+    table = np.zeros(PLACES // 16, np.int64)
+    for batch in cells.toArrow().to_batches():
+        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return Shared(counts.sparkSession, table.view(np.uint64))
+
+
+def _level(table: Shared, words: np.ndarray) -> np.ndarray:
+    """The levels of words by the table of ``_magnitudes``."""
+    spot = words.view(np.uint64) % np.uint64(PLACES)
+    return (table.value[(spot >> np.uint64(4)).astype(np.int64)] >> (spot % np.uint64(16) * np.uint64(4))) & np.uint64(15)
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all sets of a batch, the row of each, and the sets' sizes."""
+    size = lists.value_lengths().to_numpy()
+    return lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), size), size
+
+
+def _signature(words: np.ndarray, row: np.ndarray, rows: int, longs: int, odd: bool) -> np.ndarray:
+    """Of each set the places that an odd number of its words has, or else any.
+
+    Two sets differ in one word at least for each place at which their odd signatures differ, and a set lacks one word of another's for each
+    place that only the other's signature has; so signatures turn away no sets that are alike.
+    """
+    wide = 64 * longs
+    spot = (words.view(np.uint64) >> np.uint64(40)).astype(np.int64) % wide
+    held = np.bincount(row * wide + spot, minlength=rows * wide).reshape(rows, wide)
+    return np.packbits(held % 2 == 1 if odd else held > 0, axis=1).view(np.int64)
+
+
+def _apart(of: str, longs: int) -> Column:
+    """Places of ``of``, a function of the longs of two signatures."""
+    return F.expr(" + ".join(f"bit_count({of.replace('@', f'[{i}]')})" for i in range(longs)))
+
+
+def _longs(table: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(table) + 1, dtype=np.int32) * table.shape[1]), pa.array(table.ravel()))
+
+
+def _counts(classes: DataFrame) -> DataFrame:
+    """``(word, n)`` of the words that several sets of ``classes(w)`` have."""
+    return stored(classes.select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("n")).where("n > 1"))
+
+
+def _rare_prefixes(classes: DataFrame, threshold: float, counts: DataFrame, levels: Shared) -> DataFrame:
+    """``(word, ..., size, place, odd)``: of each set of ``classes(..., w)`` the rarest words, as many as a set alike may lack and one more, but for those that no other set has.
 
     Any order of words that all sets share will do, and rare words first make few sets meet; so the ``FREQUENT`` most frequent words are ordered by their counts and
-    the others come before them, by hash.  Each set is cut where it is read.
+    the others come before them, by the powers of two of theirs and by hash.  Each set is cut where it is read, and has its odd signature beside it.
     """
-    counts = classes.select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
     top = sorted((r["word"], r["n"]) for r in counts.orderBy(F.col("n").desc(), "word").limit(FREQUENT).collect())  # a fixed number of words
     shared = Shared(classes.sparkSession, np.array(top or [(0, 0)], np.int64))
+    own = [c for c in classes.columns if c != "w"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, often = shared.value.T
-            size = batch.column(1).value_lengths().to_numpy()
-            flat, row = batch.column(1).flatten().to_numpy(), np.repeat(np.arange(len(batch)), size)
-            at = np.minimum(np.searchsorted(words, flat), len(words) - 1)
-            order = np.lexsort((flat, np.where(words[at] == flat, often[at], 0), row))
+            flat, row, size = _flat(batch.column(len(own)))
+            at, level = np.minimum(np.searchsorted(words, flat), len(words) - 1), _level(levels, flat)
+            order = np.lexsort((flat, level, np.where(words[at] == flat, often[at], 0), row))
             place = np.arange(len(flat)) - (np.cumsum(size) - size)[row] + 1
-            keep = place <= (size - np.ceil(size * threshold) + 1)[row]
+            keep = (place <= (size - np.ceil(size * threshold - 1e-9) + 1)[row]) & (level[order] > 0)
+            odd = _signature(flat, row, len(batch), SIGNED, True)
+            taken = row[keep]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[order][keep]), batch.column(0).take(pa.array(row[keep])), pa.array(size[row[keep]].astype(np.int32)), pa.array(place[keep].astype(np.int32))],
-                names=["word", "id", "size", "place"],
+                [pa.array(flat[order][keep]), *(batch.column(i).take(pa.array(taken)) for i in range(len(own))), pa.array(size[taken].astype(np.int32)), pa.array(place[keep].astype(np.int32)), _longs(odd[taken])],
+                names=["word", *own, "size", "place", "odd"],
             )
 
-    return classes.select("id", "w").mapInArrow(run, f"word long, id {classes.schema['id'].dataType.simpleString()}, size int, place int")
+    kinds = ", ".join(f"{c} {classes.schema[c].dataType.simpleString()}" for c in own)
+    return classes.select(*own, "w").mapInArrow(run, f"word long, {kinds}, size int, place int, odd array<long>")
+
+
+def _shared_words(classes: DataFrame, levels: Shared) -> DataFrame:
+    """``(id, w)``: the sets of ``classes(id, w)`` without words that surely no other set has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, row, _ = _flat(batch.column(1))
+            keep = _level(levels, flat) > 0
+            ends = np.append(0, np.cumsum(np.bincount(row[keep], minlength=len(batch)))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[keep]))], names=["id", "w"])
+
+    return classes.select("id", "w").mapInArrow(run, f"id {classes.schema['id'].dataType.simpleString()}, w array<long>")
+
+
+def _alike(prefix: DataFrame, threshold: float) -> DataFrame:
+    """``id, other, size, other_size`` of the sets of ``_rare_prefixes`` that meet on a word after which enough may be left in both, and whose signatures allow the threshold."""
+    other = prefix.select("word", *[F.col(c).alias(f"other_{c}" if c != "id" else "other") for c in ("id", "size", "place", "odd")])
+    met = prefix.join(other, "word").where("id < other").where(F.least("size", "other_size") >= F.lit(threshold) * F.greatest("size", "other_size") - 1e-9)
+    common = 1 + F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
+    both = F.col("size") + F.col("other_size")
+    met = met.where(common >= F.lit(threshold / (1 + threshold)) * both - 1e-9).where(_apart("odd@ ^ other_odd@", SIGNED) <= F.lit((1 - threshold) / (1 + threshold)) * both + 1e-9)
+    return met.select("id", "other", "size", "other_size")
+
+
+def _turned(met: DataFrame, right: Column) -> DataFrame:
+    """Pairs in the order that ``right`` says."""
+    return met.select(*[F.when(right, F.col(a)).otherwise(F.col(b)).alias(a) for a, b in (("id", "other"), ("other", "id"), ("size", "other_size"), ("other_size", "size"))])
+
+
+def _compared(met: DataFrame, classes: DataFrame, levels: Shared) -> DataFrame:
+    """``met(id, other, ...)`` with ``both``, the number of words that the sets of ``classes(id, w)`` share.  Pairs come once, the smaller set first, which goes to the larger one.  Sets that met none are left where they are."""
+    met = stored(_turned(met, (F.col("size") < F.col("other_size")) | ((F.col("size") == F.col("other_size")) & (F.col("id") < F.col("other")))).distinct())
+    wanted = met.select("id").union(met.select("other")).distinct()
+    sets = _shared_words(classes.join(bounded_broadcast(wanted), "id", "left_semi"), levels)
+    pairs = met.join(sets, "id").join(sets.select(F.col("id").alias("other"), F.col("w").alias("v")), "other")
+    return pairs.select(*met.columns, F.size(F.array_intersect("w", "v")).alias("both"))
 
 
 def near_duplicate_pairs(df: DataFrame, id_col: str, body: str, threshold: float = 0.9) -> DataFrame:
     """Pairs of different word sets with Jaccard at or over the threshold, and who has each set.
 
     Texts are read twice, to keys of their sets of 64-bit word hashes, and to the sets of one row of each class: no set is shuffled to be told apart.  Prefix filter: with a set's words in order of rarity, two sets that alike share one of the first
-    ``n - ceil(t n) + 1``; sets meet on those words only, and only if enough words are left in both after the first they share.  Equal sets are one class, so a group of
+    ``n - ceil(t n) + 1``; sets meet on those words only, and only if enough words are left in both after the first they share and their signatures
+    are near enough.  Words that one set alone has, and sets that meet none, are not shuffled.  Equal sets are one class, so a group of
     copies counts once: ``(id, other)`` are the smallest ids of two classes, or of a class and each further row of it.
     """
     hashed = F.array_sort(F.transform(word_set(F.col(body)), lambda w: F.xxhash64(w)))
@@ -223,15 +320,11 @@ def near_duplicate_pairs(df: DataFrame, id_col: str, body: str, threshold: float
     classes = sets.join(bounded_broadcast(least.drop("n")), ["k1", "k2", "id"], "left_semi")
     classes = classes if least.where("n > 1").isEmpty() else classes.dropDuplicates(["k1", "k2"])  # rows repeated whole
     classes = stored(classes.select("id", "w", "k1", "k2"))
-    prefix = stored(_rare_prefixes(classes, threshold))
-    other = prefix.select("word", F.col("id").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place"))
-    met = prefix.join(other, "word").where("id < other").where(F.least("size", "other_size") >= F.lit(threshold) * F.greatest("size", "other_size"))
-    common = 1 + F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
-    met = met.where(common >= F.lit(threshold / (1 + threshold)) * (F.col("size") + F.col("other_size")) - 1e-9).select("id", "other").distinct()
-    sets = classes.select("id", "w")
-    both = met.join(sets, "id").join(sets.select(F.col("id").alias("other"), F.col("w").alias("v")), "other")
-    like = F.size(F.array_intersect("w", "v")) / F.size(F.array_union("w", "v"))
-    pairs = both.withColumn("jaccard", like).where(F.col("jaccard") >= threshold).select("id", "other", "jaccard")
+    counts = _counts(classes)
+    levels = _magnitudes(counts)
+    both = _compared(_alike(stored(_rare_prefixes(classes.select("id", "w"), threshold, counts, levels)), threshold), classes, levels)
+    like = F.col("both") / (F.col("size") + F.col("other_size") - F.col("both"))
+    pairs = both.withColumn("jaccard", like).where(F.col("jaccard") >= threshold).select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other"), "jaccard")
     copies = rows.select("id", "k1", "k2").join(classes.select("k1", "k2", F.col("id").alias("first")), ["k1", "k2"]).where("id > first")
     return pairs.unionByName(copies.select(F.col("first").alias("id"), F.col("id").alias("other"), F.lit(1.0).alias("jaccard")))
 

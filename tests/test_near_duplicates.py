@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from sievework.operators import snippets
 from sievework.plans import text_queries
 
@@ -82,3 +84,18 @@ def test_pairs_against_all_pairs(spark, monkeypatch):
             got = snippets.near_duplicate_pairs(spark.createDataFrame(rows, "i int, t string").repartition(4), "i", "t", threshold)
             assert {(r.id, r.other): r.jaccard for r in got.collect()} == expected
     assert snippets.near_duplicate_pairs(spark.createDataFrame([], "i int, t string"), "i", "t").count() == 0
+
+
+def test_little_is_shuffled(spark):
+    """Texts with words of their own: those words are counted, but no set or pair carries them."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    shared = [word() for _ in range(40)]
+    rows = [(i, " ".join([*rng.sample(shared, 20), *(word() for _ in range(200))])) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, body string").repartition(4)
+    hashed = df.select("id", F.array_sort(F.transform(snippets.word_set(F.col("body")), lambda w: F.xxhash64(w))).alias("w"))
+    counts = snippets._counts(hashed)
+    levels = snippets._magnitudes(counts)
+    assert all(r["n"] < 25 for r in snippets._shared_words(hashed, levels).select(F.size("w").alias("n")).collect())
+    assert snippets._rare_prefixes(hashed, 0.9, counts, levels).count() == 0
+    assert snippets.near_duplicate_pairs(df, "id", "body").count() == 0
