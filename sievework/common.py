@@ -69,14 +69,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` written as a compressed table in the cluster's shared folder, and read from there.
 
     Like ``cut``, for larger intermediate results: columns compress, checkpoints do not. The table
     stays in the folder until ``clear`` removes the application's, or whoever runs the cluster does.
     """
     path = scratch(df.sparkSession)
-    df.write.option("compression", "snappy").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

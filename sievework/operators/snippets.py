@@ -134,37 +134,25 @@ def near_duplicates(
 ) -> DataFrame:
     """``df`` with ``is_dup``: like an earlier row of its group that is itself no duplicate.
 
-    Equal word sets of a group are one class, of which only the first row may stay.  Classes meet as in
-    ``near_duplicate_pairs``; for containment the smaller set's first words meet all words of longer bodies.  The
-    greedy fold is settled in rounds: a class with no earlier link left stays, and what it links goes.
+    Sets are of 64-bit hashes of group and word.  Equal sets of a group are one class, of which only the first row may stay, and only its set is stored.  The classes of a group meet
+    in blocks (``_group_links``), without words that one of them alone has.  The greedy fold is settled in rounds: a class with no earlier link left stays, and what it links goes.
     """
-    rows = stored(df.withColumn("_id", F.monotonically_increasing_id()))
+    rows = stored(df.withColumn("_id", F.monotonically_increasing_id()), "zstd")
     at = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))], F.col("_id"))
     text_ = F.coalesce(F.col(body), F.lit(""))
-    keyed = rows.select(
-        F.sha2(F.to_json(F.struct(*group)), 256).alias("_g"), "_id", at.alias("_at"), (F.length(text_) >= least_long).alias("_long"), F.array_sort(word_set(text_)).alias("_w")
-    )
-    keyed = keyed.where("size(_w) > 0").withColumn("_c", F.sha2(F.concat_ws(" ", "_g", F.col("_long").cast("string"), F.array_join("_w", " ")), 256))
-    classes = keyed.groupBy("_c").agg(F.min("_at").alias("at"), F.first("_g").alias("g"), F.first("_long").alias("long"), F.first("_w").alias("w"))
-    classes = stored(classes.select("_c", F.col("at._id").alias("id"), "at", "g", "long", "w", F.size("w").alias("n")))
-
-    # A word of a group goes as one hash: equal hashes of other words only add candidates, which are compared below.
-    words = classes.select("id", "long", "n", F.explode(F.transform("w", lambda x: F.xxhash64("g", x))).alias("word"))
-    rarity = words.groupBy("word").agg(F.count("*").alias("_rows")).where("_rows > 1")
-    place = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("_rows", F.lit(1)), "word"))
-    upto = lambda t: F.col("_p") <= F.col("n") - F.ceil(F.col("n") * F.lit(t) - 1e-9) + 1
-    ranked = stored(words.join(rarity, "word", "left").withColumn("_p", place).where(upto(min(jaccard, containment))).where("_rows > 1"))
-    side = lambda r, p: r.select("word", F.col("id").alias(f"{p}_id"), F.col("n").alias(f"{p}_n"))
-    alike = side(ranked.where(upto(jaccard)), "a").join(side(ranked.where(upto(jaccard)), "b"), "word").where("a_id <> b_id AND a_n <= b_n")
-    alike = alike.where(F.col("a_n") >= F.lit(jaccard) * F.col("b_n") - 1e-9)
-    within = side(ranked.where("long").where(upto(containment)), "a").join(side(words.where("long"), "b"), "word").where("a_id <> b_id AND a_n <= b_n")
-    met = alike.select("a_id", "b_id").union(within.select("a_id", "b_id")).distinct()
-    sets = lambda p: classes.select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "at", "long", "w")])
-    both = met.join(sets("a"), "a_id").join(sets("b"), "b_id").withColumn("_both", F.size(F.array_intersect("a_w", "b_w")))
-    size_a, size_b = F.size("a_w"), F.size("b_w")
-    like = (F.col("_both") / (size_a + size_b - F.col("_both")) >= jaccard) | (F.col("a_long") & F.col("b_long") & (F.col("_both") / F.least(size_a, size_b) >= containment))
-    earlier = F.col("a_at") < F.col("b_at")
-    links = cut(both.where(like).select(F.when(earlier, F.col("a_id")).otherwise(F.col("b_id")).alias("a"), F.when(earlier, F.col("b_id")).otherwise(F.col("a_id")).alias("b")).distinct())
+    of = F.xxhash64(F.to_json(F.struct(*group)))
+    hashed = F.array_sort(F.transform(word_set(text_), lambda w: F.xxhash64(of, w)))
+    sets = rows.select(of.alias("g"), F.col("_id").alias("id"), at.alias("at"), (F.length(text_) >= least_long).alias("long"), hashed.alias("w")).where("size(w) > 0")
+    keys = stored(sets.select("id", "at", F.xxhash64("long", "w").alias("k1"), F.xxhash64(F.lit(1), F.col("long"), F.col("w")).alias("k2")))
+    heads = stored(keys.groupBy("k1", "k2").agg(F.min("at").alias("at")).select("k1", "k2", "at", F.col("at._id").alias("id")))
+    classes = stored(sets.join(bounded_broadcast(heads.select("id")), "id", "left_semi").select("g", "id", "long", "w"))
+
+    levels = _magnitudes(_counts(classes))
+    near = stored(_group_links(classes, levels, jaccard, containment))
+    times = heads.select("id", "at")
+    near = near.join(times, "id").join(times.select(F.col("id").alias("other"), F.col("at").alias("other_at")), "other")
+    earlier = F.col("at") < F.col("other_at")
+    links = cut(near.select(F.when(earlier, F.col("id")).otherwise(F.col("other")).alias("a"), F.when(earlier, F.col("other")).otherwise(F.col("id")).alias("b")).distinct())
 
     gone = links.select(F.col("b").alias("id")).limit(0)
     while not links.isEmpty():
@@ -173,8 +161,8 @@ def near_duplicates(
         gone = cut(gone.union(out))
         links = cut(links.join(out.withColumnRenamed("id", "a"), "a", "left_anti").join(out.withColumnRenamed("id", "b"), "b", "left_anti"))
 
-    heads = classes.select("_c", F.col("id").alias("_head")).join(gone.select(F.col("id").alias("_head"), F.lit(True).alias("_gone")), "_head", "left")
-    marks = keyed.select("_id", "_c").join(heads, "_c").select("_id", ((F.col("_id") != F.col("_head")) | F.coalesce("_gone", F.lit(False))).alias("is_dup"))
+    settled = heads.select("k1", "k2", F.col("id").alias("_head")).join(gone.select(F.col("id").alias("_head"), F.lit(True).alias("_gone")), "_head", "left")
+    marks = keys.join(settled, ["k1", "k2"]).select(F.col("id").alias("_id"), ((F.col("id") != F.col("_head")) | F.coalesce("_gone", F.lit(False))).alias("is_dup"))
     return rows.join(marks, "_id", "left").select(*df.columns, F.coalesce("is_dup", F.lit(False)).alias("is_dup"))
 
 
@@ -304,6 +292,102 @@ def _compared(met: DataFrame, classes: DataFrame, levels: Shared) -> DataFrame:
     return pairs.select(*met.columns, F.size(F.array_intersect("w", "v")).alias("both"))
 
 
+#: Words that other sets share, of the sets of a block: two blocks of a group are compared at a time.
+BLOCK = 1 << 22
+#: Longs of the signatures by which pairs of a block are turned away; pairs, and words, that are looked at together.
+WIDE, PAIRS = 16, 1 << 18
+
+
+def _by_rarity(classes: DataFrame, levels: Shared) -> DataFrame:
+    """``(..., size, alone, w)``: the sets of ``classes(..., w)``, rarest words first, with their sizes; of words that no other set has only the number is left."""
+    own = [c for c in classes.columns if c != "w"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, row, size = _flat(batch.column(len(own)))
+            level = _level(levels, flat)
+            order = np.lexsort((flat, level, row))
+            order = order[level[order] > 0]
+            left = np.bincount(row[order], minlength=len(batch))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(left)).astype(np.int32)), pa.array(flat[order]))
+            made = [pa.array(size.astype(np.int32)), pa.array((size - left).astype(np.int32)), lists]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(own)], *made], names=[*own, "size", "alone", "w"])
+
+    kinds = ", ".join(f"{c} {classes.schema[c].dataType.simpleString()}" for c in own)
+    return classes.select(*own, "w").mapInArrow(run, f"{kinds}, size int, alone int, w array<long>")
+
+
+def _block_links(table: pa.Table, jaccard: float, containment: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the pairs alike of one block (``i = j``), or of one with another (rows of different ``block``), the smaller set first.
+
+    A pair alike shares ``share`` of its smaller set, so one of that set's first words is among the other's.
+    """
+    share = min(jaccard, containment)
+    column = lambda c: table.column(c).combine_chunks().to_numpy(zero_copy_only=False)
+    size, alone, long, block = (column(c) for c in ("size", "alone", "long", "block"))
+    flat, row, left = _flat(table.column("w").combine_chunks())
+    start, within = np.cumsum(left) - left, len(table) > 0 and column("i")[0] == column("j")[0]
+    spare = size - np.ceil(size * share - 1e-9).astype(np.int64)  # words of a set that another may lack
+    head = np.arange(len(flat)) - start[row] < (spare + 1 - alone)[row]
+    order = np.argsort(flat[head], kind="stable")
+    words, holder = flat[head][order], row[head][order]
+    ends = np.append(start, len(flat))
+    signed = np.empty((len(table), WIDE), np.int64)
+    for i in range(0, len(table), 1000):
+        k = min(i + 1000, len(table))
+        signed[i:k] = _signature(flat[ends[i] : ends[k]], row[ends[i] : ends[k]] - i, k - i, WIDE, False)
+    met = [np.empty(0, np.int64)]
+    for some in range(0, len(flat), PAIRS):
+        asked = flat[some : some + PAIRS]
+        low = np.searchsorted(words, asked, "left")
+        many = np.searchsorted(words, asked, "right") - low
+        sums, at = np.cumsum(many), 0
+        while at < len(asked):
+            to = max(at + 1, int(np.searchsorted(sums, (sums[at - 1] if at else 0) + PAIRS, "right")))
+            n = many[at:to]
+            a = holder[np.repeat(low[at:to] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            b = np.repeat(row[some + at : some + to], n)
+            fit = ((size[a] < size[b]) | ((size[a] == size[b]) & (a < b))) & ((block[a] != block[b]) | within)
+            fit &= (long[a] & long[b]) | (size[a] >= jaccard * size[b] - 1e-9)
+            pair = np.unique(a[fit] * len(table) + b[fit])
+            a, b = pair // len(table), pair % len(table)
+            lacked = alone[a] + np.bitwise_count((signed[a] & ~signed[b]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            met.append(pair[lacked <= spare[a]])
+            at = to
+    pair = np.unique(np.concatenate(met))
+    a, b = pair // max(len(table), 1), pair % max(len(table), 1)
+    order = np.argsort(b, kind="stable")
+    a, b, both = a[order], b[order], np.zeros(len(pair), np.int64)
+    for group in np.split(np.arange(len(pair)), np.flatnonzero(np.diff(b)) + 1) if len(pair) else ():
+        other = b[group[0]]
+        have = np.sort(flat[start[other] : start[other] + left[other]])
+        for some in np.split(group, range(PAIRS // 64, len(group), PAIRS // 64)):
+            n = left[a[some]]
+            asked = flat[np.repeat(start[a[some]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            found = have[np.minimum(np.searchsorted(have, asked), max(len(have) - 1, 0))] == asked if len(have) else np.zeros(len(asked), bool)
+            both[some] = np.bincount(np.repeat(np.arange(len(some)), n), found, minlength=len(some)).astype(np.int64)
+    alike = (both / (size[a] + size[b] - both) >= jaccard) | (long[a] & long[b] & (both / size[a] >= containment))
+    return a[alike], b[alike]
+
+
+def _group_links(classes: DataFrame, levels: Shared, jaccard: float, containment: float) -> DataFrame:
+    """``id, other`` of the pairs alike of ``classes(g, id, long, w)`` with one ``g``.
+
+    The sets of a group are dealt into blocks of ``BLOCK`` words or so, whose pairs are compared in a task each: most groups have one block, and each set is
+    shuffled as often as its group has blocks.
+    """
+    ranked = _by_rarity(classes.select("g", "id", "long", "w"), levels)
+    large = ranked.groupBy("g").agg(F.ceil(F.sum(F.size("w")) / F.lit(BLOCK)).alias("blocks")).where("blocks > 1")
+    dealt = ranked.join(bounded_broadcast(large), "g", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)).cast("int")).withColumn("block", F.pmod(F.hash("id"), F.col("blocks")))
+    dealt = dealt.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("x", "block")).withColumn("j", F.greatest("x", "block"))
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b = _block_links(table, jaccard, containment)
+        return pa.table({"id": table.column("id").take(pa.array(a)), "other": table.column("id").take(pa.array(b))})
+
+    return dealt.select("g", "i", "j", "block", "id", "long", "size", "alone", "w").groupBy("g", "i", "j").applyInArrow(run, "id long, other long")
+
+
 def near_duplicate_pairs(df: DataFrame, id_col: str, body: str, threshold: float = 0.9) -> DataFrame:
     """Pairs of different word sets with Jaccard at or over the threshold, and who has each set.
 

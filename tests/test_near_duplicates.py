@@ -86,6 +86,23 @@ def test_pairs_against_all_pairs(spark, monkeypatch):
     assert snippets.near_duplicate_pairs(spark.createDataFrame([], "i int, t string"), "i", "t").count() == 0
 
 
+def test_groups_in_blocks(spark, monkeypatch):
+    """Long texts within longer ones, equal sizes and texts of other groups, whatever the blocks that a group is dealt into."""
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(900)]
+    rows = []
+    for i in range(90):
+        own = rng.sample(words, rng.choice((150, 160, 700))) if i < 45 or rng.random() < 0.2 else rows[rng.randrange(45)][2].split()
+        kept = own[: rng.choice((len(own), len(own) - 8, len(own) - 20, 140))]
+        rows.append((rng.choice("ab"), i, " ".join([*kept, *rng.sample(words, rng.choice((0, 3, 300)))])))
+    want = fold(rows)
+    assert 10 < sum(want.values()) < 80
+    df = spark.createDataFrame(rows, "g string, id int, body string").repartition(3)
+    for block in (1 << 22, 3000):
+        monkeypatch.setattr(snippets, "BLOCK", block)
+        assert {r.id: r.is_dup for r in snippets.near_duplicates(df, ["g"], "body", ["id"]).collect()} == want
+
+
 def test_little_is_shuffled(spark):
     """Texts with words of their own: those words are counted, but no set or pair carries them."""
     rng = random.Random(8)
@@ -96,6 +113,8 @@ def test_little_is_shuffled(spark):
     hashed = df.select("id", F.array_sort(F.transform(snippets.word_set(F.col("body")), lambda w: F.xxhash64(w))).alias("w"))
     counts = snippets._counts(hashed)
     levels = snippets._magnitudes(counts)
+    left = snippets._by_rarity(hashed, levels).select("size", "alone", F.size("w").alias("n")).collect()
+    assert all(r["size"] == r["alone"] + r["n"] == 220 and r["n"] < 25 for r in left)
     assert all(r["n"] < 25 for r in snippets._shared_words(hashed, levels).select(F.size("w").alias("n")).collect())
     assert snippets._rare_prefixes(hashed, 0.9, counts, levels).count() == 0
     assert snippets.near_duplicate_pairs(df, "id", "body").count() == 0
