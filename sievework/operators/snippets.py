@@ -134,7 +134,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``df`` with ``is_dup``: like an earlier row of its group that is itself no duplicate.
 
-    Sets are of 64-bit hashes of group and word.  Equal sets of a group are one class, of which only the first row may stay, and only its set is stored.  The classes of a group meet
+    Sets are of 64-bit hashes of group and word.  Equal sets of a group are one class, of which only the first row may stay.  Texts are read once, to sets.  The classes of a group meet
     in blocks (``_group_links``), without words that one of them alone has.  The greedy fold is settled in rounds: a class with no earlier link left stays, and what it links goes.
     """
     rows = stored(df.withColumn("_id", F.monotonically_increasing_id()), "zstd")
@@ -143,9 +143,11 @@ def near_duplicates(
     of = F.xxhash64(F.to_json(F.struct(*group)))
     hashed = F.array_sort(F.transform(word_set(text_), lambda w: F.xxhash64(of, w)))
     sets = rows.select(of.alias("g"), F.col("_id").alias("id"), at.alias("at"), (F.length(text_) >= least_long).alias("long"), hashed.alias("w")).where("size(w) > 0")
-    keys = stored(sets.select("id", "at", F.xxhash64("long", "w").alias("k1"), F.xxhash64(F.lit(1), F.col("long"), F.col("w")).alias("k2")))
+    sets = stored(sets.withColumns({"k1": F.xxhash64("long", "w"), "k2": F.xxhash64(F.lit(1), F.col("long"), F.col("w"))}))
+    keys = sets.select("id", "at", "k1", "k2")
     heads = stored(keys.groupBy("k1", "k2").agg(F.min("at").alias("at")).select("k1", "k2", "at", F.col("at._id").alias("id")))
-    classes = stored(sets.join(bounded_broadcast(heads.select("id")), "id", "left_semi").select("g", "id", "long", "w"))
+    copies = stored(keys.select("id", "k1", "k2").join(heads.select("k1", "k2", F.col("id").alias("first")), ["k1", "k2"]).where("id <> first").select("id"))
+    classes = sets.join(bounded_broadcast(copies), "id", "left_anti").select("g", "id", "long", "w")
 
     levels = _magnitudes(_counts(classes))
     near = stored(_group_links(classes, levels, jaccard, containment))
