@@ -21,7 +21,7 @@ from sievework.streaming.progress import ORDER, PHASES
 #: Transform-with-state keeps several columns of state a key, which only this store has.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EVENT = "t long, rank int, seq long, type string, phase string, index long, total long, name string, cursor long, resume_phase string, stop_after string"
-PLAN = "total long, cursor long, first int, last int, stop_t long, stop_rank int, stop_seq long, newest long"
+PLAN = "total long, cursor long, first int, last int, stop_t long, stop_rank int, stop_seq long, newest long, due long, gone long"
 PHASE = "ended boolean, moved_t long, moved_rank int, moved_seq long, total long, done long, last_type string, last_index long, last_name string, last_t long"
 BARS = "phase string, state string, done long, total long, in_run boolean, planned boolean, current_index long, current_name string, since timestamp"
 MOVES = ("phase_start", "wine_start", "progress")
@@ -74,13 +74,13 @@ class RunState:
     """The last plan and stop of a run and its phases; ``settled`` rows make it, ``plan_row`` and ``phases`` are kept."""
 
     def __init__(self, plan: tuple | None = None, phases: dict[str, PhaseState] | None = None):
-        total, cursor, first, last, t, rank, seq, self.newest = plan or (None,) * 8
+        total, cursor, first, last, t, rank, seq, self.newest, self.due, self.gone = plan or (None,) * 10  # the last two: its timers
         self.plan = None if first is None else (total, cursor, first, last)
         self.stop = None if t is None else (t, rank, seq)
         self.phases = phases or {}
 
     def plan_row(self) -> tuple:
-        return (*(self.plan or (None,) * 4), *(self.stop or (None,) * 3), self.newest)
+        return (*(self.plan or (None,) * 4), *(self.stop or (None,) * 3), self.newest, self.due, self.gone)
 
     def fold(self, events: Iterable[Event]) -> RunState:
         """This run after events, which are put in order; replays among them change nothing."""
@@ -141,28 +141,32 @@ class _LiveBars(StatefulProcessor):
                 self.phases.updateValue((phase,), held.row())
         return events - passed
 
-    def _remember(self, state: RunState, waiting: set[Event], newest: int) -> None:
-        """Keeps plan and waiting events, with the timers of both."""
+    def _remember(self, state: RunState, waiting: set[Event], held: bool, newest: int, watermark: int) -> None:
+        """Keeps plan and waiting events; ``held`` says whether some waited before.
+
+        A run has one timer for its waiting events and one for its end.  Each goes on by itself and is set anew only when it has come, as asking for timers costs more than an event.
+        """
         state.newest = newest
-        self.plan.update(state.plan_row())
         if waiting:
             self.waiting.put([tuple(e) for e in waiting])
-        else:
+        elif held:
             self.waiting.clear()
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if waiting:
-            self.handle.registerTimer(max(e.t for e in waiting) // 1000 + 1)
-        self.handle.registerTimer(newest // 1000 + self.idle)
+        if waiting and (state.due is None or state.due <= watermark):
+            state.due = max(e.t for e in waiting) // 1000 + 1
+            self.handle.registerTimer(state.due)
+        if state.gone is None or state.gone <= watermark:
+            state.gone = newest // 1000 + self.idle
+            self.handle.registerTimer(state.gone)
+        self.plan.update(state.plan_row())
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        state = self._state()
+        state, watermark = self._state(), timerValues.getCurrentWatermarkInMs()
         held = [Event(*e) for e in self.waiting.get()] if state.newest is not None else []
         events = {*held, *(Event(*(row[c] for c in Event._fields)) for row in rows)}
         newest = max([e.t for e in events], default=0)
         newest = max(newest, state.newest or newest)
-        waiting = self._settle(state, events, timerValues.getCurrentWatermarkInMs())
-        self._remember(state, waiting, newest)
+        waiting = self._settle(state, events, watermark)
+        self._remember(state, waiting, bool(held), newest, watermark)
         for bar in state.fold(waiting).bars():
             *shown, since = bar
             yield Row(**dict(zip((self.run, *_names(BARS)), (key[0], *shown, _timestamp(since)), strict=True)))
@@ -172,11 +176,9 @@ class _LiveBars(StatefulProcessor):
         if state.newest is None or state.newest // 1000 + self.idle <= watermark:
             for kept in (self.plan, self.phases, self.waiting):
                 kept.clear()
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
         else:
-            newest = state.newest
-            self._remember(state, self._settle(state, {Event(*e) for e in self.waiting.get()}, watermark), newest)
+            newest, held = state.newest, {Event(*e) for e in self.waiting.get()}
+            self._remember(state, self._settle(state, held, watermark), bool(held), newest, watermark)
         return iter(())
 
     def close(self) -> None:

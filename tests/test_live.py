@@ -137,6 +137,45 @@ def test_latest_keeps_one_timer():
     assert calls == [1005, 1700] and not held
 
 
+def test_bars_ask_for_few_timers():
+    """A run with events that wait has two timers, which are neither listed nor deleted, and are set anew only when they have come."""
+    calls = []
+
+    class Kept:
+        def __init__(self):
+            self.held = None
+
+        get = lambda self: self.held or []
+        put = update = lambda self, x: setattr(self, "held", x)
+        clear = lambda self: setattr(self, "held", None)
+        iterator = lambda self: iter(())
+
+    class Plan(Kept):
+        get = lambda self: self.held
+
+    class Handle:
+        getValueState, getListState, getMapState = (staticmethod(lambda *a, k=k: k()) for k in (Plan, Kept, Kept))  # noqa: N815
+        listTimers = staticmethod(lambda: calls.append("list") or [])  # noqa: N815
+        deleteTimer = registerTimer = staticmethod(calls.append)  # noqa: N815
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    job = live._LiveBars("run", 1000)
+    job.init(Handle)
+    row = lambda t: dict.fromkeys(live.Event._fields) | {"t": t * 1000, "rank": 1, "seq": 1, "type": "other"}
+    for t in (500, 700, 600):
+        assert len(list(job.handleInputRows(("a",), iter([row(t)]), At(0)))) == 3
+    assert calls == [501, 1500] and len(job.waiting.held) == 3
+    list(job.handleExpiredTimer(("a",), At(501), None))
+    assert calls == [501, 1500, 701] and len(job.waiting.held) == 2
+    list(job.handleExpiredTimer(("a",), At(1600), None))
+    assert calls == [501, 1500, 701, 1700] and not job.waiting.held and job.plan.held
+    list(job.handleExpiredTimer(("a",), At(1700), None))
+    assert calls == [501, 1500, 701, 1700] and job.plan.held is None
+
+
 def test_state_of_the_dedupe_is_bounded(spark, tmp_path):
     schema = "job string, ts timestamp, event_id long, type string"
     at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
