@@ -5,32 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.common import stored
+from sievework.common import bounded_broadcast, spread, stored
 from sievework.operators import evidence
 
 
-def mentions(texts: DataFrame, labels: DataFrame, least: int = 4) -> DataFrame:
-    """``row, region``: the entities of ``labels(entity, alias)`` that ``texts(row, body)`` hold as whole words.
+def _spelled(labels: DataFrame, least: int = 4) -> DataFrame:
+    """``region, _run``: the entities of ``labels(entity, alias)`` by the words of their aliases."""
+    words = F.array_join(F.regexp_extract_all("alias", F.lit("([a-z0-9]+)"), 1), " ")
+    return labels.where(F.length("alias") >= least).select(F.col("entity").alias("region"), words.alias("_run")).where("_run <> ''").distinct()
 
-    Both are folded.  Texts become the word runs of the lengths that aliases have and meet them by equality.
-    """
-    words = F.regexp_extract_all(F.coalesce("body", F.lit("")), F.lit("([a-z0-9]+)"), 1)
-    alias = F.regexp_extract_all("alias", F.lit("([a-z0-9]+)"), 1)
-    spelled = labels.where(F.length("alias") >= least).select(F.col("entity").alias("region"), alias.alias("_w")).where("size(_w) > 0")
-    lengths = [r["n"] for r in spelled.select(F.size("_w").alias("n")).distinct().collect()]  # a few small numbers
-    runs = texts.select("row", F.explode(evidence.word_runs(words, lengths)).alias("_run")).distinct()
-    return runs.join(spelled.select("region", F.array_join("_w", " ").alias("_run")).distinct(), "_run").select("row", "region").distinct()
+
+def mentions(said: DataFrame, spelled: DataFrame) -> DataFrame:
+    """``row, region``: the entities whose words, see ``_spelled``, are among the word runs of a row's texts, ``said(row, _run)``."""
+    return said.select("row", "_run").distinct().join(bounded_broadcast(spelled), "_run").select("row", "region").distinct()
 
 
 def _claims(rows: DataFrame, tree: DataFrame) -> DataFrame:
     """``row, region`` of the regions that rows have and the tree knows."""
-    return rows.select("row", F.explode("regions").alias("region")).distinct().join(tree.select(F.col("descendant").alias("region")).distinct(), "region", "left_semi").select("row", "region")
+    return rows.select("row", F.explode(F.array_distinct("regions")).alias("region")).join(tree.select(F.col("descendant").alias("region")).distinct(), "region", "left_semi").select("row", "region")
 
 
-def _by_name(rows: DataFrame, labels: DataFrame, tree: DataFrame) -> DataFrame:
+def _by_name(rows: DataFrame, named: DataFrame, labels: DataFrame, tree: DataFrame, longer: DataFrame) -> DataFrame:
     """``row, new, action``: the region that a row's name holds, and whether it is an upgrade of what the row has, or a conflict."""
-    named = mentions(rows.select("row", F.col("name").alias("body")), labels.where("is_canonical"))
-    found = evidence.name_region(named, "row", "region", tree).withColumnRenamed("region", "new")
+    found = evidence.name_region(mentions(named, _spelled(labels.where("is_canonical"))), "row", "region", tree).withColumnRenamed("region", "new")
     scopes = labels.select(F.col("entity").alias("new"), F.col("scope").alias("_scope")).distinct()
     found = found.join(scopes, "new").join(rows.select("row", "scope"), "row").where("scope IS NULL OR scope = _scope").select("row", "new").distinct()
     leaves = evidence.submitted_leaves(_claims(rows, tree), "row", "region", tree)
@@ -38,7 +35,7 @@ def _by_name(rows: DataFrame, labels: DataFrame, tree: DataFrame) -> DataFrame:
     for flag, pairs in (
         ("_within", tree.select(F.col("ancestor").alias("new"), F.col("descendant").alias("region"))),
         ("_above", tree.where("distance > 0").select(F.col("descendant").alias("new"), F.col("ancestor").alias("region"))),
-        ("_longer", evidence.longer_names(labels).select(F.col("shorter").alias("new"), F.col("longer").alias("region"))),
+        ("_longer", longer.select(F.col("shorter").alias("new"), F.col("longer").alias("region"))),
     ):
         held = held.join(pairs.distinct().withColumn(flag, F.lit(True)), ["new", "region"], "left").fillna(False, [flag])
     judged = held.groupBy("row", "new").agg(F.count("region").alias("_n"), F.bool_or("_within").alias("_in"), F.bool_and("_above").alias("_up"), F.bool_or("_longer").alias("_wide"))
@@ -68,10 +65,16 @@ def review(rows: DataFrame, blocks: DataFrame, grapes: DataFrame, labels: DataFr
 
     Null arrays count as empty, null bodies as empty texts; regions that the tree lacks are kept and never checked.  Rows without blocks have no
     context.  An empty table gives an empty result.
+
+    Rows and texts are dealt out to all tasks and stored first, as a small file of many rows is one task's.  Texts are split once, into those of their word runs
+    that are aliases; the sources are weighed anew only for rows that the first weighing changed.
     """
     empty = F.array().cast("array<string>")
-    rows = stored(rows.withColumns({x: F.coalesce(x, empty) for x in ("grapes", "colours", "regions")} | {"is_blend": F.coalesce("is_blend", F.lit(False))}))
-    said = blocks.select("row", "family", F.coalesce("body", F.lit("")).alias("body"))
+    labels, tree = stored(labels.select("scope", "entity", "alias", "is_canonical")), bounded_broadcast(stored(tree))
+    wider, pairs = bounded_broadcast(stored(evidence.longer_names(labels))), stored(evidence.longer_pairs(labels, tree))
+    labels = bounded_broadcast(labels)
+    rows = stored(spread(rows).withColumns({x: F.coalesce(x, empty) for x in ("grapes", "colours", "regions")} | {"is_blend": F.coalesce("is_blend", F.lit(False))}))
+    said = stored(spread(blocks.select("row", "family", F.coalesce("body", F.lit("")).alias("body"))))
     names = rows.select("row", F.coalesce("name", F.lit("")).alias("name"))
 
     sources = said.groupBy("row").agg(F.count_distinct("family").alias("n_sources"), F.max(evidence.calls_it_a_blend(F.col("body"))).alias("_called"))
@@ -80,20 +83,25 @@ def review(rows: DataFrame, blocks: DataFrame, grapes: DataFrame, labels: DataFr
     in_order = F.array_sort(F.collect_list(F.struct("pos", F.col("claim").alias("name"), F.col("n_sources").alias("n"))))
     counted = each.join(counted, ["row", "claim"]).groupBy("row").agg(F.transform(in_order, lambda g: F.struct(g["name"].alias("name"), g["n"].alias("n"))).alias("_counted"))
 
-    by_name = stored(_by_name(rows, labels, tree))
+    spelled = stored(_spelled(labels))
+    named = stored(evidence.said_runs(names.select("row", F.col("name").alias("body")), spelled).select("row", "_run"))
+    by_name = stored(_by_name(rows, named, labels, tree, wider))
     conflicts = by_name.where("action = 'conflict'").select("row", F.array("new").alias("name_conflict"))
     rows = stored(_replaced(rows, by_name.where("action = 'upgrade'").select("row", "new"), tree, "name_upgrade"))
 
-    spoken = stored(mentions(said, labels))
-    lower = tree.where("distance > 0").join(labels.where("is_canonical").select(F.col("entity").alias("descendant")).distinct(), "descendant").select(F.col("ancestor").alias("region"), F.col("descendant").alias("_low"))
+    heard = stored(evidence.said_runs(said, spelled))
+    spoken = stored(mentions(heard, spelled))
+    canonical = labels.where("is_canonical").select(F.col("entity").alias("descendant")).distinct()
+    above = bounded_broadcast(stored(tree.where("distance > 0").join(canonical, "descendant").select(F.col("ancestor").alias("region"), F.col("descendant").alias("_low"))))
 
     def outweighing(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Leaves of the rows' regions, and the finer and the longer regions that outweigh them."""
         leaves = stored(evidence.submitted_leaves(_claims(rows, tree), "row", "region", tree))
-        asked = leaves.union(leaves.join(lower, "region").select("row", F.col("_low").alias("region"))).distinct().join(spoken, ["row", "region"], "left_semi")
-        counts = evidence.origin_counts(asked, "row", "region", labels, said, names)
+        own = spoken.join(leaves, ["row", "region"], "left_semi")
+        below = spoken.withColumnRenamed("region", "_low").join(above, "_low").join(leaves, ["row", "region"], "left_semi").select("row", F.col("_low").alias("region"))
+        counts = stored(evidence.origin_counts(own.union(below), "row", "region", labels, said, names, said=heard))
         finer = evidence.finer_regions(leaves, "row", "region", tree, counts).select("row", F.col("finer").alias("new"))
-        longer = evidence.longer_regions(leaves, "row", "region", labels, tree, said, names).select("row", F.col("longer").alias("new"))
+        longer = evidence.longer_regions(leaves, "row", "region", labels, tree, said, names, pairs, heard).select("row", F.col("longer").alias("new"))
         return leaves, stored(finer.distinct()), stored(longer.distinct())
 
     leaves, finer, longer = outweighing(rows)
@@ -101,14 +109,15 @@ def review(rows: DataFrame, blocks: DataFrame, grapes: DataFrame, labels: DataFr
     up = tree.where("distance > 0").select(F.col("ancestor").alias("new"), F.col("descendant").alias("_low"))
     parents = found.select("row", "new").join(up, "new").join(found.select("row", F.col("new").alias("_low")), ["row", "_low"]).select("row", "new").distinct()
     one = stored(found.join(parents, ["row", "new"], "left_anti").groupBy("row").agg(F.count("*").alias("_n"), F.min("new").alias("new"), F.min("_least").alias("_least")).where("_n = 1"))
-    n = evidence.origin_counts(one.select("row", F.col("new").alias("region")), "row", "region", labels, said, names).select("row", F.col("n_sources").alias("_new_n"))
+    n = evidence.origin_counts(one.select("row", F.col("new").alias("region")), "row", "region", labels, said, names, said=heard).select("row", F.col("n_sources").alias("_new_n"))
     own = evidence.origin_counts(leaves.join(one.select("row", "new"), "row"), "row", "region", labels, said, names, hide="new").groupBy("row").agg(F.max("n_sources").alias("_own_n"))
     settled = one.join(n, "row").join(own, "row").where("_new_n >= greatest(_own_n, _least)").select("row", "new")
     rows = stored(_replaced(rows, settled, tree, "source_upgrade"))
 
-    leaves, finer, longer = outweighing(rows)
-    in_name = mentions(names.select("row", F.col("name").alias("body")), labels)
-    nowhere = evidence.unsupported_regions(leaves, "row", "region", tree, spoken.union(in_name).distinct().withColumn("n_sources", F.lit(1)))
+    changed = rows.where(F.size("source_upgrade") > 0)
+    kept = [x.join(changed.select("row"), "row", "left_anti") for x in (leaves, finer, longer)]
+    leaves, finer, longer = (x.unionByName(y) for x, y in zip(kept, outweighing(changed), strict=True))
+    nowhere = evidence.unsupported_regions(leaves, "row", "region", tree, spoken.union(mentions(named, spelled)).distinct().withColumn("n_sources", F.lit(1)))
     listed = lambda df, c, name: df.groupBy("row").agg(F.sort_array(F.collect_set(c)).alias(name))
     all_in = rows
     for more in (sources, counted, conflicts, listed(finer, "new", "coarse"), listed(longer, "new", "longer"), listed(nowhere, "region", "unsupported")):

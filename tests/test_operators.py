@@ -360,3 +360,62 @@ def test_corroboration_counts_families_and_phrases(spark):
     blocks = spark.createDataFrame([(1, "a", "a merlot, and pinot-noir"), (1, "a", "merlot again mer"), (1, "b", "spatburgunder"), (1, "c", "pinot of noir merlots"), (2, "a", "nothing")], "p int, family string, body string")
     got = {(r.p, r.claim): r.n_sources for r in evidence.corroboration(claims, blocks, aliases, "p").collect()}
     assert got == {(1, "merlot"): 1, (1, "pinot noir"): 2, (1, "syrah"): 0, (2, "merlot"): 0}
+
+
+def most_rows(df, node, metric):
+    """The largest figure of a kind of step in the plan by which ``df`` ran."""
+    df.collect()
+    most, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        plan = todo.pop()
+        if "QueryStage" in plan.nodeName() or plan.nodeName() == "AdaptiveSparkPlan":
+            todo.append(plan.plan() if "QueryStage" in plan.nodeName() else plan.executedPlan())
+            continue
+        if node in plan.nodeName() and plan.metrics().contains(metric):
+            most = max(most, plan.metrics().apply(metric).value())
+        todo += [plan.children().apply(i) for i in range(plan.children().size())]
+    return most
+
+
+def test_regions_go_up_from_what_is_named(spark):
+    """Leaves are not multiplied by all that lies below them."""
+    tree = taxonomy.cut(taxonomy.closure(spark.createDataFrame([("r", None), *[(f"c{i}", "r") for i in range(500)]], "id string, parent_id string")))
+    leaves = spark.createDataFrame([(i, "r") for i in range(60)], "p int, region string")
+    counts = spark.createDataFrame([(i, f"c{i}", i % 3) for i in range(50)], "p int, region string, n_sources int")
+    finer, nowhere = evidence.finer_regions(leaves, "p", "region", tree, counts), evidence.unsupported_regions(leaves, "p", "region", tree, counts)
+    assert most_rows(finer, "Join", "numOutputRows") <= 100 and most_rows(nowhere, "Join", "numOutputRows") <= 100
+    assert {(r.p, r.finer, r.n, r.leaf_n) for r in finer.collect()} == {(i, f"c{i}", i % 3, 0) for i in range(50) if i % 3}
+    assert {r.p for r in nowhere.collect()} == {i for i in range(60) if i >= 50 or i % 3 == 0}
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_words_that_no_alias_has_stay_where_they_are_read(spark, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(evidence, "BROADCAST_ROWS", 0, raising=False)
+    claims = spark.createDataFrame([(i, c) for i in range(20) for c in ("merlot", "pinot noir")], "p int, claim string")
+    blocks = spark.createDataFrame([(i, f"f{j}", " ".join(f"w{j}x{k}" for k in range(200)) + " merlot, pinot-noir") for i in range(20) for j in range(2)], "p int, family string, body string")
+    got = evidence.corroboration(claims, blocks, spark.createDataFrame([("zinfandel", "primitivo di manduria")], "claim string, alias string"), "p")
+    assert {(r.p, r.claim): r.n_sources for r in got.collect()} == {(i, c): 2 for i in range(20) for c in ("merlot", "pinot noir")}
+    assert not few or most_rows(got, "Exchange", "shuffleRecordsWritten") <= 100
+
+
+def test_review_splits_texts_once_and_in_many_tasks(spark, monkeypatch):
+    """A small file of many texts is one task's to read; splitting them is not, and is not done for each use of them."""
+    tasks, splits, held, runs = [], [], review.stored, evidence.word_runs
+    monkeypatch.setattr(evidence, "word_runs", lambda *a: splits.append(a) or runs(*a))
+
+    def keep(df, *a):
+        if set(df.columns) == {"row", "family", "body"}:
+            tasks.append(df.rdd.getNumPartitions())
+        return held(df, *a)
+
+    monkeypatch.setattr(review, "stored", keep)
+    rows = spark.range(100).coalesce(1).selectExpr(
+        "CAST(id AS INT) AS row", "'plain wine' AS name", "'red' AS category", "CAST(null AS STRING) AS scope", "true AS submitted", "false AS is_blend", "90 AS confidence", "array('nebbiolo') AS grapes",
+        "array('red') AS colours", "array('piedmont') AS regions", "false AS named_whole")
+    blocks = rows.selectExpr("row", "explode(array('f1', 'f2')) AS family", "IF(row % 2 = 0, 'barolo nebbiolo', 'nebbiolo of piedmont') AS body")
+    labels = spark.createDataFrame([("it", e, e, True) for e in ("piedmont", "barolo")], "scope string, entity string, alias string, is_canonical boolean")
+    tree = taxonomy.closure(spark.createDataFrame([("piedmont", None), ("barolo", "piedmont")], "id string, parent_id string"))
+    got = review.review(rows, blocks, spark.createDataFrame([("nebbiolo", "spanna")], "claim string, alias string"), labels, tree).collect()
+    assert {(r.row, *r.regions, *r.reasons, r.status) for r in got} == {(i, *(["barolo"] if i % 2 == 0 else []), "piedmont", "model") for i in range(100)}
+    assert tasks == [4] and len(splits) <= 3
