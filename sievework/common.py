@@ -63,6 +63,15 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` hinted for a join by shuffle, as it grows with the rows of the input.
+
+    Spark takes a stored table for no larger than its compressed files, the less the fewer columns are read, so unhinted it sends
+    millions of rows by way of the driver's memory to every task.
+    """
+    return df.hint("merge")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` dealt out to as many tasks as shuffles have, before dear work on each row: small files of many rows make few tasks."""
     spark = df.sparkSession

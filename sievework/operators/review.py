@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.common import bounded_broadcast, spread, stored
+from sievework.common import bounded_broadcast, shuffled, spread, stored
 from sievework.operators import evidence
 
 
@@ -29,9 +29,9 @@ def _by_name(rows: DataFrame, named: DataFrame, labels: DataFrame, tree: DataFra
     """``row, new, action``: the region that a row's name holds, and whether it is an upgrade of what the row has, or a conflict."""
     found = evidence.name_region(mentions(named, _spelled(labels.where("is_canonical"))), "row", "region", tree).withColumnRenamed("region", "new")
     scopes = labels.select(F.col("entity").alias("new"), F.col("scope").alias("_scope")).distinct()
-    found = found.join(scopes, "new").join(rows.select("row", "scope"), "row").where("scope IS NULL OR scope = _scope").select("row", "new").distinct()
+    found = found.join(scopes, "new").join(shuffled(rows.select("row", "scope")), "row").where("scope IS NULL OR scope = _scope").select("row", "new").distinct()
     leaves = evidence.submitted_leaves(_claims(rows, tree), "row", "region", tree)
-    held = found.join(leaves, "row", "left")
+    held = found.join(shuffled(leaves), "row", "left")
     for flag, pairs in (
         ("_within", tree.select(F.col("ancestor").alias("new"), F.col("descendant").alias("region"))),
         ("_above", tree.where("distance > 0").select(F.col("descendant").alias("new"), F.col("ancestor").alias("region"))),
@@ -46,7 +46,7 @@ def _by_name(rows: DataFrame, named: DataFrame, labels: DataFrame, tree: DataFra
 def _replaced(rows: DataFrame, new: DataFrame, tree: DataFrame, told: str) -> DataFrame:
     """``rows`` with the chains of ``new(row, new)`` in front of their regions, and ``told``: what became what."""
     chains = tree.groupBy(F.col("descendant").alias("new")).agg(F.transform(F.array_sort(F.collect_list(F.struct("distance", "ancestor"))), lambda x: x["ancestor"]).alias("_chain"))
-    out = rows.join(new, "row", "left").join(chains, "new", "left")
+    out = rows.join(shuffled(new), "row", "left").join(chains, "new", "left")
     was = F.coalesce(F.get("regions", 0), F.lit("none"))
     change = F.when(F.col("new").isNotNull(), F.array(F.concat(was, F.lit("→"), "new"))).otherwise(F.array().cast("array<string>"))
     regions = F.when(F.col("new").isNotNull(), evidence.replace_region(F.col("regions"), F.col("_chain"))).otherwise(F.col("regions"))
@@ -81,7 +81,7 @@ def review(rows: DataFrame, blocks: DataFrame, grapes: DataFrame, labels: DataFr
     each = rows.select("row", F.posexplode("grapes").alias("pos", "claim"))
     counted = evidence.corroboration(each.select("row", "claim").distinct(), said, grapes, "row")
     in_order = F.array_sort(F.collect_list(F.struct("pos", F.col("claim").alias("name"), F.col("n_sources").alias("n"))))
-    counted = each.join(counted, ["row", "claim"]).groupBy("row").agg(F.transform(in_order, lambda g: F.struct(g["name"].alias("name"), g["n"].alias("n"))).alias("_counted"))
+    counted = each.join(shuffled(counted), ["row", "claim"]).groupBy("row").agg(F.transform(in_order, lambda g: F.struct(g["name"].alias("name"), g["n"].alias("n"))).alias("_counted"))
 
     spelled = stored(_spelled(labels))
     named = stored(evidence.said_runs(names.select("row", F.col("name").alias("body")), spelled).select("row", "_run"))
@@ -97,8 +97,8 @@ def review(rows: DataFrame, blocks: DataFrame, grapes: DataFrame, labels: DataFr
     def outweighing(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Leaves of the rows' regions, and the finer and the longer regions that outweigh them."""
         leaves = stored(evidence.submitted_leaves(_claims(rows, tree), "row", "region", tree))
-        own = spoken.join(leaves, ["row", "region"], "left_semi")
-        below = spoken.withColumnRenamed("region", "_low").join(above, "_low").join(leaves, ["row", "region"], "left_semi").select("row", F.col("_low").alias("region"))
+        own = spoken.join(shuffled(leaves), ["row", "region"], "left_semi")
+        below = spoken.withColumnRenamed("region", "_low").join(above, "_low").join(shuffled(leaves), ["row", "region"], "left_semi").select("row", F.col("_low").alias("region"))
         counts = stored(evidence.origin_counts(own.union(below), "row", "region", labels, said, names, said=heard))
         finer = evidence.finer_regions(leaves, "row", "region", tree, counts).select("row", F.col("finer").alias("new"))
         longer = evidence.longer_regions(leaves, "row", "region", labels, tree, said, names, pairs, heard).select("row", F.col("longer").alias("new"))
@@ -107,21 +107,21 @@ def review(rows: DataFrame, blocks: DataFrame, grapes: DataFrame, labels: DataFr
     leaves, finer, longer = outweighing(rows)
     found = finer.withColumn("_least", F.lit(2)).union(longer.withColumn("_least", F.lit(0))).groupBy("row", "new").agg(F.min("_least").alias("_least"))
     up = tree.where("distance > 0").select(F.col("ancestor").alias("new"), F.col("descendant").alias("_low"))
-    parents = found.select("row", "new").join(up, "new").join(found.select("row", F.col("new").alias("_low")), ["row", "_low"]).select("row", "new").distinct()
-    one = stored(found.join(parents, ["row", "new"], "left_anti").groupBy("row").agg(F.count("*").alias("_n"), F.min("new").alias("new"), F.min("_least").alias("_least")).where("_n = 1"))
+    parents = found.select("row", "new").join(up, "new").join(shuffled(found.select("row", F.col("new").alias("_low"))), ["row", "_low"]).select("row", "new").distinct()
+    one = stored(found.join(shuffled(parents), ["row", "new"], "left_anti").groupBy("row").agg(F.count("*").alias("_n"), F.min("new").alias("new"), F.min("_least").alias("_least")).where("_n = 1"))
     n = evidence.origin_counts(one.select("row", F.col("new").alias("region")), "row", "region", labels, said, names, said=heard).select("row", F.col("n_sources").alias("_new_n"))
-    own = evidence.origin_counts(leaves.join(one.select("row", "new"), "row"), "row", "region", labels, said, names, hide="new").groupBy("row").agg(F.max("n_sources").alias("_own_n"))
-    settled = one.join(n, "row").join(own, "row").where("_new_n >= greatest(_own_n, _least)").select("row", "new")
+    own = evidence.origin_counts(leaves.join(shuffled(one.select("row", "new")), "row"), "row", "region", labels, said, names, hide="new").groupBy("row").agg(F.max("n_sources").alias("_own_n"))
+    settled = one.join(shuffled(n), "row").join(shuffled(own), "row").where("_new_n >= greatest(_own_n, _least)").select("row", "new")
     rows = stored(_replaced(rows, settled, tree, "source_upgrade"))
 
     changed = rows.where(F.size("source_upgrade") > 0)
-    kept = [x.join(changed.select("row"), "row", "left_anti") for x in (leaves, finer, longer)]
+    kept = [x.join(shuffled(changed.select("row")), "row", "left_anti") for x in (leaves, finer, longer)]
     leaves, finer, longer = (x.unionByName(y) for x, y in zip(kept, outweighing(changed), strict=True))
     nowhere = evidence.unsupported_regions(leaves, "row", "region", tree, spoken.union(mentions(named, spelled)).distinct().withColumn("n_sources", F.lit(1)))
     listed = lambda df, c, name: df.groupBy("row").agg(F.sort_array(F.collect_set(c)).alias(name))
     all_in = rows
     for more in (sources, counted, conflicts, listed(finer, "new", "coarse"), listed(longer, "new", "longer"), listed(nowhere, "region", "unsupported")):
-        all_in = all_in.join(more, "row", "left")
+        all_in = all_in.join(shuffled(more), "row", "left")
     counts_of = F.coalesce("_counted", F.array().cast("array<struct<name:string,n:bigint>>"))
     flags = {x: F.coalesce(x, empty) for x in ("name_conflict", "coarse", "longer", "unsupported")} | {
         "has_context": F.col("n_sources").isNotNull(), "called_blend": F.coalesce("_called", F.lit(False)) | F.col("is_blend"), "incomplete_blend": F.col("is_blend") & (F.size("grapes") == 1),

@@ -419,3 +419,25 @@ def test_review_splits_texts_once_and_in_many_tasks(spark, monkeypatch):
     got = review.review(rows, blocks, spark.createDataFrame([("nebbiolo", "spanna")], "claim string, alias string"), labels, tree).collect()
     assert {(r.row, *r.regions, *r.reasons, r.status) for r in got} == {(i, *(["barolo"] if i % 2 == 0 else []), "piedmont", "model") for i in range(100)}
     assert tasks == [4] and len(splits) <= 3
+
+
+def test_review_broadcasts_dictionaries_only(spark, monkeypatch):
+    """What grows with the rows joins by shuffle, however small Spark takes its files for."""
+    sent, held = [], evidence.stored
+
+    def keep(df, *a):
+        sent.append(most_rows(df, "BroadcastExchange", "numOutputRows"))
+        return held(df, *a)
+
+    monkeypatch.setattr(evidence, "stored", keep)
+    monkeypatch.setattr(review, "stored", keep)
+    rows = spark.range(200).selectExpr(
+        "CAST(id AS INT) AS row", "IF(id % 4 = 0, 'wine of barolo', 'plain wine') AS name", "'red' AS category", "CAST(null AS STRING) AS scope", "true AS submitted", "false AS is_blend", "90 AS confidence",
+        "array('nebbiolo') AS grapes", "array('red') AS colours", "IF(id % 4 = 1, array('langhe', 'piedmont'), array('piedmont')) AS regions", "false AS named_whole")
+    blocks = rows.selectExpr("row", "explode(array('f1', 'f2')) AS family", "CASE row % 4 WHEN 2 THEN 'barolo nebbiolo' WHEN 1 THEN 'langhe alta nebbiolo' ELSE 'nebbiolo of piedmont' END AS body")
+    edges = [("piedmont", None), ("barolo", "piedmont"), ("langhe", "piedmont"), ("langhe alta", None)]
+    labels = spark.createDataFrame([("it", e, e, True) for e, _ in edges], "scope string, entity string, alias string, is_canonical boolean")
+    tree = taxonomy.closure(spark.createDataFrame(edges, "id string, parent_id string"))
+    out = review.review(rows, blocks, spark.createDataFrame([("nebbiolo", "spanna")], "claim string, alias string"), labels, tree)
+    sent.append(most_rows(out, "BroadcastExchange", "numOutputRows"))
+    assert out.count() == 200 and 0 < max(sent) <= 20
