@@ -58,9 +58,13 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` hinted for a broadcast join if it has at most ``rows`` rows, else unhinted.
 
     The count reads no more than ``rows + 1`` rows; beyond the bound Spark joins by shuffle, with
-    skewed keys split by AQE.
+    skewed keys split by AQE.  A table that comes from here is not counted again.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    if getattr(df, "_few", False) or df.limit(rows + 1).count() > rows:
+        return df
+    few = F.broadcast(df)
+    few._few = True
+    return few
 
 
 def shuffled(df: DataFrame) -> DataFrame:

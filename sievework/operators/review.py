@@ -27,10 +27,11 @@ def _claims(rows: DataFrame, tree: DataFrame) -> DataFrame:
 
 def _by_name(rows: DataFrame, named: DataFrame, labels: DataFrame, tree: DataFrame, longer: DataFrame) -> DataFrame:
     """``row, new, action``: the region that a row's name holds, and whether it is an upgrade of what the row has, or a conflict."""
-    found = evidence.name_region(mentions(named, _spelled(labels.where("is_canonical"))), "row", "region", tree).withColumnRenamed("region", "new")
+    held = stored(mentions(named, _spelled(labels.where("is_canonical"))))
+    found = stored(evidence.name_region(held, "row", "region", tree).withColumnRenamed("region", "new"))
     scopes = labels.select(F.col("entity").alias("new"), F.col("scope").alias("_scope")).distinct()
     found = found.join(scopes, "new").join(shuffled(rows.select("row", "scope")), "row").where("scope IS NULL OR scope = _scope").select("row", "new").distinct()
-    leaves = evidence.submitted_leaves(_claims(rows, tree), "row", "region", tree)
+    leaves = stored(evidence.submitted_leaves(stored(_claims(rows, tree)), "row", "region", tree))
     held = found.join(shuffled(leaves), "row", "left")
     for flag, pairs in (
         ("_within", tree.select(F.col("ancestor").alias("new"), F.col("descendant").alias("region"))),
@@ -66,61 +67,70 @@ def review(rows: DataFrame, blocks: DataFrame, grapes: DataFrame, labels: DataFr
     Null arrays count as empty, null bodies as empty texts; regions that the tree lacks are kept and never checked.  Rows without blocks have no
     context.  An empty table gives an empty result.
 
-    Rows and texts are dealt out to all tasks and stored first, as a small file of many rows is one task's.  Texts are split once, into those of their word runs
-    that are aliases; the sources are weighed anew only for rows that the first weighing changed.
+    Rows and texts are dealt out to all tasks and stored first, as a small file of many rows is one task's.  Names and texts are split once, into those of their
+    word runs that are aliases; the sources are weighed anew only for rows that the first weighing changed.  Each step is stored, as the driver plans a long chain
+    of joins anew after each of its stages.
     """
     empty = F.array().cast("array<string>")
     labels, tree = stored(labels.select("scope", "entity", "alias", "is_canonical")), bounded_broadcast(stored(tree))
-    wider, pairs = bounded_broadcast(stored(evidence.longer_names(labels))), stored(evidence.longer_pairs(labels, tree))
-    labels = bounded_broadcast(labels)
+    wider, pairs = bounded_broadcast(stored(evidence.longer_names(labels))), bounded_broadcast(stored(evidence.longer_pairs(labels, tree)))
+    labels, any_longer = bounded_broadcast(labels), not pairs.isEmpty()
     rows = stored(spread(rows).withColumns({x: F.coalesce(x, empty) for x in ("grapes", "colours", "regions")} | {"is_blend": F.coalesce("is_blend", F.lit(False))}))
     said = stored(spread(blocks.select("row", "family", F.coalesce("body", F.lit("")).alias("body"))))
     names = rows.select("row", F.coalesce("name", F.lit("")).alias("name"))
 
-    sources = said.groupBy("row").agg(F.count_distinct("family").alias("n_sources"), F.max(evidence.calls_it_a_blend(F.col("body"))).alias("_called"))
+    sources = stored(said.groupBy("row").agg(F.count_distinct("family").alias("n_sources"), F.max(evidence.calls_it_a_blend(F.col("body"))).alias("_called")))
     each = rows.select("row", F.posexplode("grapes").alias("pos", "claim"))
-    counted = evidence.corroboration(each.select("row", "claim").distinct(), said, grapes, "row")
+    counted = stored(evidence.corroboration(stored(each.select("row", "claim").distinct()), said, grapes, "row"))
     in_order = F.array_sort(F.collect_list(F.struct("pos", F.col("claim").alias("name"), F.col("n_sources").alias("n"))))
     counted = each.join(shuffled(counted), ["row", "claim"]).groupBy("row").agg(F.transform(in_order, lambda g: F.struct(g["name"].alias("name"), g["n"].alias("n"))).alias("_counted"))
+    counted = stored(counted)
 
-    spelled = stored(_spelled(labels))
-    named = stored(evidence.said_runs(names.select("row", F.col("name").alias("body")), spelled).select("row", "_run"))
+    spelled = bounded_broadcast(stored(_spelled(labels)))
+    runs = said.withColumn("_name", F.lit(False)).unionByName(names.select("row", F.col("name").alias("body"), F.lit(True).alias("_name")), allowMissingColumns=True)
+    runs = stored(evidence.said_runs(runs, spelled))
+    named, heard = runs.where("_name").select("row", "_run"), runs.where("NOT _name").drop("_name")
     by_name = stored(_by_name(rows, named, labels, tree, wider))
-    conflicts = by_name.where("action = 'conflict'").select("row", F.array("new").alias("name_conflict"))
     rows = stored(_replaced(rows, by_name.where("action = 'upgrade'").select("row", "new"), tree, "name_upgrade"))
 
-    heard = stored(evidence.said_runs(said, spelled))
     spoken = stored(mentions(heard, spelled))
     canonical = labels.where("is_canonical").select(F.col("entity").alias("descendant")).distinct()
     above = bounded_broadcast(stored(tree.where("distance > 0").join(canonical, "descendant").select(F.col("ancestor").alias("region"), F.col("descendant").alias("_low"))))
 
-    def outweighing(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Leaves of the rows' regions, and the finer and the longer regions that outweigh them."""
-        leaves = stored(evidence.submitted_leaves(_claims(rows, tree), "row", "region", tree))
+    def outweighing(rows: DataFrame) -> DataFrame:
+        """``row, kind, region``: each ``leaf`` of the rows' regions, and the finer (``coarse``) and the ``longer`` regions that outweigh it."""
+        leaves = stored(evidence.submitted_leaves(stored(_claims(rows, tree)), "row", "region", tree))
         own = spoken.join(shuffled(leaves), ["row", "region"], "left_semi")
         below = spoken.withColumnRenamed("region", "_low").join(above, "_low").join(shuffled(leaves), ["row", "region"], "left_semi").select("row", F.col("_low").alias("region"))
-        counts = stored(evidence.origin_counts(own.union(below), "row", "region", labels, said, names, said=heard))
-        finer = evidence.finer_regions(leaves, "row", "region", tree, counts).select("row", F.col("finer").alias("new"))
-        longer = evidence.longer_regions(leaves, "row", "region", labels, tree, said, names, pairs, heard).select("row", F.col("longer").alias("new"))
-        return leaves, stored(finer.distinct()), stored(longer.distinct())
-
-    leaves, finer, longer = outweighing(rows)
-    found = finer.withColumn("_least", F.lit(2)).union(longer.withColumn("_least", F.lit(0))).groupBy("row", "new").agg(F.min("_least").alias("_least"))
+        counts = stored(evidence.origin_counts(stored(own.union(below).distinct()), "row", "region", labels, said, names, said=heard))
+        finer = evidence.finer_regions(leaves, "row", "region", tree, counts).select("row", F.lit("coarse").alias("kind"), F.col("finer").alias("region"))
+        found = leaves.select("row", F.lit("leaf").alias("kind"), "region").union(stored(finer.distinct()))
+        if any_longer:  # else no name holds another
+            longer = evidence.longer_regions(leaves, "row", "region", labels, tree, said, names, pairs, heard)
+            found = found.union(stored(longer.select("row", F.lit("longer").alias("kind"), F.col("longer").alias("region")).distinct()))
+        return found
+
+    first = outweighing(rows)
+    leaves = first.where("kind = 'leaf'").select("row", "region")
+    found = stored(first.where("kind <> 'leaf'").groupBy("row", F.col("region").alias("new")).agg(F.min(F.when(F.col("kind") == "coarse", 2).otherwise(0)).alias("_least")))
     up = tree.where("distance > 0").select(F.col("ancestor").alias("new"), F.col("descendant").alias("_low"))
     parents = found.select("row", "new").join(up, "new").join(shuffled(found.select("row", F.col("new").alias("_low"))), ["row", "_low"]).select("row", "new").distinct()
     one = stored(found.join(shuffled(parents), ["row", "new"], "left_anti").groupBy("row").agg(F.count("*").alias("_n"), F.min("new").alias("new"), F.min("_least").alias("_least")).where("_n = 1"))
     n = evidence.origin_counts(one.select("row", F.col("new").alias("region")), "row", "region", labels, said, names, said=heard).select("row", F.col("n_sources").alias("_new_n"))
-    own = evidence.origin_counts(leaves.join(shuffled(one.select("row", "new")), "row"), "row", "region", labels, said, names, hide="new").groupBy("row").agg(F.max("n_sources").alias("_own_n"))
-    settled = one.join(shuffled(n), "row").join(shuffled(own), "row").where("_new_n >= greatest(_own_n, _least)").select("row", "new")
+    n, asked = stored(n), stored(leaves.join(shuffled(one.select("row", "new")), "row"))
+    own = stored(evidence.origin_counts(asked, "row", "region", labels, said, names, hide="new").groupBy("row").agg(F.max("n_sources").alias("_own_n")))
+    settled = stored(one.join(shuffled(n), "row").join(shuffled(own), "row").where("_new_n >= greatest(_own_n, _least)").select("row", "new"))
     rows = stored(_replaced(rows, settled, tree, "source_upgrade"))
 
-    changed = rows.where(F.size("source_upgrade") > 0)
-    kept = [x.join(shuffled(changed.select("row")), "row", "left_anti") for x in (leaves, finer, longer)]
-    leaves, finer, longer = (x.unionByName(y) for x, y in zip(kept, outweighing(changed), strict=True))
-    nowhere = evidence.unsupported_regions(leaves, "row", "region", tree, spoken.union(mentions(named, spelled)).distinct().withColumn("n_sources", F.lit(1)))
-    listed = lambda df, c, name: df.groupBy("row").agg(F.sort_array(F.collect_set(c)).alias(name))
+    kept = first.join(shuffled(settled.select("row")), "row", "left_anti")
+    last = stored(kept.union(outweighing(rows.where(F.size("source_upgrade") > 0))))
+    anywhere = stored(spoken.union(mentions(named, spelled)).distinct().withColumn("n_sources", F.lit(1)))
+    nowhere = evidence.unsupported_regions(last.where("kind = 'leaf'").select("row", "region"), "row", "region", tree, anywhere)
+    conflicts = by_name.where("action = 'conflict'").select("row", F.lit("name_conflict").alias("kind"), F.col("new").alias("region"))
+    noted = last.where("kind <> 'leaf'").union(stored(nowhere.select("row", F.lit("unsupported").alias("kind"), "region"))).union(conflicts)
+    listed = [F.sort_array(F.collect_set(F.when(F.col("kind") == k, F.col("region")))).alias(k) for k in ("name_conflict", "coarse", "longer", "unsupported")]
     all_in = rows
-    for more in (sources, counted, conflicts, listed(finer, "new", "coarse"), listed(longer, "new", "longer"), listed(nowhere, "region", "unsupported")):
+    for more in (sources, counted, stored(noted.groupBy("row").agg(*listed))):
         all_in = all_in.join(shuffled(more), "row", "left")
     counts_of = F.coalesce("_counted", F.array().cast("array<struct<name:string,n:bigint>>"))
     flags = {x: F.coalesce(x, empty) for x in ("name_conflict", "coarse", "longer", "unsupported")} | {
