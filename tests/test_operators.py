@@ -388,6 +388,15 @@ def test_regions_go_up_from_what_is_named(spark):
     assert {r.p for r in nowhere.collect()} == {i for i in range(60) if i >= 50 or i % 3 == 0}
 
 
+def test_claims_go_up_to_find_leaves(spark):
+    """A claimed region is not multiplied by all that lies below it."""
+    tree = taxonomy.cut(taxonomy.closure(spark.createDataFrame([("r", None), *[(f"c{i}", "r") for i in range(500)]], "id string, parent_id string")))
+    claims = spark.createDataFrame([(i, x) for i in range(60) for x in (("r", f"c{i}") if i % 2 else ("r",))] + [(1, "r"), (60, "other")], "p int, region string")
+    leaves = evidence.submitted_leaves(claims, "p", "region", tree)
+    assert most_rows(leaves, "Join", "numOutputRows") <= 100
+    assert sorted((r.p, r.region) for r in leaves.collect()) == sorted([(i, f"c{i}" if i % 2 else "r") for i in range(60)] + [(60, "other")])
+
+
 @pytest.mark.parametrize("few", [True, False])
 def test_words_that_no_alias_has_stay_where_they_are_read(spark, monkeypatch, few):
     if not few:
@@ -422,10 +431,11 @@ def test_review_splits_texts_once_and_in_many_tasks(spark, monkeypatch):
 
 
 def test_review_broadcasts_dictionaries_only(spark, monkeypatch):
-    """What grows with the rows joins by shuffle, however small Spark takes its files for."""
-    sent, held = [], evidence.stored
+    """What grows with the rows joins by shuffle, however small Spark takes its files for; and no step is a long chain of joins."""
+    sent, joins, held = [], [], evidence.stored
 
     def keep(df, *a):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
         sent.append(most_rows(df, "BroadcastExchange", "numOutputRows"))
         return held(df, *a)
 
@@ -441,3 +451,4 @@ def test_review_broadcasts_dictionaries_only(spark, monkeypatch):
     out = review.review(rows, blocks, spark.createDataFrame([("nebbiolo", "spanna")], "claim string, alias string"), labels, tree)
     sent.append(most_rows(out, "BroadcastExchange", "numOutputRows"))
     assert out.count() == 200 and 0 < max(sent) <= 20
+    assert max(*joins, out._jdf.queryExecution().optimizedPlan().toString().count("Join ")) <= 8
