@@ -60,7 +60,7 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     The count reads no more than ``rows + 1`` rows; beyond the bound Spark joins by shuffle, with
     skewed keys split by AQE.  A table that comes from here is not counted again.
     """
-    if getattr(df, "_few", False) or df.limit(rows + 1).count() > rows:
+    if vars(df).get("_few") or df.limit(rows + 1).count() > rows:
         return df
     few = F.broadcast(df)
     few._few = True
